@@ -33,3 +33,73 @@ SELECT customer_id,
        CAST(sum(total_amount) AS DECIMAL(18,2)) AS Monetary
 FROM p GROUP BY customer_id
 """, p=SHIFTED_SALES))(flagship)
+
+
+# --- Cleaning: P01-P15 -----------------------------------------------------------
+from ..operators import cleaning as C  # noqa: E402
+from ..sources import registry as SRC  # noqa: E402
+from . import oracle_parts as O  # noqa: E402
+
+
+@query("p01_standardise_columns", X.RAW_RETAIL_SQL)
+def p01(spark, sf_dir):
+    return C.standardize_columns(X.raw_retail(spark, sf_dir))
+
+
+@query("p02_missing_markers", f"""
+SELECT {O.nul('InvoiceNo')} AS transaction_id, {O.nul('StockCode')} AS sku_code,
+       {O.nul('Description')} AS product_name, {O.nul('Quantity')} AS quantity,
+       {O.nul('InvoiceDate')} AS date, {O.nul('UnitPrice')} AS unit_price,
+       {O.nul('CustomerID')} AS customer_id, {O.nul('Country')} AS country
+FROM ({X.RAW_ONLINE_SQL}) r
+""")
+def p02(spark, sf_dir):
+    return C.normalize_missing(C.standardize_columns(X.raw_online(spark, sf_dir)))
+
+
+@query("p15_clean_retail", O.CLEAN_RETAIL_SQL)
+def p15_retail(spark, sf_dir):
+    return C.clean_source(X.raw_retail(spark, sf_dir), SRC.RETAIL)
+
+
+@query("p15_clean_online", O.CLEAN_ONLINE_SQL)
+def p15_online(spark, sf_dir):
+    return C.clean_source(X.raw_online(spark, sf_dir), SRC.ONLINE)
+
+
+@query("p15_clean_orders", O.CLEAN_ORDERS_SQL)
+def p15_orders(spark, sf_dir):
+    return C.clean_source(X.raw_orders(spark, sf_dir), SRC.ORDERS)
+
+
+# --- Transform and merge: P16-P27, M24, U01, J01, J02, A04 -----------------------
+from ..operators import merge as MG  # noqa: E402
+from ..operators import transform as TR  # noqa: E402
+
+
+def transformed_frames(spark, sf_dir):
+    src = SRC.fixture_sources(spark, sf_dir)
+    cleaned = {k: C.clean_source(df, spec) for k, (spec, df) in src.items()}
+    return TR.transform_all(cleaned.get("Kaggle"), cleaned.get("UCI"), cleaned.get("ORD"))
+
+
+def merged_sales(spark, sf_dir):
+    return MG.merge_sources(transformed_frames(spark, sf_dir))
+
+
+@query("p20_transform_sources", O.TRANSFORMED_SQL)
+def p20(spark, sf_dir):
+    return MG.union_sources(transformed_frames(spark, sf_dir))
+
+
+@query("m24_categorise_products", f"""
+SELECT p_partkey, p_name, {O.keyword_case('p_name')} AS category FROM part
+""")
+def m24(spark, sf_dir):
+    from ..sources.tables import read_table
+    return TR.categorize(read_table(spark, sf_dir, "part").select("p_partkey", "p_name"), name="p_name")
+
+
+@query("u01_merge_sources", O.merged_sql(MG.DEFAULT_COUNTRIES))
+def u01(spark, sf_dir):
+    return merged_sales(spark, sf_dir)

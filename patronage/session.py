@@ -89,3 +89,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable, eager checkpoint (survives executor loss; never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_root(spark: SparkSession) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/patronage-stages"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet stage table in the shared checkpoint folder
+    and read it back: cuts lineage (survives executor loss), and later passes
+    get column pruning and filter pushdown, which an RDD checkpoint lacks."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
