@@ -145,3 +145,43 @@ SELECT n.transaction_id, n.date, n.customer_id, CAST(round(pf.age) AS INT) AS ag
        CAST(CAST(coalesce(n.quantity, 0) AS INT) * CAST(coalesce(n.unit_price, 0) AS DECIMAL(10,2)) AS DECIMAL(15,2)) AS total_amount
 FROM n LEFT JOIN pf ON n.customer_id = pf.customer_id
 """
+
+
+# --- warehouse (DuckDB) -------------------------------------------------------
+FACT_ORDER_SQL = "transaction_id, date, customer_id, category, quantity, unit_price, total_amount"
+FIRST_ORDER_SQL = "(transaction_id, date, category, quantity, unit_price)"
+
+
+def warehouse_ctes(src: str = "s", p: str = "") -> dict[str, str]:
+    """CTEs ``{p}dd, {p}dc, {p}dl, {p}cu, {p}fs`` over the lines table ``src``."""
+    return {
+        f"{p}dd": f"""SELECT CAST(row_number() OVER (ORDER BY date) AS INT) AS date_id, date,
+            CAST(strftime(date, '%Y%m%d') AS INT) AS date_key, day(date) AS day, month(date) AS month,
+            monthname(date) AS month_name, quarter(date) AS quarter, year(date) AS year,
+            isodow(date) >= 6 AS is_weekend
+            FROM (SELECT DISTINCT CAST(date AS DATE) AS date FROM {src} WHERE date IS NOT NULL) x""",
+        f"{p}dc": f"""SELECT CAST(row_number() OVER (ORDER BY category) AS INT) AS category_id, category
+            FROM (SELECT DISTINCT category FROM {src} WHERE category IS NOT NULL) x""",
+        f"{p}dl": f"""SELECT CAST(row_number() OVER (ORDER BY country) AS INT) AS location_id, country
+            FROM (SELECT DISTINCT country FROM {src} WHERE country IS NOT NULL) x""",
+        f"{p}cf": f"""SELECT customer_id, arg_min(gender, {FIRST_ORDER_SQL}) AS gender,
+            arg_min(age, {FIRST_ORDER_SQL}) AS age, arg_min(country, {FIRST_ORDER_SQL}) AS country
+            FROM {src} GROUP BY customer_id""",
+        f"{p}cu": f"""SELECT CAST(row_number() OVER (ORDER BY customer_id) AS INT) AS customer_key, customer_id,
+            gender, CAST(age AS INT) AS age, CAST(l.location_id AS INT) AS location_id
+            FROM {p}cf LEFT JOIN {p}dl l USING (country)""",
+        f"{p}fs": f"""SELECT CAST(row_number() OVER (ORDER BY x.transaction_id, x.date, x.customer_id, x.category,
+                x.quantity, x.unit_price, x.total_amount) AS BIGINT) AS sales_id,
+            x.transaction_id, d.date_id, c.customer_key, g.category_id, CAST(x.quantity AS INT) AS quantity,
+            CAST(x.unit_price AS DECIMAL(10,2)) AS unit_price, CAST(x.total_amount AS DECIMAL(15,2)) AS total_amount
+            FROM {src} x LEFT JOIN {p}cu c ON x.customer_id = c.customer_id
+            LEFT JOIN {p}dc g ON x.category = g.category
+            LEFT JOIN {p}dd d ON CAST(x.date AS DATE) = d.date""",
+    }
+
+
+def wh_sql(body: str, extra: dict[str, str] | None = None) -> str:
+    parts = {"s": X.SALES_SQL, **warehouse_ctes()}
+    parts.update(extra or {})
+    inner = ",\n".join(f"{k} AS ({v.strip()})" for k, v in parts.items())
+    return f"WITH {inner}\n{body}"
