@@ -226,3 +226,197 @@ def r01(spark, sf_dir):
     lines = X.sales(spark, sf_dir)
     old = WH.build_warehouse(lines.where(F.col("date") < F.lit(INITIAL_CUTOFF).cast("date")))
     return WH.incremental_load(old, lines).fact_sales
+
+
+# --- RFM features: A02, A03, W05-W07, P38, P39, M01-M05, S14 ---------------------
+from ..operators import features as FE  # noqa: E402
+
+RFM_SQL = ctes("""
+SELECT customer_id,
+       CAST((SELECT max(date) FROM p) + 1 - max(date) AS BIGINT) AS Recency,
+       CAST(count(DISTINCT transaction_id) AS BIGINT) AS Frequency,
+       CAST(sum(total_amount) AS DOUBLE) AS Monetary
+FROM p GROUP BY customer_id
+""", p=SHIFTED_SALES)
+
+GUEST_SQL = """
+SELECT user_id,
+       CAST(floor((epoch_us((SELECT max(ts) FROM pu)) - epoch_us(max(ts))) / 86400000000.0) AS BIGINT) AS Recency,
+       CAST(count(*) AS BIGINT) AS Frequency, sum(value) AS Monetary
+FROM pu GROUP BY user_id
+"""
+
+
+def rfm_customers(spark, sf_dir):
+    """Registered-customer RFM with Monetary as double (feature input)."""
+    return flagship(spark, sf_dir).withColumn("Monetary", F.col("Monetary").cast("double"))
+
+
+def guest_base(spark, sf_dir):
+    return R.rfm_by_rows(X.purchases(spark, sf_dir), customer="user_id", date="ts", amount="value")
+
+
+def _round(df, cols, nd=6):
+    return df.select(*[F.round(c, nd).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("a02_guest_rfm", ctes("SELECT user_id, Recency, Frequency, round(Monetary, 6) AS Monetary FROM g",
+                             pu=X.PURCHASES_SQL, g=GUEST_SQL))
+def a02(spark, sf_dir):
+    """A02 + S14: upload flow with caller-named id / date / amount columns."""
+    return _round(guest_base(spark, sf_dir), ["Monetary"])
+
+
+def _edge_sql(col: str, arr: str, q: int, reverse: bool) -> str:
+    terms = " + ".join(f"CAST({arr}[{i}] < {col} AS INT)" for i in range(1, q))
+    return f"({q + 1} - (1 + {terms}))" if reverse else f"(1 + {terms})"
+
+
+def _segment_sql() -> str:
+    from ..functions.exprs import SEGMENT_FALLBACK, SEGMENT_RULES
+    whens = " ".join(f"WHEN R_Score >= {r} AND F_Score >= {f} AND M_Score >= {m} THEN '{n}'"
+                     for n, r, f, m in SEGMENT_RULES)
+    return f"CASE {whens} ELSE '{SEGMENT_FALLBACK}' END"
+
+
+def scores_sql(q: int) -> str:
+    probs = "[" + ", ".join(str(i / q) for i in range(1, q)) + "]"
+    return ctes(f"""
+SELECT user_id, Recency, Frequency, round(Monetary, 6) AS Monetary, R_Score, F_Score, M_Score,
+       CAST(R_Score AS VARCHAR) || CAST(F_Score AS VARCHAR) || CAST(M_Score AS VARCHAR) AS RFM_Score,
+       {_segment_sql()} AS Segment
+FROM (SELECT g.*, CAST({_edge_sql('Recency', 'qr', q, True)} AS INT) AS R_Score,
+             CAST({_edge_sql('Frequency', 'qf', q, False)} AS INT) AS F_Score,
+             CAST({_edge_sql('Monetary', 'qm', q, False)} AS INT) AS M_Score
+      FROM g, (SELECT quantile_cont(CAST(Recency AS DOUBLE), {probs}) AS qr,
+                      quantile_cont(CAST(Frequency AS DOUBLE), {probs}) AS qf,
+                      quantile_cont(Monetary, {probs}) AS qm FROM g) qq) s
+""", pu=X.PURCHASES_SQL, g=GUEST_SQL)
+
+
+@query("w05_quintile_scores", scores_sql(5))
+def w05(spark, sf_dir):
+    """W05 + P38 + P39: quintile scores (R reversed), code and segment."""
+    return _round(R.segment_scores(R.score_columns(guest_base(spark, sf_dir), q=5)), ["Monetary"])
+
+
+@query("w07_quartile_scores", scores_sql(4))
+def w07(spark, sf_dir):
+    return _round(R.segment_scores(R.score_columns(guest_base(spark, sf_dir), q=4)), ["Monetary"])
+
+
+def _rank_sql(col: str, q: int, reverse: bool) -> str:
+    rn = f"row_number() OVER (ORDER BY {col}, user_id)"
+    s = f"CASE WHEN n <= 1 THEN 1 ELSE greatest(1, CAST(ceil(({rn} - 1) * {q} / (n - 1)) AS INT)) END"
+    return f"CAST({q + 1} - ({s}) AS INT)" if reverse else f"CAST({s} AS INT)"
+
+
+@query("w06_rank_ntiles", ctes(f"""
+SELECT user_id, Recency, Frequency, round(Monetary, 6) AS Monetary,
+       {_rank_sql('Recency', 5, True)} AS R_Score, {_rank_sql('Frequency', 5, False)} AS F_Score,
+       {_rank_sql('Monetary', 5, False)} AS M_Score
+FROM g, (SELECT count(*) AS n FROM g) c
+""", pu=X.PURCHASES_SQL, g=GUEST_SQL))
+def w06(spark, sf_dir):
+    """Rank-first n-tiles (ties by arrival = user id), all labels used."""
+    out = R.score_columns(guest_base(spark, sf_dir), q=5, method="rank", order=("user_id",))
+    return _round(out, ["Monetary"])
+
+
+@query("a03_category_share", ctes("""
+SELECT customer_id, category, round(CAST(s AS DOUBLE) / CAST(t AS DOUBLE), 6) AS share
+FROM (SELECT customer_id, category, sum(total_amount) AS s FROM p GROUP BY customer_id, category) a
+JOIN (SELECT customer_id, sum(total_amount) AS t FROM p GROUP BY customer_id) b USING (customer_id)
+""", p=SHIFTED_SALES))
+def a03(spark, sf_dir):
+    s = R.realign_years(R.positive_sales(X.sales(spark, sf_dir)))
+    return R.category_shares_long(s)
+
+
+def _outlier_sql(src: str, c: str, lo: float, hi: float, k: float) -> str:
+    return (f"SELECT * FROM {src} WHERE {c} >= (SELECT quantile_cont({c}, {lo}) - {k} * "
+            f"(quantile_cont({c}, {hi}) - quantile_cont({c}, {lo})) FROM {src}) AND {c} <= "
+            f"(SELECT quantile_cont({c}, {hi}) + {k} * (quantile_cont({c}, {hi}) - quantile_cont({c}, {lo})) FROM {src})")
+
+
+@query("m01_outlier_removal", ctes("SELECT customer_id, Recency, Frequency, round(Monetary, 6) AS Monetary FROM o3",
+                                   rf=f"({RFM_SQL})",
+                                   o1=_outlier_sql("rf", "Recency", 0.05, 0.95, 1.5),
+                                   o2=_outlier_sql("o1", "Frequency", 0.05, 0.95, 1.5),
+                                   o3=_outlier_sql("o2", "Monetary", 0.05, 0.95, 1.5)))
+def m01(spark, sf_dir):
+    return _round(FE.remove_outliers(rfm_customers(spark, sf_dir)), ["Monetary"])
+
+
+def _flag_sql(c: str) -> str:
+    return (f"({c} < (SELECT quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM rf) "
+            f"OR {c} > (SELECT quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM rf))"
+            f" AS {c}_outlier")
+
+
+@query("m02_outlier_flags", ctes(f"""
+SELECT customer_id, Recency, Frequency, round(Monetary, 6) AS Monetary,
+       {_flag_sql('Recency')}, {_flag_sql('Frequency')}, {_flag_sql('Monetary')} FROM rf
+""", rf=f"({RFM_SQL})"))
+def m02(spark, sf_dir):
+    return _round(FE.outlier_flags(rfm_customers(spark, sf_dir)), ["Monetary"])
+
+
+def _scaled_sql(expr: str, name: str, src: str) -> str:
+    return (f"round(CASE WHEN (SELECT stddev_pop({expr}) FROM {src}) > 0 THEN ({expr} - (SELECT avg({expr}) FROM {src})) "
+            f"/ (SELECT stddev_pop({expr}) FROM {src}) ELSE 0 END, 6) AS {name}")
+
+
+@query("m05_standard_scale", ctes(f"""
+SELECT customer_id, {_scaled_sql('Recency', 'R_scaled', 'rf')}, {_scaled_sql('Frequency', 'F_scaled', 'rf')},
+       {_scaled_sql('Monetary', 'M_scaled', 'rf')} FROM rf
+""", rf=f"({RFM_SQL})"))
+def m05(spark, sf_dir):
+    out = FE.standard_scale(rfm_customers(spark, sf_dir), names=["R_scaled", "F_scaled", "M_scaled"])
+    return _round(out.select("customer_id", "R_scaled", "F_scaled", "M_scaled"), ["R_scaled", "F_scaled", "M_scaled"])
+
+
+YJ_LAMBDAS = (0.7, -0.6, 0.1)
+BC_LAMBDAS = (0.3, -0.8, 0.05)
+
+
+def _yj_sql(c: str, lam: float) -> str:
+    pos = f"ln(1 + {c})" if abs(lam) < 1e-12 else f"(power({c} + 1, {lam}) - 1) / {lam}"
+    neg = f"-ln(1 - {c})" if abs(lam - 2) < 1e-12 else f"-(power(1 - {c}, {2 - lam}) - 1) / {2 - lam}"
+    return f"CASE WHEN {c} >= 0 THEN {pos} ELSE {neg} END"
+
+
+def _bc_sql(c: str, lam: float) -> str:
+    return f"ln({c} + 1)" if abs(lam) < 1e-12 else f"(power({c} + 1, {lam}) - 1) / {lam}"
+
+
+def _power_query_sql(fn, lams) -> str:
+    cols = ("Recency", "Frequency", "Monetary")
+    t = ", ".join(f"{fn(f'CAST({c} AS DOUBLE)', lam)} AS {c}_t" for c, lam in zip(cols, lams))
+    sc = ", ".join(_scaled_sql(f"{c}_t", f"{c}_t", "tt") for c in cols)
+    return ctes(f"SELECT customer_id, {sc} FROM tt", rf=f"({RFM_SQL})",
+                tt=f"SELECT customer_id, {t} FROM rf")
+
+
+@query("m03_yeo_johnson_fixed", _power_query_sql(_yj_sql, YJ_LAMBDAS))
+def m03(spark, sf_dir):
+    out = FE.power_transform_fixed(rfm_customers(spark, sf_dir), FE.RFM_COLUMNS, YJ_LAMBDAS)
+    cols = [f"{c}_t" for c in FE.RFM_COLUMNS]
+    return _round(out.select("customer_id", *cols), cols)
+
+
+@query("m04_box_cox_fixed", _power_query_sql(_bc_sql, BC_LAMBDAS))
+def m04(spark, sf_dir):
+    out = FE.power_transform_fixed(rfm_customers(spark, sf_dir), FE.RFM_COLUMNS, BC_LAMBDAS, method="box-cox")
+    cols = [f"{c}_t" for c in FE.RFM_COLUMNS]
+    return _round(out.select("customer_id", *cols), cols)
+
+
+@query("m03_power_transform_fit")
+def m03_fit(spark, sf_dir):
+    """M03 fit (rows-only): lambdas by maximum likelihood, then transformed
+    features of the outlier-free customers."""
+    base = FE.remove_outliers(rfm_customers(spark, sf_dir))
+    model = FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS),
+                                outputCols=["R_scaled", "F_scaled", "M_scaled"]).fit(base)
+    return model.transform(base).select("customer_id", "R_scaled", "F_scaled", "M_scaled")
