@@ -3,13 +3,14 @@
 A global ``row_number() OVER (ORDER BY …)`` runs in one task.  Instead:
 
 1. range-partition on the order and sort within partitions (one shuffle),
-2. cut lineage with a reliable checkpoint so partition contents are fixed
-   even if an executor is lost and a task re-runs,
+2. stamp each row with ``monotonically_increasing_id`` (partition index in
+   the upper bits, row index in the lower 33 bits) and write the rows as a
+   parquet stage table in the shared checkpoint folder: the stamp is then
+   fixed even if an executor is lost and a task re-runs, and later passes
+   read only the columns they need,
 3. count rows (or sum weights) per partition — a table with one row per
    partition, whose size is bounded by the partition count,
-4. broadcast those offsets and add the position inside the partition, taken
-   from ``monotonically_increasing_id`` (partition index in the upper bits,
-   row index in the lower 33 bits).
+4. broadcast those offsets and add the position inside the partition.
 
 The caller passes a total order; rows equal on every order column are
 interchangeable, so their relative numbering does not change the result.
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import materialize
 
 _ROW_BITS = 33
 
@@ -42,7 +43,7 @@ def _ordered(df: DataFrame, order: Sequence[str | Column], num_partitions: int |
     ordered = (df.repartitionByRange(_partitions(df, num_partitions), *cols)
                  .sortWithinPartitions(*cols)
                  .withColumn("_mid", F.monotonically_increasing_id()))
-    ordered = cut_lineage(ordered)
+    ordered = materialize(ordered, "seq")
     return (ordered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS).cast("int"))
                    .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1)))
 

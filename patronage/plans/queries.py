@@ -78,8 +78,10 @@ from ..operators import transform as TR  # noqa: E402
 
 
 def transformed_frames(spark, sf_dir):
+    from ..session import materialize
     src = SRC.fixture_sources(spark, sf_dir)
-    cleaned = {k: C.clean_source(df, spec) for k, (spec, df) in src.items()}
+    # cleaned sources are stage tables (read by the offsets and by the merge)
+    cleaned = {k: materialize(C.clean_source(df, spec), f"clean-{k}") for k, (spec, df) in src.items()}
     return TR.transform_all(cleaned.get("Kaggle"), cleaned.get("UCI"), cleaned.get("ORD"))
 
 
