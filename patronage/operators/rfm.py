@@ -114,7 +114,7 @@ def category_shares_long(df: DataFrame, customer: str = "customer_id",
 
 def rfm_full(df: DataFrame, categories: Sequence[str], customer: str = "customer_id",
              date: str = "date", txn: str = "transaction_id", amount: str = "total_amount",
-             prefix: str = "Pct_") -> DataFrame:
+             category: str = "category", prefix: str = "Pct_") -> DataFrame:
     """RFM + category shares (wide) + demographics in ONE grouped pass.
 
     Category spend is a conditional sum per known category, so no pivot job,

@@ -122,14 +122,14 @@ SELECT * FROM rt UNION ALL SELECT * FROM ot UNION ALL SELECT * FROM dt
 """
 
 
-def merged_sql(countries) -> str:
+def merged_sql(countries, keep_source: bool = False) -> str:
     ctry = pick("country:", "customer_id", countries)
     return f"""
 WITH u AS ({TRANSFORMED_SQL}),
 n AS (SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(date AS DATE) AS date,
              split_part(coalesce(CAST(customer_id AS VARCHAR), '0'), '.', 1) AS customer_id,
              gender, age, country, category, quantity, unit_price,
-             CASE source WHEN 'Kaggle' THEN 0 WHEN 'UCI' THEN 1 WHEN 'ORD' THEN 2 ELSE 3 END AS r FROM u),
+             CASE source WHEN 'Kaggle' THEN 0 WHEN 'UCI' THEN 1 WHEN 'ORD' THEN 2 ELSE 3 END AS r, source FROM u),
 p AS (SELECT customer_id,
              arg_min(gender, (r, transaction_id, date)) FILTER (WHERE gender IS NOT NULL) AS g,
              arg_min(age, (r, transaction_id, date)) FILTER (WHERE age IS NOT NULL) AS a,
@@ -143,6 +143,7 @@ SELECT n.transaction_id, n.date, n.customer_id, CAST(round(pf.age) AS INT) AS ag
        n.category, CAST(coalesce(n.quantity, 0) AS INT) AS quantity,
        CAST(coalesce(n.unit_price, 0) AS DECIMAL(10,2)) AS unit_price,
        CAST(CAST(coalesce(n.quantity, 0) AS INT) * CAST(coalesce(n.unit_price, 0) AS DECIMAL(10,2)) AS DECIMAL(15,2)) AS total_amount
+       {", n.source" if keep_source else ""}
 FROM n LEFT JOIN pf ON n.customer_id = pf.customer_id
 """
 

@@ -422,3 +422,485 @@ def m03_fit(spark, sf_dir):
     model = FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS),
                                 outputCols=["R_scaled", "F_scaled", "M_scaled"]).fit(base)
     return model.transform(base).select("customer_id", "R_scaled", "F_scaled", "M_scaled")
+
+
+# --- Reports: A05-A35, J10-J16, T01-T05, W01, W09, M09, M29, S06, S12, S15, S16,
+#     P30-P37, U04 -------------------------------------------------------------
+from ..functions.exprs import SEGMENT_FALLBACK, SEGMENT_RULES  # noqa: E402
+from ..operators import reports as RP  # noqa: E402
+
+SEGMENTS = tuple(r[0] for r in SEGMENT_RULES) + (SEGMENT_FALLBACK,)
+TIER_RULE = (10, 700_000.0)  # Frequency >= 10 and Monetary >= 700,000 -> 'Diamond'
+KNOWN_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+def tier_of(freq="Frequency", money="Monetary"):
+    return F.when((F.col(freq) >= TIER_RULE[0]) & (F.col(money) >= TIER_RULE[1]), F.lit("Diamond")) \
+            .otherwise(F.lit("Standard"))
+
+
+def labeled(spark, sf_dir):
+    """Registered customers with quintile scores, code, Segment and rule Tier."""
+    out = R.segment_scores(R.score_columns(rfm_customers(spark, sf_dir), q=5))
+    return out.withColumn("Tier", tier_of())
+
+
+def transactions(spark, sf_dir):
+    return R.realign_years(R.positive_sales(X.sales(spark, sf_dir)))
+
+
+def labeled_transactions(spark, sf_dir):
+    """Transactions with their customer's labels (left join)."""
+    lab = labeled(spark, sf_dir).select("customer_id", "Segment", "Tier")
+    return transactions(spark, sf_dir).join(lab, "customer_id", "left")
+
+
+def _q(probs):
+    return "[" + ", ".join(str(p) for p in probs) + "]"
+
+
+LAB_PARTS = {
+    "p": SHIFTED_SALES,
+    "rf": """SELECT customer_id, CAST((SELECT max(date) FROM p) + 1 - max(date) AS BIGINT) AS Recency,
+             CAST(count(DISTINCT transaction_id) AS BIGINT) AS Frequency,
+             CAST(sum(total_amount) AS DOUBLE) AS Monetary FROM p GROUP BY customer_id""",
+    "qq": f"""SELECT quantile_cont(CAST(Recency AS DOUBLE), {_q([.2, .4, .6, .8])}) AS qr,
+              quantile_cont(CAST(Frequency AS DOUBLE), {_q([.2, .4, .6, .8])}) AS qf,
+              quantile_cont(Monetary, {_q([.2, .4, .6, .8])}) AS qm FROM rf""",
+    "sc": f"""SELECT rf.*, CAST({_edge_sql('Recency', 'qr', 5, True)} AS INT) AS R_Score,
+              CAST({_edge_sql('Frequency', 'qf', 5, False)} AS INT) AS F_Score,
+              CAST({_edge_sql('Monetary', 'qm', 5, False)} AS INT) AS M_Score FROM rf, qq""",
+    "lab": f"""SELECT customer_id, Recency, Frequency, Monetary, R_Score, F_Score, M_Score,
+               CAST(R_Score AS VARCHAR) || CAST(F_Score AS VARCHAR) || CAST(M_Score AS VARCHAR) AS RFM_Score,
+               {_segment_sql()} AS Segment,
+               CASE WHEN Frequency >= {TIER_RULE[0]} AND Monetary >= {TIER_RULE[1]} THEN 'Diamond'
+                    ELSE 'Standard' END AS Tier FROM sc""",
+    "tr": "SELECT p.*, lab.Segment, lab.Tier FROM p LEFT JOIN lab USING (customer_id)",
+}
+
+
+def lab_sql(body: str, **extra: str) -> str:
+    return ctes(body, **LAB_PARTS, **extra)
+
+
+def _fixed_pivot_sql(col: str, values, agg="count") -> str:
+    if agg == "count":
+        return ", ".join(f'CAST(count(*) FILTER (WHERE {col} = \'{v}\') AS BIGINT) AS "{v}"' for v in values)
+    return ", ".join(f'round(count(*) FILTER (WHERE {col} = \'{v}\') * 100.0 / count(*), 4) AS "{v}"'
+                     for v in values)
+
+
+@query("a05_distinct_customers", ctes("""
+SELECT CAST(count(DISTINCT customer_id) AS BIGINT) AS customers, CAST(count(*) AS BIGINT) AS lines FROM s
+""", s=SALES))
+def a05(spark, sf_dir):
+    return X.sales(spark, sf_dir).agg(F.countDistinct("customer_id").cast("bigint").alias("customers"),
+                                      F.count(F.lit(1)).cast("bigint").alias("lines"))
+
+
+@query("a06_segment_means", lab_sql("""
+SELECT Segment, round(avg(Recency), 2) AS Recency, round(avg(Frequency), 2) AS Frequency,
+       round(avg(Monetary), 2) AS Monetary FROM lab GROUP BY Segment"""))
+def a06(spark, sf_dir):
+    return RP.group_means(labeled(spark, sf_dir), "Segment", ["Recency", "Frequency", "Monetary"])
+
+
+@query("a07_month_segment_counts", lab_sql(f"""
+SELECT strftime(date, '%Y-%m') AS month, {_fixed_pivot_sql('Segment', SEGMENTS)} FROM tr GROUP BY 1"""))
+def a07(spark, sf_dir):
+    t = labeled_transactions(spark, sf_dir).withColumn("month", F.date_format("date", "yyyy-MM"))  # P40
+    return RP.pivot_counts(t, "month", "Segment", SEGMENTS)
+
+
+@query("a08_category_segment_pct", lab_sql(f"""
+SELECT category, {_fixed_pivot_sql('Segment', SEGMENTS, 'pct')} FROM tr GROUP BY category"""))
+def a08(spark, sf_dir):
+    return RP.row_normalised(labeled_transactions(spark, sf_dir), "category", "Segment", SEGMENTS)
+
+
+@query("a09_segment_counts", lab_sql("SELECT Segment, CAST(count(*) AS BIGINT) AS count FROM lab GROUP BY Segment"))
+def a09(spark, sf_dir):
+    return RP.value_counts(labeled(spark, sf_dir), "Segment")
+
+
+@query("t05_sorted_transaction_counts", lab_sql("""
+SELECT Segment, CAST(count(*) AS BIGINT) AS count FROM tr GROUP BY Segment ORDER BY Segment"""))
+def t05(spark, sf_dir):
+    return RP.value_counts(labeled_transactions(spark, sf_dir), "Segment").orderBy("Segment")
+
+
+@query("a10_segment_share", lab_sql("""
+SELECT Segment, count, round(count * 100.0 / (SELECT count(*) FROM lab), 4) AS percent,
+       Segment = (SELECT arg_min(Segment, (-count, Segment)) FROM c) AS is_top FROM c
+""", c="SELECT Segment, CAST(count(*) AS BIGINT) AS count FROM lab GROUP BY Segment"))
+def a10(spark, sf_dir):
+    return RP.shares(labeled(spark, sf_dir), "Segment")
+
+
+@query("a11_modal_segment_per_tier", lab_sql("""
+SELECT Tier, arg_min(Segment, (-n, Segment)) AS modal_Segment
+FROM (SELECT Tier, Segment, count(*) AS n FROM lab GROUP BY Tier, Segment) x GROUP BY Tier"""))
+def a11(spark, sf_dir):
+    return RP.mode_per_group(labeled(spark, sf_dir), "Tier", "Segment")
+
+
+TOP3_SQL = "SELECT category, CAST(count(*) AS BIGINT) AS count FROM tr GROUP BY category ORDER BY count DESC, category LIMIT 3"
+
+
+@query("t02_top3_categories", lab_sql("SELECT * FROM top3", top3=TOP3_SQL))
+def t02(spark, sf_dir):
+    return RP.top_k(labeled_transactions(spark, sf_dir), "category", 3)
+
+
+@query("a12_top3_category_segment", lab_sql("""
+SELECT category, Segment, CAST(count(*) AS BIGINT) AS count FROM tr
+WHERE category IN (SELECT category FROM top3) GROUP BY category, Segment""", top3=TOP3_SQL))
+def a12(spark, sf_dir):
+    t = RP.in_top_k(labeled_transactions(spark, sf_dir), "category", 3)  # J16
+    return t.groupBy("category", "Segment").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
+
+
+@query("a13_category_segment_matrix", lab_sql(f"""
+SELECT category, {_fixed_pivot_sql('Segment', SEGMENTS)} FROM tr GROUP BY category"""))
+def a13(spark, sf_dir):
+    return RP.pivot_counts(labeled_transactions(spark, sf_dir), "category", "Segment", SEGMENTS)
+
+
+LIFESPAN_SQL = "SELECT customer_id, CAST(max(date) - min(date) AS BIGINT) AS lifespan_days FROM p GROUP BY customer_id"
+
+
+@query("a14_customer_lifespan", lab_sql("SELECT * FROM ls", ls=LIFESPAN_SQL))
+def a14(spark, sf_dir):
+    return RP.lifespan(transactions(spark, sf_dir))
+
+
+@query("a15_boxplot_lifespan", lab_sql("""
+SELECT Segment, q1, median, q3,
+       min(lifespan_days) FILTER (WHERE lifespan_days >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
+       max(lifespan_days) FILTER (WHERE lifespan_days <= q3 + 1.5 * (q3 - q1)) AS whisker_high,
+       CAST(count(*) FILTER (WHERE lifespan_days < q1 - 1.5 * (q3 - q1) OR lifespan_days > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers
+FROM lsl JOIN (SELECT Segment, quantile_cont(CAST(lifespan_days AS DOUBLE), 0.25) AS q1,
+                      quantile_cont(CAST(lifespan_days AS DOUBLE), 0.5) AS median,
+                      quantile_cont(CAST(lifespan_days AS DOUBLE), 0.75) AS q3 FROM lsl GROUP BY Segment) q USING (Segment)
+GROUP BY Segment, q1, median, q3""", ls=LIFESPAN_SQL,
+    lsl="SELECT ls.customer_id, CAST(ls.lifespan_days AS DOUBLE) AS lifespan_days, lab.Segment FROM ls JOIN lab USING (customer_id)"))
+def a15(spark, sf_dir):
+    ls = RP.lifespan(transactions(spark, sf_dir)).join(labeled(spark, sf_dir).select("customer_id", "Segment"),
+                                                      "customer_id")
+    return RP.box_stats(ls.withColumn("lifespan_days", F.col("lifespan_days").cast("double")), "Segment",
+                        "lifespan_days")
+
+
+def _qt_sql(cols, probs):
+    names = [f"p{int(round(p * 100)):02d}" for p in probs]
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column, " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {p}) AS {n}"
+                                                for p, n in zip(probs, names)) + " FROM rf" for c in cols)
+
+
+RFM3 = ("Recency", "Frequency", "Monetary")
+
+
+@query("a16_quantiles_5_95", lab_sql(_qt_sql(RFM3, (0.05, 0.95))))
+def a16(spark, sf_dir):
+    return RP.quantiles_table(rfm_customers(spark, sf_dir), RFM3, (0.05, 0.95))
+
+
+@query("a17_medians", lab_sql(_qt_sql(RFM3, (0.5,))))
+def a17(spark, sf_dir):
+    return RP.quantiles_table(rfm_customers(spark, sf_dir), RFM3, (0.5,))
+
+
+@query("a18_describe", lab_sql(" UNION ALL ".join(f"""
+SELECT '{c}' AS column, CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
+       quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50,
+       quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM rf""" for c in RFM3)))
+def a18(spark, sf_dir):
+    return _round(RP.describe(rfm_customers(spark, sf_dir), RFM3), ["mean", "std"])
+
+
+@query("a19_rfm_mean_std", lab_sql("SELECT " + ", ".join(
+    f"round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std" for c in RFM3) + " FROM rf"))
+def a19(spark, sf_dir):
+    rf = rfm_customers(spark, sf_dir)
+    return rf.agg(*[x for c in RFM3 for x in (F.round(F.avg(c), 6).alias(f"{c}_mean"),
+                                              F.round(F.stddev_samp(c), 6).alias(f"{c}_std"))])
+
+
+ONLINE_NORM_SQL = f"""
+SELECT {O.nul('InvoiceNo')} AS transaction_id, {O.nul('StockCode')} AS sku_code,
+       {O.nul('Description')} AS product_name, {O.nul('Quantity')} AS quantity,
+       {O.nul('InvoiceDate')} AS date, {O.nul('UnitPrice')} AS unit_price,
+       {O.nul('CustomerID')} AS customer_id, {O.nul('Country')} AS country
+FROM ({X.RAW_ONLINE_SQL}) r
+"""
+ONLINE_COLS = ("transaction_id", "sku_code", "product_name", "quantity", "date", "unit_price", "customer_id", "country")
+
+
+@query("a20_missing_values", ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing FROM o "
+    f"HAVING count(*) FILTER (WHERE {c} IS NULL) > 0" for c in ONLINE_COLS)
+    + " UNION ALL SELECT 'TOTAL', CAST(" + " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ONLINE_COLS)
+    + " AS BIGINT) FROM o", o=ONLINE_NORM_SQL))
+def a20(spark, sf_dir):
+    return RP.missing_values(p02(spark, sf_dir))
+
+
+@query("a21_completeness", ctes(
+    f"SELECT CAST(count(*) AS BIGINT) AS rows, CAST({len(ONLINE_COLS)} AS BIGINT) AS columns, round(("
+    f"count(*) * {len(ONLINE_COLS)} - (" + " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ONLINE_COLS)
+    + f")) * 100.0 / (count(*) * {len(ONLINE_COLS)}), 4) AS completeness_pct FROM o", o=ONLINE_NORM_SQL))
+def a21(spark, sf_dir):
+    return RP.completeness(p02(spark, sf_dir))
+
+
+@query("a22_duplicate_rows", ctes("""
+SELECT CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM r) d) AS BIGINT) AS duplicates FROM r
+""", r=X.RAW_RETAIL_SQL))
+def a22(spark, sf_dir):
+    return RP.duplicate_rows(C.standardize_columns(X.raw_retail(spark, sf_dir)))
+
+
+@query("a23_column_types")
+def a23(spark, sf_dir):
+    return RP.column_types(merged_sales(spark, sf_dir))
+
+
+@query("a24_histogram_monetary", lab_sql("""
+SELECT b.bin, round(lo + b.bin * w, 6) AS lower, round(lo + (b.bin + 1) * w, 6) AS upper,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (SELECT unnest(range(0, 20)) AS bin) b
+LEFT JOIN (SELECT CAST(least(greatest(ceil((Monetary - lo) / w) - 1, 0), 19) AS INT) AS bin, count(*) AS n
+           FROM rf, mm GROUP BY 1) c ON b.bin = c.bin, mm
+""", mm="SELECT min(Monetary) AS lo, (max(Monetary) - min(Monetary)) / 20 AS w FROM rf"))
+def a24(spark, sf_dir):
+    return RP.histogram(rfm_customers(spark, sf_dir), "Monetary", 20)
+
+
+@query("a25_skewness", lab_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, round(skewness(CAST({c} AS DOUBLE)), 6) AS skewness FROM rf" for c in RFM3)))
+def a25(spark, sf_dir):
+    return RP.skewness_table(rfm_customers(spark, sf_dir), RFM3)
+
+
+@query("a26_correlation", lab_sql(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM rf"
+    for i, a in enumerate(RFM3) for b in RFM3[i:])))
+def a26(spark, sf_dir):
+    return RP.correlations(rfm_customers(spark, sf_dir), RFM3)
+
+
+@query("a27_date_range", ctes("SELECT max(date) AS max_date, min(date) AS min_date FROM s", s=SALES))
+def a27(spark, sf_dir):
+    return X.sales(spark, sf_dir).agg(F.max("date").alias("max_date"), F.min("date").alias("min_date"))
+
+
+@query("a28_high_value_share", lab_sql("""
+SELECT round(avg(CAST(regexp_matches(Tier, '(?i)diamond|vip') AS DOUBLE)) * 100.0, 4) AS high_value_pct FROM lab"""))
+def a28(spark, sf_dir):
+    return RP.high_value_share(labeled(spark, sf_dir), "Tier")
+
+
+@query("a29_rows_removed", ctes("""
+SELECT CAST((SELECT count(*) FROM rf) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after,
+       CAST((SELECT count(*) FROM rf) - count(*) AS BIGINT) AS rows_removed FROM o3""",
+    rf=f"({RFM_SQL})", o1=_outlier_sql("rf", "Recency", 0.05, 0.95, 1.5),
+    o2=_outlier_sql("o1", "Frequency", 0.05, 0.95, 1.5), o3=_outlier_sql("o2", "Monetary", 0.05, 0.95, 1.5)))
+def a29(spark, sf_dir):
+    rf = rfm_customers(spark, sf_dir)
+    before = rf.select(F.count(F.lit(1))).scalar()
+    kept = FE.remove_outliers(rf)
+    return kept.agg(F.count(F.lit(1)).alias("_after")).select(
+        before.cast("bigint").alias("rows_before"), F.col("_after").cast("bigint").alias("rows_after"),
+        (before - F.col("_after")).cast("bigint").alias("rows_removed"))
+
+
+@query("a30_revenue_concentration", lab_sql(" UNION ALL ".join(f"""
+SELECT CAST({p} AS DOUBLE) AS top_pct, CAST(ceil(n * {p} / 100.0) AS BIGINT) AS customers,
+       round(coalesce(sum(Monetary) FILTER (WHERE rk <= ceil(n * {p} / 100.0)), 0) / sum(Monetary), 6) AS revenue_share
+FROM rk, (SELECT count(*) AS n FROM rf) c GROUP BY n""" for p in (1.0, 5.0, 10.0, 20.0)),
+    rk="SELECT Monetary, row_number() OVER (ORDER BY Monetary DESC, customer_id) AS rk FROM rf"))
+def a30(spark, sf_dir):
+    return RP.revenue_concentration(rfm_customers(spark, sf_dir))
+
+
+@query("a31_monthly_kpis", lab_sql("""
+SELECT month, transactions, customers,
+       CAST(transactions - lag(transactions) OVER (ORDER BY month) AS BIGINT) AS transactions_change,
+       CAST(customers - lag(customers) OVER (ORDER BY month) AS BIGINT) AS customers_change
+FROM (SELECT strftime(date, '%Y-%m') AS month, CAST(count(DISTINCT transaction_id) AS BIGINT) AS transactions,
+             CAST(count(DISTINCT customer_id) AS BIGINT) AS customers FROM p GROUP BY 1) m"""))
+def a31(spark, sf_dir):
+    return RP.monthly_kpis(transactions(spark, sf_dir))
+
+
+@query("a32_source_comparison", ctes("""
+SELECT source, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers,
+       CAST(sum(total_amount) AS DECIMAL(18,2)) AS amount FROM m GROUP BY source""",
+    m=O.merged_sql(MG.DEFAULT_COUNTRIES, keep_source=True)))
+def a32(spark, sf_dir):
+    return RP.source_comparison(MG.merge_sources(transformed_frames(spark, sf_dir), keep_source=True))
+
+
+PROFILE_SQL = """SELECT Segment, CAST(count(*) AS BIGINT) AS customers, round(avg(Recency), 2) AS Recency,
+       round(avg(Frequency), 2) AS Frequency, round(avg(Monetary), 2) AS Monetary,
+       round(sum(Monetary) / (SELECT sum(Monetary) FROM lab), 6) AS revenue_share FROM lab GROUP BY Segment"""
+
+
+@query("a33_segment_profile", lab_sql(PROFILE_SQL))
+def a33(spark, sf_dir):
+    return RP.segment_profile(labeled(spark, sf_dir))
+
+
+@query("a34_rfm_code_distribution", lab_sql(
+    "SELECT RFM_Score, CAST(count(*) AS BIGINT) AS count FROM lab GROUP BY RFM_Score ORDER BY RFM_Score"))
+def a34(spark, sf_dir):
+    return RP.value_counts(labeled(spark, sf_dir), "RFM_Score").orderBy("RFM_Score")
+
+
+@query("a35_segment_profile_long", lab_sql("""
+UNPIVOT (SELECT Segment, CAST(customers AS DOUBLE) AS customers, Recency, Frequency, Monetary, revenue_share FROM prof)
+ON customers, Recency, Frequency, Monetary, revenue_share INTO NAME metric VALUE value""", prof=PROFILE_SQL))
+def a35(spark, sf_dir):
+    prof = RP.segment_profile(labeled(spark, sf_dir))
+    prof = prof.select("Segment", *[F.col(c).cast("double").alias(c) for c in prof.columns if c != "Segment"])
+    return RP.to_long(prof, ["Segment"])
+
+
+@query("j10_transactions_labels", lab_sql("""
+SELECT customer_id, transaction_id, category, date AS transaction_date, Segment, Tier FROM tr"""))
+def j10(spark, sf_dir):
+    return labeled_transactions(spark, sf_dir).select("customer_id", "transaction_id", "category",
+                                                      F.col("date").alias("transaction_date"), "Segment", "Tier")
+
+
+@query("j11_id_enrichment", lab_sql("""
+SELECT s.* FROM ({sales}) s JOIN (SELECT customer_id AS customerid FROM lab WHERE Segment = 'Champions') ids
+ON s.customer_id = ids.customerid""".replace("{sales}", SALES)))
+def j11(spark, sf_dir):
+    ids = labeled(spark, sf_dir).where(F.col("Segment") == "Champions").select(F.col("customer_id").alias("customerid"))
+    return RP.enrich_ids(ids, X.sales(spark, sf_dir))
+
+
+@query("m09_tier_naming", lab_sql("""
+SELECT Segment AS Cluster, Recency, Frequency, Monetary, Score,
+       CASE WHEN pos <= 3 THEN ['Diamond', 'Platinum', 'Gold'][pos] ELSE 'Tier ' || CAST(pos AS VARCHAR) END AS Segment
+FROM (SELECT *, row_number() OVER (ORDER BY Score DESC, Segment) AS pos
+      FROM (SELECT *, (rank() OVER (ORDER BY Recency DESC) + (count(*) OVER (PARTITION BY Recency) - 1) / 2.0)
+                    + (rank() OVER (ORDER BY Frequency) + (count(*) OVER (PARTITION BY Frequency) - 1) / 2.0)
+                    + (rank() OVER (ORDER BY Monetary) + (count(*) OVER (PARTITION BY Monetary) - 1) / 2.0) AS Score
+            FROM (SELECT Segment, avg(Recency) AS Recency, avg(Frequency) AS Frequency, avg(Monetary) AS Monetary
+                  FROM lab GROUP BY Segment) m) s) t"""))
+def m09(spark, sf_dir):
+    """M09 + W01 + T04 on rule-based clusters (the segments)."""
+    means = labeled(spark, sf_dir).groupBy(F.col("Segment").alias("Cluster")).agg(
+        F.avg("Recency").alias("Recency"), F.avg("Frequency").alias("Frequency"), F.avg("Monetary").alias("Monetary"))
+    out = RP.tier_names(means, "Cluster", ("Diamond", "Platinum", "Gold"))
+    return _round(out, ["Recency", "Frequency", "Monetary"])
+
+
+@query("w09_top_segment", lab_sql("""
+SELECT arg_min(Segment, (-customers, Segment)) AS Segment, max(customers) AS customers FROM prof""",
+    prof=PROFILE_SQL))
+def w09(spark, sf_dir):
+    return RP.argmax_row(RP.segment_profile(labeled(spark, sf_dir)), "Segment", "customers")
+
+
+@query("m29_segment_scatter", lab_sql("""
+SELECT customer_id, Recency, Frequency, round(Monetary, 6) AS Monetary, Segment FROM lab"""))
+def m29(spark, sf_dir):
+    return _round(labeled(spark, sf_dir).select("customer_id", "Recency", "Frequency", "Monetary", "Segment"),
+                  ["Monetary"])
+
+
+@query("s06_guest_lines", ctes("SELECT * FROM s WHERE customer_id = '0'", s=SALES))
+def s06(spark, sf_dir):
+    """Filtered scan of the master table for guest (id 0) lines."""
+    return RP.filter_ids(X.sales(spark, sf_dir), ["0"])
+
+
+@query("s12_segment_id_export", lab_sql("""
+SELECT customer_id, CASE WHEN customer_id = '0' THEN 'Guest' ELSE Tier END AS segment_group FROM lab"""))
+def s12(spark, sf_dir):
+    return RP.segment_groups(labeled(spark, sf_dir), "Tier")
+
+
+@query("s15_preview", ctes(f"SELECT * FROM s ORDER BY {O.FACT_ORDER_SQL}, age, gender, country LIMIT 10",
+                           s=SALES))
+def s15(spark, sf_dir):
+    order = ["transaction_id", "date", "customer_id", "category", "quantity", "unit_price", "total_amount",
+             "age", "gender", "country"]
+    return RP.preview(X.sales(spark, sf_dir), 10, order)
+
+
+@query("s16_source_profile", ctes("""
+SELECT 'Kaggle' AS source, CAST(count(*) AS BIGINT) AS rows, CAST(9 AS BIGINT) AS columns FROM r
+UNION ALL SELECT 'UCI', CAST(count(*) AS BIGINT), CAST(8 AS BIGINT) FROM o
+UNION ALL SELECT 'ORD', CAST(count(*) AS BIGINT), CAST(8 AS BIGINT) FROM d""",
+    r=X.RAW_RETAIL_SQL, o=X.RAW_ONLINE_SQL, d=X.RAW_ORDERS_SQL))
+def s16(spark, sf_dir):
+    src = SRC.fixture_sources(spark, sf_dir)
+    return RP.source_profile({k: df for k, (_spec, df) in src.items()})
+
+
+@query("p30_guest_split", lab_sql("""
+SELECT customer_id = '0' AS is_guest, CAST(count(*) AS BIGINT) AS customers FROM lab GROUP BY 1"""))
+def p30(spark, sf_dir):
+    return RP.value_counts(labeled(spark, sf_dir).withColumn("is_guest", F.col("customer_id") == "0"),
+                           "is_guest", name="customers")
+
+
+@query("p32_value_filters", ctes("""
+SELECT * FROM s WHERE category IN ('SMALL', 'PROMO') AND gender IN ('Female')""", s=SALES))
+def p32(spark, sf_dir):
+    return RP.filter_values(X.sales(spark, sf_dir), {"category": ["SMALL", "PROMO"], "gender": ["Female"]})
+
+
+@query("p34_coerce_reject", ctes("""
+SELECT CAST(count(*) FILTER (WHERE d IS NOT NULL AND q IS NOT NULL AND u IS NOT NULL) AS BIGINT) AS valid_rows,
+       CAST(count(*) FILTER (WHERE d IS NULL) AS BIGINT) AS bad_dates,
+       CAST(count(*) FILTER (WHERE q IS NULL OR u IS NULL) AS BIGINT) AS bad_amounts,
+       CAST(count(*) FILTER (WHERE d IS NULL OR q IS NULL OR u IS NULL) AS BIGINT) AS rejected_rows
+FROM (SELECT try_strptime(date, '%Y-%m-%d') AS d, TRY_CAST(quantity AS DOUBLE) AS q,
+             TRY_CAST(unit_price AS DOUBLE) AS u FROM r) x""", r=X.RAW_RETAIL_SQL))
+def p34(spark, sf_dir):
+    raw = C.standardize_columns(X.raw_retail(spark, sf_dir))
+    return RP.coerce_report(raw, "date", "yyyy-MM-dd", ["quantity", "unit_price"])
+
+
+@query("p37_validation_rules", ctes("""
+SELECT CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE date < DATE '1990-01-01' OR date > DATE '2030-12-31') AS BIGINT) AS date_out_of_range,
+       CAST(count(*) FILTER (WHERE total_amount < 0) AS BIGINT) AS negative_amount,
+       CAST(count(*) FILTER (WHERE transaction_id IS NULL OR customer_id IS NULL OR date IS NULL) AS BIGINT) AS missing_required,
+       CAST(count(*) FILTER (WHERE quantity < 0) AS BIGINT) AS returns
+FROM s""", s=SALES))
+def p37(spark, sf_dir):
+    return RP.validation_rules(X.sales(spark, sf_dir), "1990-01-01", "2030-12-31")
+
+
+@query("u04_cross_source_dedup", ctes("""
+SELECT customer_id, date, category, quantity, unit_price,
+       arg_min(transaction_id, (r, transaction_id)) AS transaction_id, arg_min(source, (r, transaction_id)) AS source
+FROM (SELECT *, CASE source WHEN 'Kaggle' THEN 0 WHEN 'UCI' THEN 1 WHEN 'ORD' THEN 2 ELSE 3 END AS r FROM m) x
+GROUP BY customer_id, date, category, quantity, unit_price""", m=O.merged_sql(MG.DEFAULT_COUNTRIES, keep_source=True)))
+def u04(spark, sf_dir):
+    m = MG.merge_sources(transformed_frames(spark, sf_dir), keep_source=True)
+    return RP.dedup_across_sources(m, ["customer_id", "date", "category", "quantity", "unit_price"],
+                                   ["transaction_id", "source"], MG.SOURCE_RANK)
+
+
+@query("a03_rfm_full_wide", ctes(f"""
+SELECT customer_id, CAST((SELECT max(date) FROM p) + 1 - max(date) AS BIGINT) AS Recency,
+       CAST(count(DISTINCT transaction_id) AS BIGINT) AS Frequency,
+       round(CAST(sum(total_amount) AS DOUBLE), 6) AS Monetary,
+       {", ".join(f"round(coalesce(sum(total_amount) FILTER (WHERE category = '{c}') / sum(total_amount), 0), 6) AS Pct_{c}" for c in KNOWN_CATEGORIES)},
+       CAST(arg_min(age, (transaction_id, date)) AS DOUBLE) AS age,
+       CAST(CASE arg_min(gender, (transaction_id, date)) WHEN 'Male' THEN 1 WHEN 'Female' THEN 0 ELSE -1 END AS INT) AS gender
+FROM p GROUP BY customer_id""", p=SHIFTED_SALES))
+def a03_full(spark, sf_dir):
+    """A03 + A04 + J12 + P31: RFM, category shares and demographics in one groupBy."""
+    out = R.rfm_full(transactions(spark, sf_dir), KNOWN_CATEGORIES)
+    return _round(out, ["Monetary"] + [f"Pct_{c}" for c in KNOWN_CATEGORIES])
