@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -74,7 +75,7 @@ def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str
     """
     ordered = _ordered(df, order, num_partitions)
     offsets = _offsets(ordered, F.col(weight).cast("bigint"))
-    schema = ordered.schema.add(f"_{name}_local", "bigint")
+    schema = T.StructType(ordered.schema.fields + [T.StructField(f"_{name}_local", T.LongType())])
     col_local = f"_{name}_local"
 
     def prefix(batches):

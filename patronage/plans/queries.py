@@ -904,3 +904,239 @@ def a03_full(spark, sf_dir):
     """A03 + A04 + J12 + P31: RFM, category shares and demographics in one groupBy."""
     out = R.rfm_full(transactions(spark, sf_dir), KNOWN_CATEGORIES)
     return _round(out, ["Monetary"] + [f"Pct_{c}" for c in KNOWN_CATEGORIES])
+
+
+# --- Machine learning: M06-M28, T03 ----------------------------------------------
+from ..operators import classify as CL  # noqa: E402
+from ..operators import cluster as CU  # noqa: E402
+from ..session import materialize, stage_root  # noqa: E402
+
+CLASSES = ("Diamond", "Standard")
+GOOD_SEGMENTS = ("Champions", "Loyal Customers")
+
+
+def rule_prediction():
+    """A fixed rule standing in for a model where predictions must be exact."""
+    return F.when(F.col("Segment").isin(list(GOOD_SEGMENTS)), F.lit("Diamond")).otherwise(F.lit("Standard"))
+
+
+RULE_SQL = ("CASE WHEN Segment IN (" + ", ".join(f"'{s}'" for s in GOOD_SEGMENTS)
+            + ") THEN 'Diamond' ELSE 'Standard' END")
+
+SPLIT_SQL = """SELECT customer_id, Tier,
+       CASE WHEN row_number() OVER (PARTITION BY Tier ORDER BY md5(customer_id))
+                 <= round(count(*) OVER (PARTITION BY Tier) * 0.8) THEN 'train' ELSE 'test' END AS split FROM lab"""
+
+
+@query("m10_label_encoding", lab_sql("""
+SELECT customer_id, Segment, CAST(dense_rank() OVER (ORDER BY Segment) - 1 AS DOUBLE) AS label FROM lab"""))
+def m10(spark, sf_dir):
+    return CL.encode_labels(labeled(spark, sf_dir).select("customer_id", "Segment"))
+
+
+@query("m12_stratified_split", lab_sql(SPLIT_SQL))
+def m12(spark, sf_dir):
+    return CL.stratified_split(labeled(spark, sf_dir).select("customer_id", "Tier"), "Tier")
+
+
+def rule_predictions(spark, sf_dir):
+    lab = labeled(spark, sf_dir)
+    split = CL.stratified_split(lab.select("customer_id", "Tier"), "Tier").select("customer_id", "split")
+    return lab.join(split, "customer_id").withColumn("prediction", rule_prediction())
+
+
+@query("m15_holdout_accuracy", lab_sql(f"""
+SELECT round(avg(CAST(lab.Tier = {RULE_SQL} AS DOUBLE)), 6) AS accuracy
+FROM lab JOIN sp USING (customer_id) WHERE sp.split = 'test'""", sp=SPLIT_SQL))
+def m15(spark, sf_dir):
+    pred = rule_predictions(spark, sf_dir).where(F.col("split") == "test")
+    return _round(CL.accuracy(pred, "Tier", "prediction"), ["accuracy"])
+
+
+def _report_sql(pr: str) -> str:
+    per = f"""SELECT c.cls, CASE WHEN coalesce(pn, 0) > 0 THEN coalesce(tp, 0) * 1.0 / pn ELSE 0 END AS precision,
+               CASE WHEN coalesce(sn, 0) > 0 THEN coalesce(tp, 0) * 1.0 / sn ELSE 0 END AS recall,
+               CAST(coalesce(sn, 0) AS BIGINT) AS support
+        FROM (SELECT y AS cls FROM pr UNION SELECT p FROM pr) c
+        LEFT JOIN (SELECT y AS cls, count(*) AS sn FROM pr GROUP BY y) s USING (cls)
+        LEFT JOIN (SELECT p AS cls, count(*) AS pn FROM pr GROUP BY p) q USING (cls)
+        LEFT JOIN (SELECT y AS cls, count(*) AS tp FROM pr WHERE y = p GROUP BY y) t USING (cls)"""
+    f1 = "CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END"
+    return lab_sql(f"""
+SELECT cls, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+  SELECT cls, precision, recall, {f1} AS f1, support FROM per
+  UNION ALL SELECT 'accuracy', (SELECT avg(CAST(y = p AS DOUBLE)) FROM pr), (SELECT avg(CAST(y = p AS DOUBLE)) FROM pr),
+                   (SELECT avg(CAST(y = p AS DOUBLE)) FROM pr), CAST(sum(support) AS BIGINT) FROM per WHERE support > 0
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg({f1}), CAST(sum(support) AS BIGINT) FROM per WHERE support > 0
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / (SELECT count(*) FROM pr),
+                   sum(recall * support) / (SELECT count(*) FROM pr), sum({f1} * support) / (SELECT count(*) FROM pr),
+                   CAST(sum(support) AS BIGINT) FROM per WHERE support > 0) r""",
+                   sp=SPLIT_SQL, pr=pr, per=per)
+
+
+@query("m16_classification_report", _report_sql(
+    f"SELECT lab.Tier AS y, {RULE_SQL} AS p FROM lab JOIN sp USING (customer_id) WHERE sp.split = 'test'"))
+def m16(spark, sf_dir):
+    pred = rule_predictions(spark, sf_dir).where(F.col("split") == "test")
+    return CL.classification_report(pred, "Tier", "prediction")
+
+
+@query("m18_confusion_matrix", lab_sql(
+    "SELECT Tier AS actual, " + ", ".join(f"CAST(count(*) FILTER (WHERE {RULE_SQL} = '{c}') AS BIGINT) AS pred_{c}"
+                                        for c in CLASSES) + " FROM lab GROUP BY Tier"))
+def m18(spark, sf_dir):
+    return CL.confusion_matrix(rule_predictions(spark, sf_dir), CLASSES, "Tier", "prediction")
+
+
+@query("m25_auc_exact", lab_sql("""
+SELECT round((sum(r) FILTER (WHERE pos) - np * (np + 1) / 2.0) / (np * nn), 6) AS auc
+FROM (SELECT Tier = 'Diamond' AS pos,
+             rank() OVER (ORDER BY Monetary) + (count(*) OVER (PARTITION BY Monetary) - 1) / 2.0 AS r,
+             count(*) FILTER (WHERE Tier = 'Diamond') OVER () AS np,
+             count(*) FILTER (WHERE Tier <> 'Diamond') OVER () AS nn FROM lab) x GROUP BY np, nn"""))
+def m25(spark, sf_dir):
+    lab = labeled(spark, sf_dir).withColumn("_pos", F.col("Tier") == "Diamond")
+    return CL.exact_auc(lab, "Monetary", "_pos")
+
+
+@query("m28_metrics_by_period", lab_sql(f"""
+SELECT month, rows, round(accuracy, 6) AS accuracy, round(accuracy - lag(accuracy) OVER (ORDER BY month), 6) AS change,
+       accuracy < 0.85 OR coalesce(accuracy - lag(accuracy) OVER (ORDER BY month) < -0.02, false) AS retrain
+FROM (SELECT strftime(date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS rows,
+             avg(CAST(Tier = {RULE_SQL} AS DOUBLE)) AS accuracy FROM tr GROUP BY 1) m"""))
+def m28(spark, sf_dir):
+    t = labeled_transactions(spark, sf_dir).withColumn("month", F.date_format("date", "yyyy-MM"))
+    return CL.metrics_by_period(t.withColumn("prediction", rule_prediction()), "month", "Tier", "prediction")
+
+
+# rows-only model fits ---------------------------------------------------------
+def customer_features(spark, sf_dir):
+    """Outlier-free registered customers, staged once for the model fits."""
+    return materialize(FE.remove_outliers(rfm_customers(spark, sf_dir)), "rfm-clean")
+
+
+def training_table(spark, sf_dir):
+    """Labeled customers + encoded label + assembled numeric features."""
+    lab = materialize(labeled(spark, sf_dir), "labeled")
+    feats = CL.numeric_features(lab, exclude=("customer_id", "Cluster", "Segment", "Tier"))
+    enc = CL.encode_labels(lab, "Tier", "label")
+    return CL.assemble_features(enc, feats), feats
+
+
+@query("m06_kmeans_segments")
+def m06(spark, sf_dir):
+    rfm = customer_features(spark, sf_dir)
+    model = CU.fit_segmentation(rfm, k=2)
+    return CU.label_customers(model, rfm).select("customer_id", "Recency", "Frequency", "Monetary", "Cluster",
+                                                 "Segment")
+
+
+@query("m07_k_selection")
+def m07(spark, sf_dir):
+    rfm = customer_features(spark, sf_dir)
+    prep = CU.Pipeline(stages=[FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS), outputCols=list(CU.SCALED)),
+                               CU.VectorAssembler(inputCols=list(CU.SCALED), outputCol="features")]).fit(rfm)
+    return CU.k_selection(materialize(prep.transform(rfm).select("features"), "scaled"))
+
+
+@query("m08_elbow")
+def m08(spark, sf_dir):
+    rfm = customer_features(spark, sf_dir)
+    scaled = FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS), outputCols=list(CU.SCALED)).fit(rfm).transform(rfm)
+    data = materialize(CU.assemble(scaled, CU.SCALED).select(*CU.SCALED, "features"), "scaled")
+    return CU.elbow(data, CU.SCALED)
+
+
+@query("m11_feature_assembly")
+def m11(spark, sf_dir):
+    table, feats = training_table(spark, sf_dir)
+    return table.select("customer_id", "label", "features")
+
+
+def _split_train_test(spark, sf_dir):
+    table, feats = training_table(spark, sf_dir)
+    split = CL.stratified_split(table, "label")
+    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test"), feats, split
+
+
+@query("m13_decision_tree")
+def m13(spark, sf_dir):
+    train, test, feats, _ = _split_train_test(spark, sf_dir)
+    return CL.decision_tree().fit(train).transform(test).select("customer_id", "label", "prediction")
+
+
+@query("m14_random_forest")
+def m14(spark, sf_dir):
+    train, test, feats, _ = _split_train_test(spark, sf_dir)
+    return CL.random_forest().fit(train).transform(test).select("customer_id", "label", "prediction")
+
+
+@query("m17_cross_validation")
+def m17(spark, sf_dir):
+    table, feats = training_table(spark, sf_dir)
+    return CL.cross_validate(CL.decision_tree(), table)
+
+
+@query("m19_feature_importances")
+def m19(spark, sf_dir):
+    train, test, feats, _ = _split_train_test(spark, sf_dir)
+    return CL.feature_importances(spark, CL.random_forest().fit(train), feats)
+
+
+@query("t03_top_importances")
+def t03(spark, sf_dir):
+    return m19(spark, sf_dir).limit(3)
+
+
+@query("m20_pca_projection")
+def m20(spark, sf_dir):
+    table, feats = training_table(spark, sf_dir)
+    return CL.pca_projection(table.select("customer_id", "label", "features")).drop("features")
+
+
+@query("m21_silhouette")
+def m21(spark, sf_dir):
+    rfm = customer_features(spark, sf_dir)
+    model = CU.fit_segmentation(rfm, k=2)
+    sil = CU.silhouette(model.transform(rfm))
+    return rfm.agg(F.count(F.lit(1)).cast("bigint").alias("customers")).select(
+        "customers", F.lit(sil).alias("silhouette_squared_euclidean"))
+
+
+@query("m22_model_comparison")
+def m22(spark, sf_dir):
+    """Depth-5 tree vs forest on one split (both fitted on train)."""
+    train, test, feats, _ = _split_train_test(spark, sf_dir)
+    parts = []
+    for name, est in (("decision_tree", CL.decision_tree(max_depth=5)), ("random_forest", CL.random_forest())):
+        pred = est.fit(train).transform(test)
+        parts.append(CL.classification_report(pred).select(F.lit(name).alias("model"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("m23_score_new_customers")
+def m23(spark, sf_dir):
+    """M23 + S13: fit, save, load, then score guest customers; clusters without
+    a name fall back to 'Cluster n'."""
+    import uuid
+    rfm = customer_features(spark, sf_dir)
+    model = CU.fit_segmentation(rfm, k=2)
+    mapping = CU.tier_mapping(CU.label_customers(model, rfm).select("Cluster", *FE.RFM_COLUMNS))
+    path = f"{stage_root(spark)}/model-{uuid.uuid4().hex}"
+    CU.save_model(model, path)
+    loaded = CU.load_model(path)
+    guests = guest_base(spark, sf_dir).withColumnRenamed("user_id", "customer_id")
+    return CU.label_customers(loaded, guests, mapping).select("customer_id", "Cluster", "Segment")
+
+
+@query("m26_grid_search")
+def m26(spark, sf_dir):
+    table, feats = training_table(spark, sf_dir)
+    return CL.grid_search(CL.decision_tree(), table)
+
+
+@query("m27_batch_prediction_confidence")
+def m27(spark, sf_dir):
+    train, test, feats, _ = _split_train_test(spark, sf_dir)
+    pred = CL.random_forest().fit(train).transform(test)
+    return CL.with_confidence(pred).select("customer_id", "prediction", "confidence")
