@@ -1140,3 +1140,76 @@ def m27(spark, sf_dir):
     train, test, feats, _ = _split_train_test(spark, sf_dir)
     pred = CL.random_forest().fit(train).transform(test)
     return CL.with_confidence(pred).select("customer_id", "prediction", "confidence")
+
+
+# --- Streaming: R02-R05 ---------------------------------------------------------
+from ..streaming import streams as ST  # noqa: E402
+
+def _landed_purchases(spark, sf_dir, copies: int = 1):
+    """Purchases landed as day folders (``copies`` > 1 lands every file again,
+    as a re-delivering source would)."""
+    import uuid
+    path = f"{stage_root(spark)}/landed-purchases-{uuid.uuid4().hex}"
+    src = X._sql(spark, sf_dir, "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'")
+    for _ in range(copies):
+        ST.land_by_day(src, "ts", path)
+    from pyspark.sql import types as T
+    schema = T.StructType(src.schema.fields + [T.StructField("day", T.DateType())])
+    return path, schema
+
+
+STREAM_RFM_SQL = """
+SELECT user_id, CAST(floor((epoch_us((SELECT max(ts) FROM pu)) - epoch_us(max(ts))) / 86400000000.0) AS BIGINT) AS Recency,
+       CAST(count(DISTINCT event_id) AS BIGINT) AS Frequency, round(sum(value), 6) AS Monetary
+FROM pu GROUP BY user_id"""
+
+
+@query("r02_stream_running_rfm", ctes(STREAM_RFM_SQL,
+                                      pu="SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'"))
+def r02(spark, sf_dir):
+    path, schema = _landed_purchases(spark, sf_dir)
+    agg = ST.running_rfm_stream(ST.file_stream(spark, path, schema, max_files=8), "user_id", "ts", "event_id", "value",
+                                delay="40 days")
+    out = ST.run_available(agg, "rfm", mode="update")
+    return _round(ST.read_running_rfm(spark, out, "user_id"), ["Monetary"])
+
+
+@query("r04_stream_dedup", "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'")
+def r04(spark, sf_dir):
+    path, schema = _landed_purchases(spark, sf_dir, copies=2)
+    dedup = ST.dedup_stream(ST.file_stream(spark, path, schema), ["event_id"], "ts", "40 days")
+    out = ST.run_available(dedup.drop("day"), "dedup")
+    return spark.read.parquet(out).drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("r03_stream_segment_windows", ctes("""
+SELECT time_bucket(INTERVAL 1 DAY, pu.ts) AS window_start, time_bucket(INTERVAL 1 DAY, pu.ts) + INTERVAL 1 DAY AS window_end,
+       sc.Segment, CAST(count(*) AS BIGINT) AS count
+FROM pu LEFT JOIN sc USING (user_id) GROUP BY 1, 2, 3""",
+    pu="SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'",
+    sc=scores_sql(5)))
+def r03(spark, sf_dir):
+    path, schema = _landed_purchases(spark, sf_dir)
+    labels = R.segment_scores(R.score_columns(guest_base(spark, sf_dir), q=5)).select("user_id", "Segment")
+    labels = materialize(labels, "guest-labels")
+    counts = ST.windowed_segment_counts(ST.file_stream(spark, path, schema), labels, "user_id", "ts",
+                                        delay="40 days")
+    out = ST.run_available(counts, "windows", mode="update")
+    final = ST.latest_per_key(spark.read.parquet(out), ["window_start", "window_end", "Segment"])
+    return final.withColumn(
+        "window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+@query("r05_stream_scoring")
+def r05(spark, sf_dir):
+    import uuid
+    rfm = customer_features(spark, sf_dir)
+    model = CU.fit_segmentation(rfm, k=2)
+    mapping = materialize(CU.tier_mapping(CU.label_customers(model, rfm).select("Cluster", *FE.RFM_COLUMNS)), "tiers")
+    arriving = guest_base(spark, sf_dir).withColumnRenamed("user_id", "customer_id")
+    path = f"{stage_root(spark)}/arriving-{uuid.uuid4().hex}"
+    arriving.write.parquet(path)
+    stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = ST.run_available(stream, "scoring", batch_fn=ST.score_batches(model, mapping))
+    return spark.read.parquet(out)
