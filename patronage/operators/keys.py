@@ -70,13 +70,15 @@ def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str
                        name: str = "cum", num_partitions: int | None = None) -> DataFrame:
     """Add inclusive running sum of ``weight`` along a global order.
 
-    The in-partition prefix sum is a narrow ``mapInPandas`` pass over the
-    sorted, checkpointed partitions; partition offsets come from step 3.
+    The in-partition prefix sum is a narrow ``mapInPandas`` pass running in
+    the same task as the range partition's sort (so it sees rows in order);
+    its result is stamped and staged like the sequence ids, and partition
+    offsets come from step 3.
     """
-    ordered = _ordered(df, order, num_partitions)
-    offsets = _offsets(ordered, F.col(weight).cast("bigint"))
-    schema = T.StructType(ordered.schema.fields + [T.StructField(f"_{name}_local", T.LongType())])
+    cols = _sorted_cols(order)
     col_local = f"_{name}_local"
+    ranged = df.repartitionByRange(_partitions(df, num_partitions), *cols).sortWithinPartitions(*cols)
+    schema = T.StructType(ranged.schema.fields + [T.StructField(col_local, T.LongType())])
 
     def prefix(batches):
         carry = 0
@@ -87,7 +89,10 @@ def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str
             pdf[col_local] = local
             yield pdf
 
-    local = ordered.mapInPandas(prefix, schema)
+    local = ranged.mapInPandas(prefix, schema).withColumn("_mid", F.monotonically_increasing_id())
+    local = materialize(local, "cum")
+    local = local.withColumn("_pid", F.shiftright("_mid", _ROW_BITS).cast("int"))
+    offsets = _offsets(local, F.col(weight).cast("bigint"))
     return (local.join(F.broadcast(offsets), "_pid")
                  .withColumn(name, (F.col("_off") + F.col(col_local)).cast("bigint"))
-                 .drop("_mid", "_pid", "_pos", "_off", col_local))
+                 .drop("_mid", "_pid", "_off", col_local))
