@@ -55,22 +55,30 @@ def inertia_k1(df: DataFrame, cols: Sequence[str]) -> float:
 
 
 def k_selection(df: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, features: str = "features",
-                seed: int = 42) -> DataFrame:
-    """Silhouette (squared Euclidean, Spark's) and inertia per k, plus best k."""
+                seed: int = 42, max_iter: int = 50, parallelism: int = 16) -> DataFrame:
+    """Silhouette (squared Euclidean, Spark's) and inertia per k, plus best k.
+
+    All (k, seed) fits are independent jobs over one cached frame and are
+    submitted together; the best start per k is kept."""
     spark = df.sparkSession
     data = df.select(features).persist()
     rows = []
     try:
-        for k in ks:
-            model = kmeans_best_of(data, k, n_init=n_init, seed=seed, features=features)
-            pred = model.transform(data)
-            sil = ClusteringEvaluator(featuresCol=features, predictionCol="Cluster",
-                                      distanceMeasure="squaredEuclidean").evaluate(pred)
-            rows.append((int(k), float(sil), float(model.summary.trainingCost)))
+        jobs = [(k, seed + i) for k in ks for i in range(n_init)]
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(lambda ks_: (ks_[0], _fit_one(data, ks_[0], ks_[1], features, max_iter)), jobs))
+        best = {}
+        for k, m in models:
+            if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = m
+        ev = ClusteringEvaluator(featuresCol=features, predictionCol="Cluster", distanceMeasure="squaredEuclidean")
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            sils = dict(pool.map(lambda k: (k, ev.evaluate(best[k].transform(data))), list(best)))
+        rows = [(int(k), float(sils[k]), float(best[k].summary.trainingCost)) for k in sorted(best)]
     finally:
         data.unpersist()
-    best = max(rows, key=lambda r: r[1])[0]
-    return spark.createDataFrame([(k, s, i, k == best) for k, s, i in rows],
+    best_k = max(rows, key=lambda r: r[1])[0]
+    return spark.createDataFrame([(k, s, i, k == best_k) for k, s, i in rows],
                                  "k int, silhouette double, inertia double, is_best boolean")
 
 

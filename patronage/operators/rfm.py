@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import (
     days_between, edge_score, gender_code, rank_ntile, segment_of, shift_old_years,
 )
+from ..session import materialize
 from .keys import with_sequential_id
 from .stats import quantile_edges
 
@@ -59,7 +60,7 @@ def rfm_by_rows(df: DataFrame, customer: str = "customer_id", date: str = "date"
 
 
 def score_columns(df: DataFrame, q: int = 5, reverse_recency: bool = True,
-                  method: str = "edges", order: Sequence[str] = ("customer_id",)) -> DataFrame:
+                  method: str = "edges", order: Sequence[str] = ("customer_id",), stage: bool = True) -> DataFrame:
     """Add R_Score, F_Score, M_Score (1..q).
 
     ``method="edges"``: interpolated quantile edges, right-closed bins (a value
@@ -68,6 +69,8 @@ def score_columns(df: DataFrame, q: int = 5, reverse_recency: bool = True,
     rank at interpolated edges — every label is used even for tied values.
     """
     probs = [i / q for i in range(1, q)]
+    if stage:  # one write; the quantile passes then scan a small stage table
+        df = materialize(df, "rfm-scores-in")
     out = df
     for src, dst in (("Recency", "R_Score"), ("Frequency", "F_Score"), ("Monetary", "M_Score")):
         rev = reverse_recency and src == "Recency"
