@@ -12,7 +12,7 @@ __all__ = [
     "SEGMENT_RULES", "as_col", "null_if_marker", "first_digit_run", "hash_int",
     "hash_pick", "hash_range", "shift_old_years", "segment_of", "edge_score",
     "rank_ntile", "days_between", "id_before_dot", "title_gender", "gender_code",
-    "yeo_johnson", "box_cox",
+    "yeo_johnson", "box_cox", "norm_ppf", "filliben_position",
 ]
 
 # ---------------------------------------------------------------------------
@@ -184,3 +184,43 @@ def box_cox(x: str | Column, lam: float) -> Column:
     if abs(lam) < 1e-12:
         return F.log(x)
     return (F.pow(x, lam) - 1.0) / lam
+
+
+# Fixed coefficients of Acklam's rational approximation to the inverse normal CDF
+# (relative error below 1.2e-9).
+_ACKLAM_A = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+             1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+_ACKLAM_B = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+             6.680131188771972e+01, -1.328068155288572e+01)
+_ACKLAM_C = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+             -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+_ACKLAM_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
+             3.754408661907416e+00)
+_P_LOW = 0.02425
+
+
+def _horner(coefs, x: Column) -> Column:
+    out = F.lit(coefs[0])
+    for c in coefs[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def norm_ppf(p: str | Column) -> Column:
+    """Inverse standard-normal CDF as a column expression (0 < p < 1)."""
+    p = as_col(p).cast("double")
+    q_lo = F.sqrt(-2.0 * F.log(p))
+    lower = _horner(_ACKLAM_C, q_lo) / (_horner(_ACKLAM_D, q_lo) * q_lo + 1.0)
+    q_hi = F.sqrt(-2.0 * F.log(1.0 - p))
+    upper = -_horner(_ACKLAM_C, q_hi) / (_horner(_ACKLAM_D, q_hi) * q_hi + 1.0)
+    q = p - 0.5
+    r = q * q
+    central = _horner(_ACKLAM_A, r) * q / (_horner(_ACKLAM_B, r) * r + 1.0)
+    return F.when(p < _P_LOW, lower).when(p > 1.0 - _P_LOW, upper).otherwise(central)
+
+
+def filliben_position(i: str | Column, n: str | Column) -> Column:
+    """Uniform order-statistic medians (Filliben) for 1-based rank i of n."""
+    i, n = as_col(i).cast("double"), as_col(n).cast("double")
+    last = F.pow(F.lit(0.5), 1.0 / n)
+    return F.when(i == n, last).when(i == 1, 1.0 - last).otherwise((i - 0.3175) / (n + 0.365))

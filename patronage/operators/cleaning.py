@@ -96,36 +96,39 @@ def flag_source(raw: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def _fill_and_fix(kept: DataFrame) -> DataFrame:
-    """Steps 5-6 on kept rows; adds ``_imputed`` and ``_corrected`` counts."""
-    out = kept
-    imputed = F.lit(0)
-    corrected = F.lit(0)
+    """Steps 5-6 on kept rows; adds ``_imputed`` / ``_corrected`` counters.
+
+    Counters are materialised as columns *before* the values they test are
+    replaced (a later ``withColumn`` would otherwise see the filled column).
+    """
+    fills = [c for c in ("customer_id", *TEXT_FILL_COLUMNS, *MEDIAN_FILL_COLUMNS) if c in kept.columns]
+    out = kept.withColumn("_imputed", sum((F.col(c).isNull().cast("int") for c in fills), F.lit(0)))
     if "customer_id" in out.columns:
-        imputed = imputed + F.col("customer_id").isNull().cast("int")
         out = out.withColumn("customer_id", F.coalesce(F.col("customer_id").cast("string"), F.lit("0")))
     for c in TEXT_FILL_COLUMNS:
         if c in out.columns:
-            imputed = imputed + F.col(c).isNull().cast("int")
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit("Unknown")))
     for c in MEDIAN_FILL_COLUMNS:
         if c in out.columns:
-            imputed = imputed + F.col(c).isNull().cast("int")
             out = out.withColumn(c, F.coalesce(F.col(c), median_of(kept, c)))
-    out = out.withColumn("_imputed", imputed)
+    corrected = F.lit(0)
+    if "unit_price" in out.columns:
+        corrected = corrected + F.coalesce((F.col("unit_price") < 0).cast("int"), F.lit(0))
+    lo, hi = AGE_RANGE
+    if "age" in out.columns:
+        corrected = corrected + F.coalesce(((F.col("age") < lo) | (F.col("age") > hi)).cast("int"), F.lit(0))
+    out = out.withColumn("_corrected", corrected)
     if "unit_price" in out.columns:
-        corrected = corrected + (F.col("unit_price") < 0).cast("int")
         out = out.withColumn("unit_price", F.abs("unit_price"))
     if "quantity" in out.columns:
         out = out.withColumn("_return", F.col("quantity") < 0)
     if "age" in out.columns:
-        lo, hi = AGE_RANGE
         bad_age = (F.col("age") < lo) | (F.col("age") > hi)
         med = median_of(out, "age")
-        corrected = corrected + F.coalesce(bad_age.cast("int"), F.lit(0))
         out = out.withColumn("age", F.when(bad_age, med).otherwise(F.col("age")))
     if "gender" in out.columns:
         out = out.withColumn("gender", title_gender("gender"))
-    return out.withColumn("_corrected", corrected)
+    return out
 
 
 AUDIT_COLUMNS = ("_missing_raw", "_invalid", "_keep", "_imputed", "_corrected", "_return")

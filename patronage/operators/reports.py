@@ -393,3 +393,21 @@ def dedup_across_sources(df: DataFrame, key: Sequence[str], keep: Sequence[str],
     rank = rank.otherwise(F.lit(len(ranks)))
     best = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(rank, F.col(tiebreak))).alias("_b")
     return df.groupBy(*key).agg(best).select(*key, *[F.col(f"_b.{c}").alias(c) for c in keep])
+
+
+def qq_points(df: DataFrame, col: str, nd: int = 6) -> DataFrame:
+    """Ordered values against normal quantiles at Filliben positions, with
+    the least-squares line (slope, intercept, r) as constant columns.  Ranks
+    come from the scalable sequence helper, not a single-task window."""
+    from ..functions.exprs import filliben_position, norm_ppf
+
+    vals = df.select(F.col(col).cast("double").alias("ordered")).where(F.col("ordered").isNotNull())
+    n = vals.select(F.count(F.lit(1))).scalar()
+    ranked = with_sequential_id(vals, ["ordered"], name="i")
+    pts = ranked.select("i", norm_ppf(filliben_position("i", n)).alias("theoretical"), "ordered")
+    slope = pts.select(F.regr_slope("ordered", "theoretical")).scalar()
+    intercept = pts.select(F.regr_intercept("ordered", "theoretical")).scalar()
+    r = pts.select(F.corr("ordered", "theoretical")).scalar()
+    return pts.select("i", F.round("theoretical", nd).alias("theoretical"), "ordered",
+                      F.round(slope, nd).alias("fit_slope"), F.round(intercept, nd).alias("fit_intercept"),
+                      F.round(r, nd).alias("fit_r"))

@@ -186,3 +186,21 @@ def wh_sql(body: str, extra: dict[str, str] | None = None) -> str:
     parts.update(extra or {})
     inner = ",\n".join(f"{k} AS ({v.strip()})" for k, v in parts.items())
     return f"WITH {inner}\n{body}"
+
+
+def norm_ppf_sql(p: str) -> str:
+    """DuckDB spelling of the inverse normal CDF approximation."""
+    from ..functions.exprs import _ACKLAM_A, _ACKLAM_B, _ACKLAM_C, _ACKLAM_D, _P_LOW
+
+    def horner(cs, x):
+        out = repr(cs[0])
+        for c in cs[1:]:
+            out = f"({out} * {x} + {c!r})"
+        return out
+    ql, qh = f"sqrt(-2.0 * ln({p}))", f"sqrt(-2.0 * ln(1.0 - {p}))"
+    lower = f"{horner(_ACKLAM_C, ql)} / ({horner(_ACKLAM_D, ql)} * {ql} + 1.0)"
+    upper = f"-{horner(_ACKLAM_C, qh)} / ({horner(_ACKLAM_D, qh)} * {qh} + 1.0)"
+    q = f"({p} - 0.5)"
+    r = f"({q} * {q})"
+    central = f"{horner(_ACKLAM_A, r)} * {q} / ({horner(_ACKLAM_B, r)} * {r} + 1.0)"
+    return f"CASE WHEN {p} < {_P_LOW} THEN {lower} WHEN {p} > 1.0 - {_P_LOW} THEN {upper} ELSE {central} END"

@@ -1213,3 +1213,70 @@ def r05(spark, sf_dir):
     stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = ST.run_available(stream, "scoring", batch_fn=ST.score_batches(model, mapping))
     return spark.read.parquet(out)
+
+
+# --- W08 Q-Q points, P14 cleaning audit ---------------------------------------------
+@query("w08_qq_points", lab_sql("""
+SELECT i, round(theoretical, 6) AS theoretical, ordered,
+       round((SELECT regr_slope(ordered, theoretical) FROM pts), 6) AS fit_slope,
+       round((SELECT regr_intercept(ordered, theoretical) FROM pts), 6) AS fit_intercept,
+       round((SELECT corr(ordered, theoretical) FROM pts), 6) AS fit_r
+FROM pts""", pos="""SELECT CAST(row_number() OVER (ORDER BY Monetary) AS BIGINT) AS i, Monetary AS ordered,
+       count(*) OVER () AS n FROM rf""",
+    pp="""SELECT i, ordered, CASE WHEN i = n THEN power(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - power(0.5, 1.0 / n)
+          ELSE (i - 0.3175) / (n + 0.365) END AS pp FROM pos""",
+    pts=f"SELECT i, ordered, {O.norm_ppf_sql('pp')} AS theoretical FROM pp"))
+def w08(spark, sf_dir):
+    return RP.qq_points(rfm_customers(spark, sf_dir), "Monetary")
+
+
+def _audit_sql(name: str, raw_sql: str, cols: dict, date_fmt: str, has_age: bool, has_gender: bool) -> str:
+    """Oracle of the cleaning audit for one source (cols: canonical -> raw name)."""
+    sel = ", ".join(f"{O.nul(raw)} AS {c}" for c, raw in cols.items())
+    crit_null = "quantity IS NULL OR unit_price IS NULL OR date IS NULL"
+    typed = (f"SELECT *, TRY_CAST(quantity AS DOUBLE) AS q, TRY_CAST(unit_price AS DOUBLE) AS u, "
+             f"try_strptime(date, '{date_fmt}') AS d" + (", TRY_CAST(age AS DOUBLE) AS a" if has_age else "")
+             + " FROM m")
+    kept = "SELECT * FROM t WHERE q IS NOT NULL AND u IS NOT NULL AND d IS NOT NULL"
+    text_fill = [c for c in ("description", "product_name", "category", "country") if c in cols]
+    med_fill = ["a"] if has_age else []
+    if "total_amount" in cols:
+        med_fill.append("TRY_CAST(total_amount AS DOUBLE)")
+    imputed = " + ".join([f"CAST({c} IS NULL AS INT)" for c in ["customer_id", *text_fill]]
+                         + [f"CAST({c} IS NULL AS INT)" for c in med_fill])
+    age_fix = ("CAST(coalesce(a, (SELECT median(a) FROM k)) < 10 OR coalesce(a, (SELECT median(a) FROM k)) > 100 AS INT)"
+               if has_age else "0")
+    canon = ", ".join(["q", "u", "d", "coalesce(customer_id, '0')"]
+                      + [f"coalesce({c}, 'Unknown')" for c in text_fill]
+                      + [c for c in cols if c not in ("quantity", "unit_price", "date", "customer_id", *text_fill,
+                                                      "age", "total_amount", "gender")]
+                      + (["coalesce(a, (SELECT median(a) FROM k))"] if has_age else [])
+                      + ([O.gender_rule("gender")] if has_gender else []))
+    return ctes(f"""
+SELECT '{name}' AS source, CAST(count(*) AS BIGINT) AS rows_in,
+       CAST(count(*) FILTER (WHERE {crit_null}) AS BIGINT) AS rows_removed_missing,
+       CAST(count(*) FILTER (WHERE NOT ({crit_null}) AND (q IS NULL OR u IS NULL OR d IS NULL)) AS BIGINT) AS rows_dropped_invalid,
+       CAST((SELECT sum({imputed}) FROM k) AS BIGINT) AS values_imputed,
+       CAST((SELECT sum(CAST(u < 0 AS INT) + {age_fix}) FROM k) AS BIGINT) AS values_corrected,
+       CAST((SELECT count(*) FILTER (WHERE q < 0) FROM k) AS BIGINT) AS returns_kept,
+       CAST((SELECT count(*) FROM k) - (SELECT count(*) FROM (SELECT DISTINCT {canon} FROM k) x) AS BIGINT) AS duplicates_removed,
+       CAST((SELECT count(*) FROM (SELECT DISTINCT {canon} FROM k) x) AS BIGINT) AS rows_out
+FROM t""", r=raw_sql, m=f"SELECT {sel} FROM r", t=typed, k=kept)
+
+
+ONLINE_RAW_COLS = {"transaction_id": "InvoiceNo", "sku_code": "StockCode", "product_name": "Description",
+                   "quantity": "Quantity", "date": "InvoiceDate", "unit_price": "UnitPrice",
+                   "customer_id": "CustomerID", "country": "Country"}
+
+
+@query("p14_cleaning_audit", _audit_sql("UCI", X.RAW_ONLINE_SQL, ONLINE_RAW_COLS, "%m/%d/%Y %H:%M", False, False))
+def p14(spark, sf_dir):
+    return C.cleaning_audit(X.raw_online(spark, sf_dir), SRC.ONLINE)
+
+
+@query("p14_cleaning_audit_retail", _audit_sql(
+    "Kaggle", X.RAW_RETAIL_SQL, {c: c for c in ("transaction_id", "date", "customer_id", "gender", "age", "category",
+                                               "quantity", "unit_price", "total_amount")},
+    "%Y-%m-%d", True, True))
+def p14_retail(spark, sf_dir):
+    return C.cleaning_audit(X.raw_retail(spark, sf_dir), SRC.RETAIL)
