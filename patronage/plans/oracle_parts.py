@@ -157,8 +157,9 @@ def warehouse_ctes(src: str = "s", p: str = "") -> dict[str, str]:
     """CTEs ``{p}dd, {p}dc, {p}dl, {p}cu, {p}fs`` over the lines table ``src``."""
     return {
         f"{p}dd": f"""SELECT CAST(row_number() OVER (ORDER BY date) AS INT) AS date_id, date,
-            CAST(strftime(date, '%Y%m%d') AS INT) AS date_key, day(date) AS day, month(date) AS month,
-            monthname(date) AS month_name, quarter(date) AS quarter, year(date) AS year,
+            CAST(strftime(date, '%Y%m%d') AS INT) AS date_key, CAST(day(date) AS INT) AS day,
+            CAST(month(date) AS INT) AS month, monthname(date) AS month_name, CAST(quarter(date) AS INT) AS quarter,
+            CAST(year(date) AS INT) AS year,
             isodow(date) >= 6 AS is_weekend
             FROM (SELECT DISTINCT CAST(date AS DATE) AS date FROM {src} WHERE date IS NOT NULL) x""",
         f"{p}dc": f"""SELECT CAST(row_number() OVER (ORDER BY category) AS INT) AS category_id, category

@@ -669,7 +669,7 @@ def a23(spark, sf_dir):
 
 
 @query("a24_histogram_monetary", lab_sql("""
-SELECT b.bin, round(lo + b.bin * w, 6) AS lower, round(lo + (b.bin + 1) * w, 6) AS upper,
+SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 6) AS lower, round(lo + (b.bin + 1) * w, 6) AS upper,
        CAST(coalesce(c.n, 0) AS BIGINT) AS count
 FROM (SELECT unnest(range(0, 20)) AS bin) b
 LEFT JOIN (SELECT CAST(least(greatest(ceil((Monetary - lo) / w) - 1, 0), 19) AS INT) AS bin, count(*) AS n
