@@ -47,10 +47,18 @@ def rfm(df: DataFrame, customer: str = "customer_id", date: str = "date",
     )
 
 
+def require_columns(df: DataFrame, cols: Sequence[str], what: str = "input") -> None:
+    """Fail before planning when named columns are absent, listing them."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} is missing required column(s): {', '.join(missing)}")
+
+
 def rfm_by_rows(df: DataFrame, customer: str = "customer_id", date: str = "date",
                 amount: str = "total_amount") -> DataFrame:
     """Guest / upload RFM: reference = latest timestamp (no extra day),
     Recency in whole days (floor), Frequency = number of rows."""
+    require_columns(df, [date, customer, amount], "upload")
     ref = df.select(F.max(F.col(date).cast("timestamp"))).scalar()
     return df.groupBy(customer).agg(
         days_between(ref, F.max(F.col(date).cast("timestamp"))).alias("Recency"),
@@ -68,6 +76,7 @@ def score_columns(df: DataFrame, q: int = 5, reverse_recency: bool = True,
     ``method="rank"``: rank each value (ties broken by ``order``), then cut the
     rank at interpolated edges — every label is used even for tied values.
     """
+    require_columns(df, ["Recency", "Frequency", "Monetary"], "RFM table")
     probs = [i / q for i in range(1, q)]
     if stage:  # one write; the quantile passes then scan a small stage table
         df = materialize(df, "rfm-scores-in")

@@ -54,6 +54,30 @@ def get_session(
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           cores: int | None = None, minimum: int = 8) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for an input size: enough
+    partitions that each shuffle block stays near ``target_bytes`` (fits in
+    executor memory without spilling hard), rounded up to a multiple of the
+    core count so waves are full.  AQE then coalesces small partitions and
+    splits skewed ones at run time (e.g. 100 TB -> ~400k before coalescing)."""
+    n = max(minimum, -(-int(input_bytes) // int(target_bytes)))
+    if cores:
+        n = -(-n // cores) * cores
+    return n
+
+
+def scale_conf(input_bytes: int, cores: int, target_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster run, to pass as ``get_session(conf=...)``."""
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes, target_bytes, cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_bytes),
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -16,6 +16,7 @@ SELECTED = [
     "m01_outlier_removal", "m03_yeo_johnson_fixed", "a03_rfm_full_wide", "a24_histogram_monetary",
     "a30_revenue_concentration", "a33_segment_profile", "m12_stratified_split", "m16_classification_report",
     "m25_auc_exact", "r02_stream_running_rfm", "r03_stream_segment_windows", "u04_cross_source_dedup",
+    "p14_cleaning_audit_retail", "w08_qq_points", "a15_boxplot_lifespan", "a07_month_segment_counts",
 ]
 
 

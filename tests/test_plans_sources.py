@@ -56,3 +56,17 @@ def test_csv_scan_skips_missing_and_pads(spark, tmp_path):
     padded = FS.pad_columns(df, T.StructType([T.StructField("InvoiceNo", T.StringType()),
                                               T.StructField("Gender", T.StringType())]))
     assert padded.where(F.col("Gender").isNotNull()).count() == 0
+
+
+def test_required_columns_listed(spark):
+    import pytest
+    from patronage.operators import rfm as R
+    df = spark.createDataFrame([(1, 2.0)], "user_id long, value double")
+    with pytest.raises(ValueError, match="ts"):
+        R.rfm_by_rows(df, customer="user_id", date="ts", amount="value")
+
+
+def test_shuffle_partition_sizing():
+    from patronage.session import shuffle_partitions_for
+    assert shuffle_partitions_for(100 * 1024 ** 4, cores=8000) % 8000 == 0
+    assert shuffle_partitions_for(10, cores=8) == 8
