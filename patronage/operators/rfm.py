@@ -33,18 +33,25 @@ def realign_years(df: DataFrame, date: str = "date", before_year: int = 2015, ye
 
 def rfm(df: DataFrame, customer: str = "customer_id", date: str = "date",
         txn: str = "transaction_id", amount: str = "total_amount",
-        ref_offset_days: int = 1, money_type: str = "decimal(18,2)") -> DataFrame:
+        ref_offset_days: int = 1, money_type: str = "decimal(18,2)", stage: bool = True) -> DataFrame:
     """Registered-customer RFM.
 
     Recency = days from (latest date in the data + ``ref_offset_days``) to the
     customer's last date; Frequency = distinct transactions; Monetary = sum.
     """
-    ref = df.select(F.date_add(F.max(F.col(date).cast("date")), ref_offset_days)).scalar()
-    return df.groupBy(customer).agg(
-        F.datediff(ref, F.max(F.col(date).cast("date"))).cast("bigint").alias("Recency"),
+    # The reference date is the max of the per-customer last dates: with the
+    # aggregate staged, the lines are read once and the reference is a scan
+    # of the (much smaller) customer table, not a second pass over the input.
+    agg = df.groupBy(customer).agg(
+        F.max(F.col(date).cast("date")).alias("_last"),
         F.countDistinct(txn).cast("bigint").alias("Frequency"),
         F.sum(amount).cast(money_type).alias("Monetary"),
     )
+    if stage:
+        agg = materialize(agg, "rfm-agg")
+    ref = agg.select(F.date_add(F.max("_last"), ref_offset_days)).scalar()
+    return agg.select(customer, F.datediff(ref, F.col("_last")).cast("bigint").alias("Recency"),
+                      "Frequency", "Monetary")
 
 
 def require_columns(df: DataFrame, cols: Sequence[str], what: str = "input") -> None:
@@ -55,16 +62,19 @@ def require_columns(df: DataFrame, cols: Sequence[str], what: str = "input") ->
 
 
 def rfm_by_rows(df: DataFrame, customer: str = "customer_id", date: str = "date",
-                amount: str = "total_amount") -> DataFrame:
+                amount: str = "total_amount", stage: bool = True) -> DataFrame:
     """Guest / upload RFM: reference = latest timestamp (no extra day),
     Recency in whole days (floor), Frequency = number of rows."""
     require_columns(df, [date, customer, amount], "upload")
-    ref = df.select(F.max(F.col(date).cast("timestamp"))).scalar()
-    return df.groupBy(customer).agg(
-        days_between(ref, F.max(F.col(date).cast("timestamp"))).alias("Recency"),
+    agg = df.groupBy(customer).agg(
+        F.max(F.col(date).cast("timestamp")).alias("_last"),
         F.count(F.lit(1)).cast("bigint").alias("Frequency"),
         F.sum(F.col(amount).cast("double")).alias("Monetary"),
     )
+    if stage:
+        agg = materialize(agg, "rfm-rows-agg")
+    ref = agg.select(F.max("_last")).scalar()
+    return agg.select(customer, days_between(ref, "_last").alias("Recency"), "Frequency", "Monetary")
 
 
 def score_columns(df: DataFrame, q: int = 5, reverse_recency: bool = True,
@@ -126,14 +136,13 @@ def category_shares_long(df: DataFrame, customer: str = "customer_id",
 
 def rfm_full(df: DataFrame, categories: Sequence[str], customer: str = "customer_id",
              date: str = "date", txn: str = "transaction_id", amount: str = "total_amount",
-             category: str = "category", prefix: str = "Pct_") -> DataFrame:
+             category: str = "category", prefix: str = "Pct_", stage: bool = True) -> DataFrame:
     """RFM + category shares (wide) + demographics in ONE grouped pass.
 
     Category spend is a conditional sum per known category, so no pivot job,
     no extra joins; first non-null age / gender use ``min_by`` over an
     explicit order (``txn``, date) instead of row order.
     """
-    ref = df.select(F.date_add(F.max(F.col(date).cast("date")), 1)).scalar()
     total = F.sum(F.col(amount).cast("double"))
     cat_aggs = [
         F.coalesce(F.try_divide(F.sum(F.when(F.col(category) == c, F.col(amount).cast("double"))), total),
@@ -142,13 +151,17 @@ def rfm_full(df: DataFrame, categories: Sequence[str], customer: str = "customer
     ]
     order = F.struct(F.col(txn), F.col(date))
     agg = df.groupBy(customer).agg(
-        F.datediff(ref, F.max(F.col(date).cast("date"))).cast("bigint").alias("Recency"),
+        F.max(F.col(date).cast("date")).alias("_last"),
         F.countDistinct(txn).cast("bigint").alias("Frequency"),
         total.alias("Monetary"),
         *cat_aggs,
         F.min_by(F.col("age"), F.when(F.col("age").isNotNull(), order)).cast("double").alias("age"),
         F.min_by(F.col("gender"), F.when(F.col("gender").isNotNull(), order)).alias("_gender"),
     )
+    if stage:
+        agg = materialize(agg, "rfm-full-agg")
+    ref = agg.select(F.date_add(F.max("_last"), 1)).scalar()
     med = agg.select(F.median("age")).scalar()
-    return (agg.withColumn("gender", gender_code("_gender")).drop("_gender")
+    out = agg.withColumn("Recency", F.datediff(ref, F.col("_last")).cast("bigint")).drop("_last")
+    return (out.withColumn("gender", gender_code("_gender")).drop("_gender")
                .withColumn("age", F.coalesce(F.col("age"), med)))
