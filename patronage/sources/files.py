@@ -105,8 +105,13 @@ def convert_json_to_table(spark: SparkSession, src: str, dst: str, fmt: str = "p
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", jdbc: dict | None = None,
-               batch_size: int = 5000, dry_run: bool = False, partition_by: Sequence[str] = ()) -> str:
-    """Warehouse sink — a catalog table, or a JDBC table in batches."""
+               batch_size: int = 5000, dry_run: bool = False, partition_by: Sequence[str] = (),
+               bucket_by: tuple[int, Sequence[str]] | None = None) -> str:
+    """Warehouse sink — a catalog table, or a JDBC table in batches.
+
+    ``bucket_by=(n, cols)`` writes a bucketed, sorted table: two tables
+    bucketed the same way on the join key (fact and customer dimension on
+    ``customer_key``) are joined later without shuffling either side."""
     if dry_run:
         return f"dry run: {name} prepared"
     if jdbc:
@@ -116,5 +121,8 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", jdbc: dict | N
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
+        if bucket_by:
+            n, cols = bucket_by
+            w = w.bucketBy(n, *cols).sortBy(*cols)
         w.saveAsTable(name)
     return name
