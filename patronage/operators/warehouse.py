@@ -221,3 +221,23 @@ def incremental_load(wh: Warehouse, new_lines: DataFrame,
                          F.col("category_id").cast("int"), F.col("quantity").cast("int"),
                          F.col("unit_price").cast("decimal(10,2)"), F.col("total_amount").cast("decimal(15,2)"))
     return Warehouse(dd, dc, dl, cu, wh.fact_sales.unionByName(added))
+
+
+def persist_warehouse(wh: Warehouse, database: str, buckets: int, mode: str = "overwrite") -> Warehouse:
+    """Write the five tables to the catalog.  ``fact_sales`` and
+    ``dim_customer`` are bucketed (and sorted) on ``customer_key`` with the
+    same bucket count, so the largest star join reads both sides already
+    co-partitioned — no shuffle of the fact table.  Small dimensions are
+    plain tables (joined by measured-size broadcast)."""
+    from ..sources.files import save_table
+
+    spark = wh.fact_sales.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    save_table(wh.dim_date, f"{database}.dim_date", mode=mode)
+    save_table(wh.dim_category, f"{database}.dim_category", mode=mode)
+    save_table(wh.dim_location, f"{database}.dim_location", mode=mode)
+    save_table(wh.dim_customer, f"{database}.dim_customer", mode=mode, bucket_by=(buckets, ["customer_key"]))
+    save_table(wh.fact_sales, f"{database}.fact_sales", mode=mode, bucket_by=(buckets, ["customer_key"]))
+    t = spark.table
+    return Warehouse(t(f"{database}.dim_date"), t(f"{database}.dim_category"), t(f"{database}.dim_location"),
+                     t(f"{database}.dim_customer"), t(f"{database}.fact_sales"))

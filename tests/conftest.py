@@ -19,6 +19,7 @@ def spark():
     from pyspark import SparkConf
     if not SparkConf().get("spark.checkpoint.dir", None):
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="patronage-test-ckpt-")
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="patronage-test-warehouse-")
     s = get_session("local[4]", app_name="patronage-tests", shuffle_partitions=8, conf=conf)
     yield s
     s.stop()

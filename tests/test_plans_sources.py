@@ -14,7 +14,9 @@ def _plan(df):
 
 
 def test_flagship_has_no_python_and_prunes_columns(spark):
-    plan = _plan(Q.flagship(spark, SF_SMALL))
+    from patronage.operators import rfm as R
+    lines = R.realign_years(R.positive_sales(X.sales(spark, SF_SMALL)))
+    plan = _plan(R.rfm(lines, stage=False))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string>" in plan
 
@@ -70,3 +72,18 @@ def test_shuffle_partition_sizing():
     from patronage.session import shuffle_partitions_for
     assert shuffle_partitions_for(100 * 1024 ** 4, cores=8000) % 8000 == 0
     assert shuffle_partitions_for(10, cores=8) == 8
+
+
+def test_bucketed_warehouse_star_join_without_fact_shuffle(spark):
+    wh = WH.build_warehouse(X.sales(spark, SF_SMALL))
+    saved = WH.persist_warehouse(wh, "patronage_test_wh", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = saved.fact_sales.join(saved.dim_customer, "customer_key")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        assert joined.count() == wh.fact_sales.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
