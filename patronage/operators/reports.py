@@ -411,3 +411,13 @@ def qq_points(df: DataFrame, col: str, nd: int = 6) -> DataFrame:
     return pts.select("i", F.round("theoretical", nd).alias("theoretical"), "ordered",
                       F.round(slope, nd).alias("fit_slope"), F.round(intercept, nd).alias("fit_intercept"),
                       F.round(r, nd).alias("fit_r"))
+
+
+def enrich_by_file(ids: DataFrame, master: DataFrame, file_col: str = "source_file",
+                   master_key: str = "customer_id") -> DataFrame:
+    """Master rows for every id file in ONE join (an id listed in several
+    files yields one row per file); write with ``partitionBy(file_col)`` to get
+    one ``full_info_<name>`` folder per file."""
+    key = resolve_id_column(ids)
+    wanted = ids.select(F.col(key).cast("string").alias(master_key), file_col).distinct()
+    return master.join(wanted, master_key, "inner")

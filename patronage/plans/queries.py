@@ -1282,3 +1282,13 @@ def p14(spark, sf_dir):
     "%Y-%m-%d", True, True))
 def p14_retail(spark, sf_dir):
     return C.cleaning_audit(X.raw_retail(spark, sf_dir), SRC.RETAIL)
+
+
+@query("s17_enriched_export", lab_sql("""
+SELECT s.*, g.segment_group FROM ({sales}) s
+JOIN (SELECT DISTINCT customer_id, CASE WHEN customer_id = '0' THEN 'Guest' ELSE Tier END AS segment_group FROM lab) g
+ON s.customer_id = g.customer_id""".replace("{sales}", SALES)))
+def s17(spark, sf_dir):
+    """Sales lines of every exported id list, tagged with its list."""
+    ids = RP.segment_groups(labeled(spark, sf_dir), "Tier")
+    return RP.enrich_by_file(ids, X.sales(spark, sf_dir), file_col="segment_group")
