@@ -147,9 +147,13 @@ def rank_ntile(rn: str | Column, n: str | Column, q: int) -> Column:
 
 
 def days_between(ref: str | Column, ts: str | Column) -> Column:
-    """Whole days from ``ts`` to ``ref`` (floor), for timestamps or dates."""
-    ref, ts = as_col(ref).cast("timestamp"), as_col(ts).cast("timestamp")
-    return F.floor((F.unix_micros(ref) - F.unix_micros(ts)) / F.lit(86_400_000_000)).cast("bigint")
+    """Whole days from ``ts`` to ``ref`` (floor), for timestamps or dates.
+
+    Computed on wall-clock (NTZ) values, so no session time zone or DST
+    shift enters the difference."""
+    ref, ts = as_col(ref).cast("timestamp_ntz"), as_col(ts).cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", ts, ref)
+    return F.floor(micros / F.lit(86_400_000_000)).cast("bigint")
 
 
 def title_gender(c: str | Column, valid: Sequence[str] = VALID_GENDERS, other: str = "Unknown") -> Column:

@@ -67,7 +67,7 @@ def rfm_by_rows(df: DataFrame, customer: str = "customer_id", date: str = "date"
     Recency in whole days (floor), Frequency = number of rows."""
     require_columns(df, [date, customer, amount], "upload")
     agg = df.groupBy(customer).agg(
-        F.max(F.col(date).cast("timestamp")).alias("_last"),
+        F.max(F.col(date).cast("timestamp_ntz")).alias("_last"),
         F.count(F.lit(1)).cast("bigint").alias("Frequency"),
         F.sum(F.col(amount).cast("double")).alias("Monetary"),
     )
