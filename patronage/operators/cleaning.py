@@ -143,7 +143,8 @@ def clean_source(raw: DataFrame, spec: SourceSpec, stage: bool = True) -> DataFr
     """
     flagged = flag_source(raw, spec)
     kept = flagged.filter("_keep").drop("_missing_raw", "_invalid", "_keep")
-    if stage:
+    # stage only when dataset-wide medians make several passes over the rows
+    if stage and any(c in kept.columns for c in MEDIAN_FILL_COLUMNS):
         kept = materialize(kept, f"kept-{spec.name}")
     fixed = _fill_and_fix(kept)
     return fixed.drop(*[c for c in AUDIT_COLUMNS if c in fixed.columns]).dropDuplicates()
