@@ -98,16 +98,17 @@ def quantiles_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max — exact quartiles."""
+    """Count, mean, sample std, min, quartiles, max — exact quartiles via
+    ``quantile_edges`` (distinct-count checked, distributed beyond the bound)."""
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
+        q25, q50, q75 = quantile_edges(df, c, [0.25, 0.5, 0.75])
         parts.append(df.agg(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-            F.percentile(x, [0.25, 0.5, 0.75]).alias("_q"), F.max(x).alias("max"),
-        ).select("column", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                 F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max"))
+            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
+        ).select("column", "count", "mean", "std", "min", q25.alias("p25"), q50.alias("p50"),
+                 q75.alias("p75"), "max"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -19,7 +19,7 @@ from ..functions.exprs import (
 )
 from ..session import materialize
 from .keys import with_sequential_id
-from .stats import quantile_edges
+from .stats import median_of, quantile_edges
 
 
 def positive_sales(df: DataFrame, amount: str = "total_amount") -> DataFrame:
@@ -161,7 +161,7 @@ def rfm_full(df: DataFrame, categories: Sequence[str], customer: str = "customer
     if stage:
         agg = materialize(agg, "rfm-full-agg")
     ref = agg.select(F.date_add(F.max("_last"), 1)).scalar()
-    med = agg.select(F.median("age")).scalar()
+    med = median_of(agg, "age")
     out = agg.withColumn("Recency", F.datediff(ref, F.col("_last")).cast("bigint")).drop("_last")
     return (out.withColumn("gender", gender_code("_gender")).drop("_gender")
                .withColumn("age", F.coalesce(F.col("age"), med)))

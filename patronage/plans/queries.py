@@ -1292,3 +1292,12 @@ def s17(spark, sf_dir):
     """Sales lines of every exported id list, tagged with its list."""
     ids = RP.segment_groups(labeled(spark, sf_dir), "Tier")
     return RP.enrich_by_file(ids, X.sales(spark, sf_dir), file_col="segment_group")
+
+
+@query("m04_box_cox_fit")
+def m04_fit(spark, sf_dir):
+    """M04 fit (rows-only): Box-Cox on x + 1, lambdas by maximum likelihood."""
+    base = FE.remove_outliers(rfm_customers(spark, sf_dir))
+    model = FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS), outputCols=["R_bc", "F_bc", "M_bc"],
+                                method="box-cox").fit(base)
+    return model.transform(base).select("customer_id", "R_bc", "F_bc", "M_bc")
