@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, simhash
 from .common import documents
 
 QUERIES: dict = {}
@@ -70,3 +70,9 @@ def op1(spark, sf_dir):
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken",
                         F.round(F.get("copies.position", F.lit(0)), 6).alias("first_position"))
+
+
+# 7. SimHash near-dedup ---------------------------------------------------------
+@query("op7_simhash_dedup")
+def op7(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=2)
