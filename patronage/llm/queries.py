@@ -6,9 +6,11 @@ derives the columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from ..sources.tables import read_table
+from . import binary, bpe, classifier, mixing, simhash
 from .common import documents
 
 QUERIES: dict = {}
@@ -76,3 +78,24 @@ def op1(spark, sf_dir):
 @query("op7_simhash_dedup")
 def op7(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=2)
+
+
+# 10. Quality classifier ----------------------------------------------------------
+@query("op10_quality_classifier")
+def op10(spark, sf_dir):
+    return classifier.score(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+# 5. BPE --------------------------------------------------------------------------
+@query("op5_bpe_round_trip")
+def op5(spark, sf_dir):
+    docs, tokenizer = documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(docs, tokenizer, bpe.build_lexicon(docs, tokenizer))
+
+
+# 6. Token files ------------------------------------------------------------------
+@query("op6_token_files")
+def op6(spark, sf_dir):
+    folder = binary.fresh_folder(spark)
+    binary.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=0)
+    return binary.read(spark, folder)
