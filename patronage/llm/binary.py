@@ -30,33 +30,55 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_root
-from .common import column, slices, text_of
+from .common import Memo, byte_letters, column, gather, text_of, text_slices
 
-_MEMO = 250_000  # pieces that a process remembers
 _PIECES = re.compile(rb"\s*\S+|\s+").findall
-_DOUBLE = re.compile(rb"\s ").search
 # white space beyond ASCII, and separators that libraries class differently
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]").search
+_ODD = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_ODD_IN = re.compile(_ODD).search
+# the same, or a space behind white space, for Arrow's pattern language
+_UNEVEN = "[\t\n\v\f\r ] |" + _ODD
 
 
 def pieces(text: bytes) -> list[bytes]:
-    """Cut before white space that follows something else."""
-    if not text.isascii() and _ODD_SPACE(str(text, "utf-8")) or re.search(rb"[\x1c-\x1f]", text):
-        return [text] if text else []
-    if _DOUBLE(text) or text[:1] == b" ":
-        return _PIECES(text)
-    # single spaces only: every space follows something else
-    first, *rest = text.split(b" ")
-    return [first, *[b" " + w for w in rest]] if first else []
+    """Cut a text before white space that follows something else.  A piece made
+    of a space and a word is given as the word; any other behind a space."""
+    if _ODD_IN(str(text, "utf-8")):
+        return [b" " + text]
+    return [p[1:] if p[:1] == b" " and not p[1:2].isspace() else b" " + p for p in _PIECES(text)]
+
+
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All pieces of all texts as one array, with the start and number of each text's."""
+    uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+    even = pc.split_pattern(texts.filter(pa.array(~uneven)), " ")
+    words = even.flatten().cast(pa.large_binary())
+    starts, sizes = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    begins = even.offsets.to_numpy()
+    starts[~uneven], sizes[~uneven] = begins[:-1] - begins[0], np.diff(begins)
+    # the first word of a text stands behind no space
+    first = [b" " + w for w in words.take(pa.array(starts[~uneven])).to_pylist()]
+    parts, at = [words, pa.array(first, pa.large_binary())], len(words)
+    order = np.arange(at)
+    order[starts[~uneven]] = at + np.arange(len(first))
+    at += len(first)
+    for k in np.flatnonzero(uneven):
+        own = pieces(texts[int(k)].as_py().encode())
+        starts[k], sizes[k] = len(order), len(own)
+        order = np.concatenate([order, at + np.arange(len(own))])
+        parts.append(pa.array(own, pa.large_binary()))
+        at += len(own)
+    return pa.concat_arrays(parts), gather(order, starts, sizes), sizes
 
 
 class PieceEncoder:
@@ -68,21 +90,47 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: Sequence[bytes]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = list(map(pieces, texts))
-        if len(self.known) > _MEMO:
-            self.known.clear()
-        new = [p for p in set().union(*cut) if p not in self.known]
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            found = self.tokenizer.encode_batch_fast([str(p, "utf-8") for p in part], add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, found))
-        get = self.known.__getitem__
-        for p in cut:
-            yield b"".join(map(get, p))
+        letter = {c: 1 for c in byte_letters()}
+        special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.bytes_of[i] = special.get(i) or sum(letter[c] for c in token)
+        self.known: Memo[bytes] = Memo()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        known = self.known.young
+        # words behind a space keep their ids beside each other: many are
+        # encoded as one text and told apart by the bytes of their tokens
+        plain = [w for w in new if w[-1:].strip() and w[:1] != b" "]
+        for k in range(0, len(plain), 10_000):
+            part = plain[k:k + 10_000]
+            ids = self._ids([str(b" " + b" ".join(part), "utf-8")])[0]
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            at = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+            flat = ids.tobytes()
+            known.update(zip(part, (flat[a:b] for a, b in zip([0, *(4 * at[:-1]).tolist()], (4 * at).tolist()))))
+        rest = [w for w in new if w not in known]
+        texts = [str(w[1:] if w[:1] == b" " else b" " + w, "utf-8") for w in rest]
+        known.update(zip(rest, (x.tobytes() for x in self._ids(texts))))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has."""
+        words, order, sizes = cut(texts)
+        coded = words.dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        self._learn(self.known.missing(keys))
+        each = list(map(self.known.young.__getitem__, keys))
+        many = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat = np.frombuffer(b"".join(each), "<u4")
+        use = coded.indices.to_numpy()[order]
+        ids = gather(flat, (np.cumsum(many) - many)[use], many[use])
+        total = np.concatenate([[0], np.cumsum(many[use])])
+        ends = np.cumsum(sizes)
+        return ids, total[ends] - total[ends - sizes]
 
 
 _OPEN: dict[str, PieceEncoder] = {}
@@ -116,7 +164,6 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col:
     """Write the files of ``docs`` to ``folder`` (made, and empty before) and return its manifest."""
     spark, to = docs.sparkSession, mounted(folder)
     os.makedirs(to, exist_ok=True)
-    end = np.array([end_id], "<u4").tobytes()
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs[text_col]).alias("_text"))
     # the hash spreads rows that share an id over several parts
     rows = (rows.withColumn("_h", F.xxhash64("_text")).repartitionByRange("doc_id", "_h")
@@ -128,13 +175,12 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col:
         ids, sizes, part = [], [], None
         name = f"{to}/.writing-{own}"
         with open(name, "wb") as flat:
-            for batch, texts in slices(batches, "_text", 8 << 20):
+            for batch, texts in text_slices(batches, "_text", 8 << 20):
                 part = column(batch, "_part")[0].as_py()
                 ids.append(column(batch, "doc_id"))
-                for coded in encoder.encode(texts):
-                    flat.write(coded)
-                    flat.write(end)
-                    sizes.append(len(coded) // 4 + 1)
+                coded, many = encoder.encode(texts)
+                np.insert(coded, np.cumsum(many), end_id).tofile(flat)
+                sizes += (many + 1).tolist()
         if part is None:
             os.remove(name)
             return

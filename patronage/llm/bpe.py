@@ -31,6 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -38,23 +39,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage_root
-from .common import slices, text_of
+from .common import Memo, byte_letters, gather, text_of, text_slices
 from .lexicon import Lexicon, compile_lexicon
 
 _NONE = 1 << 60
 _PLAIN = 0x250  # below: NFC changes nothing and lower-casing is one character's own
-_MEMO = 250_000  # chunks that a process remembers
 _TOGETHER = 48  # symbols of a word that is merged together with others
 _LONGEST = 48  # bytes of a word in the lexicon
 
 
-def byte_letters() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
-
-
 class PairTable:
     """Ranks of id pairs in an open-addressed table that is probed for many at once."""
 
@@ -214,7 +207,7 @@ class Encoder:
 
     def __init__(self, bpe: WordBPE, lexicon: Lexicon | None, as_text: bool):
         self.bpe, self.lexicon, self.as_text = bpe, lexicon, as_text
-        self.known: dict[bytes, Entry] = {}
+        self.known: Memo[Entry] = Memo()
         self.number = {i: str(i) for i in bpe.token}
 
     def _entry(self, ids: Sequence[int]) -> Entry:
@@ -222,10 +215,8 @@ class Encoder:
             return array("i", ids).tobytes()
         return " ".join([self.number[i] for i in ids]), " ".join([self.bpe.token[i] for i in ids])
 
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self.known) > _MEMO:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
+    def learn(self, chunks: Iterable[bytes]) -> None:
+        new = self.known.missing(chunks)
         cut = [self.bpe.words(str(c, "utf-8")) for c in new]
         words = list(dict.fromkeys(chain.from_iterable(cut)))
         places = self.lexicon.places(words).tolist() if self.lexicon else [-1] * len(words)
@@ -234,15 +225,17 @@ class Encoder:
         unseen = [w for w in words if w not in ids]
         ids |= zip(unseen, self.bpe.merged(unseen))
         for chunk, parts in zip(new, cut):
-            self.known[chunk] = self._entry(ids[parts[0]] if len(parts) == 1 else [i for w in parts for i in ids[w]])
+            self.known.young[chunk] = self._entry(ids[parts[0]] if len(parts) == 1 else [i for w in parts for i in ids[w]])
 
-    def encode(self, texts: Sequence[bytes]) -> Iterator[list[Entry]]:
-        """The entries of each text's pieces, in order; a piece may have no ids."""
-        cut = [t.split() for t in texts]
-        self.learn(set().union(*cut))
-        get = self.known.__getitem__
-        for chunks in cut:
-            yield list(map(get, chunks))
+    def encode(self, texts: pa.Array) -> tuple[list[Entry], np.ndarray, np.ndarray]:
+        """The entries of the distinct pieces (a piece may have no ids), the
+        pieces of all texts as places among them, and where each text's end."""
+        cut = pc.ascii_split_whitespace(texts)
+        pieces = cut.flatten().cast(pa.large_binary()).dictionary_encode()
+        chunks = pieces.dictionary.to_pylist()
+        self.learn(chunks)
+        ends = cut.offsets.to_numpy()
+        return list(map(self.known.young.__getitem__, chunks)), pieces.indices.to_numpy(), ends - ends[0]
 
 
 _OPEN: dict[tuple[str, str | None, bool], Encoder] = {}
@@ -287,34 +280,36 @@ def share_file(spark: SparkSession, name: str, content: bytes) -> str:
     return name
 
 
-def _run(source: DataFrame, schema: T.StructType, columns: Callable[[Iterator], list[pa.Array]],
-         as_text: bool, tokenizer: str, lexicon: str | None) -> DataFrame:
+def _run(source: DataFrame, schema: T.StructType, columns: Callable[..., list[pa.Array]], as_text: bool,
+         tokenizer: str, lexicon: str | None) -> DataFrame:
     names = schema.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, lexicon, as_text)
-        for batch, texts in slices(batches, "_text", 8 << 20):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns(encoder.encode(texts))], names)
+        for batch, texts in text_slices(batches, "_text", 8 << 20):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns(*encoder.encode(texts))], names)
 
     return source.mapInArrow(run, schema)
 
 
-def _digest_columns(texts: Iterator) -> list[pa.Array]:
+def _digest_columns(entries: list[Entry], places: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+    places = places.tolist()
+    lines, tokens = [e[0] for e in entries], [e[1] for e in entries]
     n, ids, decoded = [], [], []
-    for entries in texts:
-        entries = [e for e in entries if e[0]]
-        line = " ".join([e[0] for e in entries])
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        own = [k for k in places[a:b] if lines[k]]
+        line = " ".join(map(lines.__getitem__, own))
         n.append(line.count(" ") + 1 if line else 0)
         ids.append(sha256(line.encode()).hexdigest())
-        decoded.append(sha256(" ".join([e[1] for e in entries]).encode()).hexdigest())
+        decoded.append(sha256(" ".join(map(tokens.__getitem__, own)).encode()).hexdigest())
     return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
 
 
-def _id_columns(texts: Iterator) -> list[pa.Array]:
-    flat = [b"".join(entries) for entries in texts]
-    starts = np.cumsum([0, *(len(x) // 4 for x in flat)])
-    ids = pa.array(np.frombuffer(b"".join(flat), np.int32))
-    return [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), ids)]
+def _id_columns(entries: list[Entry], places: np.ndarray, ends: np.ndarray) -> list[pa.Array]:
+    many = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+    ids = gather(np.frombuffer(b"".join(entries), np.int32), (np.cumsum(many) - many)[places], many[places])
+    total = np.concatenate([[0], np.cumsum(many[places])])
+    return [pa.ListArray.from_arrays(pa.array(total[ends], pa.int32()), pa.array(ids))]
 
 
 def _encoded(docs: DataFrame, tokenizer: str, lexicon: str | None, extra: list[T.StructField], columns: Callable,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,25 +37,65 @@ def unpacked(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.select(f"{name}.*")
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str = "text",
-           most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cut Arrow batches into runs of rows of about ``most`` bytes of text
-    (one row at least), with the texts as bytes: memory per step follows the
-    longest text, not the batch."""
+def text_slices(batches: Iterable[pa.RecordBatch], text: str,
+                most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Cut Arrow batches into runs of rows of about ``most`` bytes of text (one
+    row at least), with the texts: memory per step follows the longest text,
+    not the batch.  Texts without a value are empty."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
-        start = size = 0
-        texts: list[bytes] = []
-        for k in range(batch.num_rows):
-            value = column[k].as_py() or b""
-            texts.append(value)
-            size += len(value)
-            if size >= most:
-                yield batch.slice(start, k + 1 - start), texts
-                start, size, texts = k + 1, 0, []
-        if texts:
-            yield batch.slice(start), texts
+        texts = pc.fill_null(column(batch, text).cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+            yield batch.slice(start, stop - start), texts.slice(start, stop - start)
+            start = stop
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: str,
+           most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """``text_slices`` with the texts as bytes."""
+    for batch, texts in text_slices(batches, text, most):
+        yield batch, texts.cast(pa.large_binary()).to_pylist()
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[start:start + size] of each run, one after another."""
+    shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    return flat[shift + np.arange(len(shift))]
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def byte_letters() -> list[str]:
+    """The printable stand-in of each byte in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+
+
+class Memo[V]:
+    """What a process remembers by key, in two generations: when the young one
+    is full it becomes the old one, from which only keys in use come back."""
+
+    def __init__(self, most: int = 250_000):
+        self.young: dict[bytes, V] = {}
+        self.old: dict[bytes, V] = {}
+        self.most = most
+
+    def missing(self, keys: Iterable[bytes]) -> list[bytes]:
+        """Bring ``keys`` into the young generation; those that are new.
+        ``keys`` are distinct."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        young, old, out = self.young, self.old, []
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    out.append(key)
+        return out
