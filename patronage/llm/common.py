@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import read_table
 
@@ -99,3 +100,25 @@ class Memo[V]:
                 else:
                     out.append(key)
         return out
+
+
+SPANS = T.ArrayType(T.StructType([
+    T.StructField("kind", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+    T.StructField("base", T.BooleanType())]))
+ARROW_SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
+                                  ("base", pa.bool_())]))
+
+
+def span_text(spans: str | Column, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of each span, in the order of the array, joined by commas."""
+    names = F.array(*[F.lit(k) for k in kinds])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_columns(spans: str, kinds: tuple[str, ...]) -> list[Column]:
+    """n_<kind> and base_sha256 of the base spans, and all spans as text."""
+    base = F.filter(spans, lambda s: s["base"])
+    return [*[F.size(F.filter(spans, lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(kinds)],
+            F.sha2(span_text(base, kinds), 256).alias("base_sha256"), span_text(spans, kinds).alias("spans")]

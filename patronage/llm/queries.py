@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import binary, bpe, classifier, mixing, simhash
-from .common import documents
+from . import binary, bpe, classifier, mixing, secrets, simhash
+from .common import documents, span_columns
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -99,3 +99,9 @@ def op6(spark, sf_dir):
     folder = binary.fresh_folder(spark)
     binary.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=0)
     return binary.read(spark, folder)
+
+
+# 9. Secrets ----------------------------------------------------------------------
+@query("op9_secret_scan")
+def op9(spark, sf_dir):
+    return secrets.scan(documents(spark, sf_dir)).select("doc_id", *span_columns("_spans", secrets.KINDS))
