@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import binary, bpe, classifier, mixing, secrets, simhash
+from . import binary, bpe, classifier, mixing, pii, secrets, simhash
 from .common import documents, span_columns
 
 QUERIES: dict = {}
@@ -105,3 +105,9 @@ def op6(spark, sf_dir):
 @query("op9_secret_scan")
 def op9(spark, sf_dir):
     return secrets.scan(documents(spark, sf_dir)).select("doc_id", *span_columns("_spans", secrets.KINDS))
+
+
+# 3. Personal data ----------------------------------------------------------------
+@query("op3_personal_data")
+def op3(spark, sf_dir):
+    return pii.scan(documents(spark, sf_dir)).select("doc_id", *span_columns("_spans", pii.KINDS))
