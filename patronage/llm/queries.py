@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import binary, bpe, classifier, mixing, pii, secrets, simhash
+from . import binary, bpe, classifier, mixing, pii, rules, secrets, simhash
 from .common import documents, span_columns
 
 QUERIES: dict = {}
@@ -111,3 +111,10 @@ def op9(spark, sf_dir):
 @query("op3_personal_data")
 def op3(spark, sf_dir):
     return pii.scan(documents(spark, sf_dir)).select("doc_id", *span_columns("_spans", pii.KINDS))
+
+
+# 4. Quality rules ----------------------------------------------------------------
+@query("op4_quality_rules")
+def op4(spark, sf_dir):
+    return rules.judge(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
