@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import binary, bpe, classifier, mixing, pii, rules, secrets, simhash
+from . import ann, binary, bpe, classifier, mixing, pii, rules, secrets, simhash
 from .common import documents, span_columns
 
 QUERIES: dict = {}
@@ -118,3 +118,9 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     return rules.judge(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# 8. Nearest neighbours -------------------------------------------------------------
+@query("op8_nearest_neighbours")
+def op8(spark, sf_dir):
+    return ann.search(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
