@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, binary, bpe, classifier, mixing, pii, rules, secrets, simhash
+from . import ann, binary, bpe, classifier, licenses, mixing, pii, rules, secrets, simhash
 from .common import documents, span_columns
 
 QUERIES: dict = {}
@@ -107,6 +107,16 @@ def op9(spark, sf_dir):
     return secrets.scan(documents(spark, sf_dir)).select("doc_id", *span_columns("_spans", secrets.KINDS))
 
 
+# 2. Licenses ---------------------------------------------------------------------
+@query("op2_license_scan")
+def op2(spark, sf_dir):
+    named = F.transform("matches", lambda m: F.concat_ws(
+        ":", m["license"], m["start"].cast("string"), m["end"].cast("string")))
+    return licenses.scan(documents(spark, sf_dir)).select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(named, ",").alias("spans"),
+        F.array_max(F.col("matches.coverage")).alias("best_coverage"))
+
+
 # 3. Personal data ----------------------------------------------------------------
 @query("op3_personal_data")
 def op3(spark, sf_dir):
