@@ -2,11 +2,12 @@
 
 Layout of a folder, for each range of ids k in ascending order:
 
-* ``part-k.ids``: unsigned 32-bit little-endian token ids, document after document;
+* ``part-k.ids``: unsigned little-endian token ids, document after document, of
+  16 bits where the vocabulary and the end id fit, else of 32;
 * ``part-k.off``: unsigned 64-bit little-endian offsets into it, one per document and the end;
 * ``part-k.doc``: signed 64-bit document ids, and ``part-k.null``: a byte that is 1 where the id is null;
-* ``manifest.parquet``: one row per part with its documents, tokens and the
-  prefix sums of both over the parts before.  The .ids files in order are one
+* ``manifest.parquet``: one row per part with its documents, tokens, bytes per id
+  and the prefix sums of documents and tokens over the parts before.  The .ids files in order are one
   flat file; a document starts at its part's base plus its offset.
 
 Spark range-partitions and sorts the documents; each task encodes and writes
@@ -94,6 +95,7 @@ class PieceEncoder:
         special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.largest = max(vocab.values())
         for token, i in vocab.items():
             self.bytes_of[i] = special.get(i) or sum(letter[c] for c in token)
         self.known: Memo[bytes] = Memo()
@@ -151,6 +153,11 @@ def mounted(path: str) -> str:
     return parts.path if parts.scheme else path
 
 
+def id_type(largest: int) -> np.dtype:
+    """The narrowest of the file's two id types."""
+    return np.dtype("<u2" if largest < 1 << 16 else "<u4")
+
+
 def _put(folder: str, name: str, chunks: Iterable[bytes]) -> None:
     own = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with open(own, "wb") as f:
@@ -172,6 +179,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col:
 
     def save(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, own = _encoder(tokenizer), uuid.uuid4().hex
+        kind = id_type(max(encoder.largest, end_id))
         ids, sizes, part = [], [], None
         name = f"{to}/.writing-{own}"
         with open(name, "wb") as flat:
@@ -179,7 +187,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col:
                 part = column(batch, "_part")[0].as_py()
                 ids.append(column(batch, "doc_id"))
                 coded, many = encoder.encode(texts)
-                np.insert(coded, np.cumsum(many), end_id).tofile(flat)
+                np.insert(coded.astype(kind), np.cumsum(many), end_id).tofile(flat)
                 sizes += (many + 1).tolist()
         if part is None:
             os.remove(name)
@@ -190,12 +198,13 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col:
         _put(to, f"part-{part:08d}.off", [offsets.tobytes()])
         _put(to, f"part-{part:08d}.doc", [doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()])
         _put(to, f"part-{part:08d}.null", [doc.is_null().to_numpy(zero_copy_only=False).astype("u1").tobytes()])
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, len(sizes), int(offsets[-1]))],
-                                         ["part", "docs", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (part, len(sizes), int(offsets[-1]),
+                                                                                   kind.itemsize)],
+                                         ["part", "docs", "tokens", "id_bytes"])
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     path = f"{folder.rstrip('/')}/manifest.parquet"
-    (rows.mapInArrow(save, "part long, docs long, tokens long")
+    (rows.mapInArrow(save, "part long, docs long, tokens long, id_bytes long")
      .select("*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("docs", "tokens")])
      .write.parquet(path))
     return spark.read.parquet(path)
@@ -209,21 +218,22 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     def load(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, base in zip(column(batch, "part").to_pylist(), column(batch, "tokens_before").to_pylist()):
+            for part, base, id_bytes in zip(*(column(batch, c).to_pylist() for c in (
+                    "part", "tokens_before", "id_bytes"))):
                 name = f"{at}/part-{part:08d}"
                 offsets = np.memmap(f"{name}.off", "<u8", "r")
-                flat = np.memmap(f"{name}.ids", "<u4", "r")
+                flat = np.memmap(f"{name}.ids", f"<u{id_bytes}", "r")
                 doc, null = np.memmap(f"{name}.doc", "<i8", "r"), np.memmap(f"{name}.null", "u1", "r")
                 for k in range(0, len(doc), 10_000):
                     ends = offsets[k:k + 10_001].astype(np.int64)
-                    crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+                    crc = [zlib.crc32(flat[a:b].astype("<u4")) for a, b in zip(ends[:-1], ends[1:])]
                     n = len(crc)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(doc[k:k + n], mask=null[k:k + n] == 1), pa.array(ends[:-1] + base),
                          pa.array(np.diff(ends)), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return parts.select("part", "tokens_before").repartition("part").mapInArrow(
+    return parts.select("part", "tokens_before", "id_bytes").repartition("part").mapInArrow(
         load, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
