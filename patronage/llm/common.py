@@ -30,14 +30,10 @@ def text_of(c: str | Column) -> Column:
 
 def packed(docs: DataFrame, name: str = "_row") -> Column:
     """All columns of a row as one struct: columns an operator adds beside it
-    cannot clash with the caller's; ``unpacked`` brings them back."""
+    cannot clash with the caller's."""
     return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(name)
 
 
-def unpacked(df: DataFrame, name: str = "_row") -> DataFrame:
-    return df.select(f"{name}.*")
-
-
 def text_slices(batches: Iterable[pa.RecordBatch], text: str,
                 most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Cut Arrow batches into runs of rows of about ``most`` bytes of text (one
@@ -82,7 +78,7 @@ class Memo[V]:
     """What a process remembers by key, in two generations: when the young one
     is full it becomes the old one, from which only keys in use come back."""
 
-    def __init__(self, most: int = 250_000):
+    def __init__(self, most: int = 150_000):
         self.young: dict[bytes, V] = {}
         self.old: dict[bytes, V] = {}
         self.most = most
@@ -119,6 +115,9 @@ def span_text(spans: str | Column, kinds: tuple[str, ...]) -> Column:
 def span_columns(spans: str, kinds: tuple[str, ...]) -> list[Column]:
     """n_<kind> and base_sha256 of the base spans, and all spans as text."""
     base = F.filter(spans, lambda s: s["base"])
-    return [*[F.size(F.filter(spans, lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(kinds)],
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    return [*[count(k).alias(f"n_{name}") for k, name in enumerate(kinds)],
             F.sha2(span_text(base, kinds), 256).alias("base_sha256"), span_text(spans, kinds).alias("spans")]
