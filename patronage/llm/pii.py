@@ -220,15 +220,16 @@ class Field:
             p = _softmax(x @ node)
             speed = 0.9 * speed + x.T @ (y - p) / n - penalty * node
             node += 0.3 * speed
-        share = np.bincount(graph.label, minlength=LABELS) + 1.0
+        share = (np.bincount(graph.label, minlength=LABELS) + 1.0) / (len(graph.label) + LABELS)
+        chance = np.outer(share, share)
 
-        def ratio(pairs: np.ndarray, agreement: float) -> np.ndarray:
-            counts = np.ones((LABELS, LABELS)) + agreement * np.eye(LABELS)
+        def ratio(pairs: np.ndarray, agreement: float, weight: float = 20.0) -> np.ndarray:
+            """Log ratios to chance; before any pair is seen, labels agree with the given probability."""
+            counts = weight * (agreement * np.diag(share) + (1 - agreement) * chance)
             np.add.at(counts, (graph.label[pairs[:, 0]], graph.label[pairs[:, 1]]), 1)
-            chance = np.outer(share, share) / share.sum() ** 2
-            return np.clip(np.log(counts / counts.sum() / chance), -3, 3)
+            return np.clip(np.log(counts / counts.sum() / chance), -4, 4)
 
-        skip = ratio(graph.skip, 10.0)
+        skip = ratio(graph.skip, 0.9)
         return cls(node, ratio(graph.chain, 0.0), (skip + skip.T) / 2)
 
     def beliefs(self, graph: Graph, rounds: int) -> np.ndarray:

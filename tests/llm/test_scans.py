@@ -1,0 +1,181 @@
+import hashlib
+import random
+import re
+
+import data
+
+from patronage.llm import licenses, pii, secrets
+from patronage.llm.automata import Automaton
+from patronage.llm.common import span_columns
+
+
+def brute_pii(t):
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+            if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        odd = sum(d[0::2]) + sum(2 * x - 9 * (x > 4) for x in d[1::2])
+        if 13 <= len(d) <= 19 and odd % 10 == 0:
+            out.append((2, *m.span()))
+    return out + [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t)
+                  if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
+
+
+def brute_secrets(t):
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                        re.ASCII)
+    out = [(0, *m.span()) for m in assign.finditer(t) if len(m[2]) >= 8]
+    out += [(1, *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    out += [(2, *m.span()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 32]
+    return sorted(out, key=lambda s: (s[1], s[0]))
+
+
+def random_texts(alphabets, n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(a) for _ in range(rng.randint(0, 40))) for a in alphabets for _ in range(n)]
+
+
+def check_query(df, kinds, brute, rows):
+    got = df.select("doc_id", *span_columns("_spans", kinds)).collect()
+    text = lambda spans: ",".join(f"{kinds[k]}:{a}:{b}" for k, a, b in spans)
+    want = sorted((str(r[0]), hashlib.sha256(text(brute(r[1] or "")).encode()).hexdigest()) for r in rows)
+    assert sorted((str(r.doc_id), r.base_sha256) for r in got) == want
+    for r in got:
+        t = next(x[1] or "" for x in rows if x[0] == r.doc_id)
+        assert set(text(brute(t)).split(",")) - {""} <= set(r.spans.split(","))
+        assert [r[f"n_{k}"] for k in kinds] == [sum(s[0] == i for s in brute(t)) for i in range(len(kinds))]
+
+
+def test_pii_patterns_are_the_plain_ones():
+    for t in random_texts(("a.@-_ ", "0125.@a ", "0123456789- +().", "+1 ()-.@a\n"), 4000, 1):
+        assert pii.base_spans(t) == brute_pii(t), t
+
+
+def test_secret_patterns_are_the_plain_ones():
+    parts = ["password", "TOKEN", "api_key", "apikey", "Secret", "=", ":", " ", '"', "'", "abcd1234", "x", "ſ",
+             "K", "AKIA", "ABCDEFGH1234", "0123456789abcdef", "f", "\n"]
+    for t in random_texts((parts,), 6000, 2):
+        assert [s[:3] for s in secrets.base_spans(t)] == brute_secrets(t), t
+
+
+def test_long_runs_take_linear_time():
+    pii.base_spans("1" * 200_000 + "a" * 200_000 + "@" + "+1" + "(" * 200_000)
+    pii.variables("a1" * 100_000, [])
+    secrets.base_spans("password" + " " * 200_000 + "f" * 300_000)
+    secrets.candidates("a1" * 100_000, [], 16)
+
+
+def test_scans_over_odd_rows(spark):
+    docs = data.clashing(data.documents(spark))
+    check_query(pii.scan(docs), pii.KINDS, brute_pii, data.ROWS)
+    check_query(secrets.scan(docs), secrets.KINDS, brute_secrets, data.ROWS)
+    for module in (pii, secrets, licenses):
+        assert module.scan(data.empty(spark)).count() == 0
+
+
+def test_repeated_number_gets_the_label_of_its_base_span(spark):
+    rng = random.Random(4)
+    rows = [(k, f"call +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} now, invoice {k % 7}", "en", "a", 1)
+            for k in range(300)]
+    rows.append((1000, "call +1 (415) 555-2671 today. Later: 555-2671 again.", "en", "a", 1))
+    rows.append((1001, "call 555-2671 and count 12 of 99", "en", "a", 1))
+    spans = {r.doc_id: [(s.kind, rows[-2][1][s.start:s.end], s.base) for s in r._spans]
+             for r in pii.scan(data.documents(spark, rows)).collect()}
+    assert (3, "+1 (415) 555-2671", True) in spans[1000]
+    assert any(kind == 3 and "555-2671" in t and not base for kind, t, base in spans[1000])
+    assert spans[1001] == []  # nothing ties it to a phone number
+
+
+def test_beliefs_match_enumeration_on_a_tree():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    label = np.array([0, 0, 2])
+    g = pii.Graph(label, rng.integers(0, 2, (3, pii.FEATURES)).astype(float), np.array([[0, 1]]), np.array([[1, 2]]))
+    f = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
+    own = np.log(pii._softmax(g.features @ f.node))
+    own[2] = -50.0
+    own[2, 2] = 0
+    joint = np.exp(own[0][:, None, None] + own[1][None, :, None] + own[2][None, None, :]
+                   + f.chain[:, :, None] + f.skip[None])
+    joint /= joint.sum()
+    p = f.beliefs(g, 200)
+    for k, axes in enumerate(((1, 2), (0, 2), (0, 1))):
+        assert np.allclose(p[k], joint.sum(axis=axes), atol=1e-3)
+
+
+def test_automata_tell_formats_apart():
+    rng = random.Random(0)
+    make = lambda chars, n: "".join(rng.choice(chars) for _ in range(n)).encode()
+    hexes = [make("0123456789abcdef", 32) for _ in range(400)]
+    keys = [b"KEY-" + make("ABCDEFGHJKLMNPQRSTUVWXYZ", 12) for _ in range(400)]
+    words = [make("etaoin shrdlu", 20) for _ in range(300)] + [make("0123456789", 16) for _ in range(300)]
+    g = secrets.Grammars({0: keys, 2: hexes}, words, 20, 0.02, 0.05)
+    fresh = [make("0123456789abcdef", 32), b"KEY-" + make("ABCDEFGHJKLMNPQRSTUVWXYZ", 12), make("0123456789", 16),
+             make("etaoin shrdlu", 20)]
+    assert g.judge(fresh, 1000.0).tolist() == [2, 0, -1, -1]
+    a = Automaton([b"ab"] * 50)
+    assert len(a) >= 1 and a.score([b"ab", b"ba", b""])[0] == a.score([b"ab"])[0] > a.score([b"ba"])[0]
+
+
+def test_bare_credentials_are_added_and_redacted(spark):
+    rng = random.Random(5)
+    value = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(20))
+    rows = [(k, f"some words password={value()} more words order 1234567890123456{k:04d}", "en", "a", 60)
+            for k in range(400)]
+    bare = value()
+    rows.append((1000, f"nothing here but {bare} in the middle", "en", "a", 5))
+    rows.append((1001, "clean text of plain words", "en", "a", 25))
+    docs = data.clashing(data.documents(spark, rows))
+    found = {r.doc_id: r._spans for r in secrets.scan(docs).collect()}
+    assert [(rows[400][1][s.start:s.end], s.base) for s in found[1000]] == [(bare, False)]
+    assert found[1001] == [] and all(len(found[k]) == 1 for k in range(400))
+    out = secrets.redacted(docs)
+    assert out.schema.names == docs.schema.names
+    texts = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    assert texts[1001] == ("clean text of plain words", 25)
+    assert re.fullmatch(r"nothing here but \[\w+\] in the middle", texts[1000][0])
+    assert all(t.startswith("some words [assign] more words") and n == len(t) for k, (t, n) in texts.items() if k < 400)
+
+
+def test_redaction_of_odd_rows(spark):
+    docs = data.documents(spark)
+    out = {str(r.doc_id): r.text for r in secrets.redacted(docs).collect()}
+    before = {str(r[0]): r[1] for r in data.ROWS}
+    assert {k for k in before if out[k] != before[k]} == {"8"}
+    assert "hunter2" not in out["8"] and "AKIA" not in out["8"]
+    assert secrets.redacted(data.empty(spark)).count() == 0
+
+
+def test_license_alignment(spark):
+    notice = licenses.TEMPLATES["mit-notice"]
+    rng = random.Random(1)
+    worn = [w for w in notice.split() if rng.random() > 0.08]
+    for _ in range(4):
+        worn.insert(rng.randrange(len(worn)), "foo")
+    rows = [
+        (1, "x y z\nAll rights reserved.\nmore", "en", "a", 1),
+        (2, " ".join(worn) + " end " + notice + " " + notice, "en", "a", 1),
+        (3, "we reserved all the rights and licensed words under a version of it", "en", "a", 1),
+        (4, "RELEASED under the MIT license!\nReleased under the MIT License.", "en", "a", 1),
+    ]
+    got = {r.doc_id: [(m.license, rows[r.doc_id - 1][1][m.start:m.end], m.coverage) for m in r.matches]
+           for r in licenses.scan(data.clashing(data.documents(spark, rows))).collect()}
+    assert got[1] == [("all-rights-reserved", "All rights reserved.", 1.0)]
+    assert [m[0] for m in got[2]] == ["mit-notice"] * 3 and 0.8 <= got[2][0][2] < 1 == got[2][1][2]
+    assert got[3] == []
+    assert [m[0] for m in got[4]] == ["mit", "mit"]
+    odd = licenses.scan(data.documents(spark)).collect()
+    assert len(odd) == len(data.ROWS) and all(r.matches == [] for r in odd)
+
+
+def test_patience_pairs_rise_and_agree():
+    rng = random.Random(9)
+    for _ in range(300):
+        text = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 20))]
+        template = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 10))]
+        pairs = licenses.align(text, template)
+        assert all(text[t] == template[p] for t, p in pairs)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
+        assert [p for _, p in licenses.align(template, template)] == list(range(len(template))) or \
+            len(set(template)) < len(template)
