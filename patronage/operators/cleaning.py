@@ -31,7 +31,7 @@ from ..functions.exprs import (
     COLUMN_MAPPING, CRITICAL_COLUMNS, MISSING_MARKERS, null_if_marker, title_gender,
 )
 from ..session import materialize
-from .stats import median_of
+from .stats import quantiles
 
 NUMERIC_COLUMNS = ("quantity", "unit_price", "total_amount", "age")
 TEXT_FILL_COLUMNS = ("description", "product_name", "category", "country")
@@ -45,7 +45,8 @@ class SourceSpec:
 
     name: str                       # lineage label written to ``source``
     date_formats: tuple[str, ...]   # Spark datetime patterns, tried in order
-    rank: int = 0                   # tie-break order between sources
+    rank: int = 0                   # order of the sources, and tie-break between them
+    kind: str = "auto"              # retail (own categories) | online | orders (product names); auto: by columns
     path: str | None = None
     fmt: str = "csv"                # csv | json | parquet
     options: dict = field(default_factory=dict)
@@ -108,13 +109,14 @@ def _fill_and_fix(kept: DataFrame) -> DataFrame:
     for c in TEXT_FILL_COLUMNS:
         if c in out.columns:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit("Unknown")))
-    for c in MEDIAN_FILL_COLUMNS:
-        if c in out.columns:
-            out = out.withColumn(c, F.coalesce(F.col(c), median_of(kept, c)))
+    lo, hi = AGE_RANGE
+    numeric = [c for c in MEDIAN_FILL_COLUMNS if c in kept.columns]
+    medians = {c: v[0] for c, v in quantiles(kept, numeric, [0.5]).items()} if numeric else {}
+    for c, median in medians.items():
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(median).cast("double")))
     corrected = F.lit(0)
     if "unit_price" in out.columns:
         corrected = corrected + F.coalesce((F.col("unit_price") < 0).cast("int"), F.lit(0))
-    lo, hi = AGE_RANGE
     if "age" in out.columns:
         corrected = corrected + F.coalesce(((F.col("age") < lo) | (F.col("age") > hi)).cast("int"), F.lit(0))
     out = out.withColumn("_corrected", corrected)
@@ -124,8 +126,8 @@ def _fill_and_fix(kept: DataFrame) -> DataFrame:
         out = out.withColumn("_return", F.col("quantity") < 0)
     if "age" in out.columns:
         bad_age = (F.col("age") < lo) | (F.col("age") > hi)
-        med = median_of(out, "age")
-        out = out.withColumn("age", F.when(bad_age, med).otherwise(F.col("age")))
+        # filling with the median leaves the median where it was
+        out = out.withColumn("age", F.when(bad_age, F.lit(medians["age"]).cast("double")).otherwise(F.col("age")))
     if "gender" in out.columns:
         out = out.withColumn("gender", title_gender("gender"))
     return out
@@ -151,24 +153,29 @@ def clean_source(raw: DataFrame, spec: SourceSpec, stage: bool = True) -> DataFr
 
 
 def cleaning_audit(raw: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row of counters per source, one aggregation over the flags."""
-    flagged = flag_source(raw, spec)
+    """One row of counters per source.  The flagged rows are staged, so the
+    landed data is read once; the counters are one aggregation over them, one
+    over the fixed rows and one over the rows without duplicates."""
+    flagged = materialize(flag_source(raw, spec), f"flagged-{spec.name}")
     kept = flagged.filter("_keep").drop("_missing_raw", "_invalid", "_keep")
     fixed = _fill_and_fix(kept)
     cleaned_cols = [c for c in fixed.columns if c not in AUDIT_COLUMNS]
     ret = F.count_if(F.col("_return")) if "_return" in fixed.columns else F.lit(0)
-    kept_n = fixed.select(F.count(F.lit(1))).scalar()
-    rows_out = fixed.select(*cleaned_cols).dropDuplicates().select(F.count(F.lit(1))).scalar()
-    # one-row result; the other counters arrive as scalar subqueries
+    # a group per distinct cleaned row: its size, and what its rows were marked with
+    groups = fixed.groupBy(*cleaned_cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_imputed").alias("_i"), F.sum("_corrected").alias("_c"),
+        ret.alias("_r"))
+    done = groups.agg(F.count(F.lit(1)).alias("rows_out"), *[
+        F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (
+            ("_n", "kept"), ("_i", "imputed"), ("_c", "corrected"), ("_r", "returns"))]).first()
     return flagged.agg(
         F.count(F.lit(1)).cast("bigint").alias("rows_in"),
         F.count_if(F.col("_missing_raw")).cast("bigint").alias("rows_removed_missing"),
         F.count_if(F.col("_invalid")).cast("bigint").alias("rows_dropped_invalid"),
     ).select(
         F.lit(spec.name).alias("source"), "rows_in", "rows_removed_missing", "rows_dropped_invalid",
-        fixed.select(F.coalesce(F.sum("_imputed"), F.lit(0))).scalar().cast("bigint").alias("values_imputed"),
-        fixed.select(F.coalesce(F.sum("_corrected"), F.lit(0))).scalar().cast("bigint").alias("values_corrected"),
-        fixed.select(ret).scalar().cast("bigint").alias("returns_kept"),
-        (kept_n - rows_out).cast("bigint").alias("duplicates_removed"),
-        rows_out.cast("bigint").alias("rows_out"),
+        *[F.lit(v).cast("bigint").alias(n) for n, v in (
+            ("values_imputed", done["imputed"]), ("values_corrected", done["corrected"]),
+            ("returns_kept", done["returns"]), ("duplicates_removed", done["kept"] - done["rows_out"]),
+            ("rows_out", done["rows_out"]))],
     )

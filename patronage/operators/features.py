@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import box_cox, yeo_johnson
 from ..session import materialize
-from .stats import quantile_edges
+from .stats import quantile_edges, quantiles
 
 RFM_COLUMNS = ("Recency", "Frequency", "Monetary")
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str] = RFM_COLUMNS, lo: float = 0.05,
-                    hi: float = 0.95, k: float = 1.5, method: str = "auto", stage: bool = True) -> DataFrame:
+                    hi: float = 0.95, k: float = 1.5, stage: bool = True) -> DataFrame:
     """Per column in turn keep [q_lo - k*IQR, q_hi + k*IQR]; the quantiles
     of each column are taken on the rows left by the previous column.
 
@@ -38,7 +38,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str] = RFM_COLUMNS, lo: float
     """
     out = materialize(df, "outliers-in") if stage else df
     for i, c in enumerate(cols):
-        q_lo, q_hi = quantile_edges(out, c, [lo, hi], method=method)
+        q_lo, q_hi = quantile_edges(out, c, [lo, hi])
         span = q_hi - q_lo
         out = out.filter((F.col(c) >= q_lo - k * span) & (F.col(c) <= q_hi + k * span))
         if stage and i < len(cols) - 1:
@@ -47,11 +47,11 @@ def remove_outliers(df: DataFrame, cols: Sequence[str] = RFM_COLUMNS, lo: float
 
 
 def outlier_flags(df: DataFrame, cols: Sequence[str] = RFM_COLUMNS, lo: float = 0.25,
-                  hi: float = 0.75, k: float = 1.5, method: str = "auto") -> DataFrame:
+                  hi: float = 0.75, k: float = 1.5) -> DataFrame:
     """Flag (do not drop) values outside the fences of the full table."""
-    out = df
+    out, edges = df, quantiles(df, cols, [lo, hi])
     for c in cols:
-        q_lo, q_hi = quantile_edges(df, c, [lo, hi], method=method)
+        q_lo, q_hi = (F.lit(x).cast("double") for x in edges[c])
         span = q_hi - q_lo
         out = out.withColumn(f"{c}_outlier", (F.col(c) < q_lo - k * span) | (F.col(c) > q_hi + k * span))
     return out
@@ -104,7 +104,9 @@ def fit_lambdas(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson",
     expands into (grid index, transformed values) with ``posexplode`` and one
     partial ``groupBy(index)`` returns var_pop per candidate — a handful of
     expressions whatever the grid size, and only ``points`` rows come back.
-    The grid then narrows around the best candidate.
+    The grid then narrows around the best candidate; while that lies on an
+    edge of the first grid, the grid moves on beyond it instead, so ``lo`` and
+    ``hi`` bound nothing.
     """
     xs = [F.col(c).cast("double") for c in cols]
     jac_exprs = [F.sum(F.signum(x) * F.log1p(F.abs(x))) if method == "yeo-johnson" else F.sum(F.log(x + 1.0))
@@ -114,7 +116,8 @@ def fit_lambdas(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson",
     jac = [head[f"j{i}"] or 0.0 for i in range(len(cols))]
     centers = [(lo, hi)] * len(cols)
     best = [1.0] * len(cols)
-    for _ in range(passes):
+    narrowed = [0] * len(cols)
+    while min(narrowed, default=passes) < passes:
         grids = [[a + i * (b - a) / (points - 1) for i in range(points)] for a, b in centers]
         arrays = []
         for i, x in enumerate(xs):
@@ -133,8 +136,13 @@ def fit_lambdas(df: DataFrame, cols: Sequence[str], method: str = "yeo-johnson",
                 scores.append(-n / 2.0 * math.log(v) + (lam - 1.0) * jac[i] if ok else -math.inf)
             j = max(range(len(scores)), key=lambda k: scores[k])
             best[i] = grids[i][j]
-            step = grids[i][1] - grids[i][0]
-            new_centers.append((best[i] - step, best[i] + step))
+            step, width = grids[i][1] - grids[i][0], grids[i][-1] - grids[i][0]
+            at_edge = j in (0, points - 1) and math.isfinite(scores[j]) and width >= hi - lo
+            if at_edge:  # the likelihood still rises: look further on
+                new_centers.append((best[i] - width, best[i] + step) if j == 0 else (best[i] - step, best[i] + width))
+            else:
+                narrowed[i] += 1
+                new_centers.append((best[i] - step, best[i] + step))
         centers = new_centers
     return best
 
@@ -214,10 +222,3 @@ def power_transform_fixed(df: DataFrame, cols: Sequence[str], lambdas: Sequence[
     if standardize:
         out = standard_scale(out, tcols, names=tcols)
     return out
-
-
-def skewness_unbiased(c: str | Column) -> Column:
-    """Bias-corrected sample skewness (Fisher-Pearson adjusted)."""
-    x = F.col(c) if isinstance(c, str) else c
-    n = F.count(x).cast("double")
-    return F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2)

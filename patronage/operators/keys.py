@@ -22,27 +22,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize
 
 _ROW_BITS = 33
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _sorted_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
 def _ordered(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
     cols = _sorted_cols(order)
-    ordered = (df.repartitionByRange(_partitions(df, num_partitions), *cols)
-                 .sortWithinPartitions(*cols)
+    # without a count adaptive execution merges small ranges
+    spread = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ordered = (spread.sortWithinPartitions(*cols)
                  .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = materialize(ordered, "seq")
     return (ordered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS).cast("int"))
@@ -68,31 +62,12 @@ def with_sequential_id(df: DataFrame, order: Sequence[str | Column], name: str =
 
 def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str,
                        name: str = "cum", num_partitions: int | None = None) -> DataFrame:
-    """Add inclusive running sum of ``weight`` along a global order.
-
-    The in-partition prefix sum is a narrow ``mapInPandas`` pass running in
-    the same task as the range partition's sort (so it sees rows in order);
-    its result is stamped and staged like the sequence ids, and partition
-    offsets come from step 3.
-    """
-    cols = _sorted_cols(order)
-    col_local = f"_{name}_local"
-    ranged = df.repartitionByRange(_partitions(df, num_partitions), *cols).sortWithinPartitions(*cols)
-    schema = T.StructType(ranged.schema.fields + [T.StructField(col_local, T.LongType())])
-
-    def prefix(batches):
-        carry = 0
-        for pdf in batches:
-            local = pdf[weight].astype("int64").cumsum() + carry
-            if len(local):
-                carry = int(local.iloc[-1])
-            pdf[col_local] = local
-            yield pdf
-
-    local = ranged.mapInPandas(prefix, schema).withColumn("_mid", F.monotonically_increasing_id())
-    local = materialize(local, "cum")
-    local = local.withColumn("_pid", F.shiftright("_mid", _ROW_BITS).cast("int"))
-    offsets = _offsets(local, F.col(weight).cast("bigint"))
+    """Add inclusive running sum of ``weight`` along a global order: a window
+    inside each range partition of the staged rows, and partition offsets."""
+    ordered = _ordered(df, order, num_partitions)
+    inside = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    local = ordered.withColumn("_in", F.sum(F.col(weight).cast("bigint")).over(inside))
+    offsets = _offsets(ordered, F.col(weight).cast("bigint"))
     return (local.join(F.broadcast(offsets), "_pid")
-                 .withColumn(name, (F.col("_off") + F.col(col_local)).cast("bigint"))
-                 .drop("_mid", "_pid", "_off", col_local))
+                 .withColumn(name, (F.col("_off") + F.col("_in")).cast("bigint"))
+                 .drop("_mid", "_pid", "_pos", "_off", "_in"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import with_sequential_id
-from .stats import quantile_edges
+from .stats import group_quantiles, quantiles
 
 
 def one_row(df: DataFrame) -> DataFrame:
@@ -74,11 +74,10 @@ def lifespan(df: DataFrame, customer: str = "customer_id", date: str = "date") -
 def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     """Quartiles and 1.5-IQR whiskers clipped to the data, per group.
 
-    The exact per-group ``percentile`` keeps one entry per distinct value of a
-    group; used on day counts (lifespans) that set is bounded by the calendar
-    span, so even a group holding a third of the rows stays small."""
-    q = df.groupBy(by).agg(F.percentile(F.col(value).cast("double"), [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    Quartiles come from ``group_quantiles``: a group's values are spread over
+    range partitions, so a group may hold any share of the rows."""
+    q = group_quantiles(df, [by], value, [0.25, 0.5, 0.75])
+    q = q.select(by, *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))])
     j = df.join(q, by)  # one row per group on the right
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
@@ -90,9 +89,9 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
 
 def quantiles_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles per column (long form)."""
-    parts = []
+    parts, found = [], quantiles(df, cols, probs)
     for c in cols:
-        edges = quantile_edges(df, c, probs)
+        edges = [F.lit(x).cast("double") for x in found[c]]
         parts.append(one_row(df).select(F.lit(c).alias("column"),
                                         *[e.alias(f"p{int(round(p * 100)):02d}") for p, e in zip(probs, edges)]))
     out = parts[0]
@@ -103,11 +102,11 @@ def quantiles_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max — exact quartiles via
-    ``quantile_edges`` (distinct-count checked, distributed beyond the bound)."""
-    parts = []
+    ``quantiles``, one pass for all columns."""
+    parts, found = [], quantiles(df, cols, [0.25, 0.5, 0.75])
     for c in cols:
         x = F.col(c).cast("double")
-        q25, q50, q75 = quantile_edges(df, c, [0.25, 0.5, 0.75])
+        q25, q50, q75 = (F.lit(v).cast("double") for v in found[c])
         parts.append(df.agg(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
@@ -291,10 +290,6 @@ def skewness_table(df: DataFrame, cols: Sequence[str], nd: int = 6) -> DataFrame
     return out
 
 
-def sqrt_n_bins(n: int) -> int:
-    return max(1, int(math.ceil(math.sqrt(n))))
-
-
 ID_ALIASES = ("customer_id", "customerid", "id", "cust_id")
 
 
@@ -387,16 +382,17 @@ def validation_rules(df: DataFrame, min_date: str, max_date: str) -> DataFrame:
 
 
 def dedup_across_sources(df: DataFrame, key: Sequence[str], keep: Sequence[str], ranks: dict[str, int],
-                         source: str = "source", tiebreak: str = "transaction_id") -> DataFrame:
-    """One row per business key, from the best-ranked source (then the
-    smallest id) — an aggregate, so a hot key is combined map-side instead of
-    being sorted in one window partition."""
+                         source: str = "source", time: str = "timestamp",
+                         tiebreak: str = "transaction_id") -> DataFrame:
+    """One row per business key, the earliest (then the best-ranked source,
+    then the smallest id) — an aggregate, so a hot key is combined map-side
+    instead of being sorted in one window partition."""
     rank = None
     for name, r in ranks.items():
         cond = F.col(source) == name
         rank = F.when(cond, F.lit(r)) if rank is None else rank.when(cond, F.lit(r))
     rank = rank.otherwise(F.lit(len(ranks)))
-    best = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(rank, F.col(tiebreak))).alias("_b")
+    best = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(F.col(time), rank, F.col(tiebreak))).alias("_b")
     return df.groupBy(*key).agg(best).select(*key, *[F.col(f"_b.{c}").alias(c) for c in keep])
 
 

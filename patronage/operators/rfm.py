@@ -19,7 +19,7 @@ from ..functions.exprs import (
 )
 from ..session import materialize
 from .keys import with_sequential_id
-from .stats import median_of, quantile_edges
+from .stats import median_of, quantiles
 
 
 def positive_sales(df: DataFrame, amount: str = "total_amount") -> DataFrame:
@@ -91,10 +91,11 @@ def score_columns(df: DataFrame, q: int = 5, reverse_recency: bool = True,
     if stage:  # one write; the quantile passes then scan a small stage table
         df = materialize(df, "rfm-scores-in")
     out = df
+    found = quantiles(df, ["Recency", "Frequency", "Monetary"], probs) if method == "edges" else {}
     for src, dst in (("Recency", "R_Score"), ("Frequency", "F_Score"), ("Monetary", "M_Score")):
         rev = reverse_recency and src == "Recency"
         if method == "edges":
-            edges = quantile_edges(df, src, probs)
+            edges = [F.lit(x).cast("double") for x in found[src]]
             out = out.withColumn(dst, edge_score(src, edges, reverse=rev))
         elif method == "rank":
             n = df.select(F.count(F.lit(1))).scalar()
@@ -117,13 +118,6 @@ def segment_scores(df: DataFrame) -> DataFrame:
               .withColumn("Segment", segment_of("R_Score", "F_Score", "M_Score")))
 
 
-def guest_rfm(df: DataFrame, customer: str = "customer_id", date: str = "date",
-              amount: str = "total_amount", q: int = 5, method: str = "edges") -> DataFrame:
-    """Upload / guest flow: row-count RFM, quintile scores, code and segment."""
-    base = rfm_by_rows(df, customer, date, amount)
-    return segment_scores(score_columns(base, q=q, method=method, order=(customer,)))
-
-
 def category_shares_long(df: DataFrame, customer: str = "customer_id",
                          category: str = "category", amount: str = "total_amount") -> DataFrame:
     """Share of each customer's spend per category (long form)."""

@@ -1,72 +1,84 @@
-"""Exact statistics that stay distributed.
-
-Quantiles: Spark's exact ``percentile`` keeps one (value -> count) entry per
-distinct value, partially aggregated per task and merged in one final task.
-So the number of distinct values is checked first (one HyperLogLog pass,
-``approx_count_distinct``); within the bound ``percentile`` runs directly.
-Beyond it, values are reduced to (value, count) pairs, range-partitioned, a
-global running count is built (see ``keys.with_running_total``) and the two
-order statistics around each interpolation point are read back — still
-exact, and no task ever holds more than its own range.
+"""Exact interpolated quantiles, by one distributed path at every size.
+
+1. Values are counted: one row per group and distinct value, combined
+   map-side, so repeated values cost nothing further.
+2. The counted values are range-partitioned by group and value and staged with
+   their partition number; a window inside a partition gives running counts.
+3. Counts per group and partition (a row per partition) give each partition's
+   offset.
+4. One aggregate reads the order statistics around every interpolation point
+   of every group.
+
+No task holds more than its own range of distinct values, whatever their
+number or a group's share of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import with_running_total
+from ..session import materialize
+
+
+def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column, probs: Sequence[float]) -> DataFrame:
+    """One row per group of ``by`` with an array ``quantiles`` (linear
+    interpolation, like ``quantile_cont``; null values are left out)."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    key = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
+    counts = (df.select(key.alias("_g"), v.alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    ranged = materialize(counts.repartitionByRange("_g", "_v").withColumn("_pid", F.spark_partition_id()), "quantiles")
+    sums = ranged.groupBy("_g", "_pid").agg(F.sum("_n").alias("_sum"))
+    group = Window.partitionBy("_g")  # rows: partitions that hold the group
+    offsets = sums.select(
+        "_g", "_pid",
+        F.coalesce(F.sum("_sum").over(group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_sum").over(group).alias("_total"))
+    inside = Window.partitionBy("_g", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = ranged.withColumn("_in", F.sum("_n").over(inside)).join(offsets, ["_g", "_pid"])
+    end = F.col("_off") + F.col("_in")
+    begin = end - F.col("_n")
+
+    def between(p: float) -> Column:
+        h = (F.col("_total") - 1) * F.lit(float(p))
 
-# Distinct values a single task may hold for an exact weighted percentile.
-MAX_DISTINCT_FOR_LOCAL_PERCENTILE = 2_000_000
+        def at(k: Column) -> Column:
+            return F.max(F.when((begin <= k) & (k < end), F.col("_v")))
 
+        low, high = at(F.floor(h)), at(F.ceil(h))
+        return low + (F.max(h) - F.max(F.floor(h))) * (high - low)
 
-def _value_counts(df: DataFrame, c: str | Column) -> DataFrame:
-    v = (F.col(c) if isinstance(c, str) else c).cast("double")
-    return df.select(v.alias("_v")).where(F.col("_v").isNotNull()).groupBy("_v").agg(
-        F.count(F.lit(1)).alias("_n"))
+    out = cum.groupBy("_g").agg(F.array(*[between(p) for p in probs]).alias("quantiles"))
+    return out.select(*[F.col(f"_g.{c}").alias(c) for c in by], "quantiles")
 
 
-def quantile_edges(df: DataFrame, c: str | Column, probs: Sequence[float],
-                   method: str = "auto", accuracy: int = 100_000) -> list[Column]:
-    """Interpolated quantiles (linear, like ``quantile_cont``) as scalar Columns.
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """The quantiles of several columns, all from one pass over ``df``: one row per column reaches the driver."""
+    long = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("c", "v"))
+    rows = group_quantiles(long, ["c"], "v", probs).collect()
+    found = {r["c"]: list(r["quantiles"]) for r in rows}
+    return {c: found.get(i, [None] * len(probs)) for i, c in enumerate(cols)}
 
-    method: ``auto`` (exact; local percentile if distinct values are within
-    the bound, else distributed), ``exact`` (Spark ``percentile`` on value
-    counts), ``distributed``, or ``approx`` (``percentile_approx``).
+
+def quantile_edges(df: DataFrame, c: str | Column, probs: Sequence[float], method: str = "exact",
+                   accuracy: int = 100_000) -> list[Column]:
+    """The quantiles of one column as literal Columns.
+
+    method: ``exact``, or ``approx`` (``percentile_approx``) where the caller asks for a sketch.
     """
-    probs = [float(p) for p in probs]
-    v = (F.col(c) if isinstance(c, str) else c).cast("double")
     if method == "approx":
-        arr = df.select(F.percentile_approx(v, probs, accuracy)).scalar()
-        return [F.element_at(arr, i + 1) for i in range(len(probs))]
-    if method == "auto":
-        # HLL estimate (rsd 5 %) with a margin, against the exact-percentile bound
-        distinct = df.select(F.approx_count_distinct(v, 0.05)).first()[0] or 0
-        method = "exact" if distinct * 1.2 <= MAX_DISTINCT_FOR_LOCAL_PERCENTILE else "distributed"
-    if method == "exact":
-        arr = df.select(F.percentile(v, F.array(*[F.lit(p) for p in probs]))).scalar()
+        v = (F.col(c) if isinstance(c, str) else c).cast("double")
+        arr = df.select(F.percentile_approx(v, [float(p) for p in probs], accuracy)).scalar()
         return [F.element_at(arr, i + 1) for i in range(len(probs))]
-    if method != "distributed":
+    if method != "exact":
         raise ValueError(f"unknown method {method!r}")
-    counts = _value_counts(df, c)
-    cum = with_running_total(counts, ["_v"], "_n", name="_cum")
-    n = cum.select(F.max("_cum")).scalar()
-    out = []
-    for p in probs:
-        h = (n - 1) * F.lit(p)
-        lo, hi = F.floor(h), F.ceil(h)
-
-        def at(k):
-            return cum.where((F.col("_cum") - F.col("_n") <= k) & (k < F.col("_cum"))).select(
-                F.first("_v")).scalar()
-
-        vlo, vhi = at(lo), at(hi)
-        out.append(vlo + (h - lo) * (vhi - vlo))
-    return out
+    named = df.select((F.col(c) if isinstance(c, str) else c).alias("v"))
+    return [F.lit(x).cast("double") for x in quantiles(named, ["v"], probs)["v"]]
 
 
-def median_of(df: DataFrame, c: str | Column, method: str = "auto") -> Column:
-    return quantile_edges(df, c, [0.5], method=method)[0]
+def median_of(df: DataFrame, c: str | Column) -> Column:
+    return quantile_edges(df, c, [0.5])[0]

@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from patronage.operators.keys import with_running_total, with_sequential_id
-from patronage.operators.stats import quantile_edges
+from patronage.operators.stats import group_quantiles, quantile_edges, quantiles
 
 
 def test_sequential_id_dense_and_ordered(spark):
@@ -27,6 +27,18 @@ def test_quantiles_all_methods_agree(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     probs = [0.05, 0.25, 0.5, 0.95]
     want = np.quantile(vals, probs)  # linear interpolation
-    for method in ("exact", "distributed", "auto"):
-        got = df.select(*[e.alias(f"q{i}") for i, e in enumerate(quantile_edges(df, "x", probs, method))]).first()
-        assert np.allclose(list(got), want), method
+    got = df.select(*[e.alias(f"q{i}") for i, e in enumerate(quantile_edges(df, "x", probs))]).first()
+    assert np.allclose(list(got), want)
+
+
+def test_group_quantiles_with_hot_group_ties_and_nulls(spark):
+    rng = np.random.default_rng(2)
+    rows = [("hot" if k % 3 else None, float(rng.integers(0, 50)) if k % 7 else None) for k in range(4000)]
+    rows += [("one", 3.5), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: r["quantiles"] for r in group_quantiles(df, ["g"], "x", [0.0, 0.3, 1.0]).collect()}
+    assert set(got) == {"hot", None, "one"}
+    for g in got:
+        assert np.allclose(got[g], np.quantile([x for k, x in rows if k == g and x is not None], [0.0, 0.3, 1.0]))
+    both = quantiles(df.select("x", (F.col("x") * 2).alias("y"), F.lit(None).alias("z")), ["x", "y", "z"], [0.5])
+    assert both["y"][0] == 2 * both["x"][0] and both["z"] == [None]
