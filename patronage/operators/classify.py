@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .keys import with_running_total, with_sequential_id
 
 EXCLUDED = ("customer_id", "Cluster", "Segment")
@@ -64,17 +65,22 @@ def stratified_folds(df: DataFrame, label: str, id_col: str = "customer_id", k:
     return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
 
 
+def _depth(max_depth: int | None) -> int:
+    if max_depth is not None and not 0 <= max_depth <= MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is not between 0 and {MAX_TREE_DEPTH}, the deepest tree Spark grows")
+    return MAX_TREE_DEPTH if max_depth is None else max_depth
+
+
 def decision_tree(max_depth: int | None = None, seed: int = 42, label: str = "label",
                   features: str = "features") -> DecisionTreeClassifier:
     """Gini tree; no depth given -> Spark's maximum."""
-    return DecisionTreeClassifier(impurity="gini", maxDepth=min(max_depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH),
-                                  seed=seed, labelCol=label, featuresCol=features)
+    return DecisionTreeClassifier(impurity="gini", maxDepth=_depth(max_depth), seed=seed, labelCol=label, featuresCol=features)
 
 
-def random_forest(n_trees: int = 100, seed: int = 42, label: str = "label",
+def random_forest(n_trees: int = 100, max_depth: int | None = None, seed: int = 42, label: str = "label",
                   features: str = "features") -> RandomForestClassifier:
-    """Bootstrap, sqrt(features) per split."""
-    return RandomForestClassifier(numTrees=n_trees, featureSubsetStrategy="sqrt", bootstrap=True, seed=seed,
+    """Bootstrap, sqrt(features) per split; no depth given -> full trees, up to Spark's maximum."""
+    return RandomForestClassifier(numTrees=n_trees, maxDepth=_depth(max_depth), featureSubsetStrategy="sqrt", bootstrap=True, seed=seed,
                                   impurity="gini", labelCol=label, featuresCol=features)
 
 
@@ -87,7 +93,9 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
                           nd: int = 6) -> DataFrame:
     """Per-class precision / recall / F1 / support, then accuracy, macro
     and weighted averages; 0 where a ratio would divide by zero."""
-    pairs = pred.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    # one pass over the predictions; everything else reads a row per pair of classes
+    pairs = materialize(pred.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p")).agg(
+        F.count(F.lit(1)).alias("n")), "report-pairs")
     tp = pairs.where(F.col("y") == F.col("p")).select(F.col("y").alias("cls"), F.col("n").alias("tp"))
     sup = pairs.groupBy(F.col("y").alias("cls")).agg(F.sum("n").alias("support"))
     predn = pairs.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("predicted"))
@@ -100,8 +108,9 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     per = per.withColumn("precision", prec).withColumn("recall", rec).withColumn(
         "f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),
                          F.lit(0.0)))
-    total = pred.select(F.count(F.lit(1))).scalar()
-    acc = pred.select(F.avg((F.col(label) == F.col(prediction)).cast("double"))).scalar()
+    total = pairs.select(F.sum("n")).scalar()
+    acc = pairs.select(F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).cast("double")
+                       / F.sum("n")).scalar()
     classes = per.where(F.col("support") > 0)
     macro = classes.agg(F.lit("macro avg").alias("cls"), F.avg("precision").alias("precision"),
                         F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),

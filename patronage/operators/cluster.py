@@ -10,6 +10,7 @@ is broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -32,11 +33,15 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 
 
 def _fit_one(df: DataFrame, k: int, seed: int, features: str, max_iter: int) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="Cluster", maxIter=max_iter).fit(df)
+    model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="Cluster", maxIter=max_iter).fit(df)
+    if model.summary.numIter >= max_iter:
+        warnings.warn(f"k-means with k={k}, seed={seed} stopped at {max_iter} iterations before it settled",
+                      RuntimeWarning, stacklevel=3)
+    return model
 
 
 def kmeans_best_of(df: DataFrame, k: int, n_init: int = 10, seed: int = 42, features: str = "features",
-                   max_iter: int = 50) -> KMeansModel:
+                   max_iter: int = 300) -> KMeansModel:
     """K clusters, ``n_init`` seeded starts, lowest within-cluster SSE wins."""
     cached = df.select(features).persist()
     try:
@@ -55,7 +60,7 @@ def inertia_k1(df: DataFrame, cols: Sequence[str]) -> float:
 
 
 def k_selection(df: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, features: str = "features",
-                seed: int = 42, max_iter: int = 50, parallelism: int = 16) -> DataFrame:
+                seed: int = 42, max_iter: int = 300, parallelism: int = 16) -> DataFrame:
     """Silhouette (squared Euclidean, Spark's) and inertia per k, plus best k.
 
     All (k, seed) fits are independent jobs over one cached frame and are
@@ -141,7 +146,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

@@ -78,16 +78,21 @@ def customer_profiles(lines: DataFrame, countries: Sequence[str] = DEFAULT_COUNT
 
 
 def merge_sources(frames: Sequence[DataFrame | None], countries: Sequence[str] = DEFAULT_COUNTRIES,
-                  keep_source: bool = False) -> DataFrame:
-    """Union, normalise ids and dates, harmonise profiles, recompute totals."""
+                  keep_source: bool = False, ranks: dict[str, int] = SOURCE_RANK) -> DataFrame:
+    """Union, normalise ids and dates, harmonise profiles, recompute totals.
+
+    ``keep_source`` adds ``source`` and ``timestamp``, the landed time before
+    it is cut to a day.
+    """
     full = union_sources(frames)
     for c in ("country", "gender", "age", "category", "source"):
         if c not in full.columns:
             full = full.withColumn(c, F.lit(None).cast("double" if c == "age" else "string"))
-    full = (full.withColumn("date", F.to_date("date"))                                   # P24
+    full = (full.withColumn("timestamp", F.col("date").cast("timestamp_ntz"))
+                .withColumn("date", F.to_date("date"))                                   # P24
                 .withColumn("transaction_id", F.col("transaction_id").cast("string"))
                 .withColumn("customer_id", id_before_dot("customer_id")))              # P25
-    profile = customer_profiles(full, countries)
+    profile = customer_profiles(full, countries, ranks)
     lines = full.drop("age", "gender", "country").join(profile, "customer_id", "left")  # J02
     qty = F.coalesce(F.col("quantity").cast("string").try_cast("double"), F.lit(0.0))
     price = F.coalesce(F.col("unit_price").cast("string").try_cast("double"), F.lit(0.0))
@@ -98,5 +103,5 @@ def merge_sources(frames: Sequence[DataFrame | None], countries: Sequence[str] =
                   .withColumn("age", F.round("age").cast("int")))
     cols = [c for c in MERGED_COLUMNS if c in lines.columns]                             # P27
     if keep_source:
-        cols.append("source")
+        cols += ["source", "timestamp"]
     return lines.select(*cols)

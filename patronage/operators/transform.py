@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import first_digit_run, hash_pick, hash_range
+from .cleaning import SourceSpec
 from .keys import with_sequential_id
 
 # Fixed label set of the product categoriser.
@@ -56,31 +57,45 @@ def keyword_category(name: str | Column, keywords: dict[str, Sequence[str]] = DE
 
 
 def categorize(df: DataFrame, name: str = "product_name", out: str = "category",
-               classifier: Callable[[pd.Series], pd.Series] | None = None) -> DataFrame:
+               classifier: Callable[[pd.Series], pd.Series] | None = None, failed: str | None = None) -> DataFrame:
     """Product name -> one of ``CANDIDATE_LABELS`` (else 'Other').
 
     Default: keyword expression evaluated per row (cheaper than a shuffle).
     With ``classifier`` (a vectorised pandas function, e.g. a model), it is
     applied once per *distinct* name through a pandas UDF and joined back;
     Spark picks broadcast or shuffle join from the measured size of the
-    distinct-name table.  Failures and unknown names become 'Other'.
+    distinct-name table.  Failures and unknown names become 'Other'.  A name
+    whose batch fails is tried again alone, so an exception costs only the
+    names that raise it; ``failed`` names a boolean column that marks their rows.
     """
     if classifier is None:
-        return df.withColumn(out, F.when(F.col(name).isNull(), F.lit(FALLBACK_LABEL))
-                             .otherwise(keyword_category(name)))
-
-    @F.pandas_udf("string")
-    def classify(names: pd.Series) -> pd.Series:
-        try:
-            labels = pd.Series(classifier(names), index=names.index).astype("object")
-        except Exception:  # noqa: BLE001 - a failing batch falls back, like the source
-            labels = pd.Series([FALLBACK_LABEL] * len(names), index=names.index, dtype="object")
-        return labels.where(labels.isin(CANDIDATE_LABELS), FALLBACK_LABEL)
+        out_df = df.withColumn(out, F.when(F.col(name).isNull(), F.lit(FALLBACK_LABEL))
+                               .otherwise(keyword_category(name)))
+        return out_df.withColumn(failed, F.lit(False)) if failed else out_df
+
+    @F.pandas_udf("label string, failed boolean")
+    def classify(names: pd.Series) -> pd.DataFrame:
+        def tried(part: pd.Series) -> pd.Series | None:
+            try:
+                return pd.Series(list(classifier(part)), index=part.index, dtype="object")
+            except Exception:  # noqa: BLE001 - reported per row
+                return None
+
+        labels = tried(names)
+        if labels is None:
+            single = [tried(names.iloc[i:i + 1]) for i in range(len(names))]
+            labels = pd.Series([None if x is None else x.iloc[0] for x in single], index=names.index, dtype="object")
+            bad = pd.Series([x is None for x in single], index=names.index)
+        else:
+            bad = pd.Series(False, index=names.index)
+        return pd.DataFrame({"label": labels.where(labels.isin(CANDIDATE_LABELS), FALLBACK_LABEL), "failed": bad})
 
     mapping = (df.select(name).where(F.col(name).isNotNull()).distinct()
-                 .withColumn("_label", classify(F.col(name))))
-    return (df.join(mapping, name, "left")
-              .withColumn(out, F.coalesce(F.col("_label"), F.lit(FALLBACK_LABEL))).drop("_label"))
+                 .withColumn("_found", classify(F.col(name))))
+    joined = df.join(mapping, name, "left").withColumn(out, F.coalesce("_found.label", F.lit(FALLBACK_LABEL)))
+    if failed:
+        joined = joined.withColumn(failed, F.coalesce("_found.failed", F.lit(False)))
+    return joined.drop("_found")
 
 
 def fill_demographics(df: DataFrame, customer: str = "customer_id", age_range=TRANSFORM_AGE) -> DataFrame:
@@ -127,11 +142,14 @@ def ensure_ids(df: DataFrame, offset: int = 0, c: str = "transaction_id",
     return keyed.withColumn(c, F.col(c).cast("string"))
 
 
-def transform_retail(clean: DataFrame, source: str = "Kaggle") -> DataFrame:
-    df = clean.withColumn("customer_id", first_digit_run("customer_id"))  # P16
-    df = df.drop("total_amount", "product_name")                          # P17
+def transform_retail(clean: DataFrame, offset: Column | int | None = None, source: str = "Kaggle") -> DataFrame:
+    df = ensure_ids(clean)
+    if offset is not None:
+        df = offset_ids(df, offset)
+    df = df.withColumn("customer_id", first_digit_run("customer_id"))  # P16
+    df = df.drop("total_amount", "product_name")                       # P17
     df = fill_demographics(df)
-    return df.withColumn("source", F.lit(source))                         # P18
+    return df.withColumn("source", F.lit(source))                      # P18
 
 
 def transform_online(clean: DataFrame, offset: Column | int, source: str = "UCI",
@@ -148,28 +166,32 @@ def transform_online(clean: DataFrame, offset: Column | int, source: str = "UCI"
 
 def transform_orders(clean: DataFrame, offset: Column | int, source: str = "ORD",
                      classifier=None) -> DataFrame:
-    df = clean.drop("sku_code")
-    df = offset_ids(df, offset)
-    df = df.withColumn("customer_id", first_digit_run("customer_id"))
-    df = fill_demographics(df)
-    df = categorize(df, classifier=classifier).drop("product_name")
-    return df.withColumn("source", F.lit(source))
-
-
-def transform_all(retail: DataFrame | None, online: DataFrame | None, orders: DataFrame | None,
-                  gap: int = 1000, classifier=None) -> list[DataFrame]:
-    """Chain the three sources; an absent source leaves the running max as is."""
-    out = []
-    running = F.lit(0).cast("bigint")
-    if retail is not None:
-        r = transform_retail(retail)
-        out.append(r)
-        running = F.coalesce(numeric_max(r), F.lit(0))
-    if online is not None:
-        u = transform_online(online, running + gap, classifier=classifier)
-        out.append(u)
-        running = F.coalesce(numeric_max(u), running)
-    if orders is not None:
-        o = transform_orders(orders, running + gap, classifier=classifier)
-        out.append(o)
+    return transform_online(clean.drop("sku_code"), offset, source, classifier=classifier)
+
+
+def kind_of(spec: SourceSpec, clean: DataFrame) -> str:
+    """How a source is transformed: as declared, else by its columns."""
+    if spec.kind != "auto":
+        return spec.kind
+    named = {"product_name", "description"} & set(clean.columns)
+    return "online" if named and "category" not in clean.columns else "retail"
+
+
+def transform_sources(cleaned: Sequence[tuple[SourceSpec, DataFrame]], gap: int = 1000,
+                      classifier=None) -> list[DataFrame]:
+    """Every source given, in order of rank, whatever its name; the numeric ids
+    of each are shifted past those of the sources before it."""
+    out: list[DataFrame] = []
+    running: Column = F.lit(0).cast("bigint")
+    for spec, clean in sorted(cleaned, key=lambda x: x[0].rank):
+        kind = kind_of(spec, clean)
+        if kind == "retail":
+            df = transform_retail(clean, running + gap if out else None, spec.name)
+        elif kind in ("online", "orders"):
+            step = transform_online if kind == "online" else transform_orders
+            df = step(clean, running + gap, spec.name, classifier=classifier)
+        else:
+            raise ValueError(f"source {spec.name}: unknown kind {spec.kind!r}")
+        out.append(df)
+        running = F.coalesce(numeric_max(df), running)
     return out

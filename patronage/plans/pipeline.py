@@ -48,8 +48,8 @@ def run_pipeline(spark: SparkSession, specs=SOURCES, out_dir: str | None = None,
         cleaned[name] = materialize(C.clean_source(raw, spec), f"clean-{name}")
         a = C.cleaning_audit(raw, spec)
         audit = a if audit is None else audit.unionByName(a)
-    frames = TR.transform_all(cleaned.get("Kaggle"), cleaned.get("UCI"), cleaned.get("ORD"))
-    merged = materialize(MG.merge_sources(frames), "merged")
+    frames = TR.transform_sources([(present[n][0], df) for n, df in cleaned.items()])
+    merged = materialize(MG.merge_sources(frames, ranks={s.name: s.rank for s, _ in present.values()}), "merged")
     wh = WH.build_warehouse(merged)
     lines = R.realign_years(R.positive_sales(WH.star_join_rfm(wh)))
     rfm = R.rfm(lines).withColumn("Monetary", F.col("Monetary").cast("double"))

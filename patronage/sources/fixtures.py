@@ -2,16 +2,18 @@
 
 Each fixture is one SQL text that runs unchanged on Spark and on DuckDB, so
 the oracle and the Spark job start from identical rows.  The three raw
-sources split ``lineitem`` by order key into three disjoint parts that
-together cover every line (the split is what makes them three sources, not a
-sample).  All raw columns are strings, as landed files are.
+sources that are merged split ``lineitem`` by order key into three disjoint
+parts that together cover every line; the ALL_ frames hold every line in the
+form of one source, for the queries about a single source.  All raw columns are strings, as landed files are.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import register_tables
+from .tables import TABLES, register_tables
 
 # Merged-shape sales lines (one row per line item).
 SALES_SQL = """
@@ -33,7 +35,7 @@ JOIN part p ON l.l_partkey=p.p_partkey
 # Raw retail-sales source: bad dates, '-9' and 150 ages, mixed-case genders,
 # '?' categories, empty quantities, negative prices.  Canonical names here;
 # ``RETAIL_SOURCE_NAMES`` gives the landed header names.
-RAW_RETAIL_SQL = """
+_RETAIL_TEMPLATE = """
 SELECT CAST(l.l_orderkey AS STRING) AS transaction_id,
  CASE WHEN l.l_orderkey % 101 = 0 THEN 'not a date' ELSE CAST(CAST(o.o_orderdate AS DATE) AS STRING) END AS date,
  concat('CUST', CAST(o.o_custkey AS STRING)) AS customer_id,
@@ -46,7 +48,7 @@ SELECT CAST(l.l_orderkey AS STRING) AS transaction_id,
       ELSE CAST(CAST(p.p_retailprice AS DECIMAL(10,2)) AS STRING) END AS unit_price,
  CAST(NULL AS STRING) AS total_amount
 FROM lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey
-JOIN part p ON l.l_partkey=p.p_partkey WHERE l.l_orderkey % 3 = 0
+JOIN part p ON l.l_partkey=p.p_partkey {where}
 """
 
 _ONLINE_TEMPLATE = """
@@ -60,24 +62,28 @@ SELECT CASE WHEN l.l_returnflag='R' THEN concat('C', CAST(l.l_orderkey AS STRING
  CASE WHEN c.c_nationkey = 0 THEN 'missing' ELSE n.n_name END AS Country
 FROM lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey JOIN customer c ON o.o_custkey=c.c_custkey
 JOIN nation n ON c.c_nationkey=n.n_nationkey JOIN part p ON l.l_partkey=p.p_partkey
-WHERE l.l_orderkey % 3 = {part}
+{where}
 """
 
 # Raw online-retail source: cancelled 'C…' invoices, returns, 'nan' and
 # 'missing' markers, m/d/yyyy h:mm dates, null and '451.0'-style ids.
-RAW_ONLINE_SQL = _ONLINE_TEMPLATE.format(
-    part=1,
-    date_expr=("concat(CAST(month(o.o_orderdate) AS STRING), '/', CAST(day(o.o_orderdate) AS STRING), '/', "
-               "CAST(year(o.o_orderdate) AS STRING), ' 8:26')"),
-)
+_ONLINE_DATE = ("concat(CAST(month(o.o_orderdate) AS STRING), '/', CAST(day(o.o_orderdate) AS STRING), '/', "
+               "CAST(year(o.o_orderdate) AS STRING), ' 8:26')")
 
 # Raw order-API source: same shape, dates written MM-dd-yyyy HH:mm.
-RAW_ORDERS_SQL = _ONLINE_TEMPLATE.format(
-    part=2,
-    date_expr=("concat(lpad(CAST(month(o.o_orderdate) AS STRING), 2, '0'), '-', "
+_ORDERS_DATE = ("concat(lpad(CAST(month(o.o_orderdate) AS STRING), 2, '0'), '-', "
                "lpad(CAST(day(o.o_orderdate) AS STRING), 2, '0'), '-', "
-               "CAST(year(o.o_orderdate) AS STRING), ' 08:26')"),
-)
+               "CAST(year(o.o_orderdate) AS STRING), ' 08:26')")
+
+
+def _third(part: int | None) -> str:
+    """The lines of one of the three sources that are merged; None: all lines."""
+    return "" if part is None else f"WHERE l.l_orderkey % 3 = {part}"
+
+
+RAW_RETAIL_SQL, ALL_RETAIL_SQL = (_RETAIL_TEMPLATE.format(where=_third(p)) for p in (0, None))
+RAW_ONLINE_SQL, ALL_ONLINE_SQL = (_ONLINE_TEMPLATE.format(where=_third(p), date_expr=_ONLINE_DATE) for p in (1, None))
+RAW_ORDERS_SQL, ALL_ORDERS_SQL = (_ONLINE_TEMPLATE.format(where=_third(p), date_expr=_ORDERS_DATE) for p in (2, None))
 
 # Purchases of anonymous / uploaded customers (guest RFM input).
 PURCHASES_SQL = """
@@ -99,7 +105,7 @@ RETAIL_SOURCE_NAMES = {
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    register_tables(spark, sf_dir)
+    register_tables(spark, sf_dir, [t for t in TABLES if re.search(rf"\b{t}\b", text)])
     return spark.sql(text)
 
 
@@ -107,18 +113,18 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, SALES_SQL)
 
 
-def raw_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_retail(spark: SparkSession, sf_dir: str, every_line: bool = False) -> DataFrame:
     """Retail-sales source with its landed (space-separated) header names."""
-    df = _sql(spark, sf_dir, RAW_RETAIL_SQL)
+    df = _sql(spark, sf_dir, ALL_RETAIL_SQL if every_line else RAW_RETAIL_SQL)
     return df.select([df[c].alias(RETAIL_SOURCE_NAMES[c]) for c in df.columns])
 
 
-def raw_online(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, RAW_ONLINE_SQL)
+def raw_online(spark: SparkSession, sf_dir: str, every_line: bool = False) -> DataFrame:
+    return _sql(spark, sf_dir, ALL_ONLINE_SQL if every_line else RAW_ONLINE_SQL)
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, RAW_ORDERS_SQL)
+def raw_orders(spark: SparkSession, sf_dir: str, every_line: bool = False) -> DataFrame:
+    return _sql(spark, sf_dir, ALL_ORDERS_SQL if every_line else RAW_ORDERS_SQL)
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

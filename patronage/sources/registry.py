@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import SourceSpec
 from . import fixtures as X
-from .files import read_source
 
-RETAIL = SourceSpec(name="Kaggle", date_formats=("yyyy-MM-dd",), rank=0)
-ONLINE = SourceSpec(name="UCI", date_formats=("M/d/yyyy H:mm",), rank=1)
-ORDERS = SourceSpec(name="ORD", date_formats=("MM-dd-yyyy HH:mm",), rank=2)
+RETAIL = SourceSpec(name="Kaggle", date_formats=("yyyy-MM-dd",), rank=0, kind="retail")
+ONLINE = SourceSpec(name="UCI", date_formats=("M/d/yyyy H:mm",), rank=1, kind="online")
+ORDERS = SourceSpec(name="ORD", date_formats=("MM-dd-yyyy HH:mm",), rank=2, kind="orders")
 SOURCES = (RETAIL, ONLINE, ORDERS)
 
 
@@ -25,13 +24,3 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, tuple[SourceS
         ONLINE.name: (ONLINE, X.raw_online(spark, sf_dir)),
         ORDERS.name: (ORDERS, X.raw_orders(spark, sf_dir)),
     }
-
-
-def file_sources(spark: SparkSession, specs=SOURCES) -> dict[str, tuple[SourceSpec, DataFrame]]:
-    """Read every spec that has a landed file; absent sources are left out."""
-    out = {}
-    for spec in specs:
-        df = read_source(spark, spec)
-        if df is not None:
-            out[spec.name] = (spec, df)
-    return out

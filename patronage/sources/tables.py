@@ -26,11 +26,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """Read the named tables and expose them as temp views of the same name."""
+    """Read the named tables and expose them as temp views of the same name;
+    a table that is absent is Spark's error, wherever the path points."""
     out = {}
     for name in names:
-        if not os.path.exists(table_path(sf_dir, name)):
-            continue
         df = read_table(spark, sf_dir, name)
         df.createOrReplaceTempView(name)
         out[name] = df
