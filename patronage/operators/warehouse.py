@@ -11,12 +11,15 @@ otherwise keeps a shuffle join (with skew splitting on the fact side).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .keys import with_sequential_id
 
+# Column names of the declared star schema.
 FACT_ORDER = ("transaction_id", "date", "customer_id", "category", "quantity", "unit_price", "total_amount")
 
 
@@ -38,6 +41,57 @@ class Warehouse:
             df.createOrReplaceTempView(name)
 
 
+class LineWarehouse(Warehouse):
+    """The star schema of sales lines; a table is built when it is asked for.
+
+    The lines are staged once, numbered in fact order.  That number is the
+    fact's key and orders a customer's lines, so the first profile of a
+    customer is an aggregate over fixed-width columns (a hash aggregate).
+    """
+
+    def __init__(self, lines: DataFrame):
+        self.lines = lines.withColumn("date", F.col("date").cast("date"))
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        return materialize(self.lines, "warehouse-lines")
+
+    @cached_property
+    def numbered(self) -> DataFrame:
+        return with_sequential_id(self.staged, list(FACT_ORDER), name="sales_id")
+
+    @cached_property
+    def _small(self) -> dict[str, DataFrame]:
+        return small_dims(self.staged)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._small["date"].select(F.col("_k").alias("date_id"), F.col("_d").alias("date"), *date_parts("_d"))
+
+    @cached_property
+    def dim_category(self) -> DataFrame:
+        return self._small["category"].select(F.col("_k").alias("category_id"), F.col("_s").alias("category"))
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return self._small["country"].select(F.col("_k").alias("location_id"), F.col("_s").alias("country"))
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        genders = self._small["gender"].select(F.col("_k").alias("_gender"), F.col("_s").alias("gender"))
+        coded = (self.numbered.select("sales_id", "customer_id", "gender", "age", "country")
+                 .join(genders, "gender", "left").join(self.dim_location, "country", "left"))      # J03
+        located = first_of(coded, "customer_id", ["_gender", "age", "location_id"], "sales_id").join(
+            genders, "_gender", "left")
+        keyed = with_sequential_id(located, ["customer_id"], name="customer_key")
+        return keyed.select(F.col("customer_key").cast("int"), "customer_id", "gender",
+                            F.col("age").cast("int"), F.col("location_id").cast("int"))
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return build_fact(self.numbered, self.dim_customer, self.dim_category, self.dim_date)
+
+
 def date_parts(d: str = "date") -> list:
     """Calendar attributes of a date column."""
     c = F.col(d)
@@ -52,26 +106,6 @@ def date_parts(d: str = "date") -> list:
     ]
 
 
-def build_dim_date(lines: DataFrame) -> DataFrame:
-    """W02 + P36: one row per distinct date, keys 1..n in date order."""
-    dates = lines.select(F.col("date").cast("date").alias("date")).where(F.col("date").isNotNull()).distinct()
-    keyed = with_sequential_id(dates, ["date"], name="date_id")
-    return keyed.select(F.col("date_id").cast("int"), "date", *date_parts("date"))
-
-
-def _dense_dim(lines: DataFrame, value: str, key: str) -> DataFrame:
-    vals = lines.select(value).where(F.col(value).isNotNull()).distinct()
-    return with_sequential_id(vals, [value], name=key).select(F.col(key).cast("int"), value)
-
-
-def build_dim_category(lines: DataFrame) -> DataFrame:
-    return _dense_dim(lines, "category", "category_id")
-
-
-def build_dim_location(lines: DataFrame) -> DataFrame:
-    return _dense_dim(lines, "country", "location_id")
-
-
 def keep_first(lines: DataFrame, key: str, cols: list[str], order: list[str]) -> DataFrame:
     """First row per ``key`` by an explicit order, as an aggregate
     (partial, skew-safe) rather than a window over the whole group."""
@@ -80,58 +114,47 @@ def keep_first(lines: DataFrame, key: str, cols: list[str], order: list[str]) ->
     return lines.groupBy(key).agg(picked).select(key, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
-def build_dim_customer(lines: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """W04 + J03 + W03: first profile per customer, location key, customer key."""
-    first = keep_first(lines, "customer_id", ["gender", "age", "country"],
-                       ["transaction_id", "date", "category", "quantity", "unit_price"])
-    located = first.join(dim_location, "country", "left")  # J03
-    keyed = with_sequential_id(located, ["customer_id"], name="customer_key")
-    return keyed.select(F.col("customer_key").cast("int"), "customer_id", "gender",
-                        F.col("age").cast("int"), F.col("location_id").cast("int"))
+def first_of(lines: DataFrame, key: str, cols: list[str], order: str) -> DataFrame:
+    """The values of each key's first line by a number; fixed-width columns
+    keep it a hash aggregate, combined map-side."""
+    return lines.groupBy(key).agg(*[F.min_by(c, order).alias(c) for c in cols])
 
 
-def build_fact(lines: DataFrame, dim_customer: DataFrame, dim_category: DataFrame,
+def build_fact(numbered: DataFrame, dim_customer: DataFrame, dim_category: DataFrame,
                dim_date: DataFrame) -> DataFrame:
-    """J04-J06 + W03: map business keys to surrogate keys; sales_id 1..n."""
-    f = lines.select(*FACT_ORDER)
+    """J04-J06 + W03: map business keys to surrogate keys of lines that carry sales_id."""
+    f = numbered.select("sales_id", *FACT_ORDER)
     f = f.join(dim_customer.select("customer_id", "customer_key"), "customer_id", "left")   # J04
     f = f.join(dim_category.select("category", "category_id"), "category", "left")         # J05
     # dim_date: at most one row per calendar day -> bounded, broadcast is safe
     f = f.join(F.broadcast(dim_date.select("date", "date_id")), "date", "left")            # J06
-    keyed = with_sequential_id(f, list(FACT_ORDER), name="sales_id")
-    return keyed.select(F.col("sales_id").cast("bigint"), "transaction_id", F.col("date_id").cast("int"),
-                        F.col("customer_key").cast("int"), F.col("category_id").cast("int"),
-                        F.col("quantity").cast("int"), F.col("unit_price").cast("decimal(10,2)"),
-                        F.col("total_amount").cast("decimal(15,2)"))
-
-
-def build_small_dims(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Date, category and location keys from ONE sequence pass over the
-    union of their distinct values (tagged by dimension); the rank inside a
-    dimension is the global position minus the dimension's start (a 3-row
-    table).  Same keys as three separate passes, a third of the jobs."""
-    dates = lines.select(F.lit(0).alias("_dim"), F.lit(None).cast("string").alias("_s"),
-                         F.col("date").cast("date").alias("_d")).where(F.col("_d").isNotNull())
-    cats = lines.select(F.lit(1).alias("_dim"), F.col("category").alias("_s"),
-                        F.lit(None).cast("date").alias("_d")).where(F.col("_s").isNotNull())
-    ctry = lines.select(F.lit(2).alias("_dim"), F.col("country").alias("_s"),
-                        F.lit(None).cast("date").alias("_d")).where(F.col("_s").isNotNull())
-    vals = dates.unionByName(cats).unionByName(ctry).distinct()
-    keyed = with_sequential_id(vals, ["_dim", "_d", "_s"], name="_g")
-    starts = keyed.groupBy("_dim").agg(F.min("_g").alias("_start"))
+    return f.select(F.col("sales_id").cast("bigint"), "transaction_id", F.col("date_id").cast("int"),
+                    F.col("customer_key").cast("int"), F.col("category_id").cast("int"),
+                    F.col("quantity").cast("int"), F.col("unit_price").cast("decimal(10,2)"),
+                    F.col("total_amount").cast("decimal(15,2)"))
+
+
+SMALL = ("date", "category", "country", "gender")
+
+
+def small_dims(lines: DataFrame) -> dict[str, DataFrame]:
+    """Keys 1..n of the distinct values of the small columns, all from ONE
+    pass over the lines: (_k, _s, _d) per column.  The rank inside a column is
+    the global place minus the place of the column's first value."""
+    def value(k: int, c: str) -> Column:
+        text, day = (F.lit(None).cast("string"), F.col(c)) if c == "date" else (F.col(c), F.lit(None).cast("date"))
+        return F.struct(F.lit(k).alias("_dim"), text.alias("_s"), day.alias("_d"))
+
+    vals = (lines.select(F.explode(F.array(*[value(k, c) for k, c in enumerate(SMALL)])).alias("x")).select("x.*")
+            .where(F.col("_s").isNotNull() | F.col("_d").isNotNull()).distinct())
+    keyed = materialize(with_sequential_id(vals, ["_dim", "_d", "_s"], name="_g"), "warehouse-small")
+    starts = keyed.groupBy("_dim").agg(F.min("_g").alias("_start"))  # one row per column
     ranked = keyed.join(F.broadcast(starts), "_dim").withColumn("_k", (F.col("_g") - F.col("_start") + 1).cast("int"))
-    dd = ranked.where("_dim = 0").select(F.col("_k").alias("date_id"), F.col("_d").alias("date"), *date_parts("_d"))
-    dc = ranked.where("_dim = 1").select(F.col("_k").alias("category_id"), F.col("_s").alias("category"))
-    dl = ranked.where("_dim = 2").select(F.col("_k").alias("location_id"), F.col("_s").alias("country"))
-    return dd, dc, dl
+    return {c: ranked.where(F.col("_dim") == k).select("_k", "_s", "_d") for k, c in enumerate(SMALL)}
 
 
 def build_warehouse(lines: DataFrame) -> Warehouse:
-    lines = lines.withColumn("date", F.col("date").cast("date"))
-    dd, dc, dl = build_small_dims(lines)
-    cu = build_dim_customer(lines, dl)
-    fact = build_fact(lines, cu, dc, dd)
-    return Warehouse(dd, dc, dl, cu, fact)
+    return LineWarehouse(lines)
 
 
 def referential_checks(wh: Warehouse) -> DataFrame:
@@ -192,8 +215,13 @@ def _extend_dim(old: DataFrame, new_values: DataFrame, value: str, key: str) ->
 
 def incremental_load(wh: Warehouse, new_lines: DataFrame,
                      business_key: tuple[str, ...] = FACT_ORDER) -> Warehouse:
-    """Append only unseen lines; extend dims with new members, old keys kept."""
-    new_lines = new_lines.withColumn("date", F.col("date").cast("date"))
+    """Append only unseen lines; extend dims with new members, old keys kept.
+
+    Lines are compared in the types of the fact table, and a null equals a
+    null, so loading the same lines again adds nothing.  Lines that repeat
+    within ``new_lines`` are lines of their own."""
+    types = {"quantity": "int", "unit_price": "decimal(10,2)", "total_amount": "decimal(15,2)", "date": "date"}
+    new_lines = materialize(new_lines.withColumns({c: F.col(c).cast(t) for c, t in types.items()}), "warehouse-new")
     dc = _extend_dim(wh.dim_category, new_lines, "category", "category_id")
     dl = _extend_dim(wh.dim_location, new_lines, "country", "location_id")
     dates = _extend_dim(wh.dim_date.select("date_id", "date"), new_lines, "date", "date_id")
@@ -208,10 +236,11 @@ def incremental_load(wh: Warehouse, new_lines: DataFrame,
         F.col("age").cast("int"), F.col("location_id").cast("int"))
     cu = wh.dim_customer.unionByName(fresh)
     # fact: lines whose business key is not loaded yet
-    loaded = (wh.fact_sales.join(cu.select("customer_key", "customer_id"), "customer_key")
-                .join(dc, "category_id").join(F.broadcast(dd.select("date_id", "date")), "date_id")
-                .select(*business_key))
-    unseen = new_lines.select(*FACT_ORDER).join(loaded, list(business_key), "left_anti")
+    loaded = (wh.fact_sales.join(cu.select("customer_key", "customer_id"), "customer_key", "left")
+                .join(dc, "category_id", "left").join(F.broadcast(dd.select("date_id", "date")), "date_id", "left")
+                .select(*[F.col(c).alias(f"_{c}") for c in business_key]))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in business_key])
+    unseen = new_lines.select(*FACT_ORDER).join(loaded, same, "left_anti")
     f = (unseen.join(cu.select("customer_id", "customer_key"), "customer_id", "left")
                .join(dc, "category", "left").join(F.broadcast(dd.select("date", "date_id")), "date", "left"))
     start_sales = wh.fact_sales.select(F.coalesce(F.max("sales_id"), F.lit(0))).scalar()

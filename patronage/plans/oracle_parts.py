@@ -22,8 +22,9 @@ def gender_rule(c: str) -> str:
 
 
 # Per-source cleaned frames (oracle versions), as SQL texts -----------------
-CLEAN_RETAIL_SQL = f"""
-WITH raw AS ({X.RAW_RETAIL_SQL}),
+def clean_retail_sql(raw_sql: str) -> str:
+    return f"""
+WITH raw AS ({raw_sql}),
 t AS (SELECT {nul('transaction_id')} AS transaction_id,
              try_strptime({nul('date')}, '%Y-%m-%d') AS date,
              {nul('customer_id')} AS customer_id, {nul('gender')} AS gender,
@@ -43,6 +44,9 @@ SELECT DISTINCT * FROM g
 """
 
 
+CLEAN_RETAIL_SQL = clean_retail_sql(X.RAW_RETAIL_SQL)
+
+
 def clean_online_sql(raw_sql: str, date_fmt: str) -> str:
     return f"""
 WITH raw AS ({raw_sql}),
@@ -126,7 +130,7 @@ def merged_sql(countries, keep_source: bool = False) -> str:
     ctry = pick("country:", "customer_id", countries)
     return f"""
 WITH u AS ({TRANSFORMED_SQL}),
-n AS (SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(date AS DATE) AS date,
+n AS (SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(date AS DATE) AS date, date AS timestamp,
              split_part(coalesce(CAST(customer_id AS VARCHAR), '0'), '.', 1) AS customer_id,
              gender, age, country, category, quantity, unit_price,
              CASE source WHEN 'Kaggle' THEN 0 WHEN 'UCI' THEN 1 WHEN 'ORD' THEN 2 ELSE 3 END AS r, source FROM u),
@@ -143,7 +147,7 @@ SELECT n.transaction_id, n.date, n.customer_id, CAST(round(pf.age) AS INT) AS ag
        n.category, CAST(coalesce(n.quantity, 0) AS INT) AS quantity,
        CAST(coalesce(n.unit_price, 0) AS DECIMAL(10,2)) AS unit_price,
        CAST(CAST(coalesce(n.quantity, 0) AS INT) * CAST(coalesce(n.unit_price, 0) AS DECIMAL(10,2)) AS DECIMAL(15,2)) AS total_amount
-       {", n.source" if keep_source else ""}
+       {", n.source, n.timestamp" if keep_source else ""}
 FROM n LEFT JOIN pf ON n.customer_id = pf.customer_id
 """
 

@@ -41,9 +41,9 @@ from ..sources import registry as SRC  # noqa: E402
 from . import oracle_parts as O  # noqa: E402
 
 
-@query("p01_standardise_columns", X.RAW_RETAIL_SQL)
+@query("p01_standardise_columns", X.ALL_RETAIL_SQL)
 def p01(spark, sf_dir):
-    return C.standardize_columns(X.raw_retail(spark, sf_dir))
+    return C.standardize_columns(X.raw_retail(spark, sf_dir, every_line=True))
 
 
 @query("p02_missing_markers", f"""
@@ -51,25 +51,25 @@ SELECT {O.nul('InvoiceNo')} AS transaction_id, {O.nul('StockCode')} AS sku_code,
        {O.nul('Description')} AS product_name, {O.nul('Quantity')} AS quantity,
        {O.nul('InvoiceDate')} AS date, {O.nul('UnitPrice')} AS unit_price,
        {O.nul('CustomerID')} AS customer_id, {O.nul('Country')} AS country
-FROM ({X.RAW_ONLINE_SQL}) r
+FROM ({X.ALL_ONLINE_SQL}) r
 """)
 def p02(spark, sf_dir):
-    return C.normalize_missing(C.standardize_columns(X.raw_online(spark, sf_dir)))
+    return C.normalize_missing(C.standardize_columns(X.raw_online(spark, sf_dir, every_line=True)))
 
 
-@query("p15_clean_retail", O.CLEAN_RETAIL_SQL)
+@query("p15_clean_retail", O.clean_retail_sql(X.ALL_RETAIL_SQL))
 def p15_retail(spark, sf_dir):
-    return C.clean_source(X.raw_retail(spark, sf_dir), SRC.RETAIL)
+    return C.clean_source(X.raw_retail(spark, sf_dir, every_line=True), SRC.RETAIL)
 
 
-@query("p15_clean_online", O.CLEAN_ONLINE_SQL)
+@query("p15_clean_online", O.clean_online_sql(X.ALL_ONLINE_SQL, "%m/%d/%Y %H:%M"))
 def p15_online(spark, sf_dir):
-    return C.clean_source(X.raw_online(spark, sf_dir), SRC.ONLINE)
+    return C.clean_source(X.raw_online(spark, sf_dir, every_line=True), SRC.ONLINE)
 
 
-@query("p15_clean_orders", O.CLEAN_ORDERS_SQL)
+@query("p15_clean_orders", O.clean_online_sql(X.ALL_ORDERS_SQL, "%m-%d-%Y %H:%M"))
 def p15_orders(spark, sf_dir):
-    return C.clean_source(X.raw_orders(spark, sf_dir), SRC.ORDERS)
+    return C.clean_source(X.raw_orders(spark, sf_dir, every_line=True), SRC.ORDERS)
 
 
 # --- Transform and merge: P16-P27, M24, U01, J01, J02, A04 -----------------------
@@ -81,8 +81,8 @@ def transformed_frames(spark, sf_dir):
     from ..session import materialize
     src = SRC.fixture_sources(spark, sf_dir)
     # cleaned sources are stage tables (read by the offsets and by the merge)
-    cleaned = {k: materialize(C.clean_source(df, spec), f"clean-{k}") for k, (spec, df) in src.items()}
-    return TR.transform_all(cleaned.get("Kaggle"), cleaned.get("UCI"), cleaned.get("ORD"))
+    cleaned = [(spec, materialize(C.clean_source(df, spec), f"clean-{name}")) for name, (spec, df) in src.items()]
+    return TR.transform_sources(cleaned)
 
 
 def merged_sales(spark, sf_dir):
@@ -151,10 +151,11 @@ def j15(spark, sf_dir):
     return WH.referential_checks(warehouse(spark, sf_dir))
 
 
+# Every positive line with its customer, day and category, from the keys alone.
 STAR_RFM_SQL = """
-SELECT c.customer_id, f.transaction_id, f.total_amount, d.date, c.age, c.gender, cat.category
-FROM fs f JOIN cu c ON f.customer_key = c.customer_key JOIN dd d ON f.date_id = d.date_id
-JOIN dc cat ON f.category_id = cat.category_id WHERE f.total_amount > 0
+SELECT customer_id, transaction_id, total_amount, date, age, gender, category
+FROM fs JOIN cu USING (customer_key) JOIN dd USING (date_id) JOIN dc USING (category_id)
+WHERE total_amount > 0
 """
 
 
@@ -181,15 +182,20 @@ def j09(spark, sf_dir):
     return WH.star_join_categories(warehouse(spark, sf_dir))
 
 
-@query("s08_sql_source", O.wh_sql(STAR_RFM_SQL))
+@query("s08_sql_source", O.wh_sql("""
+SELECT category, year, quarter, CAST(count(*) AS BIGINT) AS lines, CAST(sum(quantity) AS BIGINT) AS units,
+       CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue, CAST(count(DISTINCT customer_key) AS BIGINT) AS buyers
+FROM fs JOIN dd USING (date_id) JOIN dc USING (category_id) GROUP BY ALL
+"""))
 def s08(spark, sf_dir):
-    """The star query as SQL text against the registered warehouse tables."""
+    """SQL text against the registered warehouse tables (quarterly sales by category)."""
     warehouse(spark, sf_dir).register()
     return spark.sql("""
-        SELECT c.customer_id, f.transaction_id, f.total_amount, d.date, c.age, c.gender, cat.category
-        FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key
-        JOIN dim_date d ON f.date_id = d.date_id JOIN dim_category cat ON f.category_id = cat.category_id
-        WHERE f.total_amount > 0""")
+        WITH dated AS (SELECT f.*, d.year, d.quarter FROM fact_sales f JOIN dim_date d ON d.date_id = f.date_id)
+        SELECT g.category, s.year, s.quarter, count(*) AS lines, sum(s.quantity) AS units,
+               CAST(sum(s.total_amount) AS DECIMAL(18,2)) AS revenue, count(DISTINCT s.customer_key) AS buyers
+        FROM dated s JOIN dim_category g ON g.category_id = s.category_id
+        GROUP BY g.category, s.year, s.quarter""")
 
 
 INITIAL_CUTOFF = "1998-01-01"
@@ -635,7 +641,7 @@ SELECT {O.nul('InvoiceNo')} AS transaction_id, {O.nul('StockCode')} AS sku_code,
        {O.nul('Description')} AS product_name, {O.nul('Quantity')} AS quantity,
        {O.nul('InvoiceDate')} AS date, {O.nul('UnitPrice')} AS unit_price,
        {O.nul('CustomerID')} AS customer_id, {O.nul('Country')} AS country
-FROM ({X.RAW_ONLINE_SQL}) r
+FROM ({X.ALL_ONLINE_SQL}) r
 """
 ONLINE_COLS = ("transaction_id", "sku_code", "product_name", "quantity", "date", "unit_price", "customer_id", "country")
 
@@ -660,9 +666,9 @@ def a21(spark, sf_dir):
 @query("a22_duplicate_rows", ctes("""
 SELECT CAST(count(*) AS BIGINT) AS rows,
        CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM r) d) AS BIGINT) AS duplicates FROM r
-""", r=X.RAW_RETAIL_SQL))
+""", r=X.ALL_RETAIL_SQL))
 def a22(spark, sf_dir):
-    return RP.duplicate_rows(C.standardize_columns(X.raw_retail(spark, sf_dir)))
+    return RP.duplicate_rows(C.standardize_columns(X.raw_retail(spark, sf_dir, every_line=True)))
 
 
 @query("a23_column_types")
@@ -866,9 +872,9 @@ SELECT CAST(count(*) FILTER (WHERE d IS NOT NULL AND q IS NOT NULL AND u IS NOT
        CAST(count(*) FILTER (WHERE q IS NULL OR u IS NULL) AS BIGINT) AS bad_amounts,
        CAST(count(*) FILTER (WHERE d IS NULL OR q IS NULL OR u IS NULL) AS BIGINT) AS rejected_rows
 FROM (SELECT try_strptime(date, '%Y-%m-%d') AS d, TRY_CAST(quantity AS DOUBLE) AS q,
-             TRY_CAST(unit_price AS DOUBLE) AS u FROM r) x""", r=X.RAW_RETAIL_SQL))
+             TRY_CAST(unit_price AS DOUBLE) AS u FROM r) x""", r=X.ALL_RETAIL_SQL))
 def p34(spark, sf_dir):
-    raw = C.standardize_columns(X.raw_retail(spark, sf_dir))
+    raw = C.standardize_columns(X.raw_retail(spark, sf_dir, every_line=True))
     return RP.coerce_report(raw, "date", "yyyy-MM-dd", ["quantity", "unit_price"])
 
 
@@ -885,13 +891,14 @@ def p37(spark, sf_dir):
 
 @query("u04_cross_source_dedup", ctes("""
 SELECT customer_id, date, category, quantity, unit_price,
-       arg_min(transaction_id, (r, transaction_id)) AS transaction_id, arg_min(source, (r, transaction_id)) AS source
+       arg_min(transaction_id, (timestamp, r, transaction_id)) AS transaction_id,
+       arg_min(source, (timestamp, r, transaction_id)) AS source, min(timestamp) AS timestamp
 FROM (SELECT *, CASE source WHEN 'Kaggle' THEN 0 WHEN 'UCI' THEN 1 WHEN 'ORD' THEN 2 ELSE 3 END AS r FROM m) x
 GROUP BY customer_id, date, category, quantity, unit_price""", m=O.merged_sql(MG.DEFAULT_COUNTRIES, keep_source=True)))
 def u04(spark, sf_dir):
     m = MG.merge_sources(transformed_frames(spark, sf_dir), keep_source=True)
     return RP.dedup_across_sources(m, ["customer_id", "date", "category", "quantity", "unit_price"],
-                                   ["transaction_id", "source"], MG.SOURCE_RANK)
+                                   ["transaction_id", "source", "timestamp"], MG.SOURCE_RANK)
 
 
 @query("a03_rfm_full_wide", ctes(f"""
@@ -1147,17 +1154,32 @@ def m27(spark, sf_dir):
 # --- Streaming: R02-R05 ---------------------------------------------------------
 from ..streaming import streams as ST  # noqa: E402
 
-def _landed_purchases(spark, sf_dir, copies: int = 1):
-    """Purchases landed as day folders (``copies`` > 1 lands every file again,
-    as a re-delivering source would)."""
-    import uuid
-    path = f"{stage_root(spark)}/landed-purchases-{uuid.uuid4().hex}"
-    src = X._sql(spark, sf_dir, "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'")
-    for _ in range(copies):
-        ST.land_by_day(src, "ts", path)
+PURCHASES = "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'"
+
+
+def _landing(spark, sf_dir):
+    """(rows, folder, schema): purchases and an empty landing folder for them."""
     from pyspark.sql import types as T
+    src = X._sql(spark, sf_dir, PURCHASES)
     schema = T.StructType(src.schema.fields + [T.StructField("day", T.DateType())])
-    return path, schema
+    return src, ST.new_location(spark, "landed-purchases"), schema
+
+
+def _in_two_runs(spark, sf_dir, name, build, mode="append", copies=1, late=None):
+    """Land the first half of the days, run the query and stop it; land the rest
+    (every file ``copies`` times, and the rows that ``late`` picks once more)
+    and start the query again at the same place.  Returns its output folder."""
+    src, path, schema = _landing(spark, sf_dir)
+    days = src.select(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    middle, where = days["a"] + (days["b"] - days["a"]) / 2, ST.new_location(spark, name)
+    for part in (F.col("ts") < F.lit(middle), F.col("ts") >= F.lit(middle)):
+        for _ in range(copies):
+            ST.land_by_day(src.where(part), "ts", path)
+        out = ST.run_available(build(ST.file_stream(spark, path, schema)), where, mode=mode)
+    if late is not None:
+        ST.land_by_day(src.where(late(F.lit(days["b"]))), "ts", path)
+        out = ST.run_available(build(ST.file_stream(spark, path, schema)), where, mode=mode)
+    return out
 
 
 STREAM_RFM_SQL = """
@@ -1166,21 +1188,19 @@ SELECT user_id, CAST(floor((epoch_us((SELECT max(ts) FROM pu)) - epoch_us(max(ts
 FROM pu GROUP BY user_id"""
 
 
-@query("r02_stream_running_rfm", ctes(STREAM_RFM_SQL,
-                                      pu="SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'"))
+@query("r02_stream_running_rfm", ctes(STREAM_RFM_SQL, pu=PURCHASES))
 def r02(spark, sf_dir):
-    path, schema = _landed_purchases(spark, sf_dir)
-    agg = ST.running_rfm_stream(ST.file_stream(spark, path, schema, max_files=8), "user_id", "ts", "event_id", "value",
-                                delay="40 days")
-    out = ST.run_available(agg, "rfm", mode="update")
+    def build(stream):
+        return ST.running_rfm_stream(stream, "user_id", "ts", "event_id", "value", delay="40 days")
+    out = _in_two_runs(spark, sf_dir, "rfm", build, mode="update", copies=2)
     return _round(ST.read_running_rfm(spark, out, "user_id"), ["Monetary"])
 
 
-@query("r04_stream_dedup", "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'")
+@query("r04_stream_dedup", PURCHASES)
 def r04(spark, sf_dir):
-    path, schema = _landed_purchases(spark, sf_dir, copies=2)
-    dedup = ST.dedup_stream(ST.file_stream(spark, path, schema), ["event_id"], "ts", "40 days")
-    out = ST.run_available(dedup.drop("day"), "dedup")
+    def build(stream):
+        return ST.dedup_stream(stream, ["event_id"], "ts", "40 days").drop("day")
+    out = _in_two_runs(spark, sf_dir, "dedup", build, copies=2)
     return spark.read.parquet(out).drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -1188,15 +1208,18 @@ def r04(spark, sf_dir):
 SELECT time_bucket(INTERVAL 1 DAY, pu.ts) AS window_start, time_bucket(INTERVAL 1 DAY, pu.ts) + INTERVAL 1 DAY AS window_end,
        sc.Segment, CAST(count(*) AS BIGINT) AS count
 FROM pu LEFT JOIN sc USING (user_id) GROUP BY 1, 2, 3""",
-    pu="SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'",
+    pu=PURCHASES,
     sc=scores_sql(5)))
 def r03(spark, sf_dir):
-    path, schema = _landed_purchases(spark, sf_dir)
+    """Rows of days that closed before the watermark (2 days behind the latest
+    event) arrive once more after both runs; as late rows they count nothing."""
     labels = R.segment_scores(R.score_columns(guest_base(spark, sf_dir), q=5)).select("user_id", "Segment")
     labels = materialize(labels, "guest-labels")
-    counts = ST.windowed_segment_counts(ST.file_stream(spark, path, schema), labels, "user_id", "ts",
-                                        delay="40 days")
-    out = ST.run_available(counts, "windows", mode="update")
+
+    def build(stream):
+        return ST.windowed_segment_counts(stream, labels, "user_id", "ts", delay="2 days")
+    out = _in_two_runs(spark, sf_dir, "windows", build, mode="update",
+                       late=lambda last: F.col("ts") < F.date_sub(last.cast("date"), 3))
     final = ST.latest_per_key(spark.read.parquet(out), ["window_start", "window_end", "Segment"])
     return final.withColumn(
         "window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
@@ -1213,7 +1236,7 @@ def r05(spark, sf_dir):
     path = f"{stage_root(spark)}/arriving-{uuid.uuid4().hex}"
     arriving.write.parquet(path)
     stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    out = ST.run_available(stream, "scoring", batch_fn=ST.score_batches(model, mapping))
+    out = ST.run_available(stream, ST.new_location(spark, "scoring"), batch_fn=ST.score_batches(model, mapping))
     return spark.read.parquet(out)
 
 
@@ -1271,17 +1294,17 @@ ONLINE_RAW_COLS = {"transaction_id": "InvoiceNo", "sku_code": "StockCode", "prod
                    "customer_id": "CustomerID", "country": "Country"}
 
 
-@query("p14_cleaning_audit", _audit_sql("UCI", X.RAW_ONLINE_SQL, ONLINE_RAW_COLS, "%m/%d/%Y %H:%M", False, False))
+@query("p14_cleaning_audit", _audit_sql("UCI", X.ALL_ONLINE_SQL, ONLINE_RAW_COLS, "%m/%d/%Y %H:%M", False, False))
 def p14(spark, sf_dir):
-    return C.cleaning_audit(X.raw_online(spark, sf_dir), SRC.ONLINE)
+    return C.cleaning_audit(X.raw_online(spark, sf_dir, every_line=True), SRC.ONLINE)
 
 
 @query("p14_cleaning_audit_retail", _audit_sql(
-    "Kaggle", X.RAW_RETAIL_SQL, {c: c for c in ("transaction_id", "date", "customer_id", "gender", "age", "category",
+    "Kaggle", X.ALL_RETAIL_SQL, {c: c for c in ("transaction_id", "date", "customer_id", "gender", "age", "category",
                                                "quantity", "unit_price", "total_amount")},
     "%Y-%m-%d", True, True))
 def p14_retail(spark, sf_dir):
-    return C.cleaning_audit(X.raw_retail(spark, sf_dir), SRC.RETAIL)
+    return C.cleaning_audit(X.raw_retail(spark, sf_dir, every_line=True), SRC.RETAIL)
 
 
 @query("s17_enriched_export", lab_sql("""

@@ -9,6 +9,7 @@ folder is chosen only when that setting is absent *and* the master is local
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -44,13 +45,14 @@ def get_session(
     if master and master.startswith("local"):
         settings.setdefault("spark.ui.enabled", "false")
         settings.setdefault("spark.ui.showConsoleProgress", "false")
-        settings.setdefault("spark.driver.memory", "16g")
+        settings.setdefault("spark.driver.memory", "6g")
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    atexit.register(_drop_at_exit, spark)
     return spark
 
 
@@ -109,14 +111,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint (survives executor loss; never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage_root(spark: SparkSession) -> str:
+    """The application's own folder for stage tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/patronage-stages/{spark.sparkContext.applicationId}"
 
 
-def stage_root(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/patronage-stages"
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the application's stage tables, when no result that reads them is
+    needed any more; ``get_session`` does so when the process ends."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()  # type: ignore[union-attr]
+    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    path.getFileSystem(conf).delete(path, True)
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # the session may be stopped already
+        drop_stages(spark)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

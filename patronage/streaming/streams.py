@@ -7,8 +7,10 @@
   state store) and emits only changed customers per micro-batch (update
   mode); each batch is appended with its batch id, and readers take the
   latest row per customer — an aggregate, never a rewrite of all customers.
-* Every query has its own checkpoint location under the shared checkpoint
-  folder, so a restarted query resumes exactly once.
+* The caller names a query's location; its checkpoint and output live there,
+  so the query started again at the same place goes on where it stopped.  A
+  micro-batch owns the folder of its id and overwrites it: one that runs twice
+  is written once.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from ..functions.exprs import days_between
 from ..session import stage_root
 
 
-def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
-    base = f"{stage_root(spark)}/stream-{name}-{uuid.uuid4().hex}"
-    return f"{base}/out", f"{base}/checkpoint"
+def new_location(spark: SparkSession, name: str) -> str:
+    """A fresh place for a query under the shared checkpoint folder."""
+    return f"{stage_root(spark)}/stream-{name}-{uuid.uuid4().hex}"
 
 
 def land_by_day(df: DataFrame, ts: str, path: str, mode: str = "append") -> str:
@@ -62,20 +64,21 @@ def running_rfm_stream(stream: DataFrame, customer: str, ts: str, txn: str, amou
                                         F.sum(amount).alias("Monetary"))
 
 
-def run_available(stream_df: DataFrame, name: str, mode: str = "append",
+def run_available(stream_df: DataFrame, location: str, mode: str = "append",
                   batch_fn: Callable[[DataFrame, int], DataFrame] | None = None) -> str:
-    """Run a streaming query over everything available, then stop.
+    """Run a streaming query over everything available, then stop; returns the
+    output folder.  Run again with the same location it takes what is new.
 
-    Output goes through ``foreachBatch``: each micro-batch is appended to a
-    parquet table with its batch id (``batch_fn`` may transform it first)."""
-    spark = stream_df.sparkSession
-    out, ckpt = _paths(spark, name)
+    Output goes through ``foreachBatch``: each micro-batch overwrites the
+    folder of its id (``batch_fn`` may transform it first)."""
+    location = location.rstrip("/")
+    out = f"{location}/out"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch_fn(batch, batch_id) if batch_fn else batch
-        b.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
+        b.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (stream_df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
+    q = (stream_df.writeStream.outputMode(mode).option("checkpointLocation", f"{location}/checkpoint")
          .foreachBatch(sink).trigger(availableNow=True).start())
     q.awaitTermination()
     return out

@@ -3,45 +3,77 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.session import stage_root
 from patronage.streaming import streams as ST
 
 SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
                        T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+D = dt.datetime
 
 
 def _land(spark, rows, path):
-    spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(path)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_late_rows_dropped_by_watermark(spark):
-    import uuid
-    path = f"{stage_root(spark)}/late-{uuid.uuid4().hex}"
-    d = dt.datetime
-    _land(spark, [(1, d(2024, 1, 10, 10), 1, 1.0), (2, d(2024, 1, 10, 11), 2, 1.0)], path)
+def _counts(spark, path, where, delay):
     labels = spark.createDataFrame([(1, "A"), (2, "B")], "user_id long, Segment string")
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
-    counts = ST.windowed_segment_counts(stream, labels, "user_id", "ts", delay="1 day")
-    # second file: far in the future (advances the watermark), third: very late
-    import threading  # noqa: F401
-    _land(spark, [(3, d(2024, 1, 20, 10), 1, 1.0)], path)
-    out = ST.run_available(counts, "late-1", mode="update")
-    _land(spark, [(4, d(2024, 1, 10, 12), 1, 1.0)], path)  # older than watermark
+    stream = ST.file_stream(spark, path, SCHEMA)
+    out = ST.run_available(ST.windowed_segment_counts(stream, labels, "user_id", "ts", delay=delay), where,
+                           mode="update")
     final = ST.latest_per_key(spark.read.parquet(out), ["window_start", "window_end", "Segment"])
-    total = final.agg(F.sum("count")).first()[0]
-    assert total == 3
+    return {(r.window_start.day, r.Segment): r["count"] for r in final.collect()}
+
+
+def test_late_rows_count_only_within_the_watermark(spark):
+    first = [(1, D(2024, 1, 10, 10), 1, 1.0), (2, D(2024, 1, 10, 11), 2, 1.0), (3, D(2024, 1, 20, 10), 1, 1.0)]
+    late = [(4, D(2024, 1, 10, 12), 1, 1.0), (5, D(2024, 1, 20, 8), 1, 1.0)]
+    on_time = {(10, "A"): 1, (10, "B"): 1, (20, "A"): 2}
+    for delay, want in (("1 day", on_time), ("30 days", on_time | {(10, "A"): 2})):
+        path, where = ST.new_location(spark, "late-in"), ST.new_location(spark, "late")
+        _land(spark, first, path)
+        _counts(spark, path, where, delay)
+        _land(spark, late, path)  # behind a watermark of one day, within one of thirty
+        assert _counts(spark, path, where, delay) == want
+
+
+def test_restart_goes_on_where_the_query_stopped(spark):
+    path, where = ST.new_location(spark, "restart-in"), ST.new_location(spark, "restart")
+    rows = [(i, D(2024, 1, 1 + i % 20, 8), i % 7, float(i)) for i in range(200)]
+
+    def run():
+        agg = ST.running_rfm_stream(ST.file_stream(spark, path, SCHEMA), "user_id", "ts", "event_id", "value",
+                                    delay="40 days")
+        return ST.run_available(agg, where, mode="update")
+
+    _land(spark, rows[:120], path)
+    run()
+    _land(spark, rows[100:], path)  # 20 rows come again
+    out = run()
+    assert run() == out  # nothing new: nothing changes
+    batch = spark.createDataFrame(rows, SCHEMA).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("Frequency"), F.sum("value").alias("Monetary"))
+    key = lambda df: {r.user_id: (r.Frequency, r.Monetary) for r in df.collect()}
+    assert key(ST.read_running_rfm(spark, out, "user_id")) == key(batch)
+
+
+def test_a_batch_that_runs_twice_is_written_once(spark):
+    path, where = ST.new_location(spark, "twice-in"), ST.new_location(spark, "twice")
+    _land(spark, [(1, D(2024, 1, 1), 1, 1.0)], path)
+    stream = ST.file_stream(spark, path, SCHEMA)
+
+    def again(batch, batch_id):  # the first attempt wrote before it failed
+        batch.write.mode("overwrite").parquet(f"{where}/out/batch_id={batch_id}")
+        return batch
+    assert spark.read.parquet(ST.run_available(stream, where, batch_fn=again)).count() == 1
 
 
 def test_stream_dedup_and_running_rfm_equal_batch(spark):
-    import uuid
-    path = f"{stage_root(spark)}/dup-{uuid.uuid4().hex}"
-    d = dt.datetime
-    rows = [(i, d(2024, 1, 1 + i % 20, 8), i % 7, float(i)) for i in range(200)]
+    path = ST.new_location(spark, "dup-in")
+    rows = [(i, D(2024, 1, 1 + i % 20, 8), i % 7, float(i)) for i in range(200)]
     _land(spark, rows, path)
     _land(spark, rows[:50], path)  # re-delivered copies
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = ST.file_stream(spark, path, SCHEMA, max_files=1)
     agg = ST.running_rfm_stream(stream, "user_id", "ts", "event_id", "value", delay="40 days")
-    got = ST.read_running_rfm(spark, ST.run_available(agg, "rfm-t", mode="update"), "user_id")
+    got = ST.read_running_rfm(spark, ST.run_available(agg, ST.new_location(spark, "dup"), mode="update"), "user_id")
     batch = spark.createDataFrame(rows, SCHEMA).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("Frequency"), F.sum("value").alias("Monetary"))
     a = {r.user_id: (r.Frequency, r.Monetary) for r in got.collect()}
