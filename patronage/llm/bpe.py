@@ -1,8 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon.
 
-1. Words of all documents are counted by Spark; the ``max_words`` most frequent
-   (ties by code point) are merged to ids on the driver and compiled into a
-   transducer, whose file goes to the shared checkpoint folder.
+1. Words of all documents are counted by Spark; of the most frequent, as many
+   levels of count as hold ``max_words`` at most are merged to ids on the driver
+   and compiled into a transducer, whose file goes to the shared checkpoint folder.
 2. Spark hands that file to every executor; each process maps it into memory.
    The distinct words of a few MB of text walk the transducer together.
 3. A word that the transducer does not hold is merged exactly: the pair of
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stage_root
+from ..session import materialize, stage_root
 from .common import Memo, byte_letters, gather, text_of, text_slices
 from .lexicon import Lexicon, compile_lexicon
 
@@ -260,9 +260,19 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
 def build_lexicon(docs: DataFrame, tokenizer: str, max_words: int = 50_000, text_col: str = "text") -> str:
     """Name of the lexicon file, added to the Spark context's files."""
     spark, bpe = docs.sparkSession, WordBPE(tokenizer)
-    frequent = (word_counts(docs, bpe.pattern, text_col).where((F.col("n") > 1) & (F.octet_length("word") <= _LONGEST))
-                .orderBy(F.desc("n"), "word").limit(max_words).select("word").collect())  # at most max_words
-    words = [r[0].encode() for r in frequent]
+    counts = materialize(word_counts(docs, bpe.pattern, text_col).where(
+        (F.col("n") > 1) & (F.octet_length("word") <= _LONGEST)).withColumn(
+        "level", F.floor(F.log2("n") * 64).cast("int")), "bpe-words")
+    # words by level of count: a few thousand rows, whatever the corpus
+    levels = sorted(counts.groupBy("level").count().collect(), reverse=True)
+    total, least = 0, None
+    for level, n in levels:
+        total += n
+        if total > max_words:
+            break
+        least = level
+    frequent = counts.where(F.col("level") >= F.lit(least)).select("word").collect()  # at most max_words
+    words = sorted(r[0].encode() for r in frequent)
     content = compile_lexicon(dict(zip(words, bpe.merged(words))))
     return share_file(spark, f"lexicon-{sha1(content).hexdigest()[:16]}.bin", content)
 
