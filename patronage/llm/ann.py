@@ -91,7 +91,7 @@ def _rows(batch: pa.RecordBatch | pa.Table, name: str) -> np.ndarray:
     values = batch.column(name)
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
-    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+    return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -99,8 +99,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): usable vectors in double precision, each id and vector once."""
-    v = F.col(vector_col).cast("array<double>")
+    """(id, v): usable vectors, each id and vector once; single precision stays so until it is computed with."""
+    v = vectors[vector_col]
+    if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
+        v = v.cast("array<double>")
     rows = vectors.select(vectors[id_col].cast("long").alias("id"), v.alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -119,8 +121,8 @@ def _search(data: DataFrame, queries: DataFrame, k: int, block: int) -> DataFram
     def counted(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("t", "key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
 
-    # one row per bucket that both sides use
-    cuts = counted(data, "rows").join(counted(queries, "asks"), ["t", "key"])
+    # one row per bucket that both sides use; staged, so the joins know its size
+    cuts = materialize(counted(data, "rows").join(counted(queries, "asks"), ["t", "key"]), "ann-buckets")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         own_part = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
@@ -167,7 +169,7 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, tables: int = 8, pro
     query_id, rank, vec_id, score."""
     rows = valid(vectors, id_col, vector_col)
     longest = rows.agg(F.max(F.size("v"))).first()[0] or 1
-    turns = Turns(longest, tables, axes, seed)
+    turns, kind = Turns(longest, tables, axes, seed), rows.schema["v"].dataType.simpleString()
 
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,10 +187,10 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, tables: int = 8, pro
                     [column(part, "id"), column(part, "v"), pa.array([list(x) for x in near])], ["id", "v", "near"])
 
     hashed = materialize(rows.where(F.size("v") == longest).mapInArrow(
-        keyed, "id long, v array<double>, keys array<long>"), "ann-rows")
+        keyed, f"id long, v {kind}, keys array<long>"), "ann-rows")
     data = _bucketed(hashed.withColumn("keys", F.transform("keys", lambda x: F.array(x))), "keys")
     queries = hashed.where(F.col("id") % every == 0).select("id", "v")
-    asked = materialize(queries.mapInArrow(probing, "id long, v array<double>, near array<array<long>>"), "ann-queries")
+    asked = materialize(queries.mapInArrow(probing, f"id long, v {kind}, near array<array<long>>"), "ann-queries")
     found = materialize(_ranked(_search(data, _bucketed(asked, "near"), k, block), k), "ann-found")
     # queries that found too few meet every bucket of the first table
     full = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
