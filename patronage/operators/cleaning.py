@@ -24,13 +24,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import (
     COLUMN_MAPPING, CRITICAL_COLUMNS, MISSING_MARKERS, null_if_marker, title_gender,
 )
 from ..session import materialize
+from .keys import ordered
 from .stats import quantiles
 
 NUMERIC_COLUMNS = ("quantity", "unit_price", "total_amount", "age")
@@ -133,6 +134,40 @@ def _fill_and_fix(kept: DataFrame) -> DataFrame:
     return out
 
 
+def forward_fill(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
+    """The last known value along a global order: a window inside each range
+    partition, and before its first known value the one that the partitions
+    before it end with (a row per partition)."""
+    staged = ordered(df, order)
+    inside = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    last = staged.where(F.col(col).isNotNull()).groupBy("_pid").agg(F.max_by(col, "_pos").alias("_end"))
+    parts = staged.select("_pid").distinct().join(last, "_pid", "left")
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select("_pid", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    filled = staged.withColumn("_in", F.last(col, ignorenulls=True).over(inside)).join(
+        F.broadcast(carried), "_pid")
+    return filled.withColumn(col, F.coalesce("_in", "_carry")).select(*df.columns)
+
+
+def impute(df: DataFrame, col: str, strategy: str, order: Sequence[str] = ()) -> DataFrame:
+    """Fill nulls of a column: ``mean``, ``median``, ``mode`` (ties to the smallest
+    value) or ``ffill`` along ``order``."""
+    if strategy == "ffill":
+        if not order:
+            raise ValueError("a forward fill needs an order")
+        return forward_fill(df, col, order)
+    if strategy == "mean":
+        value = df.agg(F.avg(col)).first()[0]
+    elif strategy == "median":
+        value = quantiles(df, [col], [0.5])[col][0]
+    elif strategy == "mode":
+        top = df.where(F.col(col).isNotNull()).groupBy(col).count().orderBy(F.desc("count"), col).first()
+        value = top[0] if top else None
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return df if value is None else df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
+
+
 AUDIT_COLUMNS = ("_missing_raw", "_invalid", "_keep", "_imputed", "_corrected", "_return")
 
 

@@ -109,14 +109,17 @@ def silhouette(df: DataFrame, label: str = "Cluster", features: str = "features"
                                distanceMeasure="squaredEuclidean").evaluate(df.withColumn(label, F.col(label).cast("double")))
 
 
-def fit_segmentation(rfm: DataFrame, k: int = 2, n_init: int = 10, seed: int = 42,
+def fit_segmentation(rfm: DataFrame, k: int | str = 2, n_init: int = 10, seed: int = 42,
                      cols: Sequence[str] = RFM_COLUMNS) -> PipelineModel:
     """Power transform (standardising) + assembler + best-of-n K-means, as one
-    ``PipelineModel`` that saves and loads (S13) and scores new rows (M23)."""
+    ``PipelineModel`` that saves and loads (S13) and scores new rows (M23).
+    ``k="auto"`` takes the k of the best silhouette (M07)."""
     prep = Pipeline(stages=[
         PowerTransformer(inputCols=list(cols), outputCols=list(SCALED)),
         VectorAssembler(inputCols=list(SCALED), outputCol="features"),
     ]).fit(rfm)
+    if k == "auto":
+        k = k_selection(prep.transform(rfm), n_init=n_init, seed=seed).where("is_best").first()["k"]
     km = kmeans_best_of(prep.transform(rfm), k, n_init=n_init, seed=seed)
     return PipelineModel(stages=[*prep.stages, km])
 

@@ -32,14 +32,15 @@ def _sorted_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
-def _ordered(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+def ordered(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None = None) -> DataFrame:
+    """The staged rows of a global order, with ``_pid`` (range partition) and ``_pos`` (place in it)."""
     cols = _sorted_cols(order)
     # without a count adaptive execution merges small ranges
     spread = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
-    ordered = (spread.sortWithinPartitions(*cols)
+    staged = (spread.sortWithinPartitions(*cols)
                  .withColumn("_mid", F.monotonically_increasing_id()))
-    ordered = materialize(ordered, "seq")
-    return (ordered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS).cast("int"))
+    staged = materialize(staged, "seq")
+    return (staged.withColumn("_pid", F.shiftright("_mid", _ROW_BITS).cast("int"))
                    .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1)))
 
 
@@ -53,9 +54,9 @@ def _offsets(ordered: DataFrame, weight: Column) -> DataFrame:
 def with_sequential_id(df: DataFrame, order: Sequence[str | Column], name: str = "id",
                        start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = start, start+1, … following ``order`` (dense, gap-free)."""
-    ordered = _ordered(df, order, num_partitions)
-    offsets = _offsets(ordered, F.lit(1).cast("bigint"))
-    return (ordered.join(F.broadcast(offsets), "_pid")
+    rows = ordered(df, order, num_partitions)
+    offsets = _offsets(rows, F.lit(1).cast("bigint"))
+    return (rows.join(F.broadcast(offsets), "_pid")
                    .withColumn(name, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint"))
                    .drop("_mid", "_pid", "_pos", "_off"))
 
@@ -64,10 +65,10 @@ def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str
                        name: str = "cum", num_partitions: int | None = None) -> DataFrame:
     """Add inclusive running sum of ``weight`` along a global order: a window
     inside each range partition of the staged rows, and partition offsets."""
-    ordered = _ordered(df, order, num_partitions)
+    rows = ordered(df, order, num_partitions)
     inside = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = ordered.withColumn("_in", F.sum(F.col(weight).cast("bigint")).over(inside))
-    offsets = _offsets(ordered, F.col(weight).cast("bigint"))
+    local = rows.withColumn("_in", F.sum(F.col(weight).cast("bigint")).over(inside))
+    offsets = _offsets(rows, F.col(weight).cast("bigint"))
     return (local.join(F.broadcast(offsets), "_pid")
                  .withColumn(name, (F.col("_off") + F.col("_in")).cast("bigint"))
                  .drop("_mid", "_pid", "_pos", "_off", "_in"))

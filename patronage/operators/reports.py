@@ -345,15 +345,18 @@ def filter_values(df: DataFrame, selections: dict[str, Sequence]) -> DataFrame:
     return df
 
 
-def split_valid(df: DataFrame, date_col: str, fmt: str, numeric: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Coerce; rows failing any coercion go to the rejected frame."""
-    typed = df.withColumn(date_col, F.try_to_timestamp(F.col(date_col), F.lit(fmt)))
+def split_valid(df: DataFrame, numeric: Sequence[str], date_col: str | None = None,
+                fmt: str = "yyyy-MM-dd") -> tuple[DataFrame, DataFrame]:
+    """Coerce; rows failing any coercion go to the rejected frame, as they came."""
+    ok = F.lit(True)
+    if date_col:
+        ok = ok & F.try_to_timestamp(F.col(date_col), F.lit(fmt)).isNotNull()
     for c in numeric:
-        typed = typed.withColumn(c, F.col(c).cast("string").try_cast("double"))
-    ok = F.col(date_col).isNotNull()
-    for c in numeric:
-        ok = ok & F.col(c).isNotNull()
-    return typed.where(ok), typed.where(~ok)
+        ok = ok & F.col(c).cast("string").try_cast("double").isNotNull()
+    valid = df.where(ok).withColumns({c: F.col(c).cast("string").try_cast("double") for c in numeric})
+    if date_col:
+        valid = valid.withColumn(date_col, F.try_to_timestamp(F.col(date_col), F.lit(fmt)))
+    return valid, df.where(~ok)
 
 
 def coerce_report(df: DataFrame, date_col: str, fmt: str, numeric: Sequence[str]) -> DataFrame:

@@ -33,12 +33,16 @@ def realign_years(df: DataFrame, date: str = "date", before_year: int = 2015, ye
 
 def rfm(df: DataFrame, customer: str = "customer_id", date: str = "date",
         txn: str = "transaction_id", amount: str = "total_amount",
-        ref_offset_days: int = 1, money_type: str = "decimal(18,2)", stage: bool = True) -> DataFrame:
-    """Registered-customer RFM.
+        ref_offset_days: int = 1, money_type: str = "decimal(18,2)", stage: bool = True,
+        exclude_guests: bool = False, guest: str = "0") -> DataFrame:
+    """Registered-customer RFM.  ``exclude_guests`` leaves out the lines of the
+    walk-in id ``guest``, and with them their dates.
 
     Recency = days from (latest date in the data + ``ref_offset_days``) to the
     customer's last date; Frequency = distinct transactions; Monetary = sum.
     """
+    if exclude_guests:
+        df = df.where(F.col(customer) != guest)
     # The reference date is the max of the per-customer last dates: with the
     # aggregate staged, the lines are read once and the reference is a scan
     # of the (much smaller) customer table, not a second pass over the input.

@@ -15,6 +15,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from .keys import with_sequential_id
@@ -178,6 +179,37 @@ def referential_checks(wh: Warehouse) -> DataFrame:
     return out
 
 
+# The declared columns of the star schema and each table's key.
+DECLARED = {
+    "dim_date": ("date_id INT, date DATE, date_key INT, day INT, month INT, month_name STRING, quarter INT, "
+                 "year INT, is_weekend BOOLEAN"),
+    "dim_category": "category_id INT, category STRING",
+    "dim_location": "location_id INT, country STRING",
+    "dim_customer": "customer_key INT, customer_id STRING, gender STRING, age INT, location_id INT",
+    "fact_sales": ("sales_id BIGINT, transaction_id STRING, date_id INT, customer_key INT, category_id INT, "
+                   "quantity INT, unit_price DECIMAL(10,2), total_amount DECIMAL(15,2)"),
+}
+PRIMARY_KEYS = {"dim_date": "date_id", "dim_category": "category_id", "dim_location": "location_id",
+                "dim_customer": "customer_key", "fact_sales": "sales_id"}
+
+
+def schema_checks(wh: Warehouse) -> DataFrame:
+    """Per table its rows, rows without a key, keys that occur twice or
+    more, and whether its columns are the declared ones in name and type."""
+    parts = []
+    for name, df in wh.tables().items():
+        key = PRIMARY_KEYS[name]
+        declared = T.StructType.fromDDL(DECLARED[name])
+        same = [(f.name, f.dataType) for f in declared] == [(f.name, f.dataType) for f in df.schema]
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("null_keys"),
+            F.count_if((F.col("n") > 1) & F.col(key).isNotNull()).cast("bigint").alias("repeated_keys"),
+        ).select(F.lit(name).alias("table_name"), "*", F.lit(same).alias("as_declared")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- star joins over the warehouse (J07-J09, S08) -----------------------------
 def star_join_rfm(wh: Warehouse) -> DataFrame:
     """Fact x customer x date x category, positive amounts."""

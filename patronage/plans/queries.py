@@ -991,10 +991,12 @@ def m16(spark, sf_dir):
 
 
 @query("m18_confusion_matrix", lab_sql(
-    "SELECT Tier AS actual, " + ", ".join(f"CAST(count(*) FILTER (WHERE {RULE_SQL} = '{c}') AS BIGINT) AS pred_{c}"
-                                        for c in CLASSES) + " FROM lab GROUP BY Tier"))
+    "SELECT lab.Tier AS actual, " + ", ".join(f"CAST(count(*) FILTER (WHERE {RULE_SQL} = '{c}') AS BIGINT) AS pred_{c}"
+                                        for c in CLASSES) + " FROM lab JOIN sp USING (customer_id) WHERE sp.split = 'test' GROUP BY lab.Tier",
+    sp=SPLIT_SQL))
 def m18(spark, sf_dir):
-    return CL.confusion_matrix(rule_predictions(spark, sf_dir), CLASSES, "Tier", "prediction")
+    held_out = rule_predictions(spark, sf_dir).where(F.col("split") == "test")
+    return CL.confusion_matrix(held_out, CLASSES, "Tier", "prediction")
 
 
 @query("m25_auc_exact", lab_sql("""
