@@ -169,3 +169,29 @@ def test_importances_cross_validation_grid_and_pca(spark):
     assert (pcs.tree_label == pcs.label).mean() >= 0.8
     report = {(r.model, r.cls): r for r in Q.m22(spark, SF_SMALL).collect()}
     assert all(0 <= r.f1 <= 1 for r in report.values()) and ("decision_tree", "accuracy") in report
+
+
+def test_grid_and_stream_scoring(spark):
+    grid = Q.m26(spark, SF_SMALL).collect()
+    assert {(r.max_depth, r.min_instances) for r in grid} == {(d, m) for d in (3, 5, 10) for m in (1, 5, 10)}
+    assert all(0 <= r.cv_accuracy <= 1 for r in grid)
+    key = lambda df: sorted((r.customer_id, r.Segment) for r in df.collect())
+    assert key(Q.r05(spark, SF_SMALL)) == key(Q.m23(spark, SF_SMALL))
+
+
+def test_box_cox_lambda_is_mle(spark):
+    x = np.random.default_rng(5).lognormal(1, 0.6, 2000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    lam = FE.fit_lambdas(df, ["x"], method="box-cox")[0]
+    grid, jac = np.linspace(-4, 4, 4001), np.sum(np.log(x + 1))
+
+    def likelihood(g):
+        y = np.log(x + 1) if g == 0 else ((x + 1) ** g - 1) / g
+        return -len(x) / 2 * np.log(np.var(y)) + (g - 1) * jac
+    assert abs(lam - grid[int(np.argmax([likelihood(g) for g in grid]))]) < 5e-3
+
+
+def test_column_types_of_the_merged_table(spark):
+    got = {r["column"]: r["type"] for r in Q.a23(spark, SF_SMALL).collect()}
+    assert got["date"] == "date" and got["total_amount"] == "decimal(15,2)" and got["customer_id"] == "string"
+    assert set(got) == set(MG.MERGED_COLUMNS)
