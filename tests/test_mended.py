@@ -18,6 +18,7 @@ from patronage.operators import warehouse as WH
 from patronage.operators.cleaning import SourceSpec
 from patronage.plans import more_queries as M
 from patronage.plans import queries as Q
+from patronage.sources import files as FS
 from patronage.sources import fixtures as X
 from patronage.sources.registry import SOURCES, fixture_sources
 
@@ -195,3 +196,12 @@ def test_column_types_of_the_merged_table(spark):
     got = {r["column"]: r["type"] for r in Q.a23(spark, SF_SMALL).collect()}
     assert got["date"] == "date" and got["total_amount"] == "decimal(15,2)" and got["customer_id"] == "string"
     assert set(got) == set(MG.MERGED_COLUMNS)
+
+
+def test_json_is_converted_once(spark, tmp_path):
+    src, dst = tmp_path / "in.json", str(tmp_path / "out")
+    src.write_text('{"orders": [{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]}')
+    assert FS.convert_json_to_table(spark, str(src), dst)
+    assert sorted((r.a, r.b) for r in spark.read.parquet(dst).collect()) == [("1", "x"), ("2", "y")]
+    assert not FS.convert_json_to_table(spark, str(src), dst)
+    assert not FS.convert_json_to_table(spark, str(tmp_path / "none.json"), str(tmp_path / "other"))
