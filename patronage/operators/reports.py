@@ -10,7 +10,6 @@ aggregated, bounded tables (months, clusters, segments).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
