@@ -221,8 +221,9 @@ def score(docs: DataFrame, labels: DataFrame, label_col: str = "quality", thresh
 def accepted(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.3, folds: int = 5,
              calibrate_fold: int = 1, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, columns as they are."""
-    staged = materialize(with_statistics(docs, text_col, [packed(docs)]), "quality-rows")
-    vectors = staged.select(F.col("_row")[id_col].alias("doc_id"), "_x")
+    vectors = with_statistics(docs, text_col, [docs[id_col].alias("doc_id")])
     model = fit(materialize(labelled_rows(vectors, labels, label_col, id_col, folds, calibrate_fold),
                             "quality-labelled"), **options)
-    return _scored(staged, model).where(F.col("_score") >= threshold).select("_row.*")
+    # the statistics are computed anew rather than stored beside the texts
+    rows = with_statistics(docs, text_col, [packed(docs)])
+    return _scored(rows, model).where(F.col("_score") >= threshold).select("_row.*")

@@ -34,6 +34,14 @@ def packed(docs: DataFrame, name: str = "_row") -> Column:
     return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(name)
 
 
+def row_hashes(docs: DataFrame) -> list[Column]:
+    """``_h1`` and ``_h2``: 128 bits that name a row by all its columns, nulls
+    included.  Two passes over a table find the same row by them, so no pass has
+    to store its text; rows that agree in every column share them."""
+    values = [x for c in docs.columns for x in (docs[f"`{c}`"], docs[f"`{c}`"].isNull())]
+    return [F.xxhash64(F.lit(k), *values).alias(f"_h{k}") for k in (1, 2)]
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], text: str,
                 most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Cut Arrow batches into runs of rows of about ``most`` bytes of text (one

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import packed, slices, text_of
+from .common import packed, row_hashes, slices, text_of
 from .components import components
 
 BITS = 64
@@ -231,10 +231,10 @@ def first_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, split: int
                   text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` less near-duplicates: of each component the row with
     the smallest id stays (null ids last; of rows that share it, one)."""
-    staged = materialize(fingerprints(docs, text_col, shingle, [
-        packed(docs), F.monotonically_increasing_id().alias("_rid")]), "simhash-rows")
-    fps = staged.select("_fp", F.col("_row")[id_col].alias("doc_id"), "_rid")
+    fps = materialize(fingerprints(docs, text_col, shingle, [docs[id_col].alias("doc_id"), *row_hashes(docs)]),
+                      "simhash-rows")
     found = classes(_distinct(fps), radius, split)
     stay = fps.join(found, "_fp").groupBy("_root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_rid"))["_rid"].alias("_rid"))
-    return staged.join(stay.select("_rid"), "_rid", "left_semi").select("_row.*")
+        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h1", "_h2")).alias("m")).select("m._h1", "m._h2")
+    rows = docs.select(packed(docs), *row_hashes(docs)).join(stay, ["_h1", "_h2"], "left_semi")
+    return rows.dropDuplicates(["_h1", "_h2"]).select("_row.*")  # rows that agree in every column
