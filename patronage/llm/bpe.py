@@ -296,7 +296,7 @@ def _run(source: DataFrame, schema: T.StructType, columns: Callable[..., list[pa
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, lexicon, as_text)
-        for batch, texts in text_slices(batches, "_text", 8 << 20):
+        for batch, texts in text_slices(batches, "_text"):
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns(*encoder.encode(texts))], names)
 
     return source.mapInArrow(run, schema)

@@ -224,6 +224,13 @@ def accepted(docs: DataFrame, labels: DataFrame, label_col: str = "quality", thr
     vectors = with_statistics(docs, text_col, [docs[id_col].alias("doc_id")])
     model = fit(materialize(labelled_rows(vectors, labels, label_col, id_col, folds, calibrate_fold),
                             "quality-labelled"), **options)
-    # the statistics are computed anew rather than stored beside the texts
-    rows = with_statistics(docs, text_col, [packed(docs)])
-    return _scored(rows, model).where(F.col("_score") >= threshold).select("_row.*")
+    # the statistics are computed anew, in one step with the score, rather than stored beside the texts
+    rows = docs.select(packed(docs), text_of(docs[text_col]).alias("_text"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "_text"):
+            scores = model.score(np.array([statistics(t) for t in texts]))
+            yield pa.RecordBatch.from_arrays([batch.columns[0], pa.array(scores)], ["_row", "_score"])
+
+    scored = rows.mapInArrow(run, T.StructType([rows.schema.fields[0], T.StructField("_score", T.DoubleType())]))
+    return scored.where(F.col("_score") >= threshold).select("_row.*")

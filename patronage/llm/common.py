@@ -56,6 +56,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], text: str,
             stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
             yield batch.slice(start, stop - start), texts.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # workers stay for later tasks
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str,
@@ -86,7 +87,7 @@ class Memo[V]:
     """What a process remembers by key, in two generations: when the young one
     is full it becomes the old one, from which only keys in use come back."""
 
-    def __init__(self, most: int = 150_000):
+    def __init__(self, most: int = 60_000):
         self.young: dict[bytes, V] = {}
         self.old: dict[bytes, V] = {}
         self.most = most
