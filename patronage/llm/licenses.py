@@ -1,13 +1,17 @@
 """License scans by patience alignment.
 
-A template's words are looked for in windows of the text, twice as long as the
-template and half overlapping, that hold enough of its words.  In a window the
-words that occur once in the window and once in the template are anchors; the
-longest increasing subsequence of their places keeps those in order, and the
-gaps between them are aligned in the same way, equal words next to an anchor
-first.  A window in which little is aligned (two copies in a row) is halved.  Coverage is the share of the template's words that are
-aligned; a window that reaches ``coverage`` is a match if its aligned words
-are not spread over more than ``spread`` times the template's length.
+Every word of the text that a template has may start a copy, so a window of two
+template lengths starts at each, as far as its words hold a common subsequence
+with the template that is long enough (its length comes from bit rows).  In a
+window the words that occur once in the window and once in the template are
+anchors; the longest increasing subsequence of their places keeps those in
+order, and the gaps between them are aligned in the same way, equal words next
+to an anchor first.  Where this aligns fewer words than the longest common
+subsequence has (repeated words), that subsequence is taken.  Coverage is the
+share of the template's words that are aligned; a window that reaches
+``coverage`` is a match if its aligned words are not spread over more than
+``spread`` times the template's length.  The best match is taken out, and what
+windows hold beside it is aligned again, so copies in a row are all found.
 
 A document is looked at only if it holds one of each template's rarest words:
 so many that a text without all of them can't reach the coverage.  That loses
@@ -18,7 +22,7 @@ Words are runs without white space, lower-cased, without punctuation at the ends
 Defined cases: null or empty text has no matches; repeated rows are rows of
 their own; an empty table gives an empty result; of overlapping matches the
 one of greater coverage stays, then the one that aligns more words, then the
-first.
+one whose window starts first.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -112,14 +117,46 @@ def align(text: Sequence[str], template: Sequence[str]) -> list[Pair]:
     return sorted(out)
 
 
-def best(text: Sequence[str], template: Sequence[str]) -> list[Pair]:
-    """``align``, or that of the better half of a text in which nothing is an anchor."""
+def _rows(text: Sequence[str], template: Sequence[str]) -> Iterator[int]:
+    """After each word of the text, a number whose zero bits are the places of the
+    template at which the longest common subsequence grows."""
+    places: dict[str, int] = {}
+    for k, w in enumerate(template):
+        places[w] = places.get(w, 0) | 1 << k
+    row = full = (1 << len(template)) - 1
+    for w in text:
+        if hit := row & places.get(w, 0):
+            row = (row + hit | row - hit) & full
+        yield row
+
+
+def common_length(text: Sequence[str], template: Sequence[str]) -> int:
+    """The length of the longest common subsequence."""
+    row = (1 << len(template)) - 1
+    for row in _rows(text, template):
+        pass
+    return len(template) - row.bit_count()
+
+
+def longest(text: Sequence[str], template: Sequence[str]) -> list[Pair]:
+    """The pairs of a longest common subsequence, the one that ends first."""
+    rows, out = list(_rows(text, template)), []
+    t, p = len(text), len(template)
+    while t and p:
+        if rows[t - 1] >> p - 1 & 1:
+            p -= 1
+        elif t > 1 and not rows[t - 2] >> p - 1 & 1:
+            t -= 1
+        else:
+            t, p = t - 1, p - 1
+            out.append((t, p))
+    return out[::-1]
+
+
+def best(text: Sequence[str], template: Sequence[str], length: int) -> list[Pair]:
+    """``align``, or the longest common subsequence, of ``length``, if that has more."""
     found = align(text, template)
-    if len(found) * 2 >= len(template) or len(text) <= len(template):
-        return found
-    cut = len(text) - len(text) // 2
-    left, right = align(text[:cut], template), [(t + cut, p) for t, p in align(text[cut:], template)]
-    return max(found, left, right, key=len)
+    return found if len(found) >= length else longest(text, template)
 
 
 @dataclass
@@ -150,25 +187,37 @@ def matches(text: str, wanted: list[Template], spread: float) -> list[Match]:
     """Matches in a text, by start."""
     spans = [m.span() for m in _WORD.finditer(text)]
     words = [plain(text[a:b]) for a, b in spans]
-    found: list[tuple[float, int, int, int, str]] = []
-    for t in wanted:
-        own, size = set(t.words), len(t.words)
+    # windows, best first: share and length of the common subsequence, start, end and template
+    heap: list[tuple[float, int, int, int, int]] = []
+
+    def offer(start: int, end: int, which: int) -> None:
+        t = wanted[which]
+        length = common_length(words[start:end], t.words)
+        if length >= t.needed:
+            heappush(heap, (-length / len(t.words), -length, start, end, which))
+
+    for which, t in enumerate(wanted):
+        own, reach = set(t.words), 2 * len(t.words)
         hits = [k for k, w in enumerate(words) if w in own]
-        for at in sorted({k // size * size - shift for k in hits for shift in (0, size)}):
-            window = words[max(0, at):at + 2 * size]
-            if len(own.intersection(window)) * size < t.needed * len(own) / 2:
-                continue
-            pairs = best(window, t.words)
-            if len(pairs) >= t.needed:
-                first, last = max(0, at) + pairs[0][0], max(0, at) + pairs[-1][0]
-                if last - first < spread * size:
-                    found.append((-len(pairs) / size, -len(pairs), first, last, t.name))
-    out: list[Match] = []
+        for start, least in zip(hits, hits[t.needed - 1:]):  # where the needed words can be at the earliest
+            if least - start < reach:
+                offer(start, min(len(words), start + reach), which)
     taken: list[tuple[int, int]] = []
-    for share, _, first, last, name in sorted(found):
-        if all(last < a or first > b for a, b in taken):
-            taken.append((first, last))
-            out.append((name, spans[first][0], spans[last][1], -share))
+    out: list[Match] = []
+    while heap:
+        share, length, start, end, which = heappop(heap)
+        k = bisect_left(taken, (start + 1,))
+        if k and taken[k - 1][1] >= start:
+            continue
+        if k < len(taken) and taken[k][0] < end:
+            offer(start, taken[k][0], which)
+            continue
+        t = wanted[which]
+        pairs = best(words[start:end], t.words, -length)
+        first, last = start + pairs[0][0], start + pairs[-1][0]
+        if last - first < spread * len(t.words):
+            taken.insert(k, (first, last))
+            out.append((t.name, spans[first][0], spans[last][1], -share))
     return sorted(out, key=lambda m: m[1:])
 
 

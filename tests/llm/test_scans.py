@@ -179,3 +179,31 @@ def test_patience_pairs_rise_and_agree():
         assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
         assert [p for _, p in licenses.align(template, template)] == list(range(len(template))) or \
             len(set(template)) < len(template)
+
+
+def found_licenses(text):
+    return [(m[0], text[m[1]:m[2]], m[3])
+            for m in licenses.matches(text, licenses.templates(licenses.TEMPLATES, 0.8), 1.5)]
+
+
+def test_every_license_copy_in_a_row_is_found_at_every_offset():
+    for name in ("all-rights-reserved", "apache-2.0", "mit", "gpl-3.0", "gpl-notice"):
+        notice = licenses.TEMPLATES[name]
+        for copies in (3, 4, 7):
+            for before in range(2 * len(notice.split()) + 1):
+                text = "x " * before + " ".join([notice] * copies) + " y"
+                assert [m[0] for m in found_licenses(text)] == [name] * copies, (name, copies, before)
+
+
+def test_longest_common_subsequence():
+    def brute(a, b):
+        return 0 if not a or not b else (1 + brute(a[1:], b[1:]) if a[0] == b[0]
+                                         else max(brute(a[1:], b), brute(a, b[1:])))
+
+    rng = random.Random(10)
+    for _ in range(300):
+        text, template = ([rng.choice("abcd") for _ in range(rng.randint(0, 8))] for _ in range(2))
+        pairs = licenses.longest(text, template)
+        assert len(pairs) == licenses.common_length(text, template) == brute(text, template)
+        assert all(text[t] == template[p] for t, p in pairs)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
