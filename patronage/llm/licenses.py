@@ -1,7 +1,7 @@
 """License scans by patience alignment.
 
-Every word of the text that a template has may start a copy, so a window of two
-template lengths starts at each, as far as its words hold a common subsequence
+Every word of the text that a template has may start a copy, so a window as long
+as a match may be starts at each, as far as its words hold a common subsequence
 with the template that is long enough (its length comes from bit rows).  In a
 window the words that occur once in the window and once in the template are
 anchors; the longest increasing subsequence of their places keeps those in
@@ -9,8 +9,9 @@ order, and the gaps between them are aligned in the same way, equal words next
 to an anchor first.  Where this aligns fewer words than the longest common
 subsequence has (repeated words), that subsequence is taken.  Coverage is the
 share of the template's words that are aligned; a window that reaches
-``coverage`` is a match if its aligned words are not spread over more than
-``spread`` times the template's length.  The best match is taken out, and what
+``coverage`` is a match.  Its length is ``spread`` times the template's, so
+aligned words are not spread over more than that, and any copy within it lies
+whole in the window that starts with its first word.  The best match is taken out, and what
 windows hold beside it is aligned again, so copies in a row are all found.
 
 A document is looked at only if it holds one of each template's rarest words:
@@ -33,6 +34,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heappop, heappush
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -197,7 +199,7 @@ def matches(text: str, wanted: list[Template], spread: float) -> list[Match]:
             heappush(heap, (-length / len(t.words), -length, start, end, which))
 
     for which, t in enumerate(wanted):
-        own, reach = set(t.words), 2 * len(t.words)
+        own, reach = set(t.words), ceil(spread * len(t.words))
         hits = [k for k, w in enumerate(words) if w in own]
         for start, least in zip(hits, hits[t.needed - 1:]):  # where the needed words can be at the earliest
             if least - start < reach:
@@ -215,9 +217,8 @@ def matches(text: str, wanted: list[Template], spread: float) -> list[Match]:
         t = wanted[which]
         pairs = best(words[start:end], t.words, -length)
         first, last = start + pairs[0][0], start + pairs[-1][0]
-        if last - first < spread * len(t.words):
-            taken.insert(k, (first, last))
-            out.append((t.name, spans[first][0], spans[last][1], -share))
+        taken.insert(k, (first, last))
+        out.append((t.name, spans[first][0], spans[last][1], -share))
     return sorted(out, key=lambda m: m[1:])
 
 

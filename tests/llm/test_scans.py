@@ -195,6 +195,20 @@ def test_every_license_copy_in_a_row_is_found_at_every_offset():
                 assert [m[0] for m in found_licenses(text)] == [name] * copies, (name, copies, before)
 
 
+def test_worn_license_copies_are_found_at_every_offset():
+    worn = {
+        "Licensed to you under all well known Apache License Version 2.0": ("apache-2.0", 6 / 7),
+        "Licensed under x x x the Apache License, Version 2.0": ("apache-2.0", 1.0),
+        "Released x x under the MIT x License": ("mit", 1.0),
+        "Released under the MIT": ("mit", 0.8),
+    }
+    for text, (name, coverage) in worn.items():
+        for before in range(16):
+            for after in ("", " x x x x License", " x" * 20):  # a word of the template behind the spread
+                whole = "x " * before + text + after
+                assert found_licenses(whole) == [(name, text, coverage)], whole
+
+
 def test_longest_common_subsequence():
     def brute(a, b):
         return 0 if not a or not b else (1 + brute(a[1:], b[1:]) if a[0] == b[0]
