@@ -14,9 +14,9 @@ aligned words are not spread over more than that, and any copy within it lies
 whole in the window that starts with its first word.  The best match is taken out, and what
 windows hold beside it is aligned again, so copies in a row are all found.
 
-A document is looked at only if it holds one of each template's rarest words:
-so many that a text without all of them can't reach the coverage.  That loses
-nothing.
+A template is looked for only in a document that holds one of its rarest words
+(so many that a text without all of them can't reach the coverage) and, in any
+order, as many of its words as the coverage needs.  That loses nothing.
 
 Words are runs without white space, lower-cased, without punctuation at the ends.
 
@@ -41,9 +41,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import column, slices, text_of
+from .license_texts import NOTICES
 
 # Notices as their licences word them.
-TEMPLATES: dict[str, str] = {
+TEMPLATES: dict[str, str] = NOTICES | {
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
@@ -167,13 +168,15 @@ class Template:
     words: list[str]
     needed: int  # words that must be aligned
     rare: list[bytes]  # one of these is in any text that has them
+    counts: dict[bytes, int]  # how often it has each word
 
     @classmethod
     def of(cls, name: str, text: str, coverage: float, common: Counter) -> Template:
         words = [w for w in map(plain, text.split()) if w]
         needed = max(1, -int(-coverage * len(words) // 1))
         by_rarity = sorted(words, key=lambda w: (common[w], -len(w), w))
-        return cls(name, words, needed, [w.encode() for w in dict.fromkeys(by_rarity[:len(words) - needed + 1])])
+        return cls(name, words, needed, [w.encode() for w in dict.fromkeys(by_rarity[:len(words) - needed + 1])],
+                   Counter(w.encode() for w in words))
 
 
 def templates(texts: dict[str, str], coverage: float) -> list[Template]:
@@ -182,6 +185,23 @@ def templates(texts: dict[str, str], coverage: float) -> list[Template]:
     return [Template.of(n, t, coverage, common) for n, t in sorted(texts.items())]
 
 
+def by_rare_word(wanted: list[Template]) -> dict[bytes, list[int]]:
+    out: dict[bytes, list[int]] = {}
+    for k, t in enumerate(wanted):
+        for w in t.rare:
+            out.setdefault(w, []).append(k)
+    return out
+
+
+def possible(text: bytes, wanted: list[Template], rare: dict[bytes, list[int]]) -> list[Template]:
+    """The templates that a text has words enough for."""
+    low = text.lower() if text.isascii() else str(text, "utf-8").lower().encode()
+    words = {w.strip(_PUNCTUATION.encode()) for w in set(low.split())}
+    some = sorted({k for w in words & rare.keys() for k in rare[w]})
+    return [t for t in (wanted[k] for k in some)
+            if sum(t.counts[w] for w in t.counts.keys() & words) >= t.needed]
+
+
 Match = tuple[str, int, int, float]  # name, start, end, coverage
 
 
@@ -234,13 +254,13 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEMPLATES, coverage: float = 0
     """One row per document: doc_id and matches (license, start, end, coverage), by start."""
     source = docs.select(docs[id_col].alias("doc_id"), text_of(docs[text_col]).alias("_text"))
     wanted = templates(texts, coverage)
+    rare = by_rare_word(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in slices(batches, "_text"):
             out = []
             for t in raw:
-                low = t.lower() if t.isascii() else str(t, "utf-8").lower().encode()
-                own = [w for w in wanted if any(r in low for r in w.rare)]
+                own = possible(t, wanted, rare)
                 out.append(matches(str(t, "utf-8"), own, spread) if own else [])
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(out, _ARROW)], ["doc_id", "matches"])
 

@@ -181,9 +181,13 @@ def test_patience_pairs_rise_and_agree():
             len(set(template)) < len(template)
 
 
+WANTED = licenses.templates(licenses.TEMPLATES, 0.8)
+RARE = licenses.by_rare_word(WANTED)
+
+
 def found_licenses(text):
-    return [(m[0], text[m[1]:m[2]], m[3])
-            for m in licenses.matches(text, licenses.templates(licenses.TEMPLATES, 0.8), 1.5)]
+    own = licenses.possible(text.encode(), WANTED, RARE)
+    return [(m[0], text[m[1]:m[2]], m[3]) for m in licenses.matches(text, own, 1.5)]
 
 
 def test_every_license_copy_in_a_row_is_found_at_every_offset():
@@ -209,6 +213,21 @@ def test_worn_license_copies_are_found_at_every_offset():
                 assert found_licenses(whole) == [(name, text, coverage)], whole
 
 
+def test_common_license_families_are_known():
+    for name, notice in licenses.TEMPLATES.items():
+        lines = "\n * ".join(["x y", *re.findall(r"(?:\S+ ?){1,9}", notice), "z"])  # as a comment
+        assert [(m[0], m[2]) for m in found_licenses(lines)] == [(name, 1.0)], name
+    for text, name in {
+        "Released under the ISC License.": "isc",
+        "Licensed under the Mozilla Public License, Version 2.0.": "mpl-2.0",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+        "Licensed under CC BY-ND 4.0.": "cc-by-nd-4.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "cc-by-3.0-notice",
+        "# SPDX-License-Identifier: BSD-3-Clause": "spdx-bsd-3-clause",
+    }.items():
+        assert [m[0] for m in found_licenses(text)] == [name], text
+
+
 def test_longest_common_subsequence():
     def brute(a, b):
         return 0 if not a or not b else (1 + brute(a[1:], b[1:]) if a[0] == b[0]
