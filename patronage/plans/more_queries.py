@@ -150,7 +150,7 @@ def m24_user(spark, sf_dir):
 @query("m17_forest_cross_validation")
 def m17_forest(spark, sf_dir):
     table, _ = Q.training_table(spark, sf_dir)
-    return CL.cross_validate(CL.random_forest(n_trees=20), table)
+    return CL.cross_validate(CL.random_forest(), table)
 
 
 @query("m19_tree_importances")
@@ -164,7 +164,7 @@ def m20_labels(spark, sf_dir):
     """The projected customers with the labels of the tree and the forest."""
     train, _, _, split = Q._split_train_test(spark, sf_dir)
     out = split.select("customer_id", "label", "features")
-    for name, est in (("tree_label", CL.decision_tree()), ("forest_label", CL.random_forest(n_trees=20))):
+    for name, est in (("tree_label", CL.decision_tree()), ("forest_label", CL.random_forest())):
         out = est.fit(train).transform(out).withColumnRenamed("prediction", name).drop("rawPrediction", "probability")
     return CL.pca_projection(out).drop("features")
 
@@ -174,7 +174,7 @@ def s13(spark, sf_dir):
     """The fitted tree and forest saved, loaded and applied to the hold-out rows."""
     train, test, _, _ = Q._split_train_test(spark, sf_dir)
     test, out = materialize(test.select("customer_id", "label", "features"), "hold-out"), None
-    for name, est in (("tree", CL.decision_tree()), ("forest", CL.random_forest(n_trees=20))):
+    for name, est in (("tree", CL.decision_tree()), ("forest", CL.random_forest())):
         path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
         fitted = est.fit(train)
         fitted.write().overwrite().save(path)

@@ -172,6 +172,19 @@ def test_importances_cross_validation_grid_and_pca(spark):
     assert all(0 <= r.f1 <= 1 for r in report.values()) and ("decision_tree", "accuracy") in report
 
 
+def test_forest_queries_fit_whole_forests(spark, monkeypatch):
+    made, real = [], M.CL.random_forest
+
+    def forest(*args, **named):
+        made.append(real(*args, **named).getNumTrees())
+        return M.CL.decision_tree(max_depth=2)  # only what is asked for counts here
+
+    monkeypatch.setattr(M.CL, "random_forest", forest)
+    for query in (M.m17_forest, M.m20_labels, M.s13):
+        query(spark, SF_SMALL)
+    assert made == [100] * 3
+
+
 def test_grid_and_stream_scoring(spark):
     grid = Q.m26(spark, SF_SMALL).collect()
     assert {(r.max_depth, r.min_instances) for r in grid} == {(d, m) for d in (3, 5, 10) for m in (1, 5, 10)}
