@@ -21,6 +21,7 @@ from patronage.plans import queries as Q
 from patronage.sources import files as FS
 from patronage.sources import fixtures as X
 from patronage.sources.registry import SOURCES, fixture_sources
+from patronage.plans.registry import QUERIES
 
 
 def test_a_source_of_any_name_is_merged(spark):
@@ -185,6 +186,15 @@ def test_forest_queries_fit_whole_forests(spark, monkeypatch):
     assert made == [100] * 3
 
 
+def test_registered_grid_search_is_over_forests(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(Q, "training_table", lambda spark, sf_dir: (None, None))
+    monkeypatch.setattr(Q.CL, "grid_search", lambda est, table, depths=None, min_instances=None:
+                        asked.append((type(est).__name__, est.getNumTrees(), depths, min_instances)))
+    QUERIES["m26_grid_search"](spark, SF_SMALL)
+    assert asked == [("RandomForestClassifier", 100, (10, 20, 30), (1, 2, 4))]
+
+
 def test_grid_and_stream_scoring(spark):
     grid = Q.m26(spark, SF_SMALL).collect()
     assert {(r.max_depth, r.min_instances) for r in grid} == {(d, m) for d in (3, 5, 10) for m in (1, 5, 10)}
