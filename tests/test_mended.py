@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from patronage.operators import classify as CL
 from patronage.operators import cleaning as C
 from patronage.operators import cluster as CU

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from patronage.operators import classify as CL
 from patronage.operators import cluster as CU
 from patronage.operators import features as FE

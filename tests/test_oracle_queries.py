@@ -4,7 +4,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 import __spark_entry__ as E
 from scripts.check_oracle import TABLES, rows_of

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from patronage.plans.pipeline import run_pipeline
 from patronage.sources import files as FS
 from patronage.sources import fixtures as X

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from patronage.operators import warehouse as WH
 from patronage.plans import queries as Q
 from patronage.sources import files as FS
