@@ -6,11 +6,13 @@ derives the columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, binary, bpe, classifier, licenses, mixing, pii, rules, secrets, simhash
+from . import ann, binary, bpe, classifier, licenses, mixing, pii, rules, runs, secrets, simhash
 from .common import documents, span_columns
 
 QUERIES: dict = {}
@@ -134,3 +136,24 @@ def op4(spark, sf_dir):
 @query("op8_nearest_neighbours")
 def op8(spark, sf_dir):
     return ann.search(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+# 13. Periodic runs -----------------------------------------------------------------
+def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's change of a tenth of the documents: from a place on, words go round."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    found = runs.detect(documents(spark, sf_dir), edit=looped).withColumn("best", runs.longest("runs"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.run_lines("runs"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
