@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, binary, bpe, classifier, licenses, mixing, pii, rules, runs, secrets, simhash
+from . import ann, binary, bpe, classifier, codes, jaccard, licenses, mixing, pii, rules, runs, secrets, simhash
 from .common import documents, span_columns
 
 QUERIES: dict = {}
@@ -138,6 +138,83 @@ def op8(spark, sf_dir):
     return ann.search(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+# 11. N-gram Jaccard join -----------------------------------------------------------
+# Overlaps by a join on the n-gram, components by spreading ids over links.
+JACCARD_SQL = r"""
+WITH RECURSIVE worded AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[k:k + 4], ' ') AS g FROM (
+    SELECT r, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS k FROM worded WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM grams GROUP BY r),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS o FROM grams x JOIN grams y ON x.g = y.g AND x.r <> y.r GROUP BY ALL)
+  JOIN sizes s ON s.r = a JOIN sizes t ON t.r = b WHERE 100 * o >= 80 * (s.n + t.n - o)),
+reach AS (
+  SELECT r AS a, r AS b FROM worded
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT w.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM worded w LEFT JOIN sizes s ON s.r = w.r JOIN reach ON reach.a = w.r JOIN worded o ON o.r = reach.b
+GROUP BY w.r, w.doc_id
+"""
+
+
+@query("op11_jaccard_join", JACCARD_SQL)
+def op11(spark, sf_dir):
+    return jaccard.classes(documents(spark, sf_dir), width=5, percent=80)
+
+
+# 12. Vector codes ------------------------------------------------------------------
+# One row per (vector, part); a round is an assignment by list arithmetic and new
+# entries by sums of components; integer division goes toward zero, hence the remainder.
+_CODES_ROUND = r"""
+near{k} AS MATERIALIZED (
+  SELECT i, p, arg_min(e, d * 1000 + e) AS e, min(d) AS d FROM (
+    SELECT c.i, c.p, b.e, CAST(list_sum(list_transform(list_zip(c.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS HUGEINT) AS d
+    FROM cut c JOIN book{k} b ON b.p = c.p) GROUP BY i, p),"""
+_CODES_BOOK = r"""
+sums{k} AS (
+  SELECT p, e, j, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x FROM (
+    SELECT n.p, n.e, unnest(c.v) AS x, generate_subscripts(c.v, 1) AS j FROM near{k} n JOIN cut c ON c.i = n.i AND c.p = n.p)
+  GROUP BY p, e, j),
+book{next} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(s.v, b.v) AS v FROM book{k} b
+  LEFT JOIN (SELECT p, e, list(CAST(x AS BIGINT) ORDER BY j) AS v FROM sums{k} GROUP BY p, e) s ON s.p = b.p AND s.e = b.e),"""
+CODES_SQL = (r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT i, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS v FROM kept, range(4) t(p)),
+starts AS (
+  SELECT i, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept WHERE vec_id IS NOT NULL ORDER BY vec_id LIMIT 256),
+book0 AS MATERIALIZED (SELECT c.p, s.e, c.v FROM starts s JOIN cut c ON c.i = s.i),"""
+             + "".join((_CODES_ROUND + _CODES_BOOK).format(k=k, next=k + 1) for k in range(4)) + _CODES_ROUND.format(k=4)
+             + r"""
+digest AS (
+  SELECT sha256(string_agg(x, ',' ORDER BY p, e, j)) AS h FROM (
+    SELECT p, e, CAST(unnest(v) AS VARCHAR) AS x, generate_subscripts(v, 1) AS j FROM book4)),
+coded AS (
+  SELECT i, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near4 GROUP BY i)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT h FROM digest) AS codebooks_sha256
+FROM kept k JOIN coded c ON c.i = k.i
+""")
+
+
+@query("op12_vector_codes", CODES_SQL)
+def op12(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    books = codes.train(vectors, size=256, parts=4, rounds=4, scale=1024)
+    coded = codes.with_label_error(codes.encode(vectors, books, scale=1024))
+    return coded.select(
+        "vec_id", F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "").alias("code"),
+        "error", "label_error", F.lit(codes.books_digest(books)).alias("codebooks_sha256"))
+
+
 # 13. Periodic runs -----------------------------------------------------------------
 def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The contract's change of a tenth of the documents: from a place on, words go round."""
