@@ -222,11 +222,13 @@ def _links(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
 
 def linked_sets(sets: DataFrame, percent: int, rounds: int, parts: int) -> DataFrame:
     """(node, root) of all sets that are linked."""
-    part = F.transform("grams", lambda g: F.struct(F.pmod(F.shiftright(g["gram"], 40), F.lit(parts)).alias("part"),
-                                                   g["gram"].alias("gram")))
-    pieces = materialize(sets.select("sid", F.explode(F.array(*[F.struct(F.lit(k).alias("part"), F.transform(F.filter(
-        part, lambda g, k=k: g["part"] == k), lambda g: g["gram"]).alias("grams")) for k in range(parts)])).alias("x"))
-        .select("sid", "x.part", "x.grams").where(F.size("grams") > 0), "jaccard-pieces")
+    def piece(part: int) -> Column:
+        own = F.filter("grams", lambda g: F.pmod(F.shiftright(g["gram"], 40), F.lit(parts)) == part)
+        return F.struct(F.lit(part).alias("part"), F.transform(own, lambda g: g["gram"]).alias("grams"))
+
+    pieces = materialize(
+        sets.select("sid", F.explode(F.array(*[piece(k) for k in range(parts)])).alias("x")).select(
+            "sid", "x.part", "x.grams").where(F.size("grams") > 0), "jaccard-pieces")
     near = materialize(_links(_to_leaders(sets, rounds), pieces, percent), "jaccard-links")
     rest = _links(_across(sets, components(near), percent), pieces, percent)
     return components(near.unionByName(rest))
