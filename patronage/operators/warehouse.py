@@ -235,55 +235,6 @@ def star_join_categories(wh: Warehouse) -> DataFrame:
              .select("customer_id", "transaction_id", "category", F.col("date").alias("transaction_date")))
 
 
-# --- incremental load (R01) ----------------------------------------------------
-def _extend_dim(old: DataFrame, new_values: DataFrame, value: str, key: str) -> DataFrame:
-    fresh = new_values.select(value).where(F.col(value).isNotNull()).distinct().join(
-        old.select(value), value, "left_anti")
-    start = old.select(F.coalesce(F.max(key), F.lit(0))).scalar()
-    keyed = with_sequential_id(fresh, [value], name="_seq")
-    added = keyed.select((F.col("_seq") + start).cast("int").alias(key), value)
-    return old.select(key, value).unionByName(added)
-
-
-def incremental_load(wh: Warehouse, new_lines: DataFrame,
-                     business_key: tuple[str, ...] = FACT_ORDER) -> Warehouse:
-    """Append only unseen lines; extend dims with new members, old keys kept.
-
-    Lines are compared in the types of the fact table, and a null equals a
-    null, so loading the same lines again adds nothing.  Lines that repeat
-    within ``new_lines`` are lines of their own."""
-    types = {"quantity": "int", "unit_price": "decimal(10,2)", "total_amount": "decimal(15,2)", "date": "date"}
-    new_lines = materialize(new_lines.withColumns({c: F.col(c).cast(t) for c, t in types.items()}), "warehouse-new")
-    dc = _extend_dim(wh.dim_category, new_lines, "category", "category_id")
-    dl = _extend_dim(wh.dim_location, new_lines, "country", "location_id")
-    dates = _extend_dim(wh.dim_date.select("date_id", "date"), new_lines, "date", "date_id")
-    dd = dates.select("date_id", "date", *date_parts("date"))
-    # customers: unseen ids only, keys continue after the current max
-    first = keep_first(new_lines, "customer_id", ["gender", "age", "country"],
-                       ["transaction_id", "date", "category", "quantity", "unit_price"])
-    fresh = first.join(wh.dim_customer.select("customer_id"), "customer_id", "left_anti").join(dl, "country", "left")
-    start = wh.dim_customer.select(F.coalesce(F.max("customer_key"), F.lit(0))).scalar()
-    fresh = with_sequential_id(fresh, ["customer_id"], name="_seq").select(
-        (F.col("_seq") + start).cast("int").alias("customer_key"), "customer_id", "gender",
-        F.col("age").cast("int"), F.col("location_id").cast("int"))
-    cu = wh.dim_customer.unionByName(fresh)
-    # fact: lines whose business key is not loaded yet
-    loaded = (wh.fact_sales.join(cu.select("customer_key", "customer_id"), "customer_key", "left")
-                .join(dc, "category_id", "left").join(F.broadcast(dd.select("date_id", "date")), "date_id", "left")
-                .select(*[F.col(c).alias(f"_{c}") for c in business_key]))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in business_key])
-    unseen = new_lines.select(*FACT_ORDER).join(loaded, same, "left_anti")
-    f = (unseen.join(cu.select("customer_id", "customer_key"), "customer_id", "left")
-               .join(dc, "category", "left").join(F.broadcast(dd.select("date", "date_id")), "date", "left"))
-    start_sales = wh.fact_sales.select(F.coalesce(F.max("sales_id"), F.lit(0))).scalar()
-    keyed = with_sequential_id(f, list(FACT_ORDER), name="_seq")
-    added = keyed.select((F.col("_seq") + start_sales).cast("bigint").alias("sales_id"), "transaction_id",
-                         F.col("date_id").cast("int"), F.col("customer_key").cast("int"),
-                         F.col("category_id").cast("int"), F.col("quantity").cast("int"),
-                         F.col("unit_price").cast("decimal(10,2)"), F.col("total_amount").cast("decimal(15,2)"))
-    return Warehouse(dd, dc, dl, cu, wh.fact_sales.unionByName(added))
-
-
 def persist_warehouse(wh: Warehouse, database: str, buckets: int, mode: str = "overwrite") -> Warehouse:
     """Write the five tables to the catalog.  ``fact_sales`` and
     ``dim_customer`` are bucketed (and sorted) on ``customer_key`` with the

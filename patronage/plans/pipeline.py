@@ -26,6 +26,10 @@ from ..sources import files as FS
 from ..sources.registry import SOURCES
 
 
+#: The scaled features, written beside the customer they belong to.
+SCALED = ("R_scaled", "F_scaled", "M_scaled")
+
+
 @dataclass
 class PipelineResult:
     audit: DataFrame
@@ -60,14 +64,15 @@ def run_pipeline(spark: SparkSession, specs=SOURCES, out_dir: str | None = None,
         base = out_dir.rstrip("/")
         writes = {
             "cleaning_audit": audit, "merged": merged, **{n: t for n, t in wh.tables().items()},
-            "rfm": rfm, "data_labeled": labeled.drop("features", "R_scaled", "F_scaled", "M_scaled"),
+            "rfm": rfm, "data_labeled": labeled.drop("features", *SCALED),
+            "data_scaled": labeled.select("customer_id", *SCALED),
             "segment_profile": RP.segment_profile(labeled),
             "segment_ids": RP.segment_groups(labeled, "Segment"),
         }
         for name, df in writes.items():
             path = f"{base}/{name}"
             if name == "segment_ids":
-                FS.write_stage(df, path, partition_by=["segment_group"])
+                FS.write_groups(df, path, ["segment_group"])
             else:
                 FS.write_stage(df, path)
             outputs[name] = path

@@ -108,6 +108,7 @@ def u01(spark, sf_dir):
 
 
 # --- Warehouse: P36, W02-W04, J03-J09, J15, S08, R01 -----------------------------
+from ..operators import increment as INC  # noqa: E402
 from ..operators import warehouse as WH  # noqa: E402
 
 
@@ -233,7 +234,7 @@ LEFT JOIN ndd d ON n.date = d.date
 def r01(spark, sf_dir):
     lines = X.sales(spark, sf_dir)
     old = WH.build_warehouse(lines.where(F.col("date") < F.lit(INITIAL_CUTOFF).cast("date")))
-    return WH.incremental_load(old, lines).fact_sales
+    return INC.incremental_load(old, lines).fact_sales
 
 
 # --- RFM features: A02, A03, W05-W07, P38, P39, M01-M05, S14 ---------------------
@@ -1175,7 +1176,7 @@ def _landing(spark, sf_dir):
     return src, ST.new_location(spark, "landed-purchases"), schema
 
 
-def _in_two_runs(spark, sf_dir, name, build, mode="append", copies=1, late=None):
+def _in_two_runs(spark, sf_dir, name, build, mode="append", copies=1, late=None, conf=None):
     """Land the first half of the days, run the query and stop it; land the rest
     (every file ``copies`` times, and the rows that ``late`` picks once more)
     and start the query again at the same place.  Returns its output folder."""
@@ -1185,10 +1186,10 @@ def _in_two_runs(spark, sf_dir, name, build, mode="append", copies=1, late=None)
     for part in (F.col("ts") < F.lit(middle), F.col("ts") >= F.lit(middle)):
         for _ in range(copies):
             ST.land_by_day(src.where(part), "ts", path)
-        out = ST.run_available(build(ST.file_stream(spark, path, schema)), where, mode=mode)
+        out = ST.run_available(build(ST.file_stream(spark, path, schema)), where, mode=mode, conf=conf)
     if late is not None:
         ST.land_by_day(src.where(late(F.lit(days["b"]))), "ts", path)
-        out = ST.run_available(build(ST.file_stream(spark, path, schema)), where, mode=mode)
+        out = ST.run_available(build(ST.file_stream(spark, path, schema)), where, mode=mode, conf=conf)
     return out
 
 
@@ -1201,8 +1202,10 @@ FROM pu GROUP BY user_id"""
 @query("r02_stream_running_rfm", ctes(STREAM_RFM_SQL, pu=PURCHASES))
 def r02(spark, sf_dir):
     def build(stream):
-        return ST.running_rfm_stream(stream, "user_id", "ts", "event_id", "value", delay="40 days")
-    out = _in_two_runs(spark, sf_dir, "rfm", build, mode="update", copies=2)
+        return ST.running_rfm_stream(stream, "user_id", "ts", "event_id", "value")
+    # every file comes twice, and days more than a month back come once more after the end
+    out = _in_two_runs(spark, sf_dir, "rfm", build, mode="update", copies=2, conf=ST.ROCKSDB,
+                       late=lambda last: F.col("ts") < F.date_sub(last.cast("date"), 30))
     return _round(ST.read_running_rfm(spark, out, "user_id"), ["Monetary"])
 
 

@@ -7,6 +7,7 @@ dirty value never flips a column's type); typing happens in cleaning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,28 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.format(fmt).save(path)
 
 
+def write_groups(df: DataFrame, path: str, by: Sequence[str], rows_per_file: int = 1_000_000,
+                 mode: str = "overwrite", fmt: str = "parquet", header: bool = True) -> None:
+    """One folder per group (values of ``by``), files of at most
+    ``rows_per_file`` rows.
+
+    A group of n rows is dealt into n / rows_per_file pieces (rounded up) by row
+    hash and a piece is written by one task: a group that holds a third of the
+    rows is written by many tasks, and a small one isn't written by all of them."""
+    by = list(by)
+    groups = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_pieces"))
+    same = [df[c].eqNullSafe(F.col(f"_g_{c}")) for c in by]
+    cut = groups.select("_pieces", *[F.col(c).alias(f"_g_{c}") for c in by])
+    dealt = df.join(cut, reduce(lambda a, b: a & b, same)).withColumn(
+        "_piece", F.pmod(F.xxhash64(*df.columns), F.col("_pieces"))).select(*df.columns, "_piece")
+    w = (dealt.repartition(*by, "_piece").drop("_piece").write.mode(mode)
+         .option("maxRecordsPerFile", rows_per_file).partitionBy(*by))
+    if fmt == "csv":
+        w.option("header", header).csv(path)
+    else:
+        w.format(fmt).save(path)
+
+
 def convert_json_to_table(spark: SparkSession, src: str, dst: str, fmt: str = "parquet") -> bool:
     """JSON -> tabular file, skipped when the target already exists."""
     if _hadoop_exists(spark, dst):

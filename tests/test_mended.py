@@ -14,6 +14,7 @@ from patronage.operators import features as FE
 from patronage.operators import merge as MG
 from patronage.operators import rfm as R
 from patronage.operators import transform as TR
+from patronage.operators import increment as INC
 from patronage.operators import warehouse as WH
 from patronage.operators.cleaning import SourceSpec
 from patronage.plans import more_queries as M
@@ -82,13 +83,13 @@ def test_reload_of_the_same_lines_adds_nothing(spark):
                            ("3", day, "b", None, None, None, None, 2, 1.1, 2.2), ("3", day, "b", None, None, None, None, 2, 1.1, 2.2)])
     wh = WH.build_warehouse(lines)
     assert wh.fact_sales.count() == 4
-    again = WH.incremental_load(wh, lines)
+    again = INC.incremental_load(wh, lines)
     assert again.fact_sales.count() == 4 and again.dim_customer.count() == 2
-    more = WH.incremental_load(again, lines.unionByName(_lines(spark, [("4", None, "c", "Female", 5, "Y", None, 1, 1.0, 1.0)])))
+    more = INC.incremental_load(again, lines.unionByName(_lines(spark, [("4", None, "c", "Female", 5, "Y", None, 1, 1.0, 1.0)])))
     added = more.fact_sales.where("transaction_id = '4'").collect()
     assert more.fact_sales.count() == 5 and len(added) == 1
     assert added[0].date_id is None and added[0].category_id is None and added[0].unit_price == Decimal("1.00")
-    assert WH.incremental_load(more, lines).fact_sales.count() == 5
+    assert INC.incremental_load(more, lines).fact_sales.count() == 5
     assert {r.table_name: (r.repeated_keys, r.as_declared) for r in WH.schema_checks(more).collect()} == {
         t: (0, True) for t in WH.PRIMARY_KEYS}
 

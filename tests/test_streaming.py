@@ -40,9 +40,8 @@ def test_restart_goes_on_where_the_query_stopped(spark):
     rows = [(i, D(2024, 1, 1 + i % 20, 8), i % 7, float(i)) for i in range(200)]
 
     def run():
-        agg = ST.running_rfm_stream(ST.file_stream(spark, path, SCHEMA), "user_id", "ts", "event_id", "value",
-                                    delay="40 days")
-        return ST.run_available(agg, where, mode="update")
+        agg = ST.running_rfm_stream(ST.file_stream(spark, path, SCHEMA), "user_id", "ts", "event_id", "value")
+        return ST.run_available(agg, where, mode="update", conf=ST.ROCKSDB)
 
     _land(spark, rows[:120], path)
     run()
@@ -72,10 +71,49 @@ def test_stream_dedup_and_running_rfm_equal_batch(spark):
     _land(spark, rows, path)
     _land(spark, rows[:50], path)  # re-delivered copies
     stream = ST.file_stream(spark, path, SCHEMA, max_files=1)
-    agg = ST.running_rfm_stream(stream, "user_id", "ts", "event_id", "value", delay="40 days")
-    got = ST.read_running_rfm(spark, ST.run_available(agg, ST.new_location(spark, "dup"), mode="update"), "user_id")
+    agg = ST.running_rfm_stream(stream, "user_id", "ts", "event_id", "value")
+    out = ST.run_available(agg, ST.new_location(spark, "dup"), mode="update", conf=ST.ROCKSDB)
+    got = ST.read_running_rfm(spark, out, "user_id")
     batch = spark.createDataFrame(rows, SCHEMA).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("Frequency"), F.sum("value").alias("Monetary"))
     a = {r.user_id: (r.Frequency, r.Monetary) for r in got.collect()}
     b = {r.user_id: (r.Frequency, r.Monetary) for r in batch.collect()}
     assert a == b
+
+
+def _rfm_in_turns(spark, turns, **kw):
+    """Land and run turn after turn at one location; the totals at the end."""
+    path, where = ST.new_location(spark, "turns-in"), ST.new_location(spark, "turns")
+    for rows in turns:
+        _land(spark, rows, path)
+        agg = ST.running_rfm_stream(ST.file_stream(spark, path, SCHEMA), "user_id", "ts", "event_id", "value", **kw)
+        out = ST.run_available(agg, where, mode="update", conf=ST.ROCKSDB)
+    return {r.user_id: (r.Recency, r.Frequency, r.Monetary) for r in ST.read_running_rfm(spark, out, "user_id").collect()}
+
+
+def test_a_transaction_that_returns_after_months_counts_once(spark):
+    first = [(1, D(2024, 1, 1, 8), 1, 5.0), (2, D(2024, 1, 2, 8), 1, 7.0), (3, D(2024, 1, 2, 8), 2, 1.0)]
+    other = [(4, D(2024, 4, 1, 8), 2, 2.0), (None, D(2024, 4, 1, 8), 2, 0.5), (5, D(2024, 4, 1, 8), None, 1.5)]
+    again = [(1, D(2024, 1, 1, 8), 1, 5.0), (1, D(2024, 5, 1, 8), 1, 5.0), (6, D(2024, 1, 3, 8), 1, 1.0)]
+    got = _rfm_in_turns(spark, [first, other, again], pieces=2)
+    # 6 is new and far behind the latest event: it counts, since nothing is late without ``remember``
+    assert got == {1: (89, 3, 13.0), 2: (0, 3, 3.5), None: (0, 1, 1.5)}
+
+
+def test_a_remembered_transaction_expires_by_event_time(spark):
+    turns = [[(1, D(2024, 1, 1), 1, 1.0), (2, D(2024, 1, 20), 1, 1.0)],
+             [(1, D(2024, 1, 31), 1, 1.0)],               # 30 days on: remembered
+             [(9, D(2024, 6, 1), 2, 1.0)], [(9, D(2024, 6, 2), 2, 1.0)],  # time goes on
+             [(1, D(2024, 6, 3), 1, 1.0)]]                # months on: forgotten
+    got = _rfm_in_turns(spark, turns, remember="60 days", pieces=1)
+    assert got == {1: (0, 3, 3.0), 2: (2, 1, 1.0)}
+
+
+def test_a_customer_with_most_rows_is_spread_over_pieces(spark):
+    rows = [(i, D(2024, 1, 1 + i % 20, 8), 0 if i % 2 else i, 1.0) for i in range(2000)]
+    path, where = ST.new_location(spark, "hot-in"), ST.new_location(spark, "hot")
+    _land(spark, rows, path)
+    agg = ST.running_rfm_stream(ST.file_stream(spark, path, SCHEMA), "user_id", "ts", "event_id", "value", pieces=8)
+    out = ST.run_available(agg, where, mode="update", conf=ST.ROCKSDB)
+    held = [r.Frequency for r in spark.read.parquet(out).where("user_id = 0").collect()]
+    assert len(held) == 8 and sum(held) == 1001 and max(held) < 200
