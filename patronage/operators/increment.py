@@ -26,6 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, stage_root
 from ..sources.files import write_groups
@@ -160,7 +161,7 @@ def open_store(spark: SparkSession, path: str) -> StoredWarehouse:
     dims = {name: spark.read.schema(DECLARED[name]).parquet(f"{path}/{name}")
             for name in ("dim_date", "dim_category", "dim_location", "dim_customer")}
     stored = _read_fact(spark, path)
-    declared = [c.split()[0] for c in DECLARED["fact_sales"].replace("(10,2)", "").replace("(15,2)", "").split(", ")]
+    declared = [f.name for f in T.StructType.fromDDL(DECLARED["fact_sales"])]
     return StoredWarehouse(**dims, fact_sales=stored.select(*declared), path=path, fact_stored=stored)
 
 

@@ -10,7 +10,7 @@ otherwise keeps a shuffle join (with skew splitting on the fact side).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .keys import with_sequential_id
+from .skew import SALT, cut_by_salt
 
 # Column names of the declared star schema.
 FACT_ORDER = ("transaction_id", "date", "customer_id", "category", "quantity", "unit_price", "total_amount")
@@ -31,6 +32,15 @@ class Warehouse:
     dim_location: DataFrame
     dim_customer: DataFrame
     fact_sales: DataFrame
+    #: Fact and customers with salts, bucketed alike (``persist_warehouse``).
+    salted: tuple[DataFrame, DataFrame] | None = field(default=None, kw_only=True)
+
+    def fact_with_customers(self) -> DataFrame:
+        """fact x customer: on (key, salt) where the tables were stored with salts."""
+        if self.salted is None:
+            return self.fact_sales.join(self.dim_customer, "customer_key")
+        fact, customers = self.salted
+        return fact.join(customers, ["customer_key", SALT]).drop(SALT)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"dim_date": self.dim_date, "dim_category": self.dim_category,
@@ -213,8 +223,7 @@ def schema_checks(wh: Warehouse) -> DataFrame:
 # --- star joins over the warehouse (J07-J09, S08) -----------------------------
 def star_join_rfm(wh: Warehouse) -> DataFrame:
     """Fact x customer x date x category, positive amounts."""
-    f = wh.fact_sales.where(F.col("total_amount") > 0)
-    return (f.join(wh.dim_customer, "customer_key")
+    return (wh.fact_with_customers().where(F.col("total_amount") > 0)
              .join(F.broadcast(wh.dim_date), "date_id")
              .join(wh.dim_category, "category_id")
              .select("customer_id", "transaction_id", "total_amount", "date", "age", "gender", "category"))
@@ -222,34 +231,36 @@ def star_join_rfm(wh: Warehouse) -> DataFrame:
 
 def star_join_dates(wh: Warehouse) -> DataFrame:
     """Fact x customer x date, positive amounts."""
-    f = wh.fact_sales.where(F.col("total_amount") > 0)
-    return (f.join(wh.dim_customer, "customer_key").join(F.broadcast(wh.dim_date), "date_id")
+    return (wh.fact_with_customers().where(F.col("total_amount") > 0).join(F.broadcast(wh.dim_date), "date_id")
              .select("customer_id", "date", "transaction_id", "total_amount"))
 
 
 def star_join_categories(wh: Warehouse) -> DataFrame:
     """Fact x customer x category x date, date projected as transaction_date."""
-    f = wh.fact_sales.where(F.col("total_amount") > 0)
-    return (f.join(wh.dim_customer, "customer_key").join(wh.dim_category, "category_id")
+    return (wh.fact_with_customers().where(F.col("total_amount") > 0).join(wh.dim_category, "category_id")
              .join(F.broadcast(wh.dim_date), "date_id")
              .select("customer_id", "transaction_id", "category", F.col("date").alias("transaction_date")))
 
 
 def persist_warehouse(wh: Warehouse, database: str, buckets: int, mode: str = "overwrite") -> Warehouse:
-    """Write the five tables to the catalog.  ``fact_sales`` and
-    ``dim_customer`` are bucketed (and sorted) on ``customer_key`` with the
-    same bucket count, so the largest star join reads both sides already
-    co-partitioned — no shuffle of the fact table.  Small dimensions are
-    plain tables (joined by measured-size broadcast)."""
+    """Write the five tables to the catalog, the fact with salts, and
+    ``customer_by_salt``, the customers once per salt of theirs.  These two are
+    bucketed (and sorted) on (customer_key, salt) with the same bucket count, so
+    the largest star join reads both sides already co-partitioned — no shuffle
+    of the fact, and a customer with more than a bucket's share of lines lies in
+    several buckets.  The other tables are plain (joined by measured-size broadcast)."""
     from ..sources.files import save_table
 
     spark = wh.fact_sales.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    save_table(wh.dim_date, f"{database}.dim_date", mode=mode)
-    save_table(wh.dim_category, f"{database}.dim_category", mode=mode)
-    save_table(wh.dim_location, f"{database}.dim_location", mode=mode)
-    save_table(wh.dim_customer, f"{database}.dim_customer", mode=mode, bucket_by=(buckets, ["customer_key"]))
-    save_table(wh.fact_sales, f"{database}.fact_sales", mode=mode, bucket_by=(buckets, ["customer_key"]))
-    t = spark.table
-    return Warehouse(t(f"{database}.dim_date"), t(f"{database}.dim_category"), t(f"{database}.dim_location"),
-                     t(f"{database}.dim_customer"), t(f"{database}.fact_sales"))
+    small = ("dim_date", "dim_category", "dim_location", "dim_customer")
+    for name in small:
+        save_table(getattr(wh, name), f"{database}.{name}", mode=mode)
+    fact, customers = cut_by_salt(wh.fact_sales, wh.dim_customer, "customer_key", "sales_id", buckets)
+    for df, name in ((fact, "fact_sales"), (customers, "customer_by_salt")):
+        save_table(df.repartition(buckets, "customer_key", SALT), f"{database}.{name}", mode=mode,
+                   bucket_by=(buckets, ["customer_key", SALT]))
+    fact, customers = spark.table(f"{database}.fact_sales"), spark.table(f"{database}.customer_by_salt")
+    declared = [f.name for f in T.StructType.fromDDL(DECLARED["fact_sales"])]
+    return Warehouse(*[spark.table(f"{database}.{name}") for name in small], fact.select(*declared),
+                     salted=(fact, customers))

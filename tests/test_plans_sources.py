@@ -80,7 +80,7 @@ def test_bucketed_warehouse_star_join_without_fact_shuffle(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = saved.fact_sales.join(saved.dim_customer, "customer_key")
+        joined = saved.fact_with_customers()
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
         assert joined.count() == wh.fact_sales.count()
