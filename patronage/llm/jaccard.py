@@ -20,7 +20,9 @@ counts there, and what it counted is summed per set or per pair.
    rehashed n-gram, ``rounds`` times with other hashes; the links found give
    components.  Then sets of different components that share a prefix n-gram
    are compared, all of them: for each n-gram, those outside its largest
-   component with all others.
+   component with all others.  N-grams fall into cells, and a set has the parity
+   of its n-grams in each; cells that differ bound what lies outside the overlap,
+   and pairs apart by this bound make no row.
 5. A pair's overlap is counted in each of ``parts`` fragments by itself and
    summed; a link needs 100 * overlap >= percent * union.
 
@@ -44,8 +46,9 @@ from ..session import materialize
 from .common import column, slices, text_of
 from .components import components
 
-_HOT = 64  # an n-gram of 1 / _HOT of the documents is dealt by set
+_HOT, _LEAST_HOT = 64, 1000  # an n-gram of 1 / _HOT of the documents, and of so many, is dealt by set
 _COMMON = (1 << 31) - 1  # the frequency such an n-gram counts as
+_ODD = 16  # words of 64 parity bits
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -169,55 +172,86 @@ def _least(n: str | Column, percent: int) -> Column:
 
 
 def _candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """Sets that share enough: sid, n, grams (freq, gram) in the global order."""
+    """Sets that share enough: sid, n, own (n-grams that no other set has), grams
+    (freq, gram) in the global order, odd (parity bits of the n-grams' cells)."""
     enough = shared.groupBy("sid").agg(F.sum(F.size("grams")).alias("m"), F.first("n").alias("n")).where(
         F.col("m") * 100 >= F.col("n") * percent).select("sid")
     pairs = F.arrays_zip(F.col("freqs").alias("freq"), F.col("grams").alias("gram"))
-    return shared.join(enough, "sid", "left_semi").groupBy("sid").agg(
-        F.first("n").alias("n"), F.array_sort(F.flatten(F.collect_list(pairs))).alias("grams"))
+    sets = shared.join(enough, "sid", "left_semi").groupBy("sid").agg(
+        F.first("n").alias("n"), F.array_sort(F.flatten(F.collect_list(pairs))).alias("grams")).select(
+        "sid", "n", (F.col("n") - F.size("grams")).alias("own"), "grams")
 
+    def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = column(batch, "grams")
+            cells = grams.flatten().field("gram").to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(64 * _ODD)
+            held = np.repeat(np.arange(batch.num_rows), grams.value_lengths().to_numpy(zero_copy_only=False))
+            odd = np.bincount(held * 64 * _ODD + cells.astype(np.int64), minlength=batch.num_rows * 64 * _ODD) & 1
+            bits = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, _ODD)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(bits), pa.list_(pa.int64()))],
+                                             [*batch.schema.names, "odd"])
 
-def _to_leaders(sets: DataFrame, rounds: int) -> DataFrame:
-    """(a, b): each set and its leaders."""
+    kind = sets.schema["grams"].dataType.simpleString()
+    return sets.mapInArrow(marked, f"sid long, n long, own long, grams {kind}, odd array<long>")
+
+
+def _near(percent: int) -> Column:
+    """Whether a pair (columns ending in _a and _b) may be linked: every n-gram of
+    one set alone flips one parity bit, so bits that differ, and n-grams that no
+    other set has, are at most those outside the overlap."""
+    apart = sum(F.bit_count(F.col("odd_a")[k].bitwiseXOR(F.col("odd_b")[k])) for k in range(_ODD))
+    return (apart + F.col("own_a") + F.col("own_b")) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+
+def _sides(*cols: str) -> list[list[Column]]:
+    return [[F.col(c).alias(f"{c}{end}") for c in cols] for end in ("_a", "_b")]
+
+
+def _to_leaders(sets: DataFrame, percent: int, rounds: int) -> DataFrame:
+    """Pairs of each set and its leaders."""
     keys = F.array(*[F.struct(F.lit(k).alias("k"), F.array_min(F.transform(
         "grams", lambda g: F.xxhash64(F.lit(k), g["gram"]))).alias("key")) for k in range(rounds)])
     # how common a set's n-grams are; those taken as shared say nothing
     common = F.aggregate("grams", F.lit(0.0), lambda s, g: s + F.when(
         g["freq"] < _COMMON, F.log2(g["freq"].cast("double"))).otherwise(0.0)) / F.col("n")
-    keyed = sets.select("sid", "n", common.alias("common"), F.explode(keys).alias("x")).select(
-        "sid", "n", "common", "x.k", "x.key")
-    leaders = keyed.groupBy("k", "key").agg(F.max(F.struct("common", "sid", "n")).alias("lead"),
+    keyed = materialize(sets.select("sid", "n", common.alias("common"), F.explode(keys).alias("x")).select(
+        "sid", "n", "common", "x.k", "x.key"), "jaccard-keys")
+    leaders = keyed.groupBy("k", "key").agg(F.max(F.struct("common", "sid")).alias("lead"),
                                             F.count(F.lit(1)).alias("held")).where("held > 1")
-    return keyed.join(leaders, ["k", "key"]).where("sid <> lead.sid").select(
-        F.col("sid").alias("a"), F.col("lead.sid").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb")).distinct()
+    pairs = keyed.join(leaders, ["k", "key"]).where("sid <> lead.sid").select(
+        F.col("sid").alias("sid_a"), F.col("lead.sid").alias("sid_b")).distinct()
+    a, b = _sides("sid", "n", "own", "odd")
+    return pairs.join(sets.select(a), "sid_a").join(sets.select(b), "sid_b").where(_near(percent)).select(
+        "sid_a", "sid_b", "n_a", "n_b")
 
 
 def _across(sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """(a, b): sets of different components that share an n-gram of their prefixes."""
+    """Pairs of sets of different components that share an n-gram of their prefixes."""
     prefix = F.slice("grams", 1, F.size("grams") - _least("n", percent) + 1)
     held = sets.join(joined, sets["sid"] == joined["node"], "left").select(
-        "sid", "n", F.coalesce("root", "sid").alias("root"), F.explode(F.transform(prefix, lambda g: g["gram"])).alias("gram"))
+        "sid", F.coalesce("root", "sid").alias("root"), F.explode(F.transform(prefix, lambda g: g["gram"])).alias("gram"))
     held = materialize(held, "jaccard-prefixes")
     sizes = held.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("held"))
     most = sizes.groupBy("gram").agg(F.max(F.struct("held", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).where(
         "roots > 1").select("gram", F.col("most.root").alias("most"))
-    mixed = held.join(most, "gram")
-    few = mixed.where("root <> most").select("gram", *[F.col(c).alias(f"{c}_a") for c in ("sid", "n", "root")])
-    return few.join(mixed, "gram").where(
-        (F.col("root_a") != F.col("root")) & ((F.col("root") == F.col("most")) | (F.col("sid_a") < F.col("sid")))
-        & (F.least("n_a", "n") * 100 >= F.greatest("n_a", "n") * percent)).select(
-        F.col("sid_a").alias("a"), F.col("sid").alias("b"), F.col("n_a").alias("na"), F.col("n").alias("nb")).distinct()
+    mixed = materialize(held.join(most, "gram").join(sets.select("sid", "n", "own", "odd"), "sid"), "jaccard-mixed")
+    a, b = _sides("sid", "n", "own", "odd", "root")
+    few = mixed.where("root <> most").select("gram", *a)
+    return few.join(mixed.select("gram", "most", *b), "gram").where(
+        (F.col("root_a") != F.col("root_b"))
+        & ((F.col("root_b") == F.col("most")) | (F.col("sid_a") < F.col("sid_b")))
+        & _near(percent)).select("sid_a", "sid_b", "n_a", "n_b").distinct()
 
 
 def _links(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
     """The pairs that are linked, by overlaps counted in each fragment."""
-    pairs = pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    left = pieces.select(F.col("sid").alias("a"), "part", F.col("grams").alias("grams_a"))
-    right = pieces.select(F.col("sid").alias("b"), "part", F.col("grams").alias("grams_b"))
-    counted = pairs.join(left, "a").join(right, ["b", "part"]).select(
-        "a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
-    return counted.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")).where(
-        F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * percent).select("a", "b")
+    left = pieces.select(F.col("sid").alias("sid_a"), "part", F.col("grams").alias("grams_a"))
+    right = pieces.select(F.col("sid").alias("sid_b"), "part", F.col("grams").alias("grams_b"))
+    counted = pairs.join(left, "sid_a").join(right, ["sid_b", "part"]).select(
+        "sid_a", "sid_b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
+    return counted.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap")).where(
+        F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent).select(
+        F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
 
 
 def linked_sets(sets: DataFrame, percent: int, rounds: int, parts: int) -> DataFrame:
@@ -229,7 +263,7 @@ def linked_sets(sets: DataFrame, percent: int, rounds: int, parts: int) -> DataF
     pieces = materialize(
         sets.select("sid", F.explode(F.array(*[piece(k) for k in range(parts)])).alias("x")).select(
             "sid", "x.part", "x.grams").where(F.size("grams") > 0), "jaccard-pieces")
-    near = materialize(_links(_to_leaders(sets, rounds), pieces, percent), "jaccard-links")
+    near = materialize(_links(_to_leaders(sets, percent, rounds), pieces, percent), "jaccard-links")
     rest = _links(_across(sets, components(near), percent), pieces, percent)
     return components(near.unionByName(rest))
 
@@ -241,7 +275,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 4,
     rows = materialize(_documents(docs, width, id_col, text_col), "jaccard-docs")
     n_docs, n_grams = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
     hot = rows.select(F.explode("hot").alias("x")).groupBy("x.gram").agg(F.sum("x.sets").alias("sets")).where(
-        F.col("sets") >= max(1000, n_docs // _HOT)).select("gram")  # at most _HOT times the mean set
+        F.col("sets") >= max(_LEAST_HOT, n_docs // _HOT)).select("gram")  # at most _HOT times the mean set
     hot = np.sort(hot.toArrow().column("gram").to_numpy().view(np.uint64))
     shared = materialize(_shared(docs, width, text_col, hot, 1 + (n_grams or 0) // load), "jaccard-shared")
     sets = materialize(_candidates(shared, percent), "jaccard-sets")
