@@ -13,13 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+from . import json_records as JR
 
-def _hadoop_exists(spark: SparkSession, path: str) -> bool:
+
+def expand_paths(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The qualified paths that a path, a glob or a list of them stands for, each
+    once however many globs match it, in order of name; what matches nothing adds none."""
     jvm = spark.sparkContext._jvm  # type: ignore[union-attr]
     conf = spark.sparkContext._jsc.hadoopConfiguration()  # type: ignore[union-attr]
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
+    found = set()
+    for p in [path] if isinstance(path, str) else path:
+        glob = jvm.org.apache.hadoop.fs.Path(p)
+        for status in glob.getFileSystem(conf).globStatus(glob) or ():
+            found.add(status.getPath().toString())
+    # a folder's files are read with it
+    return sorted(p for p in found if not any(p.startswith(f"{q}/") for q in found))
+
+
+def _hadoop_exists(spark: SparkSession, path: str) -> bool:
+    return bool(expand_paths(spark, path))
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
@@ -27,10 +40,10 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """CSV with header; all columns strings unless a schema is given.
 
     ``path`` may be a glob or a list of globs (several folders of
-    ``customers_*.csv``); a path that matches nothing is skipped.
+    ``customers_*.csv``); a file that several match is read once, and a path
+    that matches nothing is skipped.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    paths = [p for p in paths if _hadoop_exists(spark, p)]
+    paths = expand_paths(spark, path)
     if not paths:
         return None
     reader = spark.read.option("header", True).option("inferSchema", False)
@@ -42,23 +55,41 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return df
 
 
-def read_json_records(spark: SparkSession, path: str) -> DataFrame | None:
+def read_json_records(spark: SparkSession, path: str | Sequence[str],
+                      schema: T.StructType | str | None = None) -> DataFrame | None:
     """JSON whose top level is a list of records, ``{"carts": [...]}``,
     ``{"orders": [...]}`` or one record; returns one row per record.
 
-    The shape is chosen from the inferred schema: a ``carts`` / ``orders``
-    array of structs is exploded with ``inline``; anything else already has
-    one row per record (Spark reads a top-level array as rows).
-    """
-    if not _hadoop_exists(spark, path):
+    Lists and wrapped lists are cut into records over byte ranges
+    (``json_records``), so a large file is read by many tasks; a file of any
+    other shape is one record, unless its array stands behind nested fields.
+    Values are strings unless ``schema`` declares the records."""
+    paths = expand_paths(spark, path)
+    if not paths:
         return None
-    df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
-    for wrapper in ("carts", "orders"):
-        field = next((f for f in df.schema.fields if f.name == wrapper), None)
-        if field is not None and isinstance(field.dataType, T.ArrayType) \
-                and isinstance(field.dataType.elementType, T.StructType):
-            return df.select(F.inline(F.col(wrapper)))
-    return df
+    depths = materialize(JR.shapes(spark, paths), "json-shapes")
+    found = {r.depth for r in depths.select("depth").distinct().collect()}
+    parts = []
+
+    def reader(multi: bool):
+        r = spark.read.option("multiLine", multi).option("primitivesAsString", True)
+        return r.schema(schema) if schema is not None else r
+
+    if found & {1, 2}:
+        parts.append(reader(False).json(JR.as_lines(spark, paths, depths)))
+    if None in found:
+        rest = [r.file for r in depths.where("depth is null").collect()]
+        df = spark.read.option("multiLine", True).option("primitivesAsString", True).json(rest)
+        for wrapper in JR.WRAPPERS:
+            field = next((f for f in df.schema.fields if f.name == wrapper), None)
+            if field is not None and isinstance(field.dataType, T.ArrayType) \
+                    and isinstance(field.dataType.elementType, T.StructType):
+                df = df.select(F.inline(F.col(wrapper)))
+                break
+        else:
+            df = reader(True).json(rest)
+        parts.append(df)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_source(spark: SparkSession, spec) -> DataFrame | None:
