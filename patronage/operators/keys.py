@@ -72,3 +72,23 @@ def with_running_total(df: DataFrame, order: Sequence[str | Column], weight: str
     return (local.join(F.broadcast(offsets), "_pid")
                  .withColumn(name, (F.col("_off") + F.col("_in")).cast("bigint"))
                  .drop("_mid", "_pid", "_pos", "_off", "_in"))
+
+
+def expanded_ranks(df: DataFrame, col: str, name: str = "rank", rows_per_task: int = 1_000_000,
+                   piece: int = 10_000) -> DataFrame:
+    """The values of ``col`` with their ranks 1..n in ascending order; equal values
+    take consecutive ranks.
+
+    Values are counted (combined map-side) and only distinct values are sorted; a
+    running total of the counts gives each its ranks, and these are written out in
+    pieces of ``piece`` ranks dealt over tasks.  No task gets all rows of a value."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    total = with_running_total(counts, [col], "_n", name="_last").select(
+        col, (F.col("_last") - F.col("_n") + 1).alias("_first"), "_last")
+    total = materialize(total, "ranks")
+    rows = total.agg(F.coalesce(F.max("_last"), F.lit(0))).first()[0]
+    pieces = total.select(col, "_last", F.explode(F.sequence("_first", "_last", F.lit(piece).cast("bigint"))).alias("_at"))
+    # a given count: merged by size, these few rows would expand in one task
+    dealt = pieces.repartition(max(1, -(-rows // rows_per_task)), "_at")
+    end = F.least(F.col("_at") + piece - 1, "_last")
+    return dealt.select(col, F.explode(F.sequence("_at", end)).alias(name))

@@ -78,13 +78,21 @@ def customer_profiles(lines: DataFrame, countries: Sequence[str] = DEFAULT_COUNT
 
 
 def merge_sources(frames: Sequence[DataFrame | None], countries: Sequence[str] = DEFAULT_COUNTRIES,
-                  keep_source: bool = False, ranks: dict[str, int] = SOURCE_RANK) -> DataFrame:
+                  keep_source: bool = False, ranks: dict[str, int] = SOURCE_RANK,
+                  per_row: bool = True) -> DataFrame:
     """Union, normalise ids and dates, harmonise profiles, recompute totals.
 
     ``keep_source`` adds ``source`` and ``timestamp``, the landed time before
-    it is cut to a day.
+    it is cut to a day.  With ``per_row`` every total is quantity x unit price;
+    without it landed totals stay if no line lacks one, and one missing total
+    (or none landed) recomputes all.
     """
     full = union_sources(frames)
+    landed = None
+    if not per_row and "total_amount" in full.columns:
+        landed = F.col("total_amount").cast("string").try_cast("double").cast("decimal(15,2)")
+        full = full.withColumn("_landed", landed)
+        whole = full.select(F.count_if(F.col("_landed").isNull()) == 0).scalar()
     for c in ("country", "gender", "age", "category", "source"):
         if c not in full.columns:
             full = full.withColumn(c, F.lit(None).cast("double" if c == "age" else "string"))
@@ -96,10 +104,11 @@ def merge_sources(frames: Sequence[DataFrame | None], countries: Sequence[str] =
     lines = full.drop("age", "gender", "country").join(profile, "customer_id", "left")  # J02
     qty = F.coalesce(F.col("quantity").cast("string").try_cast("double"), F.lit(0.0))
     price = F.coalesce(F.col("unit_price").cast("string").try_cast("double"), F.lit(0.0))
+    amount = (F.col("quantity") * F.col("unit_price")).cast("decimal(15,2)")
     lines = (lines.withColumn("quantity", qty.cast("int"))
                   .withColumn("unit_price", price.cast("decimal(10,2)"))
                   .withColumn("total_amount",                                          # P26
-                              (F.col("quantity") * F.col("unit_price")).cast("decimal(15,2)"))
+                              amount if landed is None else F.when(whole, F.col("_landed")).otherwise(amount))
                   .withColumn("age", F.round("age").cast("int")))
     cols = [c for c in MERGED_COLUMNS if c in lines.columns]                             # P27
     if keep_source:

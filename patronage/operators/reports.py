@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import with_sequential_id
+from . import gram
+from .keys import expanded_ranks, with_sequential_id
 from .stats import group_quantiles, quantiles
 
 
@@ -172,8 +173,13 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                             F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
-def correlations(df: DataFrame, cols: Sequence[str], nd: int = 6) -> DataFrame:
-    """Pearson correlation of every pair, one aggregation, long form."""
+def correlations(df: DataFrame, cols: Sequence[str], nd: int = 6, most: int = 8) -> DataFrame:
+    """Pearson correlation of every pair of columns, long form; rows where
+    either is null don't count for a pair.  Up to ``most`` columns it is one
+    aggregation of ``corr`` calls; more would be too many for generated code and
+    take the sums of a Gram matrix instead (``gram.correlations``)."""
+    if len(cols) > most:
+        return gram.correlations(df, cols, nd)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
     long = wide.unpivot([], [F.col(f"`{a}|{b}`") for a, b in pairs], "pair", "corr")
@@ -400,13 +406,14 @@ def dedup_across_sources(df: DataFrame, key: Sequence[str], keep: Sequence[str],
 
 def qq_points(df: DataFrame, col: str, nd: int = 6) -> DataFrame:
     """Ordered values against normal quantiles at Filliben positions, with
-    the least-squares line (slope, intercept, r) as constant columns.  Ranks
-    come from the scalable sequence helper, not a single-task window."""
+    the least-squares line (slope, intercept, r) as constant columns.  Ranks come
+    from the values' counts (``keys.expanded_ranks``), so a value that half of
+    the rows hold is ranked by many tasks."""
     from ..functions.exprs import filliben_position, norm_ppf
 
     vals = df.select(F.col(col).cast("double").alias("ordered")).where(F.col("ordered").isNotNull())
-    n = vals.select(F.count(F.lit(1))).scalar()
-    ranked = with_sequential_id(vals, ["ordered"], name="i")
+    ranked = expanded_ranks(vals, "ordered", name="i")
+    n = ranked.select(F.count(F.lit(1))).scalar()
     pts = ranked.select("i", norm_ppf(filliben_position("i", n)).alias("theoretical"), "ordered")
     slope = pts.select(F.regr_slope("ordered", "theoretical")).scalar()
     intercept = pts.select(F.regr_intercept("ordered", "theoretical")).scalar()

@@ -14,6 +14,7 @@ from ..operators import cleaning as C
 from ..operators import features as FE
 from ..operators import reports as RP
 from ..operators import rfm as R
+from ..operators import sketches as SK
 from ..operators import transform as TR
 from ..operators import warehouse as WH
 from ..session import materialize, stage_root
@@ -182,3 +183,44 @@ def s13(spark, sf_dir):
             F.lit(name).alias("model"), "customer_id", "label", "prediction")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# --- A31 by sketches, A26 on many columns -------------------------------------------
+@query("a31_yearly_sketches", Q.lab_sql("""
+SELECT CAST(year(date) AS INT) AS year, CAST(count(*) AS BIGINT) AS lines,
+       CAST(count(DISTINCT transaction_id) AS BIGINT) AS transactions, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers,
+       TRUE AS transactions_close, TRUE AS customers_close
+FROM p GROUP BY 1"""))
+def a31_sketches(spark, sf_dir):
+    """Months' sketches are stored and merged into years; each estimate lies within
+    four standard errors of the exact count beside it."""
+    lines, counted = Q.transactions(spark, sf_dir), ["transaction_id", "customer_id"]
+    months = SK.distinct_sketches(lines, {"year": F.year("date"), "month": F.month("date")}, counted)
+    years = SK.rolled_up(materialize(months, "month-sketches"), {"year": F.col("year")}, counted)
+    near = SK.estimates(years, counted).select("year", "lines", *[F.col(c).alias(f"_{c}") for c in counted])
+    exact = lines.groupBy(F.year("date").alias("year")).agg(
+        *[F.countDistinct(c).cast("bigint").alias(f"{c.removesuffix('_id')}s") for c in counted])
+
+    def close(name: str):
+        apart = F.abs(F.col(f"_{name}_id") - F.col(f"{name}s"))
+        return (apart <= 4 * SK.error() * F.col(f"{name}s") + 1).alias(f"{name}s_close")
+    return near.join(exact, "year").select("year", "lines", "transactions", "customers", close("transaction"),
+                                           close("customer"))
+
+
+MONTHS = [f"m{k}" for k in range(1, 13)]
+WIDE = ["Recency", "Frequency", "Monetary", *MONTHS]
+
+
+@query("a26_correlation_wide", Q.lab_sql(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr FROM wide"
+    for i, a in enumerate(WIDE) for b in WIDE[i:]), wide="SELECT * FROM lab JOIN (SELECT customer_id, " + ", ".join(
+        f"sum(total_amount) FILTER (WHERE month(date) = {k}) AS m{k}" for k in range(1, 13)) + """
+    FROM p GROUP BY customer_id) USING (customer_id)"""))
+def a26_wide(spark, sf_dir):
+    """RFM and a customer's spend in each calendar month (null without any): 120 pairs."""
+    month = F.month("date")
+    spend = Q.transactions(spark, sf_dir).groupBy("customer_id").agg(
+        *[F.sum(F.when(month == k, F.col("total_amount"))).alias(f"m{k}") for k in range(1, 13)])
+    wide = Q.labeled(spark, sf_dir).select("customer_id", *WIDE[:3]).join(spend, "customer_id")
+    return RP.correlations(wide, WIDE)

@@ -229,3 +229,20 @@ def test_json_is_converted_once(spark, tmp_path):
     assert sorted((r.a, r.b) for r in spark.read.parquet(dst).collect()) == [("1", "x"), ("2", "y")]
     assert not FS.convert_json_to_table(spark, str(src), dst)
     assert not FS.convert_json_to_table(spark, str(tmp_path / "none.json"), str(tmp_path / "other"))
+
+
+def test_totals_are_recomputed_for_all_lines_or_none(spark):
+    from patronage.operators import merge as MG
+    cols = ("customer_id string, transaction_id string, date date, quantity int, unit_price double, total_amount double, "
+            "source string")
+    day = dt.date(2024, 1, 1)
+    given = [("1", "t1", day, 2, 3.0, 5.0, "a"), ("2", "t2", day, 1, 4.0, 4.5, "a")]
+
+    def totals(rows, **kw):
+        frame = spark.createDataFrame(rows, cols)
+        return sorted(float(r.total_amount) for r in MG.merge_sources([frame], **kw).collect())
+    assert totals(given) == [4.0, 6.0]
+    assert totals(given, per_row=False) == [4.5, 5.0]
+    assert totals([*given, ("3", "t3", day, 1, 1.0, None, "a")], per_row=False) == [1.0, 4.0, 6.0]
+    frame = spark.createDataFrame(given, cols).drop("total_amount")
+    assert sorted(float(r.total_amount) for r in MG.merge_sources([frame], per_row=False).collect()) == [4.0, 6.0]
