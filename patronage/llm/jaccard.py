@@ -9,9 +9,10 @@ counts there, and what it counted is summed per set or per pair.
 2. Each fragment counts in how many sets its n-grams occur.  A set that shares m
    of its n n-grams with any other set at all can only be linked when
    100 * m >= percent * n; sums over fragments drop most sets here, and
-   every n-gram of one set.  A fragment has about ``load`` n-grams.  N-grams
-   that 1/64 of all documents hold aren't counted but taken as shared, in
-   fragments dealt by set, so that no task gets all their holders.
+   every n-gram of one set.  A fragment has about ``load`` n-grams, and a task
+   sums up about ``sets_a_task`` sets; n-grams travel packed, not as rows.
+   N-grams that 1/64 of all documents hold aren't counted but taken as shared,
+   in fragments dealt by set, so that no task gets all their holders.
 3. Sets that stay have their n-grams ordered by frequency, then name.  Linked
    sets share one of their first m - least + 1 (their prefix; ``least`` is the
    overlap they need).
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import column, slices, text_of
+from .common import column, gather, slices, text_of
 from .components import components
 
 _HOT, _LEAST_HOT = 64, 1000  # an n-gram of 1 / _HOT of the documents, and of so many, is dealt by set
@@ -107,8 +108,24 @@ def _documents(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
     return source.mapInArrow(run, "doc_id long, n long, sid long, hot array<struct<gram: long, sets: long>>")
 
 
-def _shared(docs: DataFrame, width: int, text_col: str, hot: np.ndarray, fragments: int) -> DataFrame:
-    """(sid, n, grams, freqs): the n-grams of a set in one fragment that occur in
+def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of each stretch of equal keys."""
+    cuts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])
+
+
+def _packed(rows: list[tuple], key: str, names: tuple[str, ...]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * (1 + len(names))
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                                      [key, *names])
+
+
+def _unpacked(rows: pa.Table, *kinds: tuple[str, str]) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in kinds]
+
+
+def _shared(docs: DataFrame, width: int, text_col: str, hot: np.ndarray, fragments: int, buckets: int) -> DataFrame:
+    """Packed by bucket of sets: the n-grams of a set in one fragment that occur in
     other sets, too, and the number of sets of each."""
     source = docs.select(text_of(docs[text_col]).alias("_text"))
 
@@ -125,20 +142,16 @@ def _shared(docs: DataFrame, width: int, text_col: str, hot: np.ndarray, fragmen
                 to[found] = fragments + np.mod(sids[own[found]], fragments)
             order = np.argsort(to, kind="stable")
             to, grams, own = to[order], grams[order], own[order]
-            cuts = np.flatnonzero(np.diff(to, prepend=-1))
             rows = []
-            for a, b in zip(cuts, [*cuts[1:], len(to)]):
+            for a, b in _runs(to):
                 first = np.flatnonzero(np.diff(own[a:b], prepend=-1))
                 whose = own[a:b][first]
                 rows.append((int(to[a]), sids[whose].tobytes(), sizes[whose].astype("<i4").tobytes(),
                              np.diff(first, append=b - a).astype("<i4").tobytes(), grams[a:b].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))],
-                ["fragment", "sids", "sizes", "counts", "grams"])
+            yield _packed(rows, "fragment", ("sids", "sizes", "counts", "grams"))
 
     def count(rows: pa.Table) -> pa.Table:
-        sids, sizes, counts, grams = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (
-            ("sids", "<i8"), ("sizes", "<i4"), ("counts", "<i4"), ("grams", "<u8")))
+        sids, sizes, counts, grams = _unpacked(rows, ("sids", "<i8"), ("sizes", "<i4"), ("counts", "<i4"), ("grams", "<u8"))
         # a set that several slices hold counts once
         first = np.zeros(len(sids), bool)
         first[np.unique(sids, return_index=True)[1]] = True
@@ -153,17 +166,22 @@ def _shared(docs: DataFrame, width: int, text_col: str, hot: np.ndarray, fragmen
             freqs = np.empty(len(grams), np.int64)
             freqs[order] = np.repeat(each, each)
         stay = freqs > 1
-        left = np.add.reduceat(stay.astype(np.int64), np.cumsum(counts) - counts)
-        some = left > 0
-        offsets = pa.array(np.concatenate([[0], np.cumsum(left[some])]), pa.int32())
-        return pa.table([
-            pa.array(sids[some]), pa.array(sizes[some].astype(np.int64)),
-            pa.ListArray.from_arrays(offsets, pa.array(grams[stay].view(np.int64))),
-            pa.ListArray.from_arrays(offsets, pa.array(freqs[stay].astype(np.int32)))], ["sid", "n", "grams", "freqs"])
+        counts = np.add.reduceat(stay.astype(np.int64), np.cumsum(counts) - counts)
+        grams, freqs = grams[stay], freqs[stay]
+        starts, bucket = np.cumsum(counts) - counts, np.mod(sids, buckets)
+        order = np.argsort(bucket, kind="stable")
+        order = order[counts[order] > 0]
+        out = []
+        for a, b in _runs(bucket[order]):
+            mine = order[a:b]
+            out.append((int(bucket[mine[0]]), sids[mine].tobytes(), sizes[mine].tobytes(),
+                        counts[mine].astype("<i4").tobytes(), gather(grams, starts[mine], counts[mine]).tobytes(),
+                        gather(freqs, starts[mine], counts[mine]).astype("<i4").tobytes()))
+        return pa.Table.from_batches([_packed(out, "bucket", ("sids", "sizes", "counts", "grams", "freqs"))])
 
     dealt = source.mapInArrow(deal, "fragment int, sids binary, sizes binary, counts binary, grams binary")
     return dealt.repartition(2 * fragments, "fragment").groupBy("fragment").applyInArrow(
-        count, "sid long, n long, grams array<long>, freqs array<int>")
+        count, "bucket int, sids binary, sizes binary, counts binary, grams binary, freqs binary")
 
 
 def _least(n: str | Column, percent: int) -> Column:
@@ -171,28 +189,41 @@ def _least(n: str | Column, percent: int) -> Column:
     return F.ceil((F.col(n) if isinstance(n, str) else n) * percent / 100).cast("int")
 
 
-def _candidates(shared: DataFrame, percent: int) -> DataFrame:
+def _candidates(shared: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Sets that share enough: sid, n, own (n-grams that no other set has), grams
     (freq, gram) in the global order, odd (parity bits of the n-grams' cells)."""
-    enough = shared.groupBy("sid").agg(F.sum(F.size("grams")).alias("m"), F.first("n").alias("n")).where(
-        F.col("m") * 100 >= F.col("n") * percent).select("sid")
-    pairs = F.arrays_zip(F.col("freqs").alias("freq"), F.col("grams").alias("gram"))
-    sets = shared.join(enough, "sid", "left_semi").groupBy("sid").agg(
-        F.first("n").alias("n"), F.array_sort(F.flatten(F.collect_list(pairs))).alias("grams")).select(
-        "sid", "n", (F.col("n") - F.size("grams")).alias("own"), "grams")
-
-    def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = column(batch, "grams")
-            cells = grams.flatten().field("gram").to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(64 * _ODD)
-            held = np.repeat(np.arange(batch.num_rows), grams.value_lengths().to_numpy(zero_copy_only=False))
-            odd = np.bincount(held * 64 * _ODD + cells.astype(np.int64), minlength=batch.num_rows * 64 * _ODD) & 1
-            bits = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, _ODD)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(bits), pa.list_(pa.int64()))],
-                                             [*batch.schema.names, "odd"])
-
-    kind = sets.schema["grams"].dataType.simpleString()
-    return sets.mapInArrow(marked, f"sid long, n long, own long, grams {kind}, odd array<long>")
+    def summed(rows: pa.Table) -> pa.Table:
+        sids, sizes, counts, grams, freqs = _unpacked(
+            rows, ("sids", "<i8"), ("sizes", "<i4"), ("counts", "<i4"), ("grams", "<i8"), ("freqs", "<i4"))
+        names, first, where = np.unique(sids, return_index=True, return_inverse=True)
+        n, m = sizes[first].astype(np.int64), np.bincount(where, counts, len(names)).astype(np.int64)
+        enough = m * 100 >= n * percent
+        held = np.repeat(where, counts)
+        stay = enough[held]
+        held, grams, freqs = held[stay], grams[stay], freqs[stay]
+        order = np.lexsort((grams, freqs, held))
+        grams, freqs = grams[order], freqs[order]
+        names, n, m = names[enough], n[enough], m[enough]
+        pairs = pa.StructArray.from_arrays([pa.array(freqs), pa.array(grams)], ["freq", "gram"])
+        ends = np.cumsum(m)
+        return pa.table([pa.array(names), pa.array(n), pa.array(n - m),
+                         pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pairs),
+                         pa.array(_parities(grams, ends), pa.list_(pa.int64()))], ["sid", "n", "own", "grams", "odd"])
+
+    return shared.repartition(2 * buckets, "bucket").groupBy("bucket").applyInArrow(
+        summed, "sid long, n long, own long, grams array<struct<freq: int, gram: long>>, odd array<long>")
+
+
+def _parities(grams: np.ndarray, ends: np.ndarray, block: int = 4096) -> list[np.ndarray]:
+    """Each set's parity bits: cells that an odd number of its n-grams fall in."""
+    cells, width, out = (grams.view(np.uint64) % np.uint64(64 * _ODD)).astype(np.int64), 64 * _ODD, []
+    begins = np.append(0, ends)
+    for k in range(0, len(ends), block):
+        some = begins[k:k + block + 1]
+        own = np.repeat(np.arange(len(some) - 1), np.diff(some))
+        odd = np.bincount(own * width + cells[some[0]:some[-1]], minlength=(len(some) - 1) * width) & 1
+        out += list(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(-1, _ODD))
+    return out
 
 
 def _near(percent: int) -> Column:
@@ -240,7 +271,7 @@ def _across(sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
     return few.join(mixed.select("gram", "most", *b), "gram").where(
         (F.col("root_a") != F.col("root_b"))
         & ((F.col("root_b") == F.col("most")) | (F.col("sid_a") < F.col("sid_b")))
-        & _near(percent)).select("sid_a", "sid_b", "n_a", "n_b").distinct()
+        & _near(percent)).select("sid_a", "sid_b", "n_a", "n_b", "root_a", "root_b").distinct()
 
 
 def _links(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
@@ -248,10 +279,9 @@ def _links(pairs: DataFrame, pieces: DataFrame, percent: int) -> DataFrame:
     left = pieces.select(F.col("sid").alias("sid_a"), "part", F.col("grams").alias("grams_a"))
     right = pieces.select(F.col("sid").alias("sid_b"), "part", F.col("grams").alias("grams_b"))
     counted = pairs.join(left, "sid_a").join(right, ["sid_b", "part"]).select(
-        "sid_a", "sid_b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
-    return counted.groupBy("sid_a", "sid_b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap")).where(
-        F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent).select(
-        F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))
+        *pairs.columns, F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
+    return counted.groupBy(*pairs.columns).agg(F.sum("overlap").alias("overlap")).where(
+        F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * percent)
 
 
 def linked_sets(sets: DataFrame, percent: int, rounds: int, parts: int) -> DataFrame:
@@ -263,13 +293,19 @@ def linked_sets(sets: DataFrame, percent: int, rounds: int, parts: int) -> DataF
     pieces = materialize(
         sets.select("sid", F.explode(F.array(*[piece(k) for k in range(parts)])).alias("x")).select(
             "sid", "x.part", "x.grams").where(F.size("grams") > 0), "jaccard-pieces")
-    near = materialize(_links(_to_leaders(sets, percent, rounds), pieces, percent), "jaccard-links")
-    rest = _links(_across(sets, components(near), percent), pieces, percent)
-    return components(near.unionByName(rest))
+    near = _links(_to_leaders(sets, percent, rounds), pieces, percent)
+    first = materialize(components(near.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))), "jaccard-joined")
+    # many links between two components are one
+    rest = _links(_across(sets, first, percent), pieces, percent)
+    last = components(rest.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct())
+    both = first.join(last.select(F.col("node").alias("root"), F.col("root").alias("_last")), "root", "left").select(
+        "node", F.coalesce("_last", "root").alias("root"))
+    # sets that the second step alone links
+    return both.unionByName(last.join(first.select("node"), "node", "left_anti").select("node", "root"))
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 4, parts: int = 8,
-            load: int = 4_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            load: int = 4_000_000, sets_a_task: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles (size of its set), component_id
     (the smallest id that links reach, its own included)."""
     rows = materialize(_documents(docs, width, id_col, text_col), "jaccard-docs")
@@ -277,8 +313,9 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 4,
     hot = rows.select(F.explode("hot").alias("x")).groupBy("x.gram").agg(F.sum("x.sets").alias("sets")).where(
         F.col("sets") >= max(_LEAST_HOT, n_docs // _HOT)).select("gram")  # at most _HOT times the mean set
     hot = np.sort(hot.toArrow().column("gram").to_numpy().view(np.uint64))
-    shared = materialize(_shared(docs, width, text_col, hot, 1 + (n_grams or 0) // load), "jaccard-shared")
-    sets = materialize(_candidates(shared, percent), "jaccard-sets")
+    buckets = 1 + n_docs // sets_a_task
+    shared = _shared(docs, width, text_col, hot, 1 + (n_grams or 0) // load, buckets)
+    sets = materialize(_candidates(shared, percent, buckets), "jaccard-sets")
     joined = linked_sets(sets, percent, rounds, parts)
     # from sets back to documents; copies meet here, as one row with map-side minima
     firsts = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))

@@ -60,7 +60,7 @@ def groups(seed, n, vocabulary=60):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_classes_equal_brute_force(spark, seed):
     rows = groups(seed, 60)
-    assert result(jaccard.classes(data.documents(spark, rows), load=1000)) == brute(rows)
+    assert result(jaccard.classes(data.documents(spark, rows), load=1000, sets_a_task=40)) == brute(rows)
 
 
 def test_other_widths_and_percents(spark):
@@ -81,9 +81,9 @@ def test_a_large_group_of_near_copies_and_a_common_passage(spark, monkeypatch):
     held = []
     plain = jaccard._shared
 
-    def shared(docs, width, text_col, hot, fragments):
+    def shared(docs, width, text_col, hot, *cuts):
         held.append(len(hot))
-        return plain(docs, width, text_col, hot, fragments)
+        return plain(docs, width, text_col, hot, *cuts)
     monkeypatch.setattr(jaccard, "_shared", shared)
     monkeypatch.setattr(jaccard, "_LEAST_HOT", 100)
     assert result(jaccard.classes(data.documents(spark, rows), load=2000)) == brute(rows)
@@ -96,8 +96,8 @@ def test_pairs_apart_by_their_parity_make_no_row(spark):
     base = [rng.choice(words) for _ in range(150)]
     rows = [(k, " ".join(edited(rng, base, words, rng.choice([1, 2, 9]))), "en", "a", 0) for k in range(200)]
     docs = data.documents(spark, rows)
-    shared = jaccard._shared(docs, 5, "text", np.zeros(0, np.uint64), 2)
-    sets = jaccard._candidates(shared, 80).cache()
+    shared = jaccard._shared(docs, 5, "text", np.zeros(0, np.uint64), 2, 3)
+    sets = jaccard._candidates(shared, 80, 3).cache()
     n = sets.count()
     pairs = jaccard._across(sets, spark.createDataFrame([], "node long, root long"), 80).count()
     own = list({frozenset(gram_set(r[1])) for r in rows})
