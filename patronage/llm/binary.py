@@ -32,6 +32,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_root
-from .common import Memo, byte_letters, column, gather, text_of, text_slices
+from .common import byte_letters, column, gather, text_of, text_slices
 
 _PIECES = re.compile(rb"\s*\S+|\s+").findall
 # white space beyond ASCII, and separators that libraries class differently
@@ -98,42 +99,72 @@ class PieceEncoder:
         self.largest = max(vocab.values())
         for token, i in vocab.items():
             self.bytes_of[i] = special.get(i) or sum(letter[c] for c in token)
-        self.known: Memo[bytes] = Memo()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Remembered pieces: their number, and by number their place in ``flat``."""
+        self.index: dict[bytes, int] = {}
+        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
-        known = self.known.young
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after another, and how many each has."""
         # words behind a space keep their ids beside each other: many are
         # encoded as one text and told apart by the bytes of their tokens
-        plain = [w for w in new if w[-1:].strip() and w[:1] != b" "]
-        for k in range(0, len(plain), 10_000):
-            part = plain[k:k + 10_000]
+        joined = np.fromiter((w[:1] != b" " and w[-1:] not in b" \t\n\r\v\f" for w in words), bool, len(words))
+        many, out = np.zeros(len(words), np.int64), []
+        at = np.flatnonzero(joined)
+        for k in range(0, len(at), 10_000):
+            part = [words[i] for i in at[k:k + 10_000].tolist()]
             ids = self._ids([str(b" " + b" ".join(part), "utf-8")])[0]
             ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            at = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            flat = ids.tobytes()
-            known.update(zip(part, (flat[a:b] for a, b in zip([0, *(4 * at[:-1]).tolist()], (4 * at).tolist()))))
-        rest = [w for w in new if w not in known]
-        texts = [str(w[1:] if w[:1] == b" " else b" " + w, "utf-8") for w in rest]
-        known.update(zip(rest, (x.tobytes() for x in self._ids(texts))))
+            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+            many[at[k:k + 10_000]] = np.diff(cuts, prepend=0)
+            out.append(ids)
+        rest = np.flatnonzero(~joined)
+        single = self._ids([str(w[1:] if w[:1] == b" " else b" " + w, "utf-8") for w in (words[i] for i in rest.tolist())])
+        many[rest] = [len(x) for x in single]
+        flat = np.concatenate([np.zeros(0, "<u4"), *out, *single])
+        # joined pieces come first, in their order, then the others
+        given = np.concatenate([at, rest])
+        starts = np.empty(len(words), np.int64)
+        starts[given] = np.cumsum(many[given]) - many[given]
+        return gather(flat, starts, many), many
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
         words, order, sizes = cut(texts)
         coded = words.dictionary_encode()
-        keys = coded.dictionary.to_pylist()
-        self._learn(self.known.missing(keys))
-        each = list(map(self.known.young.__getitem__, keys))
-        many = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        flat = np.frombuffer(b"".join(each), "<u4")
-        use = coded.indices.to_numpy()[order]
-        ids = gather(flat, (np.cumsum(many) - many)[use], many[use])
+        keys, use = coded.dictionary.to_pylist(), coded.indices.to_numpy()[order]
+        number = np.fromiter(map(self.index.get, keys, repeat(-1)), np.int64, len(keys))
+        new, old = np.flatnonzero(number < 0), np.flatnonzero(number >= 0)
+        fresh, size = self._encoded([keys[k] for k in new.tolist()])
+        starts, many = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        starts[old], many[old] = self.starts[number[old]], self.sizes[number[old]]
+        starts[new], many[new] = len(self.flat) + np.cumsum(size) - size, size
+        flat = np.concatenate([self.flat, fresh])
+        ids = gather(flat, starts[use], many[use])
+        self._remember(keys, number, starts, many, flat, np.bincount(use, minlength=len(keys)))
         total = np.concatenate([[0], np.cumsum(many[use])])
         ends = np.cumsum(sizes)
         return ids, total[ends] - total[ends - sizes]
 
+    def _remember(self, keys: list[bytes], number: np.ndarray, starts: np.ndarray, many: np.ndarray, flat: np.ndarray,
+                  used: np.ndarray, most: int = 200_000) -> None:
+        """Keep the pieces that a slice held twice or more; when there are too
+        many, those of this slice alone."""
+        keep = np.flatnonzero((used > 1) & (number < 0))
+        if len(self.index) + len(keep) > most:
+            self._forget()
+            keep = np.flatnonzero(used > 1)[:most]
+        first = len(self.index)
+        self.index.update(zip((keys[k] for k in keep.tolist()), range(first, first + len(keep))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(many[keep]) - many[keep]])
+        self.sizes = np.concatenate([self.sizes, many[keep]])
+        self.flat = np.concatenate([self.flat, gather(flat, starts[keep], many[keep])])
+
 
 _OPEN: dict[str, PieceEncoder] = {}
 
@@ -182,17 +213,20 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, id_col:
         kind = id_type(max(encoder.largest, end_id))
         ids, sizes, part = [], [], None
         name = f"{to}/.writing-{own}"
-        with open(name, "wb") as flat:
-            for batch, texts in text_slices(batches, "_text", 8 << 20):
-                part = column(batch, "_part")[0].as_py()
-                ids.append(column(batch, "doc_id"))
-                coded, many = encoder.encode(texts)
-                np.insert(coded.astype(kind), np.cumsum(many), end_id).tofile(flat)
-                sizes += (many + 1).tolist()
-        if part is None:
-            os.remove(name)
-            return
-        os.replace(name, f"{to}/part-{part:08d}.ids")
+        try:
+            with open(name, "wb") as flat:
+                for batch, texts in text_slices(batches, "_text", 8 << 20):
+                    part = column(batch, "_part")[0].as_py()
+                    ids.append(column(batch, "doc_id"))
+                    coded, many = encoder.encode(texts)
+                    np.insert(coded.astype(kind), np.cumsum(many), end_id).tofile(flat)
+                    sizes += (many + 1).tolist()
+            if part is None:
+                return
+            os.replace(name, f"{to}/part-{part:08d}.ids")
+        finally:
+            if os.path.exists(name):  # nothing to write, or a task that failed
+                os.remove(name)
         doc = pa.concat_arrays(ids)
         offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.uint64))]).astype("<u8")
         _put(to, f"part-{part:08d}.off", [offsets.tobytes()])
@@ -233,7 +267,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                          pa.array(np.diff(ends)), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return parts.select("part", "tokens_before", "id_bytes").repartition("part").mapInArrow(
+    # a given count: merged by size, the few rows of a manifest would be one task
+    parts = parts.select("part", "tokens_before", "id_bytes")
+    return parts.repartitionByRange(max(1, parts.count()), "part").mapInArrow(
         load, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
