@@ -176,6 +176,63 @@ def test_neighbours_reach_recall(spark):
     assert {q: [i for _, i, _ in x] for q, x in exact.items()} == {q: [i for _, i in x] for q, x in want.items()}
 
 
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    rng = np.random.default_rng(3)
+    plain = rng.normal(size=(60, 6))
+    scale = 10.0 ** rng.choice([-300, -200, 0, 200, 300], 60)
+    schema = "vec_id long, embedding array<double>, label int"
+    found = []
+    for x in (plain, plain * scale[:, None]):
+        df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], schema)
+        found.append(sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.search(df, every=5).collect()))
+    assert len(found[0]) == 60 and found[0] == found[1]
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=4 if k % 3 else 5).astype(np.float32).tolist(), 0) for k in range(120)] + [(500, [1.0] * 7, 0)]
+    got = search(spark, rows, probes=16)
+    want = {}
+    for size in (4, 5):
+        want |= brute_neighbours([r[:2] for r in rows if len(r[1]) == size], 50, 5)
+    assert {q: [i for _, i, _ in x] for q, x in got.items()} == {q: [i for _, i in x] for q, x in want.items()}
+
+
+def test_buckets_and_probes_follow_the_rows(spark):
+    """With two axes a bucket holds few rows; short queries still meet all of them."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16))
+    rows = [(k, (centres[k % 40] + 0.1 * rng.normal(size=16)).astype(np.float32).tolist(), 0) for k in range(2000)]
+    want = brute_neighbours([r[:2] for r in rows], 50, 5)
+    for options in ({"block": 64}, {"axes": 3, "probes": 1, "tables": 1, "block": 64}):
+        got = search(spark, rows, **options)
+        hits = sum(len({i for _, i in want[q]} & {i for _, i, _ in got[q]}) for q in want)
+        assert got.keys() == want.keys() and all(len(x) == 5 for x in got.values())
+        assert hits >= (0.9 if "probes" not in options else 0.3) * 5 * len(want)
+
+
+def test_clustered_vectors_are_compared_with_few():
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(1000, 64))
+    x = np.repeat(centres, 100, axis=0) + 0.3 * rng.normal(size=(100_000, 64))
+    x = ann._unit(x[rng.permutation(len(x))])
+    turns = ann.Turns(64, 8, 1, 11)
+    probes = ann.fitted_probes(x[:4096], turns, 1, 0.95)
+    keys, asks = turns.keys(x), x[:60]
+    score = ann.cosines(asks, x)
+    score[np.arange(60), np.arange(60)] = -np.inf
+    near = np.argsort(-score, axis=1, kind="stable")[:, :5]
+    hits = met = 0
+    for q, own in enumerate(turns.probes(asks, probes)):
+        seen = np.zeros(len(x), bool)
+        for t in range(8):
+            mine = np.isin(keys[:, t], own[t])
+            met += mine.sum()
+            seen |= mine
+        hits += seen[near[q]].sum()
+    assert hits >= 0.9 * 300 and met / 60 < 0.1 * len(x)
+
+
 def test_neighbours_ties_copies_and_blocks(spark):
     rng = np.random.default_rng(2)
     one = rng.normal(size=8).astype(np.float32).tolist()
