@@ -8,13 +8,14 @@
    (``_LEAST_DIGITS`` or more) or the same letters are joined by skip links from each
    occurrence to the next and to the first, so a word that occurs n times adds
    fewer than 2 n links.
-3. Weights: of the documents with variables, ``examples`` (the least by hash of
-   the id, at most 10,000 variables of each) go to the driver.  Node weights come from multinomial logistic
-   regression on the base labels, link potentials from smoothed log ratios of
-   label pairs to chance.
+3. Weights: tasks count, over all documents, how often features and label occur
+   together and which labels links hold; the driver gets a row per pattern and
+   pair.  Training is piecewise: node weights come from multinomial logistic
+   regression on the base labels alone, link potentials from smoothed log ratios
+   of label pairs to chance.
 4. Inference: words in base spans keep their label; sum-product messages run
-   over chain and skip links of all documents of a batch together until they
-   settle (at most ``rounds`` times, damped).  Words outside base spans whose
+   over chain and skip links of some documents at once (about 200,000 variables,
+   each document whole) until they settle (at most ``rounds`` times, damped).  Words outside base spans whose
    label is an entity with probability ``sure`` or more are joined with
    neighbours of the same kind.  They become a span if a skip link ties one to
    a base span of that kind, or if together they have the parts of an entity
@@ -100,6 +101,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 FEATURES = 27
+_BLOCK = 1 << 16  # links whose messages are computed at once
 
 
 def _features(word: str) -> int:
@@ -181,7 +183,7 @@ class Graph:
     """The variables of many documents and the links between them."""
 
     label: np.ndarray
-    features: np.ndarray
+    features: np.ndarray  # bits
     chain: np.ndarray  # pairs of variables
     skip: np.ndarray
 
@@ -199,8 +201,41 @@ class Graph:
         before, own, head = order[more - 1], order[more], first[more]
         far = before != head
         skip = np.concatenate([np.stack([before, own], 1), np.stack([head[far], own[far]], 1)])
-        bits = (features[:, None] >> np.arange(FEATURES)) & 1
-        return cls(label, bits.astype(float), chain, skip)
+        return cls(label, features, chain, skip)
+
+
+def _bits(features: np.ndarray) -> np.ndarray:
+    return ((features[:, None] >> np.arange(FEATURES)) & 1).astype(float)
+
+
+@dataclass
+class Counts:
+    """What the field learns from: how often features and label occur together, and
+    the labels (first, second) that links hold.  A row per pattern of features
+    and label, whatever number of documents."""
+
+    features: np.ndarray
+    label: np.ndarray
+    n: np.ndarray
+    chain: np.ndarray
+    skip: np.ndarray
+
+    @classmethod
+    def of(cls, kind: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Counts:
+        """From rows (kind, a, b, n): 0 features and label, 1 and 2 a chain's and a skip link's labels."""
+        pairs = [np.zeros((LABELS, LABELS)) for _ in range(2)]
+        for k in (1, 2):
+            np.add.at(pairs[k - 1], (a[kind == k], b[kind == k]), n[kind == k])
+        own = kind == 0
+        return cls(a[own], b[own], n[own], *pairs)
+
+
+def counted(graph: Graph) -> np.ndarray:
+    """Rows (kind, a, b, n) of a graph, as ``Counts.of`` takes them."""
+    parts = [np.stack([np.zeros_like(graph.features), graph.features, graph.label], 1)]
+    parts += [np.column_stack([np.full(len(x), k), graph.label[x]]) for k, x in ((1, graph.chain), (2, graph.skip))]
+    rows, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
+    return np.column_stack([rows, n])
 
 
 @dataclass
@@ -212,47 +247,53 @@ class Field:
     skip: np.ndarray
 
     @classmethod
-    def learn(cls, graph: Graph, steps: int = 400, penalty: float = 1e-3) -> Field:
-        x, n = graph.features, max(1, len(graph.label))
-        y = np.eye(LABELS)[graph.label]
+    def learn(cls, counts: Counts, steps: int = 400, penalty: float = 1e-3) -> Field:
+        """Fitted piece by piece: a logistic model of the labels by a word's own
+        features, and log ratios to chance of the labels that links hold."""
+        x = _bits(counts.features)
+        y, weight = np.eye(LABELS)[counts.label], counts.n[:, None] / max(1, counts.n.sum())
         node, speed = np.zeros((FEATURES, LABELS)), np.zeros((FEATURES, LABELS))
         for _ in range(steps if len(x) else 0):
             p = _softmax(x @ node)
-            speed = 0.9 * speed + x.T @ (y - p) / n - penalty * node
+            speed = 0.9 * speed + x.T @ (weight * (y - p)) - penalty * node
             node += 0.3 * speed
-        share = (np.bincount(graph.label, minlength=LABELS) + 1.0) / (len(graph.label) + LABELS)
+        share = np.bincount(counts.label, counts.n, LABELS) + 1.0
+        share /= share.sum()
         chance = np.outer(share, share)
 
-        def ratio(pairs: np.ndarray, agreement: float, weight: float = 20.0) -> np.ndarray:
+        def ratio(pairs: np.ndarray, agreement: float, given: float = 20.0) -> np.ndarray:
             """Log ratios to chance; before any pair is seen, labels agree with the given probability."""
-            counts = weight * (agreement * np.diag(share) + (1 - agreement) * chance)
-            np.add.at(counts, (graph.label[pairs[:, 0]], graph.label[pairs[:, 1]]), 1)
-            return np.clip(np.log(counts / counts.sum() / chance), -4, 4)
+            held = given * (agreement * np.diag(share) + (1 - agreement) * chance) + pairs
+            return np.clip(np.log(held / held.sum() / chance), -4, 4)
 
-        skip = ratio(graph.skip, 0.9)
-        return cls(node, ratio(graph.chain, 0.0), (skip + skip.T) / 2)
+        skip = ratio(counts.skip, 0.9)
+        return cls(node, ratio(counts.chain, 0.0), (skip + skip.T) / 2)
 
     def beliefs(self, graph: Graph, rounds: int) -> np.ndarray:
         """Probabilities of the labels of each variable, by loopy sum-product."""
-        own = np.log(_softmax(graph.features @ self.node) + 1e-12)
+        kinds, which = np.unique(graph.features, return_inverse=True)
+        own = np.log(_softmax(_bits(kinds) @ self.node) + 1e-12)[which]
         fixed = graph.label > 0
         own[fixed] = -50.0
         own[fixed, graph.label[fixed]] = 0.0
-        pairs = np.concatenate([graph.chain, graph.skip])
-        if len(pairs):
-            forth = np.concatenate([np.broadcast_to(self.chain, (len(graph.chain), LABELS, LABELS)),
-                                    np.broadcast_to(self.skip, (len(graph.skip), LABELS, LABELS))])
+        pairs, chains = np.concatenate([graph.chain, graph.skip]), len(graph.chain)
+        n = len(pairs)
+        if n:
             source, target = np.r_[pairs[:, 0], pairs[:, 1]], np.r_[pairs[:, 1], pairs[:, 0]]
-            potential = np.concatenate([forth, forth.transpose(0, 2, 1)])
-            back = np.r_[np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))]
-            sent = np.zeros((len(source), LABELS))
+            # links share a potential by kind and direction, so only its number is held for each
+            potential = np.stack([self.chain, self.skip, self.chain.T, self.skip.T])
+            which = (np.arange(2 * n) % n >= chains) + 2 * (np.arange(2 * n) >= n)
+            sent = np.zeros((2 * n, LABELS))
             for _ in range(rounds):
                 total = own.copy()
                 np.add.at(total, target, sent)
-                new = _log_sum((total[source] - sent[back])[:, :, None] + potential)
-                new -= _log_sum(new[:, :, None])
-                change = np.abs(new - sent).max()
-                sent = 0.5 * sent + 0.5 * new
+                change, fresh = 0.0, np.empty_like(sent)
+                for k in range(0, 2 * n, _BLOCK):  # memory for the sums of a block of links
+                    at = np.arange(k, min(k + _BLOCK, 2 * n))
+                    new = _log_sum((total[source[at]] - sent[(at + n) % (2 * n)])[:, :, None] + potential[which[at]])
+                    fresh[at] = new - _log_sum(new[:, :, None])
+                    change = max(change, np.abs(fresh[at] - sent[at]).max())
+                sent = 0.5 * sent + 0.5 * fresh
                 if change < 1e-3:
                     break
             np.add.at(own, target, sent)
@@ -270,13 +311,39 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=1, keepdims=True)))[:, 0]
 
 
-def learn(found: DataFrame, examples: int, each: int = 10_000) -> Field:
-    """From at most ``examples`` documents, and of a document at most ``each`` variables."""
-    rows = (found.where(F.size("_vars") > 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-            .select(F.monotonically_increasing_id().alias("d"), F.explode(F.slice("_vars", 1, each)).alias("v"))
-            .select("d", "v.label", "v.follows", "v.features", "v.key").toArrow())
-    arrays = [rows.column(c).to_numpy() for c in ("d", "label", "follows", "features", "key")]
-    return Field.learn(Graph.of(*arrays))
+def _documents_in(batch: pa.RecordBatch, most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of documents of about ``most`` variables (one document
+    at least): memory follows the document with most variables, not the batch."""
+    ends = np.cumsum(np.diff(column(batch, "_vars").offsets.to_numpy()))
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _graph(lists: pa.ListArray) -> tuple[Graph, np.ndarray]:
+    """The graph of some documents' variables, and how many each document has."""
+    flat = lists.flatten()
+    sizes = np.diff(lists.offsets.to_numpy())
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    return Graph.of(doc, *(flat.field(n).to_numpy(zero_copy_only=False).astype(kind) for n, kind in (
+        ("label", np.int64), ("follows", bool), ("features", np.int64), ("key", np.int64)))), sizes
+
+
+def learn(found: DataFrame) -> Field:
+    """From all documents: tasks count, and the counts go to the driver, a row per
+    pattern of features and label and per pair of labels."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _documents_in(batch):
+                rows = counted(_graph(column(part, "_vars"))[0])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], ["kind", "a", "b", "n"])
+
+    rows = found.where(F.size("_vars") > 0).select("_vars").mapInArrow(run, "kind long, a long, b long, n long")
+    total = rows.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).orderBy("kind", "a", "b").toArrow()
+    return Field.learn(Counts.of(*(total.column(c).to_numpy() for c in ("kind", "a", "b", "n"))))
 
 
 _ADDRESS, _QUAD = 1 << 22, 1 << 23  # features of an e-mail address and of four numbers
@@ -310,16 +377,12 @@ def _judged(found: DataFrame, field: Field, sure: float, rounds: int) -> DataFra
     names = schema.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _documents_in(whole)):
             lists = column(batch, "_vars")
-            flat = lists.flatten()
-            sizes = np.diff(lists.offsets.to_numpy())
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            label, follows, features, key = (
-                flat.field(n).to_numpy(zero_copy_only=False) for n in ("label", "follows", "features", "key"))
-            p = field.beliefs(Graph.of(doc, label, follows, features, key), rounds)
+            graph, sizes = _graph(lists)
+            p = field.beliefs(graph, rounds)
             kind = p.argmax(axis=1) - 1 if len(p) else np.zeros(0, int)
-            kind[(label > 0) | (p.max(axis=1, initial=0) < sure)] = -1
+            kind[(graph.label > 0) | (p.max(axis=1, initial=0) < sure)] = -1
             kinds, spans, at = kind.tolist(), [], 0
             for base, own, n in zip(column(batch, "_base").to_pylist(), lists.to_pylist(), sizes.tolist()):
                 all_ = [(s["kind"], s["start"], s["end"], True) for s in base]
@@ -331,8 +394,8 @@ def _judged(found: DataFrame, field: Field, sure: float, rounds: int) -> DataFra
     return source.mapInArrow(run, schema)
 
 
-def scan(docs: DataFrame, examples: int = 2000, sure: float = 0.95, rounds: int = 30, id_col: str = "doc_id",
+def scan(docs: DataFrame, sure: float = 0.95, rounds: int = 30, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per document: doc_id and _spans (kind, start, end, base), by kind and start."""
     found = materialize(findings(docs, text_col, [docs[id_col].alias("doc_id")]), "pii-found")
-    return _judged(found, learn(found, examples), sure, rounds)
+    return _judged(found, learn(found), sure, rounds)

@@ -3,6 +3,7 @@ import random
 import re
 
 import data
+from pyspark.sql import functions as F
 
 from patronage.llm import licenses, pii, secrets
 from patronage.llm.automata import Automaton
@@ -87,13 +88,53 @@ def test_repeated_number_gets_the_label_of_its_base_span(spark):
     assert spans[1001] == []  # nothing ties it to a phone number
 
 
+def test_the_field_learns_from_counts_of_all_documents(spark):
+    import numpy as np
+    rng = random.Random(11)
+    rows = [(k, " ".join(rng.choice(["call +1 (415) 555-2671", "mail a@b.org", "12", "in 2020", "10.0.0.1"])
+                         for _ in range(rng.randint(1, 40))), "en", "a", 1) for k in range(60)]
+    found = pii.findings(data.documents(spark, rows), "text", [F.col("doc_id")]).cache()
+    field = pii.learn(found)
+    # the same from one graph of all documents, weighed one by one
+    vars_ = [v for r in found.orderBy("doc_id").collect() for v in [(r.doc_id, v) for v in r._vars]]
+    doc, label, follows, features, key = (np.array(x) for x in zip(*[
+        (d, v.label, v.follows, v.features, v.key) for d, v in vars_]))
+    graph = pii.Graph.of(doc, label, follows, features, key)
+    one = np.ones(len(label), np.int64)
+    chain, skip = (np.zeros((pii.LABELS, pii.LABELS)) for _ in range(2))
+    np.add.at(chain, (label[graph.chain[:, 0]], label[graph.chain[:, 1]]), 1)
+    np.add.at(skip, (label[graph.skip[:, 0]], label[graph.skip[:, 1]]), 1)
+    want = pii.Field.learn(pii.Counts(features, label, one, chain, skip))
+    assert np.allclose(field.node, want.node) and np.allclose(field.chain, want.chain) and np.allclose(field.skip, want.skip)
+    found.unpersist()
+
+
+def test_a_document_of_many_numbers(spark):
+    text = "host 10.0.0.1 " + " ".join(str(100_000 + k % 50_000) for k in range(100_000)) + " 10.0.0.1 end"
+    rows = [(1, text, "en", "a", 1), (2, "mail a@b.org", "en", "a", 1), (3, None, None, None, None)]
+    spans = {r.doc_id: [s for s in r._spans if s.base] for r in pii.scan(data.documents(spark, rows), rounds=3).collect()}
+    assert [(s.kind, s.end) for s in spans[1]] == [(1, 13), (1, len(text) - 4)] and len(spans[2]) == 1 and spans[3] == []
+
+
+def test_beliefs_do_not_depend_on_the_block_of_links(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    n = 500
+    g = pii.Graph.of(np.sort(rng.integers(0, 20, n)), rng.integers(0, 2, n), np.zeros(n, bool),
+                     rng.integers(0, 1 << pii.FEATURES, n), rng.integers(0, 30, n))
+    f = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
+    whole = f.beliefs(g, 10)
+    monkeypatch.setattr(pii, "_BLOCK", 7)
+    assert np.allclose(f.beliefs(g, 10), whole)
+
+
 def test_beliefs_match_enumeration_on_a_tree():
     import numpy as np
     rng = np.random.default_rng(0)
     label = np.array([0, 0, 2])
-    g = pii.Graph(label, rng.integers(0, 2, (3, pii.FEATURES)).astype(float), np.array([[0, 1]]), np.array([[1, 2]]))
+    g = pii.Graph(label, rng.integers(0, 1 << pii.FEATURES, 3), np.array([[0, 1]]), np.array([[1, 2]]))
     f = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
-    own = np.log(pii._softmax(g.features @ f.node))
+    own = np.log(pii._softmax(pii._bits(g.features) @ f.node))
     own[2] = -50.0
     own[2, 2] = 0
     joint = np.exp(own[0][:, None, None] + own[1][None, :, None] + own[2][None, None, :]
@@ -277,3 +318,10 @@ def test_longest_common_subsequence():
         assert len(pairs) == licenses.common_length(text, template) == brute(text, template)
         assert all(text[t] == template[p] for t, p in pairs)
         assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
+
+
+def test_a_long_token_behind_a_name_is_a_candidate():
+    token = ".".join("ab12CD34ef" * 20 for _ in range(10)) + "/x-y_z"
+    assert len(token) > 2000
+    held = {v for *_, v in secrets.candidates(f"see auth={token} there", [], 8)}
+    assert token in held and f"auth={token}" in held
