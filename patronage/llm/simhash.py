@@ -40,6 +40,7 @@ from .components import components
 
 BITS = 64
 SEED = 42
+PAIRS = 4_000_000  # comparisons of a task
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -167,7 +168,8 @@ def links(prints: DataFrame, radius: int, split: int) -> DataFrame:
 
     keys = prints.select("_fp", F.explode(F.array(*[keyed(t * 100, m) for t, m in enumerate(tables)])).alias("k")
                          ).select("_fp", "k.t", "k.key")
-    full = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    full = materialize(keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-runs")
+    pairs = full.agg(F.sum(F.col("n") * F.least("n", F.lit(split)))).first()[0] or 0
     runs = keys.join(full, ["t", "key"])
     plain = F.array(F.struct("t", "key"))
     cut = plain
@@ -176,7 +178,8 @@ def links(prints: DataFrame, radius: int, split: int) -> DataFrame:
                      ).otherwise(cut)
     runs = runs.select("_fp", F.explode(F.when(F.col("n") > split, cut).otherwise(plain)).alias("k")).select(
         "_fp", "k.t", "k.key")
-    runs = runs.repartition("t", "key").sortWithinPartitions("t", "key")
+    # by the comparisons to make: merged by size, the few rows would be one task
+    runs = runs.repartition(max(1, -(-pairs // PAIRS)), "t", "key").sortWithinPartitions("t", "key")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = key = fp = np.zeros(0, np.int64)
