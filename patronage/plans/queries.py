@@ -672,7 +672,11 @@ def a22(spark, sf_dir):
     return RP.duplicate_rows(C.standardize_columns(X.raw_retail(spark, sf_dir, every_line=True)))
 
 
-@query("a23_column_types")
+@query("a23_column_types", ctes(" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS non_null,
+       CASE lower(typeof(any_value({c}))) WHEN 'varchar' THEN 'string' WHEN 'integer' THEN 'int'
+            ELSE lower(typeof(any_value({c}))) END AS type FROM m""" for c in MG.MERGED_COLUMNS),
+    m=O.merged_sql(MG.DEFAULT_COUNTRIES)))
 def a23(spark, sf_dir):
     return RP.column_types(merged_sales(spark, sf_dir))
 
