@@ -19,8 +19,9 @@ counts there, and what it counted is summed per set or per pair.
 4. Of a group of near copies not all pairs are compared.  First each set meets
    the leader, the set with the most common n-grams, among those with its least
    rehashed n-gram, ``rounds`` times with other hashes; the links found give
-   components.  Then sets of different components that share a prefix n-gram
-   are compared, all of them: for each n-gram, those outside its largest
+   components.  Then each set meets, for each n-gram of its prefix, the leader of
+   those that share it, if of another component.  Last, sets that share a prefix
+   n-gram and are still of different components are compared, all of them: for each n-gram, those outside its largest
    component with all others.  N-grams fall into cells, and a set has the parity
    of its n-grams in each; cells that differ bound what lies outside the overlap,
    and pairs apart by this bound make no row.
@@ -238,30 +239,54 @@ def _sides(*cols: str) -> list[list[Column]]:
     return [[F.col(c).alias(f"{c}{end}") for c in cols] for end in ("_a", "_b")]
 
 
+def _with_common(sets: DataFrame) -> DataFrame:
+    """``sets`` with how common their n-grams are; those taken as shared say nothing."""
+    return sets.withColumn("common", F.aggregate("grams", F.lit(0.0), lambda s, g: s + F.when(
+        g["freq"] < _COMMON, F.log2(g["freq"].cast("double"))).otherwise(0.0)) / F.col("n"))
+
+
+def _pairs(ids: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(sid_a, sid_b, ...) with n_a and n_b, of those that may be linked."""
+    a, b = _sides("sid", "n", "own", "odd")
+    return ids.distinct().join(sets.select(a), "sid_a").join(sets.select(b), "sid_b").where(_near(percent)).select(
+        *ids.columns, "n_a", "n_b")
+
+
 def _to_leaders(sets: DataFrame, percent: int, rounds: int) -> DataFrame:
     """Pairs of each set and its leaders."""
     keys = F.array(*[F.struct(F.lit(k).alias("k"), F.array_min(F.transform(
         "grams", lambda g: F.xxhash64(F.lit(k), g["gram"]))).alias("key")) for k in range(rounds)])
-    # how common a set's n-grams are; those taken as shared say nothing
-    common = F.aggregate("grams", F.lit(0.0), lambda s, g: s + F.when(
-        g["freq"] < _COMMON, F.log2(g["freq"].cast("double"))).otherwise(0.0)) / F.col("n")
-    keyed = materialize(sets.select("sid", "n", common.alias("common"), F.explode(keys).alias("x")).select(
-        "sid", "n", "common", "x.k", "x.key"), "jaccard-keys")
+    keyed = materialize(sets.select("sid", "common", F.explode(keys).alias("x")).select(
+        "sid", "common", "x.k", "x.key"), "jaccard-keys")
     leaders = keyed.groupBy("k", "key").agg(F.max(F.struct("common", "sid")).alias("lead"),
                                             F.count(F.lit(1)).alias("held")).where("held > 1")
-    pairs = keyed.join(leaders, ["k", "key"]).where("sid <> lead.sid").select(
-        F.col("sid").alias("sid_a"), F.col("lead.sid").alias("sid_b")).distinct()
-    a, b = _sides("sid", "n", "own", "odd")
-    return pairs.join(sets.select(a), "sid_a").join(sets.select(b), "sid_b").where(_near(percent)).select(
-        "sid_a", "sid_b", "n_a", "n_b")
+    return _pairs(keyed.join(leaders, ["k", "key"]).where("sid <> lead.sid").select(
+        F.col("sid").alias("sid_a"), F.col("lead.sid").alias("sid_b")), sets, percent)
 
 
-def _across(sets: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different components that share an n-gram of their prefixes."""
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(sid, common, gram): what a set shares one of with any set it is linked with."""
     prefix = F.slice("grams", 1, F.size("grams") - _least("n", percent) + 1)
-    held = sets.join(joined, sets["sid"] == joined["node"], "left").select(
-        "sid", F.coalesce("root", "sid").alias("root"), F.explode(F.transform(prefix, lambda g: g["gram"])).alias("gram"))
-    held = materialize(held, "jaccard-prefixes")
+    return sets.select("sid", "common", F.explode(F.transform(prefix, lambda g: g["gram"])).alias("gram"))
+
+
+def _rooted(prefixes: DataFrame, joined: DataFrame) -> DataFrame:
+    return materialize(prefixes.join(joined.withColumnRenamed("node", "sid"), "sid", "left").select(
+        "sid", "common", "gram", F.coalesce("root", "sid").alias("root")), "jaccard-prefixes")
+
+
+def _to_prefix_leaders(sets: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a set and the leader of those that share a prefix n-gram with it, if
+    another component's: one for each n-gram of its prefix."""
+    leaders = held.groupBy("gram").agg(F.max(F.struct("common", "sid", "root")).alias("lead"), F.min("root").alias("r0"),
+                                       F.max("root").alias("r1")).where("r0 <> r1").select("gram", "lead")
+    return _pairs(held.join(leaders, "gram").where("root <> lead.root").select(
+        F.col("sid").alias("sid_a"), F.col("lead.sid").alias("sid_b"), F.col("root").alias("root_a"),
+        F.col("lead.root").alias("root_b")), sets, percent)
+
+
+def _across(sets: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different components that share an n-gram of their prefixes."""
     sizes = held.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("held"))
     most = sizes.groupBy("gram").agg(F.max(F.struct("held", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).where(
         "roots > 1").select("gram", F.col("most.root").alias("most"))
@@ -294,14 +319,22 @@ def linked_sets(sets: DataFrame, percent: int, rounds: int, parts: int) -> DataF
         sets.select("sid", F.explode(F.array(*[piece(k) for k in range(parts)])).alias("x")).select(
             "sid", "x.part", "x.grams").where(F.size("grams") > 0), "jaccard-pieces")
     near = _links(_to_leaders(sets, percent, rounds), pieces, percent)
-    first = materialize(components(near.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))), "jaccard-joined")
-    # many links between two components are one
-    rest = _links(_across(sets, first, percent), pieces, percent)
-    last = components(rest.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct())
-    both = first.join(last.select(F.col("node").alias("root"), F.col("root").alias("_last")), "root", "left").select(
-        "node", F.coalesce("_last", "root").alias("root"))
-    # sets that the second step alone links
-    return both.unionByName(last.join(first.select("node"), "node", "left_anti").select("node", "root"))
+    joined = materialize(components(near.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))), "jaccard-joined")
+    prefixes = _prefixes(sets, percent)
+    for step in (_to_prefix_leaders, _across):
+        more = _links(step(sets, _rooted(prefixes, joined), percent), pieces, percent)
+        # many links between two components are one
+        joined = _merged(joined, more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct())
+    return joined
+
+
+def _merged(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after ``links`` between roots, or sets that had no link."""
+    last = materialize(components(links), "jaccard-last")
+    both = joined.join(last.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left").select(
+        "node", F.coalesce("last", "root").alias("root"))
+    return materialize(both.unionByName(last.join(joined.select("node"), "node", "left_anti").select("node", "root")),
+                       "jaccard-joined")
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 4, parts: int = 8,
@@ -315,7 +348,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 4,
     hot = np.sort(hot.toArrow().column("gram").to_numpy().view(np.uint64))
     buckets = 1 + n_docs // sets_a_task
     shared = _shared(docs, width, text_col, hot, 1 + (n_grams or 0) // load, buckets)
-    sets = materialize(_candidates(shared, percent, buckets), "jaccard-sets")
+    sets = materialize(_with_common(_candidates(shared, percent, buckets)), "jaccard-sets")
     joined = linked_sets(sets, percent, rounds, parts)
     # from sets back to documents; copies meet here, as one row with map-side minima
     firsts = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))

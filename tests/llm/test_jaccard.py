@@ -97,9 +97,12 @@ def test_pairs_apart_by_their_parity_make_no_row(spark):
     rows = [(k, " ".join(edited(rng, base, words, rng.choice([1, 2, 9]))), "en", "a", 0) for k in range(200)]
     docs = data.documents(spark, rows)
     shared = jaccard._shared(docs, 5, "text", np.zeros(0, np.uint64), 2, 3)
-    sets = jaccard._candidates(shared, 80, 3).cache()
+    sets = jaccard._with_common(jaccard._candidates(shared, 80, 3)).cache()
     n = sets.count()
-    pairs = jaccard._across(sets, spark.createDataFrame([], "node long, root long"), 80).count()
+    alone = jaccard._rooted(jaccard._prefixes(sets, 80), spark.createDataFrame([], "node long, root long"))
+    pairs = jaccard._across(sets, alone, 80).count()
+    # leaders are met once for each n-gram of a prefix at most
+    assert jaccard._to_prefix_leaders(sets, alone, 80).count() <= alone.count()
     own = list({frozenset(gram_set(r[1])) for r in rows})
     linked = sum(100 * len(x & y) >= 80 * len(x | y) for i, x in enumerate(own) for y in own[:i])
     assert n > 100 and linked <= pairs < 0.25 * n * n
