@@ -21,10 +21,11 @@ counts there, and what it counted is summed per set or per pair.
    rehashed n-gram, ``rounds`` times with other hashes; the links found give
    components.  Then each set meets, for each n-gram of its prefix, the leader of
    those that share it, if of another component.  Last, sets that share a prefix
-   n-gram and are still of different components are compared, all of them: for each n-gram, those outside its largest
-   component with all others.  N-grams fall into cells, and a set has the parity
-   of its n-grams in each; cells that differ bound what lies outside the overlap,
-   and pairs apart by this bound make no row.
+   n-gram and are still of different components are compared, all of them: for
+   each n-gram, those outside its largest component with all others.  N-grams
+   fall into cells, and a set has the parity of its n-grams in each; cells that
+   differ bound what lies outside the overlap, and pairs apart by this bound make
+   no row.
 5. A pair's overlap is counted in each of ``parts`` fragments by itself and
    summed; a link needs 100 * overlap >= percent * union.
 
@@ -240,9 +241,10 @@ def _sides(*cols: str) -> list[list[Column]]:
 
 
 def _with_common(sets: DataFrame) -> DataFrame:
-    """``sets`` with how common their n-grams are; those taken as shared say nothing."""
-    return sets.withColumn("common", F.aggregate("grams", F.lit(0.0), lambda s, g: s + F.when(
-        g["freq"] < _COMMON, F.log2(g["freq"].cast("double"))).otherwise(0.0)) / F.col("n"))
+    """``sets`` with how common their n-grams are: the text that others are copies
+    of has the most common ones."""
+    return sets.withColumn("common", F.aggregate(
+        "grams", F.lit(0.0), lambda s, g: s + F.log2(g["freq"].cast("double"))) / F.col("n"))
 
 
 def _pairs(ids: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
