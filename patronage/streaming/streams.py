@@ -3,8 +3,9 @@
 * Sources are file streams over landed parquet (one folder per day).
 * De-duplication is bounded by a watermark (``dropDuplicatesWithinWatermark``)
   so state does not grow forever.
-* Running RFM keeps totals and the counted transactions per customer and
-  piece of a customer (``transformWithState``: map state in RocksDB, event-time
+* Running RFM keeps totals per customer and piece of a customer and the counted
+  transactions (``dropDuplicates`` and an aggregate; where transactions are
+  forgotten again, ``transformWithState``: map state in RocksDB, event-time
   timers) and emits only changed ones per micro-batch (update mode); each batch
   is appended with its batch id, and readers add up the latest rows — an
   aggregate, never a rewrite of all customers.
@@ -66,11 +67,11 @@ class _RunningTotals(StatefulProcessor):
     """Totals of one piece of a customer and the transactions it has counted.
 
     ``seen`` is a map of its own rows in the state store, so a customer with
-    many transactions is never read whole.  With ``remember_ms`` a transaction is
-    forgotten that long after its time: an event-time timer, one at a time for
+    many transactions is never read whole.  A transaction is forgotten
+    ``remember_ms`` after its time: an event-time timer, one at a time for
     each piece, removes what has expired."""
 
-    def __init__(self, customer: str, ts: str, txn: str, amount: str, amount_type: str, remember_ms: int | None):
+    def __init__(self, customer: str, ts: str, txn: str, amount: str, amount_type: str, remember_ms: int):
         self.customer, self.ts, self.txn, self.amount = customer, ts, txn, amount
         self.amount_type, self.remember_ms = amount_type, remember_ms
 
@@ -100,7 +101,7 @@ class _RunningTotals(StatefulProcessor):
         if not changed:
             return
         self.totals.update((last, n, amount))
-        if self.remember_ms is not None and newest is not None and not any(True for _ in self.handle.listTimers()):
+        if newest is not None and not any(True for _ in self.handle.listTimers()):
             self.handle.registerTimer(newest + self.remember_ms)
         yield pd.DataFrame([(*key, last, n, amount)], columns=[self.customer, "piece", "last_ts", "Frequency", "Monetary"])
 
@@ -128,27 +129,34 @@ def running_rfm_stream(stream: DataFrame, customer: str, ts: str, txn: str, amou
     the transactions it has counted (rows without a transaction id count each).
     A customer's state lies in ``pieces``, dealt by transaction, so no task holds
     all of a customer with a third of the rows; ``read_running_rfm`` adds them up.
-    Without ``remember`` nothing is dropped or forgotten.  With it (``"400 days"``)
+    Without ``remember`` nothing is dropped or forgotten: repeats are dropped by
+    their ids and an aggregate adds up the rest.  With it (``"400 days"``)
     a transaction is forgotten that long after its time, and rows that are
     ``delay`` behind the latest event are late and dropped, so the state is bounded.
     The query needs ``ROCKSDB`` (``run_available(conf=ROCKSDB)``)."""
     rows = event_time(stream, ts)
     spark = stream.sparkSession
-    remember_ms = None
     if remember is not None:
         rows = rows.withWatermark(ts, delay)
-        remember_ms = int(spark.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {remember})").first()[0])
     kind = rows.schema[amount].dataType
     kind = T.DecimalType(38, kind.scale) if isinstance(kind, T.DecimalType) else (
         T.LongType() if isinstance(kind, T.IntegralType) else T.DoubleType())
     rows = rows.select(customer, ts, txn, F.col(amount).cast(kind).alias(amount),
                        F.pmod(F.xxhash64(F.col(txn)), F.lit(pieces)).cast("int").alias("piece"))
+    if remember is None:
+        value = F.when(~F.isnan(amount), F.col(amount)) if isinstance(kind, T.DoubleType) else F.col(amount)
+        # rows without an id are no repeats of each other
+        own = F.when(F.col(txn).isNull(), F.uuid())
+        once = rows.withColumn("_own", own).dropDuplicates([customer, txn, "_own"])
+        return once.groupBy(customer, "piece").agg(F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("Frequency"),
+                                                   F.sum(value).cast(kind).alias("Monetary"))
+    remember_ms = int(spark.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {remember})").first()[0])
     totals = _RunningTotals(customer, ts, txn, amount, kind.simpleString(), remember_ms)
     out = T.StructType([rows.schema[customer], T.StructField("piece", T.IntegerType()),
                         T.StructField("last_ts", T.TimestampType()), T.StructField("Frequency", T.LongType()),
                         T.StructField("Monetary", kind)])
     return rows.groupBy(customer, "piece").transformWithStateInPandas(
-        totals, out, "Update", "EventTime" if remember_ms is not None else "None")
+        totals, out, "Update", "EventTime")
 
 
 def run_available(stream_df: DataFrame, location: str, mode: str = "append",

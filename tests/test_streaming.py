@@ -117,3 +117,16 @@ def test_a_customer_with_most_rows_is_spread_over_pieces(spark):
     out = ST.run_available(agg, where, mode="update", conf=ST.ROCKSDB)
     held = [r.Frequency for r in spark.read.parquet(out).where("user_id = 0").collect()]
     assert len(held) == 8 and sum(held) == 1001 and max(held) < 200
+
+
+def test_totals_that_forget_nothing_are_added_up_without_python(spark, capsys):
+    path = ST.new_location(spark, "plan-in")
+    rows = [(1, D(2024, 1, 1, 8), 1, 5.0), (1, D(2024, 1, 2, 8), 1, 5.0), (None, D(2024, 1, 3, 8), 1, 1.0),
+            (None, D(2024, 1, 3, 8), 1, float("nan"))]
+    _land(spark, rows, path)
+    agg = ST.running_rfm_stream(ST.file_stream(spark, path, SCHEMA), "user_id", "ts", "event_id", "value")
+    agg.explain(True)
+    plan = capsys.readouterr().out
+    assert "Deduplicate" in plan and "Pandas" not in plan
+    out = ST.run_available(agg, ST.new_location(spark, "plan"), mode="update", conf=ST.ROCKSDB)
+    assert [(r.Frequency, r.Monetary) for r in ST.read_running_rfm(spark, out, "user_id").collect()] == [(3, 6.0)]
