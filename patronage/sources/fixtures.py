@@ -76,6 +76,21 @@ _ORDERS_DATE = ("concat(lpad(CAST(month(o.o_orderdate) AS STRING), 2, '0'), '-',
                "CAST(year(o.o_orderdate) AS STRING), ' 08:26')")
 
 
+# The joins of the texts above, and for Spark the same with orders and their customers joined
+# first: the lines are then shuffled by part and by order, and never by customer.
+_ORDERS_OF = ("(orders o JOIN customer c ON o.o_custkey=c.c_custkey "
+              "JOIN nation n ON c.c_nationkey=n.n_nationkey)")
+_SMALL_FIRST = {
+    """FROM lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey
+JOIN customer c ON o.o_custkey=c.c_custkey JOIN nation n ON c.c_nationkey=n.n_nationkey
+JOIN part p ON l.l_partkey=p.p_partkey""":
+        f"FROM lineitem l JOIN part p ON l.l_partkey=p.p_partkey JOIN {_ORDERS_OF} ON l.l_orderkey=o.o_orderkey",
+    """FROM lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey JOIN customer c ON o.o_custkey=c.c_custkey
+JOIN nation n ON c.c_nationkey=n.n_nationkey JOIN part p ON l.l_partkey=p.p_partkey""":
+        f"FROM lineitem l JOIN part p ON l.l_partkey=p.p_partkey JOIN {_ORDERS_OF} ON l.l_orderkey=o.o_orderkey",
+}
+
+
 def _third(part: int | None) -> str:
     """The lines of one of the three sources that are merged; None: all lines."""
     return "" if part is None else f"WHERE l.l_orderkey % 3 = {part}"
@@ -106,6 +121,8 @@ RETAIL_SOURCE_NAMES = {
 
 def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     register_tables(spark, sf_dir, [t for t in TABLES if re.search(rf"\b{t}\b", text)])
+    for written, small_first in _SMALL_FIRST.items():
+        text = text.replace(written, small_first)
     return spark.sql(text)
 
 
