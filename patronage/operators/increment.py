@@ -70,10 +70,11 @@ class StoredWarehouse(Warehouse):
         return (self.fact_stored.where(F.col("month").isin(months)).select("key_hash", *LINE_KEY)
                 .join(keyed.select("key_hash").distinct(), "key_hash", "left_semi"))
 
-    def load(self, lines: DataFrame) -> StoredWarehouse:
+    def load(self, lines: DataFrame, staged: bool = False) -> StoredWarehouse:
         """The store with those of ``lines`` that it hadn't; lines that repeat
-        within ``lines`` are lines of their own."""
-        lines = materialize(_typed(lines), "load-lines")
+        within ``lines`` are lines of their own.  ``staged``: they are read from
+        a stage table already."""
+        lines = _typed(lines) if staged else materialize(_typed(lines), "load-lines")
         categories = self._extended("dim_category", "category_id", "category", lines.select("category"))
         locations = self._extended("dim_location", "location_id", "country", lines.select("country"))
         dates = self._extended("dim_date", "date_id", "date", lines.select("date"))
@@ -87,9 +88,10 @@ class StoredWarehouse(Warehouse):
         old = self.loaded_like(keyed).select(*[F.col(c).alias(f"_{c}") for c in ("key_hash", *LINE_KEY)])
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in LINE_KEY],
                       F.col("key_hash") == F.col("_key_hash"))
-        unseen = materialize(keyed.join(old, same, "left_anti"), "load-unseen")
-        start = self._reserve(unseen.count())
-        numbered = with_sequential_id(unseen, list(FACT_ORDER), name="sales_id", start=start)
+        # numbered from 0 on a stage table, whose rows are then counted
+        numbered = with_sequential_id(keyed.join(old, same, "left_anti"), list(FACT_ORDER), name="sales_id", start=0)
+        start = self._reserve(numbered.count())
+        numbered = numbered.withColumn("sales_id", F.col("sales_id") + F.lit(start))
         write_groups(_stored_form(numbered), f"{self.path}/fact_sales", ["month"], mode="append")
         return open_store(self.spark, self.path)
 
@@ -165,9 +167,10 @@ def open_store(spark: SparkSession, path: str) -> StoredWarehouse:
     return StoredWarehouse(**dims, fact_sales=stored.select(*declared), path=path, fact_stored=stored)
 
 
-def incremental_load(wh: Warehouse, lines: DataFrame, path: str | None = None) -> StoredWarehouse:
+def incremental_load(wh: Warehouse, lines: DataFrame, path: str | None = None,
+                     staged: bool = False) -> StoredWarehouse:
     """Load ``lines`` into a warehouse, which is stored first (at ``path``) unless it is a store."""
     if not isinstance(wh, StoredWarehouse):
         spark = wh.fact_sales.sparkSession
         wh = create_store(wh, path or f"{stage_root(spark)}/store-{uuid.uuid4().hex}")
-    return wh.load(lines)
+    return wh.load(lines, staged)

@@ -58,14 +58,16 @@ class LineWarehouse(Warehouse):
     The lines are staged once, numbered in fact order.  That number is the
     fact's key and orders a customer's lines, so the first profile of a
     customer is an aggregate over fixed-width columns (a hash aggregate).
+    ``staged``: the lines are read from a stage table already.
     """
 
-    def __init__(self, lines: DataFrame):
+    def __init__(self, lines: DataFrame, staged: bool = False):
         self.lines = lines.withColumn("date", F.col("date").cast("date"))
+        self.on_stage = staged
 
     @cached_property
     def staged(self) -> DataFrame:
-        return materialize(self.lines, "warehouse-lines")
+        return self.lines if self.on_stage else materialize(self.lines, "warehouse-lines")
 
     @cached_property
     def numbered(self) -> DataFrame:
@@ -164,8 +166,8 @@ def small_dims(lines: DataFrame) -> dict[str, DataFrame]:
     return {c: ranked.where(F.col("_dim") == k).select("_k", "_s", "_d") for k, c in enumerate(SMALL)}
 
 
-def build_warehouse(lines: DataFrame) -> Warehouse:
-    return LineWarehouse(lines)
+def build_warehouse(lines: DataFrame, staged: bool = False) -> Warehouse:
+    return LineWarehouse(lines, staged)
 
 
 def referential_checks(wh: Warehouse) -> DataFrame:

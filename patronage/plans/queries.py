@@ -232,9 +232,9 @@ LEFT JOIN ndd d ON n.date = d.date
               FROM ncf""",
 }))
 def r01(spark, sf_dir):
-    lines = X.sales(spark, sf_dir)
-    old = WH.build_warehouse(lines.where(F.col("date") < F.lit(INITIAL_CUTOFF).cast("date")))
-    return INC.incremental_load(old, lines).fact_sales
+    lines = materialize(X.sales(spark, sf_dir), "sales-lines")  # both loads read it
+    old = WH.build_warehouse(lines.where(F.col("date") < F.lit(INITIAL_CUTOFF).cast("date")), staged=True)
+    return INC.incremental_load(old, lines, staged=True).fact_sales
 
 
 # --- RFM features: A02, A03, W05-W07, P38, P39, M01-M05, S14 ---------------------
