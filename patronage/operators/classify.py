@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, spread
 from .keys import with_running_total, with_sequential_id
 
 EXCLUDED = ("customer_id", "Cluster", "Segment")
@@ -137,7 +137,7 @@ def confusion_matrix(pred: DataFrame, classes: Sequence, label: str = "label",
 def cross_validate(estimator, df: DataFrame, label: str = "label", id_col: str = "customer_id", k: int = 5,
                    features: str = "features") -> DataFrame:
     """Stratified k-fold accuracy, mean and std, via ``CrossValidator``."""
-    folded = stratified_folds(df, label, id_col, k)
+    folded = spread(stratified_folds(df, label, id_col, k), "folds")
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
                         foldCol="fold", numFolds=k, parallelism=min(k, 4))
@@ -170,7 +170,7 @@ def with_confidence(pred: DataFrame, probability: str = "probability") -> DataFr
 def grid_search(estimator, df: DataFrame, depths=(3, 5, 10), min_instances=(1, 5, 10), label: str = "label",
                 id_col: str = "customer_id", k: int = 5) -> DataFrame:
     """Grid over depth and minimum rows per node, stratified CV accuracy."""
-    folded = stratified_folds(df, label, id_col, k)
+    folded = spread(stratified_folds(df, label, id_col, k), "folds")
     grid = (ParamGridBuilder().addGrid(estimator.maxDepth, list(depths))
             .addGrid(estimator.minInstancesPerNode, list(min_instances)).build())
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")

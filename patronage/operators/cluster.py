@@ -59,6 +59,19 @@ def inertia_k1(df: DataFrame, cols: Sequence[str]) -> float:
     return float(row["n"] * sum(row[c] or 0.0 for c in cols))
 
 
+def _best_per_k(data: DataFrame, ks: Sequence[int], n_init: int, seed: int, features: str, max_iter: int,
+                parallelism: int) -> dict[int, KMeansModel]:
+    """The best of ``n_init`` starts for every k; all fits are submitted together."""
+    jobs = [(k, seed + i) for k in ks for i in range(n_init)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        models = list(pool.map(lambda job: (job[0], _fit_one(data, *job, features, max_iter)), jobs))
+    best: dict[int, KMeansModel] = {}
+    for k, m in models:
+        if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = m
+    return best
+
+
 def k_selection(df: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, features: str = "features",
                 seed: int = 42, max_iter: int = 300, parallelism: int = 16) -> DataFrame:
     """Silhouette (squared Euclidean, Spark's) and inertia per k, plus best k.
@@ -69,13 +82,7 @@ def k_selection(df: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10
     data = df.select(features).persist()
     rows = []
     try:
-        jobs = [(k, seed + i) for k in ks for i in range(n_init)]
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            models = list(pool.map(lambda ks_: (ks_[0], _fit_one(data, ks_[0], ks_[1], features, max_iter)), jobs))
-        best = {}
-        for k, m in models:
-            if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
-                best[k] = m
+        best = _best_per_k(data, ks, n_init, seed, features, max_iter, parallelism)
         ev = ClusteringEvaluator(featuresCol=features, predictionCol="Cluster", distanceMeasure="squaredEuclidean")
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             sils = dict(pool.map(lambda k: (k, ev.evaluate(best[k].transform(data))), list(best)))
@@ -88,16 +95,13 @@ def k_selection(df: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 11), n_init: int = 10,
-          features: str = "features", seed: int = 42) -> DataFrame:
+          features: str = "features", seed: int = 42, max_iter: int = 300, parallelism: int = 16) -> DataFrame:
     """Inertia for k = 1..10 (k = 1 in closed form; K-means needs k > 1)."""
     data = df.select(*cols, features).persist()
     rows = []
     try:
-        for k in ks:
-            if k == 1:
-                rows.append((1, inertia_k1(data, cols)))
-            else:
-                rows.append((int(k), float(kmeans_best_of(data, k, n_init, seed, features).summary.trainingCost)))
+        best = _best_per_k(data, [k for k in ks if k != 1], n_init, seed, features, max_iter, parallelism)
+        rows = [(int(k), inertia_k1(data, cols) if k == 1 else float(best[k].summary.trainingCost)) for k in ks]
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")

@@ -923,7 +923,7 @@ def a03_full(spark, sf_dir):
 # --- Machine learning: M06-M28, T03 ----------------------------------------------
 from ..operators import classify as CL  # noqa: E402
 from ..operators import cluster as CU  # noqa: E402
-from ..session import materialize, stage_root  # noqa: E402
+from ..session import materialize, spread, stage_root  # noqa: E402
 
 CLASSES = ("Diamond", "Standard")
 GOOD_SEGMENTS = ("Champions", "Loyal Customers")
@@ -1028,7 +1028,7 @@ def m28(spark, sf_dir):
 # rows-only model fits ---------------------------------------------------------
 def customer_features(spark, sf_dir):
     """Outlier-free registered customers, staged once for the model fits."""
-    return materialize(FE.remove_outliers(rfm_customers(spark, sf_dir)), "rfm-clean")
+    return spread(materialize(FE.remove_outliers(rfm_customers(spark, sf_dir)), "rfm-clean"), "rfm-spread")
 
 
 def training_table(spark, sf_dir):
@@ -1052,14 +1052,14 @@ def m07(spark, sf_dir):
     rfm = customer_features(spark, sf_dir)
     prep = CU.Pipeline(stages=[FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS), outputCols=list(CU.SCALED)),
                                CU.VectorAssembler(inputCols=list(CU.SCALED), outputCol="features")]).fit(rfm)
-    return CU.k_selection(materialize(prep.transform(rfm).select("features"), "scaled"))
+    return CU.k_selection(spread(materialize(prep.transform(rfm).select("features"), "scaled"), "scaled-spread"))
 
 
 @query("m08_elbow")
 def m08(spark, sf_dir):
     rfm = customer_features(spark, sf_dir)
     scaled = FE.PowerTransformer(inputCols=list(FE.RFM_COLUMNS), outputCols=list(CU.SCALED)).fit(rfm).transform(rfm)
-    data = materialize(CU.assemble(scaled, CU.SCALED).select(*CU.SCALED, "features"), "scaled")
+    data = spread(materialize(CU.assemble(scaled, CU.SCALED).select(*CU.SCALED, "features"), "scaled"), "scaled-spread")
     return CU.elbow(data, CU.SCALED)
 
 

@@ -139,3 +139,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, name: str, rows_per_task: int = 20_000) -> DataFrame:
+    """A stage table dealt evenly over files for passes made many times (model fits).
+
+    A staged aggregate lies in a few files of one row group each, however many
+    cores there are, and every pass would run as that many tasks.  Tables of up
+    to ``rows_per_task`` rows stay as they are."""
+    rows = df.count()  # from the files' footers
+    if rows <= rows_per_task:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(-(-rows // rows_per_task), max(2 * cores, -(-rows // 500_000)))
+    return materialize(df.repartition(tasks), name)
