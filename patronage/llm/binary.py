@@ -17,8 +17,12 @@ partition.  Readers map the files into memory, so the folder must be a mounted
 path that all executors share.
 
 Encoding is the library's.  A text is cut where white space follows something
-else; no match of a byte-level pattern crosses such a place, so the ids of the
-pieces are the ids of the text, and each distinct piece is encoded once.
+else and between ASCII letters or digits and punctuation, but not behind an
+apostrophe; no match of the byte-level pattern crosses such a place, so the ids
+of the pieces are the ids of the text.  Each distinct piece is encoded once while
+a process remembers it (half a million short ones, most used first).  Texts that hold
+an added token or white space beyond ASCII are not cut, nor is any text of a
+tokenizer with another pattern.
 
 Defined cases: null or empty text has only the end id; null ids come first;
 rows that share an id lie next to each other, ordered by their text; an empty
@@ -27,12 +31,13 @@ table writes no part.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -42,91 +47,88 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_root
-from .common import byte_letters, column, gather, text_of, text_slices
-
-_PIECES = re.compile(rb"\s*\S+|\s+").findall
+from .common import column, gather, text_of, text_slices
+
+# classes of bytes: letters and digits, punctuation, apostrophe, white space, all others
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[list((string.ascii_letters + string.digits).encode())] = 1
+_CLASS[list(string.punctuation.encode())] = 2
+_CLASS[ord("'")] = 3
+_CLASS[list(b" \t\n\r\v\f")] = 4
+# by the classes of two neighbours: no match of the pattern holds both.  An
+# apostrophe may begin a contraction, the others may be of any kind.
+_EDGE = np.zeros((5, 5), bool)
+_EDGE[:4, 4] = _EDGE[1, 2] = _EDGE[1, 3] = _EDGE[2, 1] = True
+_EDGE = _EDGE.ravel()
 # white space beyond ASCII, and separators that libraries class differently
 _ODD = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_ODD_IN = re.compile(_ODD).search
-# the same, or a space behind white space, for Arrow's pattern language
-_UNEVEN = "[\t\n\v\f\r ] |" + _ODD
-
-
-def pieces(text: bytes) -> list[bytes]:
-    """Cut a text before white space that follows something else.  A piece made
-    of a space and a word is given as the word; any other behind a space."""
-    if _ODD_IN(str(text, "utf-8")):
-        return [b" " + text]
-    return [p[1:] if p[:1] == b" " and not p[1:2].isspace() else b" " + p for p in _PIECES(text)]
-
-
-def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """All pieces of all texts as one array, with the start and number of each text's."""
-    uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
-    even = pc.split_pattern(texts.filter(pa.array(~uneven)), " ")
-    words = even.flatten().cast(pa.large_binary())
-    starts, sizes = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    begins = even.offsets.to_numpy()
-    starts[~uneven], sizes[~uneven] = begins[:-1] - begins[0], np.diff(begins)
-    # the first word of a text stands behind no space
-    first = [b" " + w for w in words.take(pa.array(starts[~uneven])).to_pylist()]
-    parts, at = [words, pa.array(first, pa.large_binary())], len(words)
-    order = np.arange(at)
-    order[starts[~uneven]] = at + np.arange(len(first))
-    at += len(first)
-    for k in np.flatnonzero(uneven):
-        own = pieces(texts[int(k)].as_py().encode())
-        starts[k], sizes[k] = len(order), len(own)
-        order = np.concatenate([order, at + np.arange(len(own))])
-        parts.append(pa.array(own, pa.large_binary()))
-        at += len(own)
-    return pa.concat_arrays(parts), gather(order, starts, sizes), sizes
+# a line feed before or behind would change these
+_ENDS = "^[\t\n\v\f\r ][\t\n\v\f\r ]|[\t\n\v\f\r ]$"
+_TOGETHER = 128  # pieces in one text for the library: short texts stay in the processor's cache
+_LONGEST = 64    # bytes of a remembered piece
+
+
+def cut(texts: pa.Array, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All pieces of all texts as one array, and how many each text has; those in ``whole`` are not cut."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends, kinds = ends - ends[0], _CLASS[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[1:-1] = _EDGE[kinds[:-1] * np.uint8(5) + kinds[1:]]
+    for k in np.flatnonzero(whole).tolist():
+        edge[ends[k]:ends[k + 1]] = False
+    edge[ends] = True
+    begins = np.flatnonzero(edge)  # and the end of the last
+    found = pa.Array.from_buffers(pa.large_string(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(data)])
+    return found, np.diff(np.searchsorted(begins, ends))
 
 
 class PieceEncoder:
     """The library's ids of texts, by distinct pieces."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        letter = {c: 1 for c in byte_letters()}
-        special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         self.largest = max(vocab.values())
-        for token, i in vocab.items():
-            self.bytes_of[i] = special.get(i) or sum(letter[c] for c in token)
-        self._forget()
-
-    def _forget(self) -> None:
-        """Remembered pieces: their number, and by number their place in ``flat``."""
-        self.index: dict[bytes, int] = {}
-        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # a token has a letter per byte
+        self.bytes_of = np.zeros(self.largest + 1, np.int64)
+        self.bytes_of[list(vocab.values())] = list(map(len, vocab))
+        # the texts and pieces that the library gets as they are
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_ODD, *added]) if self._byte_level() else ""
+        # remembered pieces, their places in ``flat`` and how often they were used
+        self.most, self.known = most, pa.array([], pa.large_string())
+        self.starts, self.many, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.flat = np.zeros(0, "<u4")
+
+    def _byte_level(self) -> bool:
+        """Whether the pattern is the byte-level one and sees texts as they are."""
+        kind = self.tokenizer.pre_tokenizer and json.loads(self.tokenizer.pre_tokenizer.__getstate__())
+        return (self.tokenizer.normalizer is None and bool(kind) and kind["type"] == "ByteLevel"
+                and kind["use_regex"] and not kind["add_prefix_space"])
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after another, and how many each has."""
-        # words behind a space keep their ids beside each other: many are
-        # encoded as one text and told apart by the bytes of their tokens
-        joined = np.fromiter((w[:1] != b" " and w[-1:] not in b" \t\n\r\v\f" for w in words), bool, len(words))
-        many, out = np.zeros(len(words), np.int64), []
-        at = np.flatnonzero(joined)
-        for k in range(0, len(at), 10_000):
-            part = [words[i] for i in at[k:k + 10_000].tolist()]
-            ids = self._ids([str(b" " + b" ".join(part), "utf-8")])[0]
-            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            many[at[k:k + 10_000]] = np.diff(cuts, prepend=0)
-            out.append(ids)
-        rest = np.flatnonzero(~joined)
-        single = self._ids([str(w[1:] if w[:1] == b" " else b" " + w, "utf-8") for w in (words[i] for i in rest.tolist())])
-        many[rest] = [len(x) for x in single]
-        flat = np.concatenate([np.zeros(0, "<u4"), *out, *single])
+        # a line feed is a match of its own: pieces are encoded many at a time,
+        # one before each, and told apart by the bytes of their tokens
+        single = pc.match_substring_regex(words, f"{_ENDS}|{self.odd}").to_numpy(zero_copy_only=False)
+        at, rest, many = np.flatnonzero(~single), np.flatnonzero(single), np.zeros(len(words), np.int64)
+        joined, ids = words.take(pa.array(at)), []
+        for k in range(0, len(at), _TOGETHER):
+            ids += self._ids("\n".join([*joined.slice(k, _TOGETHER).to_pylist(), ""]))
+        ids = np.array(ids, "<u4")
+        feeds = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(pc.binary_length(joined).to_numpy() + 1))
+        many[at] = np.diff(feeds, prepend=-1) - 1
+        own = [np.array(self._ids(w), "<u4") for w in words.take(pa.array(rest)).to_pylist()]
+        many[rest] = list(map(len, own))
+        flat = np.concatenate([np.delete(ids, feeds), *own])
         # joined pieces come first, in their order, then the others
         given = np.concatenate([at, rest])
         starts = np.empty(len(words), np.int64)
@@ -135,35 +137,33 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        words, order, sizes = cut(texts)
-        coded = words.dictionary_encode()
-        keys, use = coded.dictionary.to_pylist(), coded.indices.to_numpy()[order]
-        number = np.fromiter(map(self.index.get, keys, repeat(-1)), np.int64, len(keys))
-        new, old = np.flatnonzero(number < 0), np.flatnonzero(number >= 0)
-        fresh, size = self._encoded([keys[k] for k in new.tolist()])
-        starts, many = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
-        starts[old], many[old] = self.starts[number[old]], self.sizes[number[old]]
-        starts[new], many[new] = len(self.flat) + np.cumsum(size) - size, size
-        flat = np.concatenate([self.flat, fresh])
-        ids = gather(flat, starts[use], many[use])
-        self._remember(keys, number, starts, many, flat, np.bincount(use, minlength=len(keys)))
-        total = np.concatenate([[0], np.cumsum(many[use])])
-        ends = np.cumsum(sizes)
+        words, sizes = cut(texts, pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
+        # known pieces keep their numbers, new ones follow
+        coded, first = pa.concat_arrays([self.known, words]).dictionary_encode(), len(self.known)
+        use = coded.indices.to_numpy()[first:]
+        fresh, size = self._encoded(coded.dictionary.slice(first))
+        starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(size) - size])
+        many, flat = np.concatenate([self.many, size]), np.concatenate([self.flat, fresh])
+        own = many[use]
+        ids = gather(flat, starts[use], own)
+        self._remember(coded.dictionary, starts, many, flat, use)
+        total, ends = np.concatenate([[0], np.cumsum(own)]), np.cumsum(sizes)
         return ids, total[ends] - total[ends - sizes]
 
-    def _remember(self, keys: list[bytes], number: np.ndarray, starts: np.ndarray, many: np.ndarray, flat: np.ndarray,
-                  used: np.ndarray, most: int = 200_000) -> None:
-        """Keep the pieces that a slice held twice or more; when there are too
-        many, those of this slice alone."""
-        keep = np.flatnonzero((used > 1) & (number < 0))
-        if len(self.index) + len(keep) > most:
-            self._forget()
-            keep = np.flatnonzero(used > 1)[:most]
-        first = len(self.index)
-        self.index.update(zip((keys[k] for k in keep.tolist()), range(first, first + len(keep))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(many[keep]) - many[keep]])
-        self.sizes = np.concatenate([self.sizes, many[keep]])
-        self.flat = np.concatenate([self.flat, gather(flat, starts[keep], many[keep])])
+    def _remember(self, words: pa.Array, starts: np.ndarray, many: np.ndarray, flat: np.ndarray,
+                  use: np.ndarray) -> None:
+        """Keep all pieces but long ones; when there are too many, the half that was used most."""
+        used = np.bincount(use, minlength=len(words))
+        used[:len(self.used)] += self.used
+        keep = np.flatnonzero(pc.binary_length(words).to_numpy() <= _LONGEST)
+        if len(keep) > self.most:
+            half = np.argpartition(-used[keep], self.most // 2)[:self.most // 2]
+            keep, used = keep[np.sort(half)], used // 2
+        if len(keep) < len(words):
+            words, flat = words.take(pa.array(keep)), gather(flat, starts[keep], many[keep])
+            many, used = many[keep], used[keep]
+            starts = np.cumsum(many) - many
+        self.known, self.starts, self.many, self.flat, self.used = words, starts, many, flat, used
 
 
 _OPEN: dict[str, PieceEncoder] = {}

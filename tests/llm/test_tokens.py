@@ -1,3 +1,4 @@
+import itertools
 import random
 import tempfile
 import zlib
@@ -8,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import public_tokenizers
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from patronage.llm import binary, bpe
 from patronage.llm.lexicon import Lexicon, compile_lexicon
@@ -86,6 +87,64 @@ def test_pieces_give_the_library_s_ids():
         assert got.tolist() == want, t[:80]
 
 
+def test_every_cut_gives_the_library_s_ids():
+    letters = ["a", "1", "é", ".", "'", "s", " ", "\n", "\t", "\x01", "\x1c", "\xa0", "中", "<|endoftext|>"]
+    texts = ["".join(x) for n in range(5) for x in itertools.product(letters, repeat=n)]
+    ids, _ = library(BYTE, texts)
+    encoder = binary.PieceEncoder(BYTE)
+    for _ in range(2):  # new pieces, then known ones
+        flat, many = encoder.encode(pa.array(texts, pa.large_string()))
+        assert many.tolist() == list(map(len, ids)) and flat.tolist() == [i for x in ids for i in x]
+
+
+class Counted:
+    """A tokenizer that keeps count of the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **kw):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+
+def test_pieces_reach_the_library_once():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeinrst") for _ in range(10)) for _ in range(500)]
+    # each word once in a text, with other marks in the next
+    texts = [" ".join(w + mark for w in words) for mark in ("", ".", ",", "!\nSo", '")')]
+    encoder = binary.PieceEncoder(BYTE)
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    found = [encoder.encode(pa.array([t], pa.large_string()))[0].tolist() for t in texts]
+    assert found == library(BYTE, texts)[0]
+    assert encoder.tokenizer.given < 1.2 * len(texts[0])
+
+
+def test_remembered_pieces_are_bounded():
+    texts = random_texts(600, 6) + ["often " * 50 + "w" * 1000] * 6
+    random.Random(7).shuffle(texts)
+    encoder = binary.PieceEncoder(BYTE, most=100)
+    for k in range(0, len(texts), 60):
+        part = texts[k:k + 60]
+        flat, many = encoder.encode(pa.array(part, pa.large_string()))
+        ids, _ = library(BYTE, part)
+        assert many.tolist() == list(map(len, ids)) and flat.tolist() == [i for x in ids for i in x]
+        assert len(encoder.known) == len(encoder.starts) == len(encoder.used) <= 100
+        assert encoder.many.sum() == len(encoder.flat)
+    assert " often" in encoder.known.to_pylist()
+
+
+def test_other_patterns_are_not_cut():
+    tokenizer = Tokenizer.from_file(BYTE)
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    texts = ["one two,three", ",", "", " four"]
+    with tempfile.TemporaryDirectory() as d:
+        tokenizer.save(f"{d}/t.json")
+        flat, many = binary.PieceEncoder(f"{d}/t.json").encode(pa.array(texts, pa.large_string()))
+        ids, _ = library(f"{d}/t.json", texts)
+    assert many.tolist() == list(map(len, ids)) and flat.tolist() == [i for x in ids for i in x]
+
+
 def test_token_files_round_trip(spark):
     rows = data.ROWS + [(1000 + k, t, "en", "a", 1) for k, t in enumerate(random_texts(300, 4))]
     random.Random(0).shuffle(rows)
