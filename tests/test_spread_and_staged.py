@@ -1,6 +1,7 @@
 """Stage tables dealt over tasks for model fits, lines staged once, and the joins that build lines."""
 import threading
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -64,3 +65,29 @@ def test_the_incremental_load_stages_its_lines_once(spark, monkeypatch):
     Q.r01(spark, SF_SMALL)
     assert made.count("sales-lines") == 1
     assert not {"warehouse-lines", "load-lines", "load-unseen"} & set(made)
+
+
+def test_elbow_iterates_all_starts_in_one_pass_and_ends_as_spark_does(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    middle = rng.normal(size=(5, 3)) * 4
+    points = [(*map(float, middle[i % 5] + rng.normal(size=3)),) for i in range(400)]
+    points += [(1e3, 0.0, 0.0)] * 3 + [(0.0, 0.0, float(i % 2)) for i in range(40)]
+    data = CU.assemble(spark.createDataFrame(points, "a double, b double, c double"), ["a", "b", "c"]).repartition(3).cache()
+    jobs = [(k, seed) for k in (2, 4, 7) for seed in (1, 2, 3)]
+    want = [CU._fit_one(data, k, seed, "features", 300).summary.trainingCost for k, seed in jobs]
+    short = [CU._fit_one(data, k, seed, "features", 2).summary.trainingCost for k, seed in jobs]
+    asked, real = [], CU._fit_one
+    monkeypatch.setattr(CU, "_fit_one", lambda *args: asked.append(args[-1]) or real(*args))
+    assert np.allclose(CU.kmeans_inertias(data, jobs), want, rtol=1e-9)
+    assert np.allclose(CU.kmeans_inertias(data, jobs, max_iter=2), short, rtol=1e-9)
+    rows = {r.k: r.inertia for r in CU.elbow(data, ["a", "b", "c"], ks=(1, 2, 4, 7), n_init=3, seed=1).collect()}
+    assert all(np.isclose(rows[k], min(w for (j, _), w in zip(jobs, want) if j == k), rtol=1e-9) for k in (2, 4, 7))
+    assert set(asked) == {0}  # Spark gives the starts only
+    data.unpersist()
+
+
+def test_a_row_as_near_to_two_centres_counts_once(spark):
+    run = CU._nearest_sums([np.array([[0.0], [2.0], [2.0], [0.0]])], rows_at_once=2)
+    import pyarrow as pa
+    found = np.frombuffer(next(run(CU._packed()([pa.record_batch({"x0": pa.array([1.0, 0.0, 2.0])})])))["found"][0].as_py())
+    assert found.tolist() == [2, 1, 1, 2, 0, 0, 0, 0, 1]
