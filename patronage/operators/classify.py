@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize, spread
+from .forest import forest_grid
 from .keys import with_running_total, with_sequential_id
 
 EXCLUDED = ("customer_id", "Cluster", "Segment")
@@ -169,8 +170,14 @@ def with_confidence(pred: DataFrame, probability: str = "probability") -> DataFr
 
 def grid_search(estimator, df: DataFrame, depths=(3, 5, 10), min_instances=(1, 5, 10), label: str = "label",
                 id_col: str = "customer_id", k: int = 5) -> DataFrame:
-    """Grid over depth and minimum rows per node, stratified CV accuracy."""
+    """Grid over depth and minimum rows per node, stratified CV accuracy.
+    Forests over many rows are grown over counted cells (``forest.forest_grid``)."""
     folded = spread(stratified_folds(df, label, id_col, k), "folds")
+    schema = "max_depth int, min_instances int, cv_accuracy double"
+    if isinstance(estimator, RandomForestClassifier):
+        found = forest_grid(estimator, folded, depths, min_instances, label, k)
+        if found is not None:
+            return df.sparkSession.createDataFrame([(d, m, found[d, m]) for d in depths for m in min_instances], schema)
     grid = (ParamGridBuilder().addGrid(estimator.maxDepth, list(depths))
             .addGrid(estimator.minInstancesPerNode, list(min_instances)).build())
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
@@ -178,7 +185,7 @@ def grid_search(estimator, df: DataFrame, depths=(3, 5, 10), min_instances=(1, 5
                            numFolds=k, parallelism=4).fit(folded)
     rows = [(int(pm[estimator.maxDepth]), int(pm[estimator.minInstancesPerNode]), float(m))
             for pm, m in zip(grid, model.avgMetrics)]
-    return df.sparkSession.createDataFrame(rows, "max_depth int, min_instances int, cv_accuracy double")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def exact_auc(df: DataFrame, score: str, positive: str) -> DataFrame:
